@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tidemark.functions.instants import format_instant, normalize_instant, now_instant, parse_instant
 from tidemark.operators import reduce as R
 from tidemark.operators import timeline as TL
+from tidemark.session import WRITE_CONF, scoped_conf
 from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
 
 COMMIT_SCHEMA = T.StructType(
@@ -123,16 +124,20 @@ class ChangeTable:
                 return T.StructType.fromJson(json.loads(r["schema_json"]))
         return None
 
-    def _next_instant(self, wanted: str | None = None) -> str:
+    def _next_instant(self, wanted: str | None = None, rows: list[dict] | None = None) -> str:
         """A fresh instant strictly after the last commit."""
         t = normalize_instant(wanted) if wanted else now_instant()
-        last = self.last_commit()
+        rows = self.commit_rows() if rows is None else rows
+        last = rows[-1]["commit_time"] if rows else None
         if last is not None and t <= last:
             if wanted:
                 raise ValueError(f"commit {t} is not after the last commit {last}")
             t = format_instant(parse_instant(last) + timedelta(milliseconds=1))
         return t
 
+    def commit_dir(self, t: str) -> str:
+        return f"{self.log_path}/{COMMIT}={t}"
+
     # ------------------------------------------------------------------ writes
     def upsert(
         self,
@@ -150,16 +155,18 @@ class ChangeTable:
         commit row exists is skipped; one that crashed before its commit row
         is simply written again under a fresh instant.
         """
+        existing = self.commit_rows()
         if query_id is not None and batch_id is not None:
-            for r in self.commit_rows():
+            for r in existing:
                 if r["query_id"] == query_id and r["batch_id"] == batch_id:
                     return r["commit_time"]
-        t = self._next_instant(commit_time)
+        t = self._next_instant(commit_time, existing)
         rows = df if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)
         rows = rows.where(F.col(KEY).isNotNull())
         rows = R.precombine(rows, self.spec).withColumn(COMMIT, F.lit(t))
         self._write_log(rows)
-        written = self.spark.read.schema(rows.schema).parquet(self.log_path).where(F.col(COMMIT) == t)
+        # stats from the footers of this commit's folder only
+        written = self.spark.read.option("basePath", self.log_path).schema(rows.schema).parquet(self.commit_dir(t))
         stats = written.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(OP) == "D").alias("d")).first()
         self._append_json(
             self.commits_path,
@@ -174,13 +181,14 @@ class ChangeTable:
         # REBALANCE lets AQE split a hot partition value over several tasks
         # and merge small ones, so each directory gets right-sized files.
         hinted = rows.hint("rebalance", *self.spec.partitions) if self.spec.partitions else rows.hint("rebalance")
-        (
-            hinted.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", self.spec.target_rows_per_file)
-            .partitionBy(*parts)
-            .parquet(self.log_path)
-        )
+        with scoped_conf(self.spark, WRITE_CONF):
+            (
+                hinted.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .option("maxRecordsPerFile", self.spec.target_rows_per_file)
+                .partitionBy(*parts)
+                .parquet(self.log_path)
+            )
 
     def bootstrap(self, source_path: str, commit_time: str | None = None, fmt: str = "parquet") -> str:
         """Adopt existing files as the first commit without rewriting them.
@@ -199,7 +207,7 @@ class ChangeTable:
         )
         return t
 
-    def compact(self) -> str | None:
+    def compact(self, commit_time: str | None = None) -> str | None:
         """Materialise the reduction of everything committed so far as a
         new base directory; later reads take base + newer commits.
 
@@ -211,13 +219,14 @@ class ChangeTable:
         if upto is None:
             return None
         state = R.snapshot(self.read_log(), self.spec, keep_tombstones=self.spec.merge == "event_time")
-        t = self._next_instant()
+        t = self._next_instant(commit_time)
         base = f"{self.path}/base/{t}"
         w = state.hint("rebalance", *self.spec.partitions) if self.spec.partitions else state.hint("rebalance")
         w = w.write.mode("errorifexists").option("maxRecordsPerFile", self.spec.target_rows_per_file)
         if self.spec.partitions:
             w = w.partitionBy(*self.spec.partitions)
-        w.parquet(base)
+        with scoped_conf(self.spark, WRITE_CONF):
+            w.parquet(base)
         self._append_json(
             self.commits_path,
             [dict(commit_time=t, kind="compaction", source=base, upto=upto, schema_json=json.dumps(state.schema.jsonValue()),
@@ -227,7 +236,7 @@ class ChangeTable:
         return t
 
     # ------------------------------------------------------------------- reads
-    def read_log(self, upto: str | None = None, use_base: bool = True) -> DataFrame:
+    def read_log(self, upto: str | None = None, use_base: bool = True, since: str | None = None) -> DataFrame:
         """Committed change rows (optionally only up to ``upto``).
 
         Reads always pass the stored schema: partition values such as
@@ -240,6 +249,9 @@ class ChangeTable:
         upto = normalize_instant(upto) if upto else None
         if upto:
             rows = [r for r in rows if r["commit_time"] <= upto]
+        if since:
+            since = normalize_instant(since)
+            rows = [r for r in rows if r["commit_time"] > since and r["kind"] != "compaction"]
         base_row = None
         if use_base:
             for r in rows:
@@ -251,12 +263,17 @@ class ChangeTable:
             parts.append(self.spark.read.schema(schema).parquet(base_row["source"]))
         upserts = [r["commit_time"] for r in rows if r["kind"] == "upsert" and (floor is None or r["commit_time"] > floor)]
         if upserts:
-            log = self.spark.read.schema(schema).parquet(self.log_path)
+            # list only the committed instant folders: uncommitted leftovers are
+            # never seen and a range read never lists commits outside the range
             if len(upserts) <= MAX_INLINE_COMMITS:
-                log = log.where(F.col(COMMIT).isin(upserts))
+                log = (
+                    self.spark.read.option("basePath", self.log_path)
+                    .schema(schema)
+                    .parquet(*[self.commit_dir(c) for c in upserts])
+                )
             else:
                 listed = self.spark.createDataFrame([(c,) for c in upserts], f"{COMMIT} string")
-                log = log.join(listed, on=COMMIT, how="left_semi")
+                log = self.spark.read.schema(schema).parquet(self.log_path).join(listed, on=COMMIT, how="left_semi")
             parts.append(log)
         for r in rows:
             if r["kind"] == "bootstrap" and (floor is None or r["commit_time"] > floor):
@@ -276,7 +293,9 @@ class ChangeTable:
         return R.snapshot(self.read_log(upto=t), self.spec)
 
     def incremental(self, begin: str | None, end: str | None = None) -> DataFrame:
-        return R.incremental(self.read_log(upto=end, use_base=False), self.spec, begin, end)
+        """R2; in ``arrival`` mode only the folders of commits in the range are listed."""
+        since = begin if self.spec.merge == "arrival" else None
+        return R.incremental(self.read_log(upto=end, use_base=False, since=since), self.spec, begin, end)
 
     def changes_since_lag(self, now: str, minutes: float = 20) -> DataFrame:
         """R4 with the begin taken from commit metadata (no data scan)."""
@@ -331,7 +350,8 @@ class ChangeTable:
         w = w.write.mode("errorifexists")
         if parts:
             w = w.partitionBy(*parts)
-        w.parquet(loc)
+        with scoped_conf(self.spark, WRITE_CONF):
+            w.parquet(loc)
         register_parquet(self.spark, name, loc, snap.schema, parts)
 
 

@@ -1 +1,566 @@
-"""Driver queries that write tables, files or streams under the checkpoint root."""
+"""Driver queries that write tables, files or streams.
+
+Each run works in a fresh folder under the checkpoint root
+(``spark.checkpoint.dir``), derives its input files from the driver's
+tables with Spark, runs the operator, and returns a DataFrame over what was
+written.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions import columns as C
+from tidemark.operators import reduce as R
+from tidemark.operators.table import Bookmark, ChangeTable, next_range
+from tidemark.plans import catalog_batch as B
+from tidemark.plans import fixtures as FX
+from tidemark.plans import oracle_sql as Q
+from tidemark.plans.registry import query
+from tidemark.plans.staging import land, list_parquet, stage_groups
+from tidemark.session import scratch_dir
+from tidemark.sources import feeds as S
+from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
+from tidemark.streaming import sinks as W
+from tidemark.streaming.progress import ProgressLog
+
+ONCE = {"availableNow": True}
+
+
+def _run(q) -> None:
+    """Wait for an ``availableNow`` query and surface its error."""
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+# ------------------------------------------------------------ CDC change files
+CHANGE_FILE_COLS = ["Op", *[f.name for f in FX.ORDER_DETAIL_SCHEMA.fields]]
+CHANGE_FILE_SCHEMA = T.StructType([T.StructField("Op", T.StringType(), True), *FX.ORDER_DETAIL_SCHEMA.fields])
+
+
+def stage_change_files(spark: SparkSession, sf: str, root: str) -> dict[int, list[str]]:
+    """Parquet change files with a leading ``Op``, one per commit group."""
+    rows = FX.order_detail_rows(spark, sf).select(*CHANGE_FILE_COLS, "commit_group")
+    return stage_groups(rows, "commit_group", f"{root}/staging")
+
+
+def prepare_change_rows(df: DataFrame, keep_op: bool) -> DataFrame:
+    """The change-file path: drop ``Op`` (Q6) unless deletes are applied,
+    lower-case, date, partition columns."""
+    if not keep_op:
+        df = C.drop_if_present(df, "Op")
+    df = C.lower_columns(df)
+    df = C.as_date(df, "order_date")
+    return C.with_time_parts(df, "order_date", ("year", "month"))
+
+
+def cdc_spec(deletes: str) -> TableSpec:
+    return B.CDC_SPEC.with_(deletes=deletes)
+
+
+def _cdc_oracle(deletes: bool, order: str = "commit_group DESC", extra: str = "") -> str:
+    inner = f"""SELECT * FROM ({Q.ORDER_DETAIL}) d
+                QUALIFY row_number() OVER (PARTITION BY order_id, line_id
+                                           ORDER BY {order}, order_date DESC NULLS LAST, {Q.OD_TIEBREAK}) = 1"""
+    where = "WHERE op <> 'D'" if deletes else ""
+    return f"SELECT {B.OD_SQL_OUT}{extra} FROM ({inner}) w {where}"
+
+
+@query("change_files", f"SELECT {B.OD_SQL_OUT} FROM ({Q.ORDER_DETAIL}) d")
+def change_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One multi-path read of the named change files, ``Op`` dropped."""
+    root = scratch_dir(spark, "change_files")
+    groups = stage_change_files(spark, sf, root)
+    paths = [p for files in groups.values() for p in files]
+    df = S.read_change_files(spark, paths, schema=CHANGE_FILE_SCHEMA)
+    return C.lower_columns(C.drop_if_present(df, "Op")).select(*B.OD_OUT)
+
+
+def _stream_cdc_dir(spark: SparkSession, sf: str, name: str, deletes: str, replay: bool = False):
+    root = scratch_dir(spark, name)
+    groups = stage_change_files(spark, sf, root)
+    table = ChangeTable(spark, f"{root}/table", cdc_spec(deletes))
+    watched, ckpt = f"{root}/landing", f"{root}/checkpoint"
+    keep_op = deletes == "apply"
+    qname = f"{name}-{uuid.uuid4().hex[:8]}"
+    for k, files in groups.items():
+        land(spark, files, watched, f"cdc-{k}")
+        stream = S.stream_change_dir(spark, watched, CHANGE_FILE_SCHEMA)
+        _run(W.upsert_stream(stream, table, ckpt, qname, trigger=ONCE, op_col="op" if keep_op else None,
+                             prepare=lambda b: prepare_change_rows(b, keep_op)))
+    if replay:
+        # a restart with nothing new, then a replayed batch id: neither may add a commit
+        stream = S.stream_change_dir(spark, watched, CHANGE_FILE_SCHEMA)
+        _run(W.upsert_stream(stream, table, ckpt, qname, trigger=ONCE, op_col="op" if keep_op else None,
+                             prepare=lambda b: prepare_change_rows(b, keep_op)))
+        first = list_parquet(spark, watched)[:1]
+        again = prepare_change_rows(S.read_change_files(spark, first, schema=CHANGE_FILE_SCHEMA), keep_op)
+        table.upsert(again, op_col="op", query_id=qname, batch_id=1)
+    return table
+
+
+@query("change_dir_stream", _cdc_oracle(deletes=False))
+def change_dir_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of change files as a stream (availableNow runs as
+    files land), upserted; ``Op`` ignored as in the reference (Q6)."""
+    table = _stream_cdc_dir(spark, sf, "change_dir_stream", "ignore")
+    return table.snapshot().select(*B.OD_OUT)
+
+
+@query("upsert_deletes", _cdc_oracle(deletes=True))
+def upsert_deletes(spark: SparkSession, sf: str) -> DataFrame:
+    """``Op = 'D'`` removes the key."""
+    table = _stream_cdc_dir(spark, sf, "upsert_deletes", "apply")
+    return table.snapshot().select(*B.OD_OUT)
+
+
+@query("resume_no_duplicates", _cdc_oracle(deletes=True))
+def resume_no_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Checkpoint resume over four landings, a restart with nothing new
+    and a replayed batch id; the snapshot is as if each file was read once."""
+    table = _stream_cdc_dir(spark, sf, "resume_no_duplicates", "apply", replay=True)
+    n = len(table.commit_times())
+    if n != 4:
+        raise AssertionError(f"expected 4 commits after resume and replay, found {n}")
+    return table.snapshot().select(*B.OD_OUT)
+
+
+@query("upsert_stream", _cdc_oracle(
+    deletes=False, extra=", CAST(order_id AS VARCHAR) || '#' || CAST(line_id AS VARCHAR) AS record_key"))
+def upsert_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelope stream -> decode -> normalise -> micro-batch upserts
+    (the envelope's operation is ignored, Q5)."""
+    root = scratch_dir(spark, "upsert_stream")
+    env = FX.cdc_envelopes(spark, sf, "data")
+    groups = stage_groups(env, "commit_group", f"{root}/staging")
+    table = ChangeTable(spark, f"{root}/table", B.CDC_SPEC)
+    qname = f"upsert_stream-{uuid.uuid4().hex[:8]}"
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        df = C.lower_columns(S.decode_envelope(batch, "data", FX.ORDER_DETAIL_SCHEMA))
+        df = C.require(df, "order_date")
+        df = C.with_record_key(df, ["order_id", "line_id"])
+        return C.with_time_parts(C.as_date(df, "order_date"), "order_date", ("year", "month"))
+
+    for k, files in groups.items():
+        land(spark, files, f"{root}/landing", f"env-{k}")
+        stream = S.read_feed(spark, "parquet", schema="data binary", path=f"{root}/landing")
+        _run(W.upsert_stream(stream, table, f"{root}/checkpoint", qname, trigger=ONCE, prepare=prepare))
+    return table.snapshot().select(*B.OD_OUT, "record_key")
+
+
+@query("notice_ingest", _cdc_oracle(deletes=False))
+def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of ``{filePath}`` notices; each micro-batch reads all
+    named files at once and commits once, the later file winning (Q8)."""
+    root = scratch_dir(spark, "notice_ingest")
+    groups = stage_change_files(spark, sf, root)
+    landed = []
+    for k, files in groups.items():
+        landed += [(p, k * 100_000 + i) for i, p in enumerate(land(spark, files, f"{root}/files", f"cdc-{k}"))]
+    notices = spark.createDataFrame(landed, "filePath string, seq long")
+    notices.select(F.to_json(F.struct("filePath", "seq")).alias("value")).coalesce(1).write.text(f"{root}/notices")
+    table = ChangeTable(spark, f"{root}/table", cdc_spec("ignore"))
+    stream = spark.readStream.format("text").load(f"{root}/notices")
+    decoded = stream.select(F.from_json("value", "filePath string, seq long").alias("j")).select("j.*")
+    _run(W.ingest_notices(decoded, table, f"{root}/checkpoint", f"notices-{uuid.uuid4().hex[:8]}",
+                          prepare=lambda b: prepare_change_rows(b, keep_op=False), seq_col="seq",
+                          schema=CHANGE_FILE_SCHEMA, trigger=ONCE))
+    return table.snapshot().select(*B.OD_OUT)
+
+
+# ----------------------------------------------------------- trade streams
+def stage_trade_payloads(spark: SparkSession, sf: str, root: str) -> dict[int, list[str]]:
+    """Payload files (``value`` bytes) per arrival batch (``event_id % 5``)."""
+    feed = FX.trade_feed(spark, sf, "value").select("value", "arrival")
+    return stage_groups(feed, "arrival", f"{root}/staging")
+
+
+@query("feed_stream",
+       f"SELECT {Q.TRADE_COLS}, CAST(event_id AS VARCHAR) AS record_key, {Q.TRADE_TIME_COLS} "
+       f"FROM events WHERE {Q.GOOD_KEY} AND {Q.GOOD_TIME}")
+def feed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A byte feed read as a stream (file source standing in for Kafka:
+    no connector jar here), decoded and normalised, appended to Parquet."""
+    root = scratch_dir(spark, "feed_stream")
+    groups = stage_trade_payloads(spark, sf, root)
+    land(spark, [p for fs in groups.values() for p in fs], f"{root}/landing", "feed")
+    raw = S.read_feed(spark, "parquet", schema="value binary", path=f"{root}/landing")
+    df = C.require(C.lower_columns(S.decode_feed(raw, "value", FX.TRADE_SCHEMA, keep_corrupt=False)), "tradeid")
+    df = C.with_event_time(C.with_record_key(df, "tradeid"), "timestamp", "trade_datetime")
+    df = C.with_time_parts(C.require(df, "trade_datetime"), "trade_datetime", ("month", "day", "hour"))
+    _run(W.append_stream(df, f"{root}/out", [], f"{root}/checkpoint", trigger=ONCE))
+    return spark.read.schema(df.schema).parquet(f"{root}/out").select(
+        *B.TRADE_OUT, "record_key", "trade_datetime", "month", "day", "hour")
+
+
+RKC_SQL = f"""SELECT CAST(event_id AS VARCHAR) || '#' ||
+               CASE WHEN event_id % 97 = 0 THEN 'abc' ELSE CAST({Q.EPOCH} AS VARCHAR) END AS record_key,
+               CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(day(ts) AS VARCHAR) END AS day,
+               CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS VARCHAR) END AS hour,
+               CASE WHEN event_id % 97 = 0 THEN NULL
+                    ELSE 'day=' || CAST(day(ts) AS VARCHAR) || '/hour=' || CAST(hour(ts) AS VARCHAR) END AS partition_key
+        FROM events WHERE {Q.GOOD_KEY}"""
+
+
+@query("append_partitioned", RKC_SQL)
+def append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Append-only stream into ``day=/hour=`` folders, no dedup; rows
+    with an unparseable time go to the null partition (Q3)."""
+    root = scratch_dir(spark, "append_partitioned")
+    groups = stage_trade_payloads(spark, sf, root)
+    out_schema = None
+    for k, files in groups.items():
+        land(spark, files, f"{root}/landing", f"feed-{k}")
+        raw = S.read_feed(spark, "parquet", schema="value binary", path=f"{root}/landing")
+        df = C.require(C.lower_columns(S.decode_feed(raw, "value", FX.TRADE_SCHEMA, keep_corrupt=False)), "tradeid")
+        df = C.with_record_key(df, ["tradeid", "timestamp"])
+        df = C.with_event_time(df, "timestamp", "trade_datetime")
+        df = C.with_partition_path(C.with_time_parts(df, "trade_datetime", ("day", "hour")), ["day", "hour"])
+        out_schema = df.schema
+        _run(W.append_stream(df, f"{root}/out", ["day", "hour"], f"{root}/checkpoint", trigger=ONCE))
+    back = spark.read.schema(out_schema).parquet(f"{root}/out")
+    return back.select("record_key", "day", "hour", "partition_key")
+
+
+TRADE_SPEC = TableSpec(keys=("record_key",), order=("trade_datetime",), partitions=("month", "day", "hour"),
+                       tiebreak=("symbol", "quantity", "price", "timestamp", "description", "tradername",
+                                 "traderfirm"))
+
+GROUPED_SQL = f"""SELECT CAST(month(ts) AS VARCHAR) AS month, CAST(day(ts) AS VARCHAR) AS day,
+                         CAST(hour(ts) AS VARCHAR) AS hour, count(*) AS n
+                  FROM events WHERE {Q.GOOD_KEY} AND {Q.GOOD_TIME} GROUP BY 1, 2, 3"""
+
+
+def _trade_prepare(batch: DataFrame) -> DataFrame:
+    df = C.with_event_time(C.lower_columns(S.decode_feed(batch, "value", FX.TRADE_SCHEMA)), "timestamp",
+                           "trade_datetime")
+    good, _ = C.split_rejects(df, key="tradeid", time_col="trade_datetime")
+    return C.with_time_parts(C.with_record_key(good, "tradeid"), "trade_datetime", ("month", "day", "hour"))
+
+
+@query("late_events", GROUPED_SQL)
+def late_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Five arrival batches, each spanning all 30 days; every row lands
+    in the partition of its event time however late it arrives."""
+    root = scratch_dir(spark, "late_events")
+    groups = stage_trade_payloads(spark, sf, root)
+    table = ChangeTable(spark, f"{root}/table", TRADE_SPEC)
+    qname = f"late-{uuid.uuid4().hex[:8]}"
+    for k, files in groups.items():
+        land(spark, files, f"{root}/landing", f"feed-{k}")
+        raw = S.read_feed(spark, "parquet", schema="value binary", path=f"{root}/landing")
+        _run(W.upsert_stream(raw, table, f"{root}/checkpoint", qname, trigger=ONCE, prepare=_trade_prepare))
+    return table.snapshot().groupBy("month", "day", "hour").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "rejects_stream",
+    f"""SELECT CASE WHEN event_id % 101 = 0 THEN 'malformed' WHEN event_id % 103 = 0 THEN 'null_key'
+                    ELSE 'bad_time' END AS reject_reason,
+               CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS tradeid,
+               CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'abc'
+                    ELSE CAST({Q.EPOCH} AS VARCHAR) END AS timestamp
+        FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 97 = 0""",
+)
+def rejects_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """One query, input read once per batch; good rows upserted, rejects
+    stored with a reason (the reference ran a second query to the console)."""
+    root = scratch_dir(spark, "rejects_stream")
+    groups = stage_trade_payloads(spark, sf, root)
+    land(spark, [p for fs in groups.values() for p in fs], f"{root}/landing", "feed")
+    raw = S.read_feed(spark, "parquet", schema="value binary", path=f"{root}/landing")
+    df = C.with_event_time(C.lower_columns(S.decode_feed(raw, "value", FX.TRADE_SCHEMA)), "timestamp", "trade_datetime")
+    table = ChangeTable(spark, f"{root}/table", TRADE_SPEC)
+    _run(W.upsert_with_rejects(
+        df, table, f"{root}/rejects", f"{root}/checkpoint", f"rejects-{uuid.uuid4().hex[:8]}", key="tradeid",
+        time_col="trade_datetime", trigger=ONCE,
+        prepare=lambda g: C.with_time_parts(C.with_record_key(g, "tradeid"), "trade_datetime", ("month", "day", "hour")),
+    ))
+    return spark.read.parquet(f"{root}/rejects").select("reject_reason", "tradeid", "timestamp")
+
+
+@query("stream_progress", "SELECT event_id % 5 AS batch_id, count(*) AS num_input_rows FROM events GROUP BY 1")
+def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Started / progress / terminated events as rows (batch id and
+    input rows per micro-batch), one batch per landed arrival group."""
+    root = scratch_dir(spark, "stream_progress")
+    groups = stage_trade_payloads(spark, sf, root)
+    log = ProgressLog(spark)
+    qname = f"progress-{uuid.uuid4().hex[:8]}"
+    try:
+        for k, files in groups.items():
+            land(spark, files, f"{root}/landing", f"feed-{k}")
+            raw = S.read_feed(spark, "parquet", schema="value binary", path=f"{root}/landing")
+            q = W.append_stream(raw, f"{root}/out", [], f"{root}/checkpoint", trigger=ONCE, query_name=qname)
+            _run(q)
+            log.wait_for(str(q.id), count=k + 1)
+    finally:
+        log.stop()
+    ev = log.to_df().where((F.col("name") == qname) & (F.col("event") == "progress") & (F.col("num_input_rows") > 0))
+    return ev.select("batch_id", "num_input_rows")
+
+
+# ------------------------------------------------------------- batch tables
+def _trade_table(spark: SparkSession, sf: str, root: str) -> ChangeTable:
+    table = ChangeTable(spark, f"{root}/table", TRADE_SPEC)
+    trades = B.normalised_trades(spark, sf)
+    table.upsert(trades, commit_time=FX.commit_instant(0))
+    return table
+
+
+@query(
+    "partition_layout",
+    f"""SELECT DISTINCT CAST(month(ts) AS VARCHAR) AS month, CAST(day(ts) AS VARCHAR) AS day,
+               CAST(hour(ts) AS VARCHAR) AS hour
+        FROM events WHERE {Q.GOOD_KEY} AND {Q.GOOD_TIME}""",
+)
+def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Hive-style ``month=/day=/hour=`` folders, read back from the
+    file paths themselves."""
+    root = scratch_dir(spark, "partition_layout")
+    table = _trade_table(spark, sf, root)
+    paths = table.read_log().select(F.col("_metadata.file_path").alias("p"))
+    rx = r"/month=([^/]+)/day=([^/]+)/hour=([^/]+)/"
+    return paths.select(*[F.regexp_extract("p", rx, i).alias(n) for i, n in ((1, "month"), (2, "day"), (3, "hour"))]).distinct()
+
+
+@query("catalog_register", GROUPED_SQL)
+def catalog_register(spark: SparkSession, sf: str) -> DataFrame:
+    """Register the table in the catalog (CREATE TABLE ... LOCATION +
+    MSCK REPAIR TABLE) and query it by name."""
+    root = scratch_dir(spark, "catalog_register")
+    table = _trade_table(spark, sf, root)
+    name = f"trades_{uuid.uuid4().hex[:8]}"
+    table.register(name)
+    return spark.sql(f"SELECT month, day, hour, count(*) AS n FROM {name} GROUP BY month, day, hour")
+
+
+@query("compact_equals_snapshot", Q.li_snapshot())
+def compact_equals_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Compaction after two commits, then two more: the snapshot equals
+    the one of the plain log."""
+    root = scratch_dir(spark, "compact")
+    spec = FX.lineitem_spec()
+    table = ChangeTable(spark, f"{root}/table", spec)
+    changes = FX.lineitem_changes(spark, sf)
+    for k in range(4):
+        t = FX.commit_instant(k)
+        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
+        if k == 1:
+            table.compact(commit_time="20240102120000000")
+    return table.snapshot().select(*B.LI_OUT)
+
+
+def _lineitem_table(spark: SparkSession, sf: str, name: str) -> ChangeTable:
+    root = scratch_dir(spark, name)
+    table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec())
+    changes = FX.lineitem_changes(spark, sf)
+    for k in range(4):
+        t = FX.commit_instant(k)
+        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
+    return table
+
+
+@query(
+    "bookmark_range",
+    f"""SELECT 1 AS run, '{B.C1}' AS begin, '{B.C3}' AS end_commit, '{B.C3}' AS next_bookmark, _record_key, _commit_time
+        FROM ({Q.li_snapshot()}) s WHERE _commit_time > '{B.C1}'""",
+)
+def bookmark_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Two incremental runs driven by a stored bookmark; the second reads
+    nothing and leaves the bookmark where it was."""
+    table = _lineitem_table(spark, sf, "bookmark_range")
+    bm = Bookmark(spark, table.path, "derived")
+    bm.set(B.C1)
+    now = "20240105000000000"
+    outs = []
+    for run in (1, 2):
+        begin, end, nxt = next_range(bm.get(), table.commit_times(), now)
+        rows = table.incremental(begin, end)
+        outs.append(rows.select(F.lit(run).alias("run"), F.lit(begin).alias("begin"), F.lit(end).alias("end_commit"),
+                                F.lit(nxt).alias("next_bookmark"), KEY, COMMIT))
+        if nxt:
+            bm.set(nxt)
+    return outs[0].unionByName(outs[1])
+
+
+ARRIVAL_PATTERN = "2024020%d000000000"
+
+
+@query(
+    "derived_table",
+    f"""SELECT CAST(event_id AS VARCHAR) AS record_key, event_type AS symbol,
+               CAST(day(ts) AS VARCHAR) AS day, CAST(hour(ts) AS VARCHAR) AS hour,
+               CAST(value AS VARCHAR) AS price, strftime(ts, '%Y-%m-%d %H:%M:%S') AS trade_datetime
+        FROM events WHERE {Q.GOOD_KEY} AND {Q.GOOD_TIME} AND event_id % 5 <> 0""",
+)
+def derived_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Incremental read of a source table -> upsert into a derived table
+    partitioned by ``symbol, day, hour``."""
+    root = scratch_dir(spark, "derived")
+    src = ChangeTable(spark, f"{root}/source", TRADE_SPEC)
+    trades = B.normalised_trades(spark, sf).withColumn("arrival", F.col("tradeid").cast("long") % 5)
+    for k in range(5):
+        src.upsert(trades.where(F.col("arrival") == k).drop("arrival"), commit_time=ARRIVAL_PATTERN % (k + 1))
+    changes = src.incremental(ARRIVAL_PATTERN % 1, ARRIVAL_PATTERN % 5)
+    target_spec = TRADE_SPEC.with_(partitions=("symbol", "day", "hour"))
+    target = ChangeTable(spark, f"{root}/target", target_spec)
+    payload = changes.drop(COMMIT, OP, KEY, FILE_SEQ)
+    target.upsert(payload)
+    return target.snapshot().select("record_key", "symbol", "day", "hour", "price", "trade_datetime")
+
+
+# ----------------------------------------------------------- full + incremental
+F6_COLS = ["dms_received_ts", "tradeid", "customerid", "symbol", "price", "quantity", "update_timestamp", "updated_by"]
+F6_SQL = ", ".join(F6_COLS)
+
+
+def stage_replication(spark: SparkSession, sf: str, root: str) -> str:
+    """F6 as a replication task leaves it: ``LOAD*.parquet`` full-load files
+    and timestamp-named change files (with ``Op``) in one folder."""
+    orders = FX.load(spark, sf, "orders")
+    d = f"{root}/replica"
+    FX.write_named_files(FX.trades_full(orders), d, f"{root}/stage-full", "LOAD%08d.parquet", 2)
+    FX.write_named_files(FX.trades_cdc(orders), d, f"{root}/stage-cdc", "20240102-%06d.parquet", 2)
+    return d
+
+
+def _full_schema(spark: SparkSession) -> T.StructType:
+    empty = spark.createDataFrame([], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                      "o_orderdate timestamp_ntz, o_orderpriority string")
+    return FX.trades_full(empty).schema
+
+
+def _cdc_schema(spark: SparkSession) -> T.StructType:
+    return T.StructType(list(_full_schema(spark).fields) + [T.StructField("Op", T.StringType(), True)])
+
+
+@query("full_load_glob", f"SELECT {F6_SQL} FROM ({Q.TRADES_FULL}) f")
+def full_load_glob(spark: SparkSession, sf: str) -> DataFrame:
+    """Only ``LOAD*`` files of a replication folder."""
+    d = stage_replication(spark, sf, scratch_dir(spark, "full_load_glob"))
+    return S.full_load_files(spark, d, _full_schema(spark)).select(*F6_COLS)
+
+
+FULL_OP_SQL = ("SELECT dms_received_ts, tradeid, customerid, symbol, price, quantity, "
+               "CAST(update_timestamp AS VARCHAR) AS update_timestamp, updated_by, 'I' AS Op")
+
+
+@query("full_load_op", f"{FULL_OP_SQL} FROM ({Q.TRADES_FULL}) f")
+def full_load_op(spark: SparkSession, sf: str) -> DataFrame:
+    """The full load's SQL transformer: timestamps as text, ``'I' as Op``."""
+    d = stage_replication(spark, sf, scratch_dir(spark, "full_load_op"))
+    full = S.full_load_files(spark, d, _full_schema(spark))
+    return C.sql_transform(
+        full,
+        "select dms_received_ts, tradeid, customerid, symbol, price, quantity, "
+        "cast(update_timestamp as string) as update_timestamp, updated_by, 'I' as Op from <SRC>",
+    )
+
+
+TARGET_SCHEMA = T.StructType(
+    [
+        T.StructField("Op", T.StringType()),
+        T.StructField("dms_received_ts", T.StringType()),
+        T.StructField("tradeid", T.StringType()),
+        T.StructField("customerid", T.StringType()),
+        T.StructField("symbol", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("quantity", T.DoubleType()),
+        T.StructField("update_timestamp", T.StringType()),
+        T.StructField("updated_by", T.StringType()),
+    ]
+)
+
+
+@query(
+    "conform_schema",
+    f"""SELECT CAST(NULL AS VARCHAR) AS Op, dms_received_ts, tradeid, customerid, symbol, price, quantity,
+               CAST(update_timestamp AS VARCHAR) AS update_timestamp, updated_by FROM ({Q.TRADES_FULL}) f""",
+)
+def conform_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Conform the full load to the target schema (order, types, missing ``Op`` as null)."""
+    d = stage_replication(spark, sf, scratch_dir(spark, "conform_schema"))
+    return C.conform(S.full_load_files(spark, d, _full_schema(spark)), TARGET_SCHEMA)
+
+
+@query("sql_transform", f"SELECT tradeid, symbol, price * quantity AS notional FROM ({Q.TRADES_FULL}) f")
+def sql_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text over the batch with ``<SRC>`` standing for it."""
+    d = stage_replication(spark, sf, scratch_dir(spark, "sql_transform"))
+    full = S.full_load_files(spark, d, _full_schema(spark))
+    return C.sql_transform(full, "select tradeid, symbol, price * quantity as notional from <SRC>")
+
+
+ENSURE_OP_SQL = f"""
+    SELECT tradeid, dms_received_ts, 'I' AS Op FROM ({Q.TRADES_FULL}) f
+    UNION ALL
+    SELECT CAST(o_orderkey AS VARCHAR), strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S'), 'U'
+    FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL
+    SELECT CAST(o_orderkey AS VARCHAR), strftime(o_orderdate + INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S'), 'D'
+    FROM orders WHERE o_orderkey % 7 = 0"""
+
+
+@query("ensure_op", ENSURE_OP_SQL)
+def ensure_op(spark: SparkSession, sf: str) -> DataFrame:
+    """Full-load rows get ``Op = 'I'``; change rows keep theirs."""
+    d = stage_replication(spark, sf, scratch_dir(spark, "ensure_op"))
+    full = C.ensure_op(S.full_load_files(spark, d, _full_schema(spark)))
+    cdc = C.ensure_op(S.cdc_files(spark, d, _cdc_schema(spark)))
+    return full.unionByName(cdc).select("tradeid", "dms_received_ts", "Op")
+
+
+@query("full_then_incremental", f"SELECT {F6_SQL} FROM ({Q.TRADES_FINAL}) f")
+def full_then_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Initial load of the ``LOAD*`` files, then the change files as a
+    stream into the same table; ``Op = 'D'`` deletes."""
+    root = scratch_dir(spark, "full_then_incremental")
+    d = stage_replication(spark, sf, root)
+    table = ChangeTable(spark, f"{root}/table", FX.trades_spec())
+    table.upsert(C.ensure_op(S.full_load_files(spark, d, _full_schema(spark))), op_col="Op")
+    stream = S.stream_change_dir(spark, d, _cdc_schema(spark), glob="2*.parquet")
+    _run(W.upsert_stream(stream, table, f"{root}/checkpoint", f"f2i-{uuid.uuid4().hex[:8]}", trigger=ONCE,
+                         op_col="Op"))
+    return table.snapshot().select(*F6_COLS)
+
+
+@query(
+    "bootstrap_metadata",
+    f"""SELECT '20240101000000000' AS _commit_time, tradeid AS _record_key, 'I' AS _op, {F6_SQL}
+        FROM ({Q.TRADES_FULL}) f""",
+)
+def bootstrap_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Existing Parquet adopted as the first commit without a copy."""
+    root = scratch_dir(spark, "bootstrap")
+    FX.trades_full(FX.load(spark, sf, "orders")).write.parquet(f"{root}/source")
+    table = ChangeTable(spark, f"{root}/table", FX.trades_spec())
+    table.bootstrap(f"{root}/source", commit_time="20240101000000000")
+    return table.snapshot().select(COMMIT, KEY, OP, *F6_COLS)
+
+
+@query(
+    "overwrite_batch",
+    f"""SELECT tradeid, dms_received_ts, price FROM ({Q.TRADES_FULL}) f
+        UNION ALL
+        SELECT CAST(o_orderkey AS VARCHAR), strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S'),
+               o_totalprice + 1.0
+        FROM orders WHERE o_orderkey % 3 = 0""",
+)
+def overwrite_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Overwrite twice (the second wins), then append."""
+    root = scratch_dir(spark, "overwrite_batch")
+    orders = FX.load(spark, sf, "orders")
+    full = FX.trades_full(orders).select("tradeid", "dms_received_ts", "price")
+    upd = FX.trades_cdc(orders).where(F.col("Op") == "U").select("tradeid", "dms_received_ts", "price")
+    out = f"{root}/out"
+    full.write.mode("overwrite").parquet(out)
+    upd.write.mode("overwrite").parquet(out)
+    full.write.mode("append").parquet(out)
+    return spark.read.parquet(out)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +81,26 @@ def is_local(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local(path):
         os.makedirs(local_path(path), exist_ok=True)
+
+
+# Hive-partitioned writes pay per file. For small commits AQE would merge the
+# rebalance shuffle into one task that writes every partition folder in turn;
+# a smaller minimum lets it keep enough tasks to write folders in parallel.
+# Large commits are governed by the advisory size and are unaffected.
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, conf: dict):
+    """Set runtime SQL confs for the duration of one write, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

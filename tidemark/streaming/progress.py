@@ -42,11 +42,12 @@ class ProgressLog(StreamingQueryListener):
         with self._lock:
             self.events.append(row)
 
-    def wait_for(self, query_id: str, timeout: float = 30.0) -> None:
+    def wait_for(self, query_id: str, count: int = 1, timeout: float = 30.0) -> None:
+        """Block until ``count`` runs of the query have terminated."""
         end = time.time() + timeout
         while time.time() < end:
             with self._lock:
-                if any(e[0] == query_id and e[3] == "terminated" for e in self.events):
+                if sum(1 for e in self.events if e[0] == query_id and e[3] == "terminated") >= count:
                     return
             time.sleep(0.1)
 

@@ -92,7 +92,10 @@ def append_stream(
     query_name: str | None = None,
 ):
     """Append-only partitioned Parquet sink, no dedup; the file sink's
-    own log makes it exactly-once."""
+    own log makes it exactly-once. Rows are grouped by partition value before
+    the sink so each task writes few folders (no small-file explosion)."""
+    if partitions:
+        df = df.repartition(*[F.col(p) for p in partitions])
     w = (
         df.writeStream.format("parquet")
         .option("path", path)
