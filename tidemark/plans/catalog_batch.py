@@ -171,7 +171,7 @@ TRADE_AVSC = """
 @query("json_inferred", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
 def json_inferred(spark: SparkSession, sf: str) -> DataFrame:
     """JSON text with a schema inferred from a bounded sample."""
-    df = S.from_json_lines(spark.read.parquet(f"{sf}/events.parquet"), "props")
+    df = S.from_json_lines(FX.load(spark, sf, "events"), "props")
     return df.select("event_id", F.col("j.k").alias("k"))
 
 

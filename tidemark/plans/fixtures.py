@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import epoch_seconds
+from tidemark.sources.tables import read_parquet
 from tidemark.operators.reduce import latest_per_key, winner_order
 from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
 
@@ -51,7 +52,8 @@ def commit_instant(k: int) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; a single-split scan is spread over the cores."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ----------------------------------------------------------------- trade feed

@@ -1,7 +1,11 @@
 """Change-feed sources and decoders.
 
 Decoding is ``from_json`` with an explicit schema: JVM-side, per row, no
-Python in the hot path, and Catalyst prunes unused JSON fields.
+Python in the hot path. The parsed struct is expanded with
+``inline(array(struct))``: a generator, so filters on decoded fields (key
+not null, time not null) stay above it instead of being pushed below the
+projection, where Catalyst would inline -- and so re-run -- ``from_json``
+once per predicate.
 """
 
 from __future__ import annotations
@@ -63,7 +67,9 @@ def decode_feed(
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     j = F.from_json(_payload(df, payload_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.select(*[F.col(k) for k in keep], j.alias("j")).select(*keep, "j.*")
+    # a null payload gives a null struct; keep the row (all fields null) like Kafka/Kinesis decoding does
+    j = F.coalesce(j, F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields]))
+    out = df.select(*[F.col(k) for k in keep], F.inline(F.array(j)))
     return out if keep_corrupt else out.drop(CORRUPT)
 
 
@@ -87,11 +93,13 @@ def decode_envelope(
         ]
     )
     j = F.from_json(_payload(df, payload_col), env)
-    cols = [F.col(f"j.{data_field}.{f.name}").alias(f.name) for f in row_schema.fields]
-    cols.append(F.col(f"j.{meta_field}").getItem(op_key).alias(op_key))
+    j = F.coalesce(j, F.struct(F.lit(None).cast(row_schema).alias(data_field),
+                               F.lit(None).cast(env[meta_field].dataType).alias(meta_field)))
+    cols = [F.col(f"{data_field}.{f.name}").alias(f.name) for f in row_schema.fields]
+    cols.append(F.col(meta_field).getItem(op_key).alias(op_key))
     if keep_metadata:
-        cols.append(F.col(f"j.{meta_field}").alias(meta_field))
-    return df.select(j.alias("j")).select(*cols)
+        cols.append(F.col(meta_field))
+    return df.select(F.inline(F.array(j))).select(*cols)
 
 
 # Debezium op codes -> change-log ops (c=create, r=snapshot read, u=update, d=delete).
@@ -125,15 +133,16 @@ def flatten_debezium(
             T.StructField("source", source_fields, True),
         ]
     )
-    j = F.from_json(_payload(df, payload_col), env).alias("j")
-    row = F.when(F.col("j.op") == "d", F.col("j.before")).otherwise(F.col("j.after"))
-    op = F.col("j.op")
+    j = F.from_json(_payload(df, payload_col), env)
+    j = F.coalesce(j, F.lit(None).cast(env))
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    op = F.col("op")
     mapped = None
     for k, v in DEBEZIUM_OPS.items():
         mapped = F.when(op == k, F.lit(v)) if mapped is None else mapped.when(op == k, F.lit(v))
     return (
-        df.select(j)
-        .select(row.alias("r"), mapped.alias(op_name), F.col("j.source").alias("_source"))
+        df.select(F.inline(F.array(j)))
+        .select(row.alias("r"), mapped.alias(op_name), F.col("source").alias("_source"))
         .select("r.*", op_name, F.col("_source.file").alias("binlog_file"), F.col("_source.pos").alias("binlog_pos"))
     )
 
