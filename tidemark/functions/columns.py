@@ -201,4 +201,4 @@ def normalize_path(c: Column | str) -> Column:
     ``/a/b`` and ``s3://bkt/a`` vs ``s3a://bkt/a`` compare equal."""
     c = F.col(c) if isinstance(c, str) else c
     stripped = F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//)?", "")
-    return F.try_url_decode(stripped)
+    return F.regexp_replace(F.try_url_decode(stripped), r"^/+", "/")

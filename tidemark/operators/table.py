@@ -33,13 +33,13 @@ from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("commit_time", T.StringType()),
-        T.StructField("kind", T.StringType()),          # upsert | bootstrap | compaction
+        T.StructField("kind", T.StringType()),          # upsert | bootstrap | compaction | expire
         T.StructField("query_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("num_rows", T.LongType()),
         T.StructField("num_deletes", T.LongType()),
-        T.StructField("source", T.StringType()),        # bootstrap source / compaction base dir
-        T.StructField("upto", T.StringType()),          # compaction: last commit folded in
+        T.StructField("source", T.StringType()),        # bootstrap source / compaction base / expired dir
+        T.StructField("upto", T.StringType()),          # compaction / expire: last commit covered
         T.StructField("schema_json", T.StringType()),
         T.StructField("written_at", T.StringType()),
     ]
@@ -115,7 +115,7 @@ class ChangeTable:
         return [r["commit_time"] for r in self.commit_rows() if r["kind"] in kinds]
 
     def last_commit(self) -> str | None:
-        ts = self.commit_times(("upsert", "bootstrap", "compaction"))
+        ts = self.commit_times(("upsert", "bootstrap", "compaction", "expire"))
         return ts[-1] if ts else None
 
     def schema(self) -> T.StructType | None:
@@ -258,10 +258,26 @@ class ChangeTable:
                 if r["kind"] == "compaction":
                     base_row = r
         floor = base_row["upto"] if base_row else None
+        # the newest expiry replaces every commit up to its ``upto`` by the versions it kept
+        exp_row = None
+        for r in self.commit_rows():
+            if r["kind"] == "expire":
+                exp_row = r
+        exp_upto = exp_row["upto"] if exp_row else None
         parts: list[DataFrame] = []
         if base_row:
             parts.append(self.spark.read.schema(schema).parquet(base_row["source"]))
-        upserts = [r["commit_time"] for r in rows if r["kind"] == "upsert" and (floor is None or r["commit_time"] > floor)]
+        if exp_row and (floor is None or exp_upto > floor):
+            kept = self.spark.read.option("basePath", exp_row["source"]).schema(schema).parquet(exp_row["source"])
+            if floor is not None:
+                kept = kept.where(F.col(COMMIT) > F.lit(floor))
+            if upto:
+                kept = kept.where(F.col(COMMIT) <= F.lit(upto))
+            if since:
+                kept = kept.where(F.col(COMMIT) > F.lit(since))
+            parts.append(kept)
+        upserts = [r["commit_time"] for r in rows if r["kind"] == "upsert" and (floor is None or r["commit_time"] > floor)
+                   and (exp_upto is None or r["commit_time"] > exp_upto)]
         if upserts:
             # list only the committed instant folders: uncommitted leftovers are
             # never seen and a range read never lists commits outside the range
@@ -276,7 +292,9 @@ class ChangeTable:
                 log = self.spark.read.schema(schema).parquet(self.log_path).join(listed, on=COMMIT, how="left_semi")
             parts.append(log)
         for r in rows:
-            if r["kind"] == "bootstrap" and (floor is None or r["commit_time"] > floor):
+            if r["kind"] == "bootstrap" and (floor is None or r["commit_time"] > floor) and (
+                exp_upto is None or r["commit_time"] > exp_upto
+            ):
                 src = self.spark.read.parquet(r["source"])
                 parts.append(R.to_log_rows(src, self.spec, op_default="I", commit_time=r["commit_time"]))
         if not parts:
@@ -334,6 +352,33 @@ class ChangeTable:
         keep = self.commit_times()[-retain:]
         return TL.expire(self.read_log(use_base=False), self.spec, keep=keep, pins=self.pins())
 
+    def expire(self, retain: int = 3, commit_time: str | None = None) -> str | None:
+        """R10 on disk: keep the versions some retained or pinned commit can
+        see; versions of commits older than the retained window are rewritten
+        into ``expired/<instant>`` and an ``expire`` row points readers there.
+
+        Retained commits are read as before, so the rewrite touches only the
+        old part of the log. Old folders are left for an external vacuum.
+        """
+        times = self.commit_times()
+        keep = times[-retain:]
+        if len(keep) == len(times):
+            return None
+        old_upto = [t for t in times if t < keep[0]][-1]
+        kept = self.expired_log(retain).where(F.col(COMMIT) <= F.lit(old_upto))
+        t = self._next_instant(commit_time)
+        out = f"{self.path}/expired/{t}"
+        hinted = kept.hint("rebalance", *self.spec.partitions) if self.spec.partitions else kept.hint("rebalance")
+        with scoped_conf(self.spark, WRITE_CONF):
+            (hinted.write.mode("errorifexists").option("maxRecordsPerFile", self.spec.target_rows_per_file)
+             .partitionBy(COMMIT, *self.spec.partitions).parquet(out))
+        self._append_json(
+            self.commits_path,
+            [dict(commit_time=t, kind="expire", source=out, upto=old_upto, written_at=_stamp())],
+            COMMIT_SCHEMA,
+        )
+        return t
+
     # --------------------------------------------------------------- catalog
     def register(self, name: str, partitions: tuple[str, ...] | None = None) -> None:
         """Expose the current snapshot (compacted base) in the catalog.

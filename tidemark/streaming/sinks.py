@@ -137,7 +137,11 @@ def notice_batch(
     )
     if len(paths) <= MAX_BROADCAST_PATHS:
         seq = F.broadcast(seq)
-    return data.join(seq, on="_src", how="inner").drop("_src")
+    # a file whose path does not match its notice must fail the batch, not vanish
+    checked = F.when(
+        F.col("_file_seq").isNull(), F.raise_error(F.concat(F.lit("no notice matches file "), F.col("_src")))
+    ).otherwise(F.col("_file_seq"))
+    return data.join(seq, on="_src", how="left").withColumn("_file_seq", checked.cast("int")).drop("_src")
 
 
 def ingest_notices(
