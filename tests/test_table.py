@@ -112,3 +112,10 @@ def test_expire_on_disk_keeps_retained_and_pinned_views(spark, tmp_table):
         assert sorted((r.id, r.v) for r in t.as_of(c).collect()) == v
     c5 = t.upsert(batch(spark, [(0, 9, "new", "x", "U")]))
     assert c5 > cs[3] and dict(snap(t))[0] == "new"
+
+
+def test_output_sizing_caps_rows_per_file(spark, tmp_table):                       # W16
+    t = ChangeTable(spark, tmp_table, SPEC.with_(target_rows_per_file=10))
+    t.upsert(spark.range(95).selectExpr("cast(id as int) id", "1 as ts", "'v' as v", "'x' as p"))
+    files = t.read_log().select("_metadata.file_path").distinct().count()
+    assert files >= 10

@@ -60,9 +60,15 @@ def with_record_key(df: DataFrame, cols, name: str = "record_key", sep: str = "#
 
 
 def epoch_seconds(c: Column | str) -> Column:
-    """Epoch seconds of a ``timestamp_ntz`` without any session-zone effect."""
+    """Epoch seconds of a ``timestamp_ntz`` (wall clock read as UTC).
+
+    Built from the date and the clock fields, which are zone-free for
+    ``timestamp_ntz``; ``timestamp_diff`` would cast through the session
+    zone and shift by the DST offset.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_diff("SECOND", F.expr(EPOCH_NTZ), c)
+    days = F.unix_date(c.cast("date")).cast("bigint")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
 
 
 def epoch_to_ntz(c: Column | str) -> Column:

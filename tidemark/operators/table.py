@@ -20,7 +20,7 @@ import json
 import time
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,8 +118,8 @@ class ChangeTable:
         ts = self.commit_times(("upsert", "bootstrap", "compaction", "expire"))
         return ts[-1] if ts else None
 
-    def schema(self) -> T.StructType | None:
-        for r in reversed(self.commit_rows()):
+    def schema(self, rows: list[dict] | None = None) -> T.StructType | None:
+        for r in reversed(self.commit_rows() if rows is None else rows):
             if r.get("schema_json"):
                 return T.StructType.fromJson(json.loads(r["schema_json"]))
         return None
@@ -164,14 +164,14 @@ class ChangeTable:
         rows = df if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)
         rows = rows.where(F.col(KEY).isNotNull())
         rows = R.precombine(rows, self.spec).withColumn(COMMIT, F.lit(t))
-        self._write_log(rows)
-        # stats from the footers of this commit's folder only
-        written = self.spark.read.option("basePath", self.log_path).schema(rows.schema).parquet(self.commit_dir(t))
-        stats = written.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(OP) == "D").alias("d")).first()
+        # row counts come from the write itself (observed metrics, no second job)
+        obs = Observation(f"commit-{t}")
+        self._write_log(rows.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(OP) == "D").alias("d")))
+        stats = obs.get
         self._append_json(
             self.commits_path,
-            [dict(commit_time=t, kind="upsert", query_id=query_id, batch_id=batch_id, num_rows=stats["n"],
-                  num_deletes=stats["d"], schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())],
+            [dict(commit_time=t, kind="upsert", query_id=query_id, batch_id=batch_id, num_rows=stats.get("n"),
+                  num_deletes=stats.get("d"), schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())],
             COMMIT_SCHEMA,
         )
         return t
@@ -242,8 +242,9 @@ class ChangeTable:
         Reads always pass the stored schema: partition values such as
         ``month=2`` or the 17-digit instants stay strings (Q4).
         """
-        rows = self.commit_rows()
-        schema = self.schema()
+        all_rows = self.commit_rows()
+        rows = list(all_rows)
+        schema = self.schema(all_rows)
         if schema is None:
             raise ValueError(f"table {self.path} has no commits")
         upto = normalize_instant(upto) if upto else None
@@ -260,7 +261,7 @@ class ChangeTable:
         floor = base_row["upto"] if base_row else None
         # the newest expiry replaces every commit up to its ``upto`` by the versions it kept
         exp_row = None
-        for r in self.commit_rows():
+        for r in all_rows:
             if r["kind"] == "expire":
                 exp_row = r
         exp_upto = exp_row["upto"] if exp_row else None
