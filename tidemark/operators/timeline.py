@@ -34,12 +34,12 @@ def show_commits(log: DataFrame, spec: TableSpec, n: int = 10) -> DataFrame:
     """Per commit, rows written split into inserts (first version of a
     key), updates and deletes; newest first, ``n`` commits.
 
-    A key's first commit comes from a per-key ``min`` (a hash aggregate with
-    map-side combine), joined back on the key.
+    A key's first commit is a ``min`` over a window on the key (one shuffle
+    of the log; per-key groups hold at most one version per commit).
     """
-    keys = list(spec.key_columns)
-    first = log.groupBy(*keys).agg(F.min(COMMIT).alias("_first"))
-    tagged = log.join(first, on=keys, how="inner")
+    keys = [F.col(f"`{k}`") for k in spec.key_columns]
+    first = F.min(COMMIT).over(Window.partitionBy(*keys))
+    tagged = log.select(COMMIT, OP, first.alias("_first"))
     is_del = F.col(OP) == F.lit("D")
     is_ins = (~is_del) & (F.col(COMMIT) == F.col("_first"))
     return (
@@ -79,13 +79,20 @@ def expire(log: DataFrame, spec: TableSpec, retain: int = 3, pins=(), keep: list
         return log
     keys = [F.col(f"`{k}`") for k in spec.key_columns]
     if spec.merge == "arrival":
-        # versions of one key at the same commit: only the commit's own winner can be seen
-        per_commit = latest_per_key(log, [*spec.key_columns, COMMIT], winner_order(log, spec))
-        w = Window.partitionBy(*keys).orderBy(F.col(COMMIT))
-        nxt = F.lead(COMMIT).over(w)
+        # One partitioning by key for both steps: versions sorted by commit,
+        # the commit's own winner first; ``lag`` marks that winner (only it can
+        # be seen at any instant), then ``lead`` over the winners gives the next
+        # commit of the key. The second window reuses the first one's
+        # distribution and order, so the log is shuffled once.
+        order = [F.col(COMMIT).asc()] + [o for o in winner_order(log, spec, within_batch=True)]
+        w = Window.partitionBy(*keys).orderBy(*order)
+        heads = log.withColumn("_prev", F.lag(COMMIT).over(w)).where(
+            F.col("_prev").isNull() | (F.col("_prev") != F.col(COMMIT))
+        )
+        nxt = F.lead(COMMIT).over(Window.partitionBy(*keys).orderBy(*order))
         arr = F.array(*[F.lit(t) for t in kept])
         seen = F.exists(arr, lambda t: (F.col(COMMIT) <= t) & (F.col("_next").isNull() | (t < F.col("_next"))))
-        return per_commit.withColumn("_next", nxt).where(seen).drop("_next")
+        return heads.withColumn("_next", nxt).where(seen).drop("_prev", "_next")
     from tidemark.operators.reduce import as_of
 
     out = None

@@ -147,20 +147,20 @@ def flatten_debezium(
     )
 
 
-def from_json_lines(df: DataFrame, col: str, sample_rows: int = 10_000, alias: str = "j") -> DataFrame:
-    """JSON text -> struct with a schema inferred from a bounded sample.
+def from_json_lines(df: DataFrame, col: str, sampling_ratio: float = 1.0, alias: str = "j") -> DataFrame:
+    """JSON text -> struct with an inferred schema.
 
-    Only the sample (``sample_rows`` strings) reaches the driver, the same
-    trade-off as Spark's own ``samplingRatio``; decoding of all rows is a
-    ``from_json`` on the executors.
+    Inference is Spark's own JSON schema inference, run distributed over a
+    ``sample(sampling_ratio)`` of the column (per-partition inference merged
+    by a tree aggregate); only the resulting schema reaches the driver.
+    Decoding of all rows is a ``from_json`` on the executors.
     """
     spark = df.sparkSession
-    sample = [r[0] for r in df.select(F.col(col).cast("string")).where(F.col(col).isNotNull()).limit(sample_rows).collect()]
-    if not sample:
-        schema = T.StructType([])
-    else:
-        schema = spark.read.json(spark.sparkContext.parallelize(sample, 1)).schema
-        schema = T.StructType([f for f in schema.fields if f.name != CORRUPT])
+    texts = df.select(F.col(col).cast("string").alias("t")).where(F.col("t").isNotNull())
+    if sampling_ratio < 1.0:
+        texts = texts.sample(fraction=sampling_ratio, seed=17)
+    schema = spark.read.json(texts.rdd.map(lambda r: r[0])).schema
+    schema = T.StructType([f for f in schema.fields if f.name != CORRUPT])
     return df.withColumn(alias, F.from_json(F.col(col).cast("string"), schema))
 
 
