@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tidemark.functions.instants import format_instant, normalize_instant, now_instant, parse_instant
 from tidemark.operators import reduce as R
 from tidemark.operators import timeline as TL
-from tidemark.session import WRITE_CONF, scoped_conf
+from tidemark.session import AQE_WRITE_CONF, WRITE_CONF, scoped_conf
 from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
 
 COMMIT_SCHEMA = T.StructType(
@@ -181,7 +181,12 @@ class ChangeTable:
         # REBALANCE lets AQE split a hot partition value over several tasks
         # and merge small ones, so each directory gets right-sized files.
         hinted = rows.hint("rebalance", *self.spec.partitions) if self.spec.partitions else rows.hint("rebalance")
-        with scoped_conf(self.spark, WRITE_CONF):
+        # The write relies on AQE: without it REBALANCE degrades to a plain hash
+        # repartition and a hot partition value (the current hour of a trade
+        # stream) lands in one task. Spark 4.1 plans foreachBatch writes
+        # adaptively; the scoped setting keeps that true for sessions (or
+        # older stream session clones) that have AQE off.
+        with scoped_conf(rows.sparkSession, {**WRITE_CONF, **AQE_WRITE_CONF}):
             (
                 hinted.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")

@@ -89,6 +89,14 @@ def ensure_local_dir(path: str) -> None:
 # Large commits are governed by the advisory size and are unaffected.
 WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
 
+# Runtime re-planning for log writes: coalesce small partitions and split
+# skewed ones of the REBALANCE shuffle.
+AQE_WRITE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+}
+
 
 @contextmanager
 def scoped_conf(spark: SparkSession, conf: dict):
