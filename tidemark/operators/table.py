@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import time
+from urllib.parse import unquote
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -213,33 +214,79 @@ class ChangeTable:
         return t
 
     def compact(self, commit_time: str | None = None) -> str | None:
-        """Materialise the reduction of everything committed so far as a
-        new base directory; later reads take base + newer commits.
-
-        Tombstones stay in the base in ``event_time`` mode (an older update
-        must not revive a deleted key). The log is left in place, so as-of
-        reads before the compaction still work until expiry.
+        """Materialise the current state as a base; later reads take the
+        base plus newer commits.
+
+        Only partitions touched since the previous compaction are rewritten:
+        those the new commits write to and, with a global key scope, those
+        holding the old copy of a key that changed (a semi-join of the base
+        with the changed keys). Untouched partition folders of earlier bases
+        are carried over by reference in the compaction row, so the cost
+        follows the changes, not the table size. Tombstones stay in the base
+        in ``event_time`` mode (an older update must not revive a deleted
+        key). The log is left in place for as-of reads until expiry.
         """
-        upto = self.last_commit()
-        if upto is None:
+        rows = self.commit_rows()
+        data = [r["commit_time"] for r in rows if r["kind"] in ("upsert", "bootstrap")]
+        if not data:
             return None
-        state = R.snapshot(self.read_log(), self.spec, keep_tombstones=self.spec.merge == "event_time")
-        t = self._next_instant(commit_time)
-        base = f"{self.path}/base/{t}"
-        w = state.hint("rebalance", *self.spec.partitions) if self.spec.partitions else state.hint("rebalance")
+        upto = data[-1]
+        prev = ([r for r in rows if r["kind"] == "compaction"] or [None])[-1]
+        if prev is not None and prev["upto"] >= upto:
+            return prev["commit_time"]
+        keep_tomb = self.spec.merge == "event_time"
+        parts = list(self.spec.partitions)
+        schema = self.schema(rows)
+        t = self._next_instant(commit_time, rows)
+        out = f"{self.path}/base/{t}"
+        carried: list[str] = []
+        if prev is None or not parts:
+            state = R.snapshot(self.read_log(), self.spec, keep_tombstones=keep_tomb)
+        else:
+            prev_leaves = _base_leaves(prev)
+            new = self.read_log(since=prev["upto"], use_base=False)
+            touched_df = new.select(*parts)
+            if self.spec.key_scope == "global":
+                moved = self._read_leaves(prev_leaves, schema).join(
+                    new.select(KEY).distinct(), on=KEY, how="left_semi").select(*parts)
+                touched_df = touched_df.unionByName(moved)
+            # distinct partition values: bounded by the partition count, not the data
+            touched = {tuple(r) for r in touched_df.distinct().collect()}
+            hit = [d for d in prev_leaves if _leaf_values(d, len(parts)) in touched]
+            carried = [d for d in prev_leaves if _leaf_values(d, len(parts)) not in touched]
+            old = self._read_leaves(hit, schema) if hit else None
+            merged = new if old is None else old.unionByName(new, allowMissingColumns=True)
+            state = R.snapshot(merged, self.spec, keep_tombstones=keep_tomb)
+        w = state.hint("rebalance", *parts) if parts else state.hint("rebalance")
         w = w.write.mode("errorifexists").option("maxRecordsPerFile", self.spec.target_rows_per_file)
-        if self.spec.partitions:
-            w = w.partitionBy(*self.spec.partitions)
+        if parts:
+            w = w.partitionBy(*parts)
         with scoped_conf(self.spark, WRITE_CONF):
-            w.parquet(base)
+            w.parquet(out)
+        leaves = carried + _list_leaves(self.spark, out, len(parts))
         self._append_json(
             self.commits_path,
-            [dict(commit_time=t, kind="compaction", source=base, upto=upto, schema_json=json.dumps(state.schema.jsonValue()),
-                  written_at=_stamp())],
+            [dict(commit_time=t, kind="compaction", source=json.dumps({"root": out, "leaves": leaves}), upto=upto,
+                  schema_json=json.dumps(schema.jsonValue()), written_at=_stamp())],
             COMMIT_SCHEMA,
         )
         return t
 
+    def _read_leaves(self, leaves: list[str], schema: T.StructType) -> DataFrame:
+        """Read base partition folders; folders of one base share a basePath."""
+        by_root: dict[str, list[str]] = {}
+        depth = len(self.spec.partitions)
+        for d in leaves:
+            root = d.rstrip("/").rsplit("/", depth)[0] if depth else d
+            by_root.setdefault(root, []).append(d)
+        out = None
+        for root, dirs in sorted(by_root.items()):
+            df = self.spark.read.option("basePath", root).schema(schema).parquet(*dirs)
+            out = df if out is None else out.unionByName(df)
+        if out is None:
+            return self.spark.createDataFrame([], schema)
+        return out
+
     # ------------------------------------------------------------------- reads
     def read_log(self, upto: str | None = None, use_base: bool = True, since: str | None = None) -> DataFrame:
         """Committed change rows (optionally only up to ``upto``).
@@ -272,7 +319,7 @@ class ChangeTable:
         exp_upto = exp_row["upto"] if exp_row else None
         parts: list[DataFrame] = []
         if base_row:
-            parts.append(self.spark.read.schema(schema).parquet(base_row["source"]))
+            parts.append(self._read_leaves(_base_leaves(base_row), schema))
         if exp_row and (floor is None or exp_upto > floor):
             kept = self.spark.read.option("basePath", exp_row["source"]).schema(schema).parquet(exp_row["source"])
             if floor is not None:
@@ -386,29 +433,80 @@ class ChangeTable:
         return t
 
     # --------------------------------------------------------------- catalog
-    def register(self, name: str, partitions: tuple[str, ...] | None = None) -> None:
-        """Expose the current snapshot (compacted base) in the catalog.
-
-        Writes the snapshot as a plain partitioned Parquet table at
-        ``<path>/published/<instant>`` and points ``name`` at it with
-        ``CREATE TABLE ... USING parquet LOCATION`` + ``MSCK REPAIR TABLE``.
+    def register(self, name: str) -> None:
+        """Expose the current state in the catalog without an extra copy.
+
+        The state is materialised by ``compact`` (skipped when the newest base
+        already covers the last commit) and the base folder is registered with
+        ``CREATE TABLE ... USING parquet PARTITIONED BY ... LOCATION`` +
+        ``MSCK REPAIR TABLE``. When the base keeps tombstones (event-time
+        merge with deletes applied) the table gets a ``_base`` suffix and
+        ``name`` becomes a view without them.
         """
-        snap = self.snapshot().drop(FILE_SEQ)
-        t = self.last_commit()
-        loc = f"{self.path}/published/{t}-{int(time.time() * 1000)}"
-        parts = list(partitions if partitions is not None else self.spec.partitions)
-        w = snap.hint("rebalance", *parts) if parts else snap.hint("rebalance")
-        w = w.write.mode("errorifexists")
-        if parts:
-            w = w.partitionBy(*parts)
-        with scoped_conf(self.spark, WRITE_CONF):
-            w.parquet(loc)
-        register_parquet(self.spark, name, loc, snap.schema, parts)
-
-
-def register_parquet(spark: SparkSession, name: str, location: str, schema: T.StructType, partitions) -> None:
+        rows = self.commit_rows()
+        base = [r for r in rows if r["kind"] == "compaction"]
+        data = [r["commit_time"] for r in rows if r["kind"] in ("upsert", "bootstrap")]
+        if not base or (data and base[-1]["upto"] < data[-1]):
+            self.compact()
+            base = [r for r in self.commit_rows() if r["kind"] == "compaction"]
+        b = base[-1]
+        schema = T.StructType.fromJson(json.loads(b["schema_json"]))
+        tombstones = self.spec.merge == "event_time" and self.spec.deletes == "apply"
+        table = f"{name}_base" if tombstones else name
+        root = _base_root(b)
+        extra = [d for d in _base_leaves(b) if not d.startswith(root + "/")]
+        register_parquet(self.spark, table, root, schema, self.spec.partitions, extra_leaves=extra)
+        if tombstones:
+            self.spark.sql(f"DROP VIEW IF EXISTS {name}")
+            self.spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {table} WHERE {OP} IS NULL OR {OP} <> 'D'")
+
+
+def _base_root(row: dict) -> str:
+    src = row["source"]
+    return json.loads(src)["root"] if src.startswith("{") else src
+
+
+def _base_leaves(row: dict) -> list[str]:
+    src = row["source"]
+    return json.loads(src)["leaves"] if src.startswith("{") else [src]
+
+
+def _leaf_values(path: str, depth: int) -> tuple:
+    """Partition values from the last ``depth`` ``k=v`` folders of a path."""
+    if depth == 0:
+        return ()
+    segs = path.rstrip("/").split("/")[-depth:]
+    vals = []
+    for seg in segs:
+        v = unquote(seg.split("=", 1)[1])
+        vals.append(None if v == "__HIVE_DEFAULT_PARTITION__" else v)
+    return tuple(vals)
+
+
+def _list_leaves(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Leaf partition folders of a freshly written base (file system listing)."""
+    if depth == 0:
+        return [root]
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(root + "/*" * depth)
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    out = []
+    for st in found:
+        name = str(st.getPath().getName())
+        if st.isDirectory() and not name.startswith(("_", ".")):
+            out.append(str(st.getPath().toString()))
+    return sorted(out)
+
+
+def register_parquet(spark: SparkSession, name: str, location: str, schema: T.StructType, partitions,
+                     extra_leaves: list[str] = ()) -> None:
     """``CREATE TABLE (cols) USING parquet PARTITIONED BY ... LOCATION`` then
-    ``MSCK REPAIR TABLE`` (CTAS into a non-empty location is refused)."""
+    ``MSCK REPAIR TABLE`` (CTAS into a non-empty location is refused).
+
+    Partition folders living outside ``location`` (carried over from an
+    earlier base) are added with ``ALTER TABLE ... ADD PARTITION ... LOCATION``.
+    """
     parts = list(partitions)
     data_cols = [f for f in schema.fields if f.name not in parts]
     part_cols = [f for f in schema.fields if f.name in parts]
@@ -418,6 +516,13 @@ def register_parquet(spark: SparkSession, name: str, location: str, schema: T.St
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{pclause} LOCATION '{location}'")
     if parts:
         spark.sql(f"MSCK REPAIR TABLE {name}")
+        specs = []
+        for d in extra_leaves:
+            raw = [seg.split("=", 1)[1] for seg in d.rstrip("/").split("/")[-len(parts):]]
+            kv = ", ".join(f"`{p}` = '{unquote(v)}'" for p, v in zip(parts, raw))
+            specs.append(f"PARTITION ({kv}) LOCATION '{d}'")
+        for i in range(0, len(specs), 500):
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
 
 
 class Bookmark:

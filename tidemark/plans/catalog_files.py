@@ -343,8 +343,8 @@ def catalog_register(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("compact_equals_snapshot", Q.li_snapshot())
 def compact_equals_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """Compaction after two commits, then two more: the snapshot equals
-    the one of the plain log."""
+    """A full compaction after two commits, an incremental one after the
+    third, then a fourth commit: the snapshot equals the one of the plain log."""
     root = scratch_dir(spark, "compact")
     spec = FX.lineitem_spec()
     table = ChangeTable(spark, f"{root}/table", spec)
@@ -353,7 +353,9 @@ def compact_equals_snapshot(spark: SparkSession, sf: str) -> DataFrame:
         t = FX.commit_instant(k)
         table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
         if k == 1:
-            table.compact(commit_time="20240102120000000")
+            table.compact(commit_time="20240102120000000")          # full
+        if k == 2:
+            table.compact(commit_time="20240103120000000")          # touched partitions only
     return table.snapshot().select(*B.LI_OUT)
 
 
