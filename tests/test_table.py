@@ -139,3 +139,13 @@ def test_compaction_rewrites_only_touched_partitions(spark, tmp_table):
     t.register("test_incremental_base")
     got = sorted((r.id, r.v) for r in spark.sql("select id, v from test_incremental_base").collect())
     assert got == expect
+
+
+def test_commit_log_checkpoint(spark, tmp_table):
+    t = ChangeTable(spark, tmp_table, SPEC)
+    t.upsert(batch(spark, [(1, 1, "a", "x", "I")]))
+    t.upsert(batch(spark, [(2, 1, "b", "x", "I")]))
+    assert t.checkpoint_commits() == 1
+    t.upsert(batch(spark, [(1, 2, "a2", "x", "U")]))
+    assert len(t.commit_times()) == 3
+    assert snap(t) == [(1, "a2"), (2, "b")]

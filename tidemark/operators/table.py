@@ -54,6 +54,8 @@ BOOKMARK_SCHEMA = T.StructType([T.StructField("consumer", T.StringType()), T.Str
 # Above this many committed instants, reads semi-join the commit list
 # instead of inlining it as a literal IN-list.
 MAX_INLINE_COMMITS = 5000
+# Commit rows are folded into one checkpoint file every this many commits.
+COMMITS_PER_CHECKPOINT = 100
 
 
 def _fs_exists(spark: SparkSession, path: str) -> bool:
@@ -93,11 +95,52 @@ class ChangeTable:
             return None
         return self.spark.read.schema(schema).json(path)
 
+    # The commit log: rows of epoch e go to ``_commits/<e>``; a checkpoint of
+    # epoch e+1 folds every earlier row into ``_commits_ckpt/<e+1>`` (one file),
+    # so a reader lists one checkpoint and one small folder however long the
+    # table has lived.
+    @property
+    def ckpt_path(self) -> str:
+        return f"{self.path}/_commits_ckpt"
+
+    def _epoch(self) -> int:
+        if not _fs_exists(self.spark, self.ckpt_path):
+            return 0
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.ckpt_path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [str(st.getPath().getName()) for st in fs.listStatus(p) if st.isDirectory()]
+        done = [int(n) for n in names if n.isdigit() and _fs_exists(self.spark, f"{self.ckpt_path}/{n}/_SUCCESS")]
+        return max(done) if done else 0
+
+    def _commit_sources(self, epoch: int) -> list[DataFrame]:
+        out = []
+        if epoch:
+            out.append(self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.ckpt_path}/{epoch:06d}"))
+        cur = self._read_json(f"{self.commits_path}/{epoch:06d}", COMMIT_SCHEMA)
+        if cur is not None:
+            out.append(cur)
+        return out
+
+    def _write_commit_row(self, row: dict) -> None:
+        self._append_json(f"{self.commits_path}/{self._epoch():06d}", [row], COMMIT_SCHEMA)
+
+    def checkpoint_commits(self) -> int:
+        """Fold all commit rows into one checkpoint file; returns the new epoch."""
+        rows = self.commit_rows()
+        nxt = self._epoch() + 1
+        df = self.spark.createDataFrame([tuple(r.get(f.name) for f in COMMIT_SCHEMA.fields) for r in rows], COMMIT_SCHEMA)
+        df.coalesce(1).write.mode("errorifexists").json(f"{self.ckpt_path}/{nxt:06d}")
+        return nxt
+
     def commit_rows(self) -> list[dict]:
         """Committed instants, oldest first (one row per commit; metadata only)."""
-        df = self._read_json(self.commits_path, COMMIT_SCHEMA)
-        if df is None:
+        srcs = self._commit_sources(self._epoch())
+        if not srcs:
             return []
+        df = srcs[0]
+        for d in srcs[1:]:
+            df = df.unionByName(d)
         rows = [r.asDict() for r in df.collect()]
         latest: dict[str, dict] = {}
         for r in rows:
@@ -107,10 +150,8 @@ class ChangeTable:
         return [latest[k] for k in sorted(latest)]
 
     def commits(self) -> DataFrame:
-        df = self._read_json(self.commits_path, COMMIT_SCHEMA)
-        if df is None:
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return df
+        return self.spark.createDataFrame(
+            [tuple(r.get(f.name) for f in COMMIT_SCHEMA.fields) for r in self.commit_rows()], COMMIT_SCHEMA)
 
     def commit_times(self, kinds=("upsert", "bootstrap")) -> list[str]:
         return [r["commit_time"] for r in self.commit_rows() if r["kind"] in kinds]
@@ -169,12 +210,12 @@ class ChangeTable:
         obs = Observation(f"commit-{t}")
         self._write_log(rows.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(OP) == "D").alias("d")))
         stats = obs.get
-        self._append_json(
-            self.commits_path,
-            [dict(commit_time=t, kind="upsert", query_id=query_id, batch_id=batch_id, num_rows=stats.get("n"),
-                  num_deletes=stats.get("d"), schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())],
-            COMMIT_SCHEMA,
+        self._write_commit_row(
+            dict(commit_time=t, kind="upsert", query_id=query_id, batch_id=batch_id, num_rows=stats.get("n"),
+                 num_deletes=stats.get("d"), schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())
         )
+        if (len(existing) + 1) % COMMITS_PER_CHECKPOINT == 0:
+            self.checkpoint_commits()
         return t
 
     def _write_log(self, rows: DataFrame) -> None:
@@ -205,11 +246,9 @@ class ChangeTable:
         t = self._next_instant(commit_time)
         src = self.spark.read.format(fmt).load(source_path)
         rows = R.to_log_rows(src, self.spec, op_default="I", commit_time=t)
-        self._append_json(
-            self.commits_path,
-            [dict(commit_time=t, kind="bootstrap", source=source_path, num_rows=None, num_deletes=0,
-                  schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())],
-            COMMIT_SCHEMA,
+        self._write_commit_row(
+            dict(commit_time=t, kind="bootstrap", source=source_path, num_rows=None, num_deletes=0,
+                 schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())
         )
         return t
 
@@ -264,11 +303,9 @@ class ChangeTable:
         with scoped_conf(self.spark, WRITE_CONF):
             w.parquet(out)
         leaves = carried + _list_leaves(self.spark, out, len(parts))
-        self._append_json(
-            self.commits_path,
-            [dict(commit_time=t, kind="compaction", source=json.dumps({"root": out, "leaves": leaves}), upto=upto,
-                  schema_json=json.dumps(schema.jsonValue()), written_at=_stamp())],
-            COMMIT_SCHEMA,
+        self._write_commit_row(
+            dict(commit_time=t, kind="compaction", source=json.dumps({"root": out, "leaves": leaves}), upto=upto,
+                 schema_json=json.dumps(schema.jsonValue()), written_at=_stamp())
         )
         return t
 
@@ -425,11 +462,7 @@ class ChangeTable:
         with scoped_conf(self.spark, WRITE_CONF):
             (hinted.write.mode("errorifexists").option("maxRecordsPerFile", self.spec.target_rows_per_file)
              .partitionBy(COMMIT, *self.spec.partitions).parquet(out))
-        self._append_json(
-            self.commits_path,
-            [dict(commit_time=t, kind="expire", source=out, upto=old_upto, written_at=_stamp())],
-            COMMIT_SCHEMA,
-        )
+        self._write_commit_row(dict(commit_time=t, kind="expire", source=out, upto=old_upto, written_at=_stamp()))
         return t
 
     # --------------------------------------------------------------- catalog
