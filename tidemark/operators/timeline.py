@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.instants import normalize_instant
-from tidemark.operators.reduce import latest_per_key, winner_order
-from tidemark.spec import COMMIT, KEY, OP, TableSpec
+from tidemark.operators.reduce import winner_order
+from tidemark.spec import COMMIT, OP, TableSpec
 
 
 def commit_list(log: DataFrame, since: str | None = None) -> DataFrame:

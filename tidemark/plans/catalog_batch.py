@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions import columns as C
 from tidemark.functions.instants import commit_cutoff_col, max_commit
@@ -14,7 +15,7 @@ from tidemark.plans import oracle_sql as Q
 from tidemark.plans.registry import query
 from tidemark.sources import feeds as S
 from tidemark.sources.avro_schema import schema_from_avsc
-from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
+from tidemark.spec import COMMIT, KEY, OP, TableSpec
 
 C0, C1, C2, C3 = (FX.commit_instant(k) for k in range(4))
 LI_OUT = [COMMIT, OP, KEY, "year", *FX.LINEITEM_COLUMNS]
@@ -497,14 +498,21 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
 
     checkpoint_root(spark)  # DataFrame.checkpoint needs the shared folder
     log, spec = li_log(spark, sf)
+    # the log is read once per commit: keep it for the fold (recomputed from
+    # lineage if an executor is lost); every state is a reliable checkpoint,
+    # so the log can be released before the result is returned
+    log = log.persist(StorageLevel.MEMORY_AND_DISK)
     state = None
-    for t in (C0, C1, C2, C3):
-        changes = log.where(F.col(COMMIT) == t)
-        if state is None:
-            state = R.visible(R.precombine(changes, spec), spec)
-        else:
-            state = R.merge_into(state, changes, spec)
-        state = state.checkpoint(eager=True)
+    try:
+        for t in (C0, C1, C2, C3):
+            changes = log.where(F.col(COMMIT) == t)
+            if state is None:
+                state = R.visible(R.precombine(changes, spec), spec)
+            else:
+                state = R.merge_into(state, changes, spec)
+            state = state.checkpoint(eager=True)
+    finally:
+        log.unpersist()
     return state.select(*LI_OUT)
 
 

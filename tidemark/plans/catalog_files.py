@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
-from tidemark.operators import reduce as R
 from tidemark.operators.table import Bookmark, ChangeTable, next_range
 from tidemark.plans import catalog_batch as B
 from tidemark.plans import fixtures as FX

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -64,25 +63,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers can open the path."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    return path
-
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or "://" not in path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local(path):
-        os.makedirs(local_path(path), exist_ok=True)
-
-
 # Hive-partitioned writes pay per file. For small commits AQE would merge the
 # rebalance shuffle into one task that writes every partition folder in turn;
 # a smaller minimum lets it keep enough tasks to write folders in parallel.
