@@ -149,3 +149,19 @@ def test_commit_log_checkpoint(spark, tmp_table):
     t.upsert(batch(spark, [(1, 2, "a2", "x", "U")]))
     assert len(t.commit_times()) == 3
     assert snap(t) == [(1, "a2"), (2, "b")]
+
+
+def test_hot_partition_value_is_split_across_writers(spark, tmp_table):
+    """A third of the rows share one partition value: AQE's rebalance splits
+    that folder's data over several write tasks instead of one."""
+    from tidemark.session import scoped_conf
+
+    rows = spark.range(60000).selectExpr(
+        "cast(id as int) id", "1 as ts", "repeat('x', 40) as v",
+        "case when id % 3 = 0 then 'hot' else concat('p', cast(id % 40 as string)) end as p")
+    t = ChangeTable(spark, tmp_table, SPEC.with_(deletes="ignore"))
+    with scoped_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}):
+        t.upsert(rows)
+    files = (t.read_log().where("p = 'hot'").select("_metadata.file_path").distinct().count())
+    assert files > 1
+    assert t.snapshot().count() == 60000
