@@ -125,3 +125,10 @@ def test_decode_filters_do_not_reparse_json(spark):
     df = spark.createDataFrame([('{"tradeId":"1"}',)], "value string")
     plan = S.decode_feed(df, "value", TRADE).where(F.col("tradeId").isNotNull())._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_read_feed_names_a_missing_connector(spark):
+    import pytest
+
+    with pytest.raises(RuntimeError, match="not on the classpath"):
+        S.read_feed(spark, "kafka", {"kafka.bootstrap.servers": "localhost:9", "subscribe": "t"}, starting="earliest")

@@ -45,7 +45,15 @@ def read_feed(
     if schema is not None:
         r = r.schema(schema)
     r = r.options(**opts)
-    return r.load(path) if path else r.load()
+    try:
+        return r.load(path) if path else r.load()
+    except Exception as e:  # noqa: BLE001 - re-raised with a clearer message
+        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find" in str(e):
+            raise RuntimeError(
+                f"streaming source '{fmt}' is not on the classpath: add its connector package "
+                f"(for Kafka, spark-sql-kafka-0-10) or read the payloads from a file source"
+            ) from e
+        raise
 
 
 def _payload(df: DataFrame, payload_col: str):
