@@ -165,3 +165,13 @@ def test_hot_partition_value_is_split_across_writers(spark, tmp_table):
     files = (t.read_log().where("p = 'hot'").select("_metadata.file_path").distinct().count())
     assert files > 1
     assert t.snapshot().count() == 60000
+
+
+def test_changes_since_lag_on_disk_uses_commit_metadata(spark, tmp_table):         # R4
+    t = ChangeTable(spark, tmp_table, SPEC)
+    t.upsert(batch(spark, [(1, 1, "a", "x", "I")]), commit_time="20240101000000000")
+    t.upsert(batch(spark, [(2, 1, "b", "x", "I")]), commit_time="20240101010000000")
+    t.upsert(batch(spark, [(3, 1, "c", "x", "I")]), commit_time="20240101012000000")
+    # now 01:25, lag 20 min -> cutoff 01:05 -> begin = the 01:00 commit
+    got = sorted(r.id for r in t.changes_since_lag("20240101012500000", 20).collect())
+    assert got == [3]
