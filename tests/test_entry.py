@@ -13,4 +13,3 @@ def test_every_oracle_has_a_query():
     qs, ors = E.queries(), E.oracle_sql()
     assert set(ors) <= set(qs)
     assert len(qs) >= 55
-    assert not any(k.startswith("op") and k[2:3].isdigit() for k in qs)
