@@ -37,10 +37,10 @@ b AS (
   FROM benchmark),
 win AS (
   SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item,
-         unnest(list_transform(range(1, greatest(len(w) - 13, 0) + 2), i -> w[i:i + 12])) AS g
+         unnest(list_transform(range(1, greatest(len(w) - 13, 0) + 2), lambda i: w[i:i + 12])) AS g
   FROM b WHERE len(w) > 0),
 grams AS (
-  SELECT rid, n, unnest(list_transform(range(1, len(w) - n + 2), i -> {{'p': i, 'g': w[i:i + n - 1]}})) AS x
+  SELECT rid, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: {{'p': i, 'g': w[i:i + n - 1]}})) AS x
   FROM d, (SELECT DISTINCT len(g) AS n FROM win) WHERE len(w) >= n),
 hits AS (SELECT DISTINCT rid, n, x.p AS p, item FROM grams JOIN win ON x.g = g),
 hw AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM hits) GROUP BY rid),
