@@ -11,12 +11,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def stored(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read
-    back: cuts the lineage with files that every executor can reach."""
+    back: cuts the lineage with files that every executor can reach.
+    ``group_rows`` bounds the rows of a row group, for rows of several MB."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.option("compression", codec).parquet(path)
+    write = df.write.option("compression", "zstd")
+    (write.option("parquet.block.row.count.limit", group_rows) if group_rows else write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -100,7 +100,7 @@ def _build(segment_tokens: int):
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """The stored index: one row per segment, all tokens of all documents."""
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_build(segment_tokens), INDEX_SCHEMA)
-    return stored(rows, "postings")
+    return stored(rows, "postings", group_rows=8)
 
 
 def _near(cand, postings, offset: int, slop: int):
