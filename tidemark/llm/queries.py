@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, html_text, mixing, quality, secrets, sharding, simhash, token_counts, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,94 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hw USING (rid) LEFT JOIN it USING (rid)
 """
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
+_TERM = lambda terms: f"[{', '.join(map(repr, terms))}]"
+_FOUND = lambda terms: (
+    f"len(list_filter({_TERM(terms)}, lambda t: regexp_matches(u, '(^|[^a-z0-9])' || t || '([^a-z0-9]|$)')))"
+)
+_FITS = lambda rule: (
+    f"((host = '{rule.partition('/')[0]}' OR ends_with(host, '.{rule.partition('/')[0]}')) AND starts_with(path, '/{rule.partition('/')[2]}'))"
+)
+_RULES = sorted(url_filter.RULES, key=lambda r: -len(r[0]))
+ORACLES["op7_url_filter"] = rf"""
+WITH r AS (
+  SELECT page_id, translate(coalesce(url, ''), {UPPER}, {LOWER}) AS u,
+         CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), {UPPER}, {LOWER}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM r),
+j AS (
+  SELECT page_id, host, path, CASE {' '.join(f"WHEN {_FITS(r)} THEN '{r}'" for r, _ in _RULES)} END AS rule,
+         CAST({_FOUND(url_filter.STRICT)} AS INTEGER) AS n_strict, CAST({_FOUND(url_filter.SOFT)} AS INTEGER) AS n_soft
+  FROM h)
+SELECT page_id, host, path, rule, n_strict, n_soft,
+       CASE {' '.join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in _RULES)}
+            WHEN n_strict > 0 OR n_soft >= {url_filter.BLOCK_AT} THEN 'block' ELSE 'allow' END AS verdict
+FROM j
+"""
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_mixing"] = rf"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS size,
+         CAST('0x' || md5(concat_ws(':', '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, ''))))[1:13] AS BIGINT)
+           / 4503599627370496.0::DOUBLE AS draw
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS HUGEINT) AS n, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS r FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(r - 1) % 3 + 1]::HUGEINT AS w, 3 * n AS cap FROM s),
+o AS (
+  SELECT *, row_number() OVER q AS at, (SELECT sum(n) FROM s) - coalesce(sum(cap) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
+         sum(w) OVER (q ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS den
+  FROM w WINDOW q AS (ORDER BY cap * (10 // w), r)),
+level AS (SELECT num, den FROM o WHERE num * w <= cap * den ORDER BY at LIMIT 1),
+t AS (SELECT source, n, least(CAST(cap AS DOUBLE), CAST(level.num * w AS DOUBLE) / CAST(level.den AS DOUBLE)) AS target FROM o, level),
+rate AS (SELECT *, CASE WHEN n > 0 THEN target / n ELSE 0 END AS rate FROM t)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, target,
+       CAST(size * least(3, floor(rate) + CAST(draw < rate - floor(rate) AS INTEGER)) AS BIGINT) AS taken
+FROM d JOIN rate ON d.source IS NOT DISTINCT FROM rate.source
+"""
