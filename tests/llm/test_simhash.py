@@ -49,7 +49,7 @@ def texts(rng):
             copy = list(words)
             for _ in range(rng.choice([0, 0, 1, 2])):
                 copy[rng.randrange(len(copy))] = rng.choice(vocab)
-            rows.append((len(rows) + 100 - 3 * k, " ".join(copy)))
+            rows.append((1000 + len(rows) * 37 % 1009, " ".join(copy)))
     return rows
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, mixing, quality, secrets, sharding, simhash, token_counts, url_filter
+from tidemark.llm import decontaminate, html_text, mixing, neighbours, quality, secrets, sharding, simhash, token_counts, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -123,17 +128,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_mixing"] = rf"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS size,
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) AS size,
          CAST('0x' || md5(concat_ws(':', '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, ''))))[1:13] AS BIGINT)
            / 4503599627370496.0::DOUBLE AS draw
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS HUGEINT) AS n, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS r FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(r - 1) % 3 + 1]::HUGEINT AS w, 3 * n AS cap FROM s),
 o AS (
-  SELECT *, row_number() OVER q AS at, (SELECT sum(n) FROM s) - coalesce(sum(cap) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
+  SELECT *, row_number() OVER q AS pos, (SELECT sum(n) FROM s) - coalesce(sum(cap) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS num,
          sum(w) OVER (q ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS den
   FROM w WINDOW q AS (ORDER BY cap * (10 // w), r)),
-level AS (SELECT num, den FROM o WHERE num * w <= cap * den ORDER BY at LIMIT 1),
+level AS (SELECT num, den FROM o WHERE num * w <= cap * den ORDER BY pos LIMIT 1),
 t AS (SELECT source, n, least(CAST(cap AS DOUBLE), CAST(level.num * w AS DOUBLE) / CAST(level.den AS DOUBLE)) AS target FROM o, level),
 rate AS (SELECT *, CASE WHEN n > 0 THEN target / n ELSE 0 END AS rate FROM t)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, target,
