@@ -2,16 +2,57 @@
 decontamination, mixing sources to target weights, sharding.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
-as Parquet and read back as the next stage's documents.
+as Parquet and read back as the next stage's documents. Every stage keeps rows
+whole: a null or empty text, repeated rows and further columns go through as
+the operators' docstrings define; an empty table stays empty.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from tidemark.llm import decontaminate, mixing, quality, sharding, simhash
+from tidemark.llm.common import stored, table
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    return simhash.representatives(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages make up a twentieth or more go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated, or left out, so that sources meet their target weights."""
+    return mixing.mix(docs)
+
+
+def deal_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns with shard and slot."""
+    return sharding.shard(docs)
+
+
+STAGES = [
+    ("quality_classifier", reject_low_quality),
+    ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
+    ("source_mixing", mix_sources),
+    ("sharding", deal_into_shards),
+]
+#: SQL has neither the classifier nor the fingerprints' hash.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

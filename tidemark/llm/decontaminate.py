@@ -266,3 +266,12 @@ def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),    )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that are not contaminated, with all their columns. The
+    verdict depends on the text alone, so a hash of the text serves as its id."""
+    verdict = judged(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark)
+    bad = stored(verdict.filter("contaminated").select(F.col("doc_id").alias("text_key")).distinct(), "contaminated")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("text_key"))
+    return rows.join(bad, "text_key", "left_anti").select("row.*")
