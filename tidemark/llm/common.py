@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
 
@@ -22,6 +23,13 @@ def stored(df: DataFrame, name: str, group_rows: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole(df: DataFrame, leave_out: tuple = ()) -> Column:
+    """All columns as one struct named row, so that a plan's own columns can't
+    clash with them; ``row.*`` gives them back."""
+    names = [c for c in df.columns if c.lower() not in leave_out]
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in names]).alias("row")
+
+
 def as_bytes(column) -> list:
     """The UTF-8 bytes of an Arrow string column, ``None`` for null."""
     import pyarrow as pa

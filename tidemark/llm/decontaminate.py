@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import as_bytes, stored
+from tidemark.llm.common import as_bytes, stored, whole
 from tidemark.session import scratch_dir
 
 #: Bytes to word bytes: A-Z lower-cased; everything but 0-9, a-z and bytes from 0x80 becomes a space.
@@ -273,5 +273,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     verdict depends on the text alone, so a hash of the text serves as its id."""
     verdict = judged(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark)
     bad = stored(verdict.filter("contaminated").select(F.col("doc_id").alias("text_key")).distinct(), "contaminated")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("text_key"))
+    rows = docs.select(whole(docs), F.xxhash64("text").alias("text_key"))
     return rows.join(bad, "text_key", "left_anti").select("row.*")

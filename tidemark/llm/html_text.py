@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import whole
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title noscript iframe noembed noframes template xmp".split())
@@ -273,7 +275,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
         for batch in batches:
             yield pd.Series([main_text(p) for p in batch], dtype=object)
 
-    return pages.select(F.struct(*[c for c in pages.columns if c != html_col]).alias("row"), F.pandas_udf(run, "string")(F.col(html_col)).alias("text"))
+    return pages.select(whole(pages, (html_col.lower(),)), F.pandas_udf(run, "string")(F.col(html_col)).alias("text"))
 
 
 def digest(pages: DataFrame) -> DataFrame:

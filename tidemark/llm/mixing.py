@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored, whole
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -64,10 +64,10 @@ def repetitions(docs: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_R
     rate = table.withColumnRenamed("source", "of")
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))
     draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "source", size().alias("size"), draw.alias("draw"))
+    rows = docs.select(whole(docs), "source", size().alias("size"), draw.alias("draw"))
     joined = rows.join(F.broadcast(rate) if small else rate, F.col("source").eqNullSafe(F.col("of")))
-    whole = F.floor("rate")
-    copies = F.least(F.lit(max_rate), whole + (F.col("draw") < F.col("rate") - whole).cast("long"))
+    full = F.floor("rate")
+    copies = F.least(F.lit(max_rate), full + (F.col("draw") < F.col("rate") - full).cast("long"))
     return joined.select("row", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 

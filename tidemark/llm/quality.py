@@ -24,7 +24,7 @@ from operator import eq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes
+from tidemark.llm.common import as_bytes, whole
 
 #: Most labelled ids that the trees are fitted on.
 SAMPLE = 20_000
@@ -182,5 +182,5 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, with their own columns."""
-    rows = scored(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"), labels)
+    rows = scored(docs.select(whole(docs), "doc_id", "text"), labels)
     return rows.filter(F.col("quality_score") >= THRESHOLD).select("row.*")

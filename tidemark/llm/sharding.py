@@ -13,6 +13,7 @@ the counts below each cut turn that into gapless slots of the shard.
 
 Defined results: null texts count 16 bytes and have CRC 0; nulls in other
 columns do not matter; repeated rows are separate rows that may part at a cut;
+columns named shard or slot are replaced;
 with fewer rows than shards some shards stay empty; empty tables give none.
 """
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import stored, whole
 
 SHARDS = 40
 #: How far the bytes below a cut may be from those wanted, as a share of one shard.
@@ -151,8 +152,8 @@ def place(keyed: DataFrame, counted: DataFrame, shards: int = SHARDS, tolerance:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """All columns of ``docs`` with shard and slot, from one exchange of the documents."""
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), *[F.col(c) for c in ("doc_id", "text")])
+    """The columns of ``docs`` with shard and slot, from one exchange of the documents."""
+    keyed = docs.select(whole(docs, ("shard", "slot")), *[F.col(c) for c in ("doc_id", "text")])
     keyed = with_keys(keyed).drop("doc_id", "text")
     counted = stored(keyed.select("size", *KEYS), "keys")
     return place(keyed, counted, shards, tolerance).select("row.*", "shard", "slot")

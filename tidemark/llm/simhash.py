@@ -30,7 +30,7 @@ from math import comb
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes, stored
+from tidemark.llm.common import as_bytes, stored, whole
 from tidemark.llm.components import components
 
 SHINGLE = 4
@@ -221,8 +221,7 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     times = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("times"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["text_key"].eqNullSafe(b["text_key"])
     keep = stored(winners.alias("a").join(times.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.text_key = b.text_key")).select("a.doc_id", "a.text_key", "times"), "kept")
-    cols = docs.columns
-    keyed = docs.select(F.struct(*cols).alias("row"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    keyed = docs.select(whole(docs), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_key"))
     single, more = keep.filter("times = 1"), keep.filter("times > 1")
     one = keyed.join(single, same(keyed, single), "left_semi").select("row.*")
     # repeated rows may differ in other columns; one of them stays

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import whole
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host and path, verdict). A rule holds for its host and all subdomains where the path begins with the rule's.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -78,7 +80,7 @@ def _terms(strict: tuple, soft: tuple):
 def filter_urls(pages: DataFrame, rules: tuple = RULES, strict: tuple = STRICT, soft: tuple = SOFT, block_at: int = BLOCK_AT) -> DataFrame:
     """``pages`` with url_host, url_path, url_rule, n_strict, n_soft (distinct terms) and url_verdict."""
     url = F.col("url")
-    rows = pages.select(F.struct(*pages.columns).alias("row"), host(url).alias("host"), path(url).alias("path"), _terms(strict, soft)(url).alias("terms"))
+    rows = pages.select(whole(pages), host(url).alias("host"), path(url).alias("path"), _terms(strict, soft)(url).alias("terms"))
     name, verdict = rule(F.col("host"), F.col("path"), rules)
     weight = F.col("terms.n_strict") * block_at + F.col("terms.n_soft")
     return rows.select(
