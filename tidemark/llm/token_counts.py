@@ -2,10 +2,11 @@
 
 Documents are cut into pre-tokens in blocks. A block keeps its dictionary of
 distinct pre-tokens and, for each document, the frequencies by place in that
-dictionary. Only the dictionaries are shuffled: the distinct pre-tokens of all
-blocks are counted once with the tokenizer, joined back to the dictionaries,
-and a document's count is the sum of frequency times count. No token ids are
-kept, and no document goes through the tokenizer's merges.
+dictionary, packed. The dictionaries' entries are dealt by pre-token and sorted,
+so each distinct pre-token is counted once with the tokenizer, for all blocks
+that have it. The counts go back to their blocks, joined to the frequencies
+there, and a document's count is the sum of frequency times count. No token
+ids are kept, and no document goes through the tokenizer's merges.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); a special
 string in a text is one token, as is the library's default; repeated rows are
@@ -22,10 +23,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 #: A block is closed once it has so many pre-tokens or documents.
-BLOCK_TOKENS = 1 << 20
-BLOCK_DOCS = 1 << 14
+BLOCK_TOKENS = 1 << 22
+BLOCK_DOCS = 1 << 16
 LIMIT = 1024
-BLOCK_SCHEMA = "block long, doc_ids array<long>, n_bytes array<long>, bounds binary, places binary, times binary, special array<int>, pieces array<string>"
+BLOCK_SCHEMA = "block long, doc_ids array<long>, n_bytes array<long>, sizes binary, places binary, times binary, special array<int>, pieces array<string>"
 
 
 def _tokenizer(path: str):
@@ -68,6 +69,22 @@ class PreTokens:
         return [p for part in parts for p in cut(part)], len(parts) - 1
 
 
+def _packed(values) -> bytes:
+    """Whole numbers as compressed planes of bytes, the lowest first."""
+    import numpy as np
+    import zstandard
+
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
+
+
+def _unpacked(data: bytes):
+    import numpy as np
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def _blocks(path: str, pattern: str, block_tokens: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -78,9 +95,9 @@ def _blocks(path: str, pattern: str, block_tokens: int):
         number = TaskContext.get().partitionId() << 32
 
         def block():
-            bounds = np.cumsum([0, *map(len, places)], dtype=np.int64)
-            join = lambda xs: np.concatenate([np.empty(0, np.int32), *xs]).astype(np.int32).tobytes()
-            row = (number, ids, n_bytes, bounds.tobytes(), join(places), join(times), special, list(known))
+            # a document's places ascend: their steps, from its first place on, pack well
+            join = lambda xs: _packed(np.concatenate([np.empty(0, np.int32), *xs]))
+            row = (number, ids, n_bytes, _packed(np.array([len(x) for x in places])), join(places), join(times), special, list(known))
             types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string()))
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
 
@@ -93,8 +110,8 @@ def _blocks(path: str, pattern: str, block_tokens: int):
                 place, n = np.unique(codes, return_counts=True)
                 ids.append(doc_id)
                 n_bytes.append(len(text.encode()))
-                places.append(place)
-                times.append(n)
+                places.append(np.diff(place, prepend=0).astype(np.int32))
+                times.append(n.astype(np.int32))
                 special.append(specials)
                 tokens += len(pieces)
                 if tokens >= block_tokens or len(ids) >= BLOCK_DOCS:
@@ -109,12 +126,20 @@ def _blocks(path: str, pattern: str, block_tokens: int):
 
 def _count(path: str):
     def run(batches: Iterator) -> Iterator:
+        """Rows of (block, place, piece), sorted by piece: each piece's tokens."""
+        import numpy as np
         import pyarrow as pa
 
         tokenizer = _tokenizer(path)
+        last, tokens = None, 0
         for batch in batches:
-            found = tokenizer.encode_batch(batch.column(0).to_pylist(), add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(e) for e in found], pa.int32())], names=["piece", "n"])
+            pieces = batch.column(2).to_pylist()
+            first = np.array([p != q for p, q in zip(pieces, [last, *pieces])], bool)
+            new = [pieces[k] for k in np.flatnonzero(first)]
+            each = [tokens, *(len(e) for e in tokenizer.encode_batch(new, add_special_tokens=False))]
+            last, tokens = pieces[-1] if pieces else last, each[-1]
+            n = np.array(each, np.int32)[np.cumsum(first)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n)], names=["block", "place", "n"])
 
     return run
 
@@ -126,9 +151,13 @@ def _sum(batches: Iterator) -> Iterator:
     for batch in batches:
         for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
             each = np.array(row["counts"] or [], np.int64)
-            bounds, places, times = (np.frombuffer(row[c], t) for c, t in (("bounds", np.int64), ("places", np.int32), ("times", np.int32)))
+            sizes, steps, times = _unpacked(row["sizes"]), _unpacked(row["places"]), _unpacked(row["times"])
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            run = np.concatenate(([0], np.cumsum(steps)))
+            places = run[1:] - np.repeat(run[starts], sizes)
             total = np.concatenate(([0], np.cumsum(each[places] * times)))
-            tokens = total[bounds[1:]] - total[bounds[:-1]] + np.array(row["special"], np.int64)
+            tokens = total[ends] - total[starts] + np.array(row["special"], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row["doc_ids"], pa.int64()), pa.array(row["n_bytes"], pa.int64()), pa.array(tokens, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
@@ -139,8 +168,9 @@ def token_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     file of the tokenizers library; ``pattern``: the expression it pre-tokenizes by."""
     blocks = stored(docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_blocks(path, pattern, block_tokens), BLOCK_SCHEMA), "blocks", group_rows=8)
     pieces = blocks.select("block", F.posexplode("pieces").alias("place", "piece"))
-    each = pieces.select("piece").distinct().mapInArrow(_count(path), "piece string, n int")
-    counts = pieces.join(each, "piece").groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "n"))).alias("c"))
+    # a piece has one row for each block that has it, however often it is there
+    each = pieces.repartition("piece").sortWithinPartitions("piece").mapInArrow(_count(path), "block long, place int, n int")
+    counts = each.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "n"))).alias("c"))
     rows = blocks.drop("pieces").join(counts.select("block", F.col("c.n").alias("counts")), "block", "left")
     return rows.mapInArrow(_sum, "doc_id long, n_bytes long, n_tokens long")
 
