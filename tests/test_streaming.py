@@ -1,7 +1,9 @@
 """Streams equal batch; replay and file order."""
 
+import time
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.table import ChangeTable
@@ -59,7 +61,7 @@ def test_notice_batch_later_file_wins(spark, tmp_table):
 def test_append_stream_partitions_and_progress(spark, tmp_table):                  # W8, C5, C7, C8
     df = spark.createDataFrame([(1, "1", "5"), (2, None, None), (3, "30", "23")], "id int, day string, hour string")
     df.write.parquet(f"{tmp_table}/in")
-    log = ProgressLog(spark)
+    log = ProgressLog(spark, f"{tmp_table}/progress")
     try:
         q = W.append_stream(spark.readStream.schema(df.schema).parquet(f"{tmp_table}/in"), f"{tmp_table}/out",
                             ["day", "hour"], f"{tmp_table}/ckpt", trigger=ONCE, query_name="append-test")
@@ -71,3 +73,69 @@ def test_append_stream_partitions_and_progress(spark, tmp_table):
     assert sorted((r.id, r.day) for r in back.collect()) == [(1, "1"), (2, None), (3, "30")]
     ev = [r for r in log.to_df().collect() if r.event == "progress"]
     assert sum(r.num_input_rows for r in ev) == 3
+    assert all("triggerExecution" in r.durations_ms and r.sources[0].description for r in ev)
+    assert {r.event for r in log.to_df().collect()} == {"started", "progress", "terminated"}
+    with pytest.raises(TimeoutError):
+        log.wait_for("no such query", timeout=0.2)
+
+
+def test_hot_partition_is_written_by_every_task(spark, tmp_table):                  # W8
+    spark.range(0, 4000, 1, 4).selectExpr("id", "'7' as hour").write.parquet(f"{tmp_table}/in")
+    q = W.append_stream(spark.readStream.schema("id long, hour string").parquet(f"{tmp_table}/in"), f"{tmp_table}/out", ["hour"], f"{tmp_table}/ckpt", trigger=ONCE)
+    q.awaitTermination()
+    back = spark.read.parquet(f"{tmp_table}/out")
+    assert back.count() == 4000 and back.select("_metadata.file_path").distinct().count() > 1
+
+
+def test_new_checkpoint_with_an_old_name_is_a_new_query(spark, tmp_table):          # C3
+    t = ChangeTable(spark, f"{tmp_table}/t", SPEC)
+    for k in range(2):
+        spark.createDataFrame([(k, 1, f"v{k}")], "id int, ts int, v string").write.parquet(f"{tmp_table}/in{k}")
+        stream = S.stream_change_dir(spark, f"{tmp_table}/in{k}", "id int, ts int, v string")
+        W.upsert_stream(stream, t, f"{tmp_table}/ckpt{k}", "same-name", trigger=ONCE).awaitTermination()
+    assert sorted(r.v for r in t.snapshot().collect()) == ["v0", "v1"]
+
+
+def test_batch_of_rejects_only(spark, tmp_table):                                   # C6
+    t = ChangeTable(spark, f"{tmp_table}/t", SPEC)
+    for k, key in enumerate([1, None, 2]):
+        spark.createDataFrame([(key, 1, "v")], "id int, ts int, v string").write.mode("append").parquet(f"{tmp_table}/in")
+        stream = S.stream_change_dir(spark, f"{tmp_table}/in", "id int, ts int, v string")
+        W.upsert_with_rejects(stream, t, f"{tmp_table}/rejects", f"{tmp_table}/ckpt", "r", key="id", time_col=None, trigger=ONCE).awaitTermination()
+        assert t.snapshot().count() == [1, 1, 2][k]
+    assert spark.read.parquet(f"{tmp_table}/rejects").count() == 1
+
+
+def test_repeated_notice_counts_at_its_last_position(spark, tmp_table):             # W12
+    paths = []
+    for k in "ab":
+        spark.createDataFrame([(1, 1, k)], "id int, ts int, v string").coalesce(1).write.parquet(f"{tmp_table}/{k}+1")
+        paths += [p for p in spark.read.parquet(f"{tmp_table}/{k}+1").inputFiles()]
+    notices = spark.createDataFrame([(paths[0], 0), (paths[1], 1), (paths[0], 2)], "filePath string, seq int")
+    t = ChangeTable(spark, f"{tmp_table}/t", SPEC)
+    t.upsert(W.notice_batch(notices, seq_col="seq", schema="id int, ts int, v string"), file_seq=F.col("_file_seq"))
+    assert [r.v for r in t.snapshot().collect()] == ["a"]
+
+
+def test_timed_trigger_runs_batch_after_batch(spark, tmp_table):                    # C1
+    t = ChangeTable(spark, f"{tmp_table}/t", SPEC)
+    write = lambda k: spark.createDataFrame([(k, 1, "v")], "id int, ts int, v string").write.mode("append").parquet(f"{tmp_table}/in")
+    write(0)
+    q = W.upsert_stream(S.stream_change_dir(spark, f"{tmp_table}/in", "id int, ts int, v string"), t, f"{tmp_table}/ckpt", "timed", trigger={"processingTime": "1 second"})
+    try:
+        for k in (1, 2):
+            end = time.time() + 60
+            while len(t.commit_times()) < k and time.time() < end:
+                time.sleep(0.3)
+            assert len(t.commit_times()) == k
+            write(k)
+    finally:
+        q.stop()
+
+
+def test_start_positions():                                                          # S3
+    assert S.start_options("kafka", "TRIM_HORIZON") == {"startingOffsets": "earliest"}
+    assert S.start_options("kinesis", "latest") == {"startingposition": "LATEST"}
+    assert S.start_options("parquet", "latest") == S.start_options("kafka", None) == {}
+    with pytest.raises(ValueError, match="start position"):
+        S.start_options("kafka", "yesterday")

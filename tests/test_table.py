@@ -1,9 +1,12 @@
 """The on-disk change table."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import reduce as R
-from tidemark.operators.table import Bookmark, ChangeTable, next_range
+from tidemark.operators.table import Bookmark, ChangeTable, derive, next_range
 from tidemark.spec import TableSpec
 
 SPEC = TableSpec(keys=("id",), order=("ts",), partitions=("p",), deletes="apply", tiebreak=("v",))
@@ -59,7 +62,7 @@ def test_compaction_equals_snapshot(spark, tmp_table):
     t.upsert(batch(spark, [(2, 3, "late", "x", "U"), (1, 7, "a2", "x", "U")]), op_col="Op")
     assert before == [(1, "a")]
     assert snap(t) == [(1, "a2")]
-    assert sorted((r.id, r.v) for r in R.snapshot(t.read_log(use_base=False), t.spec).collect()) == snap(t)
+    assert sorted((r.id, r.v) for r in R.snapshot(t.read_log(), t.spec).collect()) == snap(t)
 
 
 def test_bootstrap_reads_source_in_place(spark, tmp_table):                         # W10
@@ -85,8 +88,11 @@ def test_bookmark_and_next_range(spark, tmp_table):
 
 def test_pins(spark, tmp_table):                                                    # R9
     t = ChangeTable(spark, tmp_table, SPEC)
-    t.pin("20240101000000000")
-    t.pin("20240102000000000")
+    with pytest.raises(ValueError):
+        t.pin("20240101000000000")                    # nothing to pin yet
+    for day in (1, 2):
+        t.upsert(batch(spark, [(day, 1, "a", "x", "I")]), commit_time=f"2024010{day}000000000")
+        t.pin(f"2024010{day}000000000")
     t.unpin("20240101000000000")
     assert t.pins() == ["20240102000000000"]
 
@@ -129,9 +135,7 @@ def test_compaction_rewrites_only_touched_partitions(spark, tmp_table):
     t.upsert(batch(spark, [(1, 2, "moved", "p3", "U"), (2, 2, "upd", "p2", "U")]), op_col="Op")
     expect = snap(t)
     t.compact()
-    rows = t.commit_rows()
-    import json
-    src = json.loads(rows[-1]["source"])
+    src = t._manifest(t._base(t.commit_rows()))
     carried = [d for d in src["leaves"] if not d.startswith(src["root"] + "/")]
     assert [d.rsplit("/", 1)[1] for d in carried] == ["p=p0"]          # only p0 untouched
     assert snap(t) == expect
@@ -141,14 +145,21 @@ def test_compaction_rewrites_only_touched_partitions(spark, tmp_table):
     assert got == expect
 
 
-def test_commit_log_checkpoint(spark, tmp_table):
+def test_commit_rows_are_folded(spark, tmp_table, monkeypatch):
+    from tidemark import files
+    from tidemark.operators import table as module
+
+    monkeypatch.setattr(module, "FOLD_AFTER", 3)
     t = ChangeTable(spark, tmp_table, SPEC)
-    t.upsert(batch(spark, [(1, 1, "a", "x", "I")]))
-    t.upsert(batch(spark, [(2, 1, "b", "x", "I")]))
-    assert t.checkpoint_commits() == 1
-    t.upsert(batch(spark, [(1, 2, "a2", "x", "U")]))
-    assert len(t.commit_times()) == 3
-    assert snap(t) == [(1, "a2"), (2, "b")]
+    for k in range(8):
+        t.upsert(batch(spark, [(k, 1, "a", "x", "I")]))
+        assert len(files.names(spark, f"{tmp_table}/_meta/commits")) <= 3
+    assert len(t.commit_times()) == 8 and len(snap(t)) == 8
+    assert len(files.names(spark, f"{tmp_table}/_meta/schemas")) == 1          # one schema, stored once
+    # a fold that a crash left beside the rows it holds changes nothing
+    rows = t.commit_rows()
+    files.write_text(spark, f"{tmp_table}/_meta/commits/{rows[2]['commit_time']}.json", json.dumps(rows[2]))
+    assert t.commit_rows() == rows
 
 
 def test_hot_partition_value_is_split_across_writers(spark, tmp_table):
@@ -175,3 +186,132 @@ def test_changes_since_lag_on_disk_uses_commit_metadata(spark, tmp_table):
     # now 01:25, lag 20 min -> cutoff 01:05 -> begin = the 01:00 commit
     got = sorted(r.id for r in t.changes_since_lag("20240101012500000", 20).collect())
     assert got == [3]
+
+
+def rows_of(df):
+    return sorted((r.id, r.v) for r in df.collect())
+
+
+def test_empty_and_rejected_batches_are_commits_without_rows(spark, tmp_table):
+    t = ChangeTable(spark, tmp_table, SPEC)
+    good = batch(spark, [(1, 1, "a", "x", "I")])
+    t.upsert(good.limit(0), op_col="Op")
+    assert snap(t) == []
+    t.upsert(good, op_col="Op")
+    t.upsert(batch(spark, [(None, 1, "n", "x", "I"), (2, 1, "b", "x", "Z")]), op_col="Op")
+    t.upsert(spark.createDataFrame([], good.schema), op_col="op")
+    assert snap(t) == [(1, "a")]
+    assert [(r["num_rows"], r["num_rejected"]) for r in t.commit_rows()] == [(0, 0), (1, 0), (0, 2), (0, 0)]
+    with pytest.raises(ValueError):
+        t.upsert(good, op_col="operation")
+    t.upsert(batch(spark, [(1, 9, "", "x", "d")]), op_col="OP")                # any case of name and value
+    assert snap(t) == []
+
+
+def test_schema_changes(spark, tmp_table):
+    t = ChangeTable(spark, tmp_table, TableSpec(keys=("id",), order=("ts",)))
+    t.upsert(spark.createDataFrame([(1, 1, 5, "a")], "id int, ts int, n int, v string"))
+    t.upsert(spark.createDataFrame([(2, 1, "b")], "id int, ts int, v string"))
+    t.upsert(spark.createDataFrame([(3, 1, 1 << 40, 2.5)], "id int, ts int, n bigint, extra double"))
+    got = {r.id: (r.n, r.v, r.extra) for r in t.snapshot().collect()}
+    assert got == {1: (5, "a", None), 2: (None, "b", None), 3: (1 << 40, None, 2.5)}
+    with pytest.raises(ValueError, match="does not fit"):
+        t.upsert(spark.createDataFrame([(4, 1, "x")], "id int, ts int, n string"))
+    assert len(t.commit_times()) == 3
+
+
+def test_expired_history_is_refused_and_its_folders_go(spark, tmp_table):
+    from tidemark import files
+
+    t = ChangeTable(spark, tmp_table, SPEC)
+    cs = [t.upsert(batch(spark, [(i, k, f"{k}", "x", "U") for i in range(4)])) for k in range(4)]
+    before = t.show_commits().collect()
+    assert [(r.num_inserts, r.num_updates) for r in before] == [(0, 4)] * 3 + [(4, 0)]
+    t.pin(cs[1])
+    t.expire(retain=1)
+    for read in (lambda: t.as_of(cs[0]), lambda: t.as_of(cs[2]), lambda: t.incremental(cs[0], cs[2]), lambda: t.pin(cs[0])):
+        with pytest.raises(ValueError, match="expired"):
+            read()
+    assert rows_of(t.as_of(cs[1])) == [(i, "1") for i in range(4)] and t.show_commits().collect() == before
+    assert rows_of(t.incremental(cs[0])) == rows_of(t.snapshot()) == [(i, "3") for i in range(4)]
+    assert files.names(spark, t.log_path, prefix="_commit_time=") == [f"_commit_time={cs[3]}"]
+    t.upsert(batch(spark, [(0, 9, "new", "x", "U")]))
+    t.expire(retain=1)
+    assert len(files.names(spark, f"{tmp_table}/expired")) == 1 and dict(snap(t)) == {0: "new", 1: "3", 2: "3", 3: "3"}
+
+
+@pytest.mark.parametrize("merge", ["arrival", "event_time"])
+def test_reads_over_a_base(spark, tmp_table, merge):
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge=merge))
+    t.upsert(batch(spark, [(i, 5, f"v{i}", f"p{i % 3}", "I") for i in range(9)]), op_col="Op")
+    c2 = t.upsert(batch(spark, [(3, 7, "", "p0", "D")]), op_col="Op")
+    t.compact()
+    plan = t.snapshot()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert rows_of(t.snapshot()) == rows_of(R.snapshot(t.read_log(), t.spec))
+    t.upsert(batch(spark, [(0, 1, "old", "p9", "U"), (1, 9, "new", "p2", "U"), (3, 6, "back", "p0", "U"), (20, 1, "add", "p1", "U")]), op_col="Op")
+    want = rows_of(R.snapshot(t.read_log(), t.spec))
+    assert rows_of(t.snapshot()) == want
+    plan = t.snapshot()._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    t.compact()
+    assert rows_of(t.snapshot()) == want
+    assert rows_of(t.as_of(c2)) == rows_of(R.as_of(t.read_log(), t.spec, c2))
+
+
+def test_replace_ends_what_was_before(spark, tmp_table):                           # W9
+    t = ChangeTable(spark, tmp_table, SPEC)
+    c1 = t.upsert(batch(spark, [(1, 1, "a", "x", "I"), (2, 1, "b", "x", "I")]))
+    t.compact()
+    t.upsert(batch(spark, [(3, 1, "c", "x", "I")]), replace=True)
+    assert snap(t) == [(3, "c")] and rows_of(t.as_of(c1)) == [(1, "a"), (2, "b")]
+    t.upsert(batch(spark, [(1, 1, "again", "x", "I")]))
+    t.compact()
+    assert snap(t) == [(1, "again"), (3, "c")]
+    assert [(r.num_inserts, r.num_updates) for r in t.show_commits().collect()] == [(1, 0), (1, 0), (2, 0)]
+
+
+def test_null_keys_are_one_rule(spark, tmp_table):                                  # Q20
+    src = f"{tmp_table}-src"
+    rows = spark.createDataFrame([(1, 1, "a", "x"), (None, 1, "n", "x"), (None, 2, "m", "x")], "id int, ts int, v string, p string")
+    rows.write.parquet(src)
+    a, b = ChangeTable(spark, f"{tmp_table}/a", SPEC), ChangeTable(spark, f"{tmp_table}/b", SPEC)
+    a.bootstrap(src)
+    b.upsert(rows)
+    assert snap(a) == snap(b) == [(1, "a")]
+    assert a.commit_rows()[0]["num_rejected"] == b.commit_rows()[0]["num_rejected"] == 2
+
+
+def test_derive_moves_the_bookmark_last(spark, tmp_table, monkeypatch):            # R7
+    src, out = ChangeTable(spark, f"{tmp_table}/s", SPEC), ChangeTable(spark, f"{tmp_table}/t", SPEC.with_(partitions=()))
+    src.upsert(batch(spark, [(1, 1, "a", "x", "I"), (2, 1, "b", "x", "I")]), commit_time="20240101000000000")
+    run = lambda: derive(src, out, "c", now="20250101000000000", begin="20230101000000000" if Bookmark(spark, src.path, "c").get() is None else None, deletes=True)
+    with monkeypatch.context() as m:
+        m.setattr(Bookmark, "set", lambda self, v: (_ for _ in ()).throw(OSError("no space")))
+        with pytest.raises(OSError):
+            run()
+    assert len(out.commit_times()) == 1
+    run()                                               # repeats the range: the commit is there already
+    assert len(out.commit_times()) == 1 and run() is None
+    src.upsert(batch(spark, [(1, 2, "", "x", "D")]), op_col="Op", commit_time="20240102000000000")
+    assert run() is not None and snap(out) == [(2, "b")]
+
+
+def test_registered_name_follows_commits(spark, tmp_table):                         # W14
+    t = ChangeTable(spark, f"{tmp_table}/it's", SPEC)
+    t.upsert(batch(spark, [(1, 1, "a", "x'y", "I"), (2, 1, "b", None, "I")]))
+    t.register("test_follow")
+    t.upsert(batch(spark, [(1, 2, "a2", "x'y", "U"), (2, 2, "", None, "D")]), op_col="Op")
+    t.register("test_follow")
+    assert [(r.id, r.v) for r in spark.sql("select id, v from test_follow").collect()] == [(1, "a2")]
+    assert len(spark.sql("show tables like 'test_follow_*'").collect()) == 1
+
+
+def test_file_size_and_write_width(spark, tmp_table):                               # W16
+    rows = spark.range(40_000).selectExpr("cast(id as int) id", "1 as ts", "uuid() as v", "'x' as p")
+    files_of = lambda t: t.read_log().select("_metadata.file_path").distinct().count()
+    small = ChangeTable(spark, f"{tmp_table}/a", SPEC.with_(target_file_bytes=200_000))
+    small.upsert(rows)
+    large = ChangeTable(spark, f"{tmp_table}/b", SPEC.with_(target_file_bytes=1 << 30, write_tasks=3))
+    large.upsert(rows)
+    assert files_of(small) > 3 >= files_of(large)

@@ -1,14 +1,13 @@
 from tidemark.functions.columns import (  # noqa: F401
     as_date,
+    as_view,
     conform,
     drop_if_present,
     ensure_op,
     epoch_seconds,
     lower_columns,
     normalize_path,
-    payload_text,
     require,
-    select_field,
     split_rejects,
     sql_transform,
     stringify,

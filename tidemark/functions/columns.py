@@ -11,16 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
-
-
-def payload_text(df: DataFrame, col: str = "value", alias: str | None = None) -> DataFrame:
-    """Bytes -> string (Kafka ``value`` / Kinesis ``data``)."""
-    return df.withColumn(alias or col, F.col(col).cast("string"))
-
-
-def select_field(df: DataFrame, path: str, alias: str | None = None) -> DataFrame:
-    """Take one nested field, e.g. ``j.filePath``."""
-    return df.select(F.col(path).alias(alias or path.split(".")[-1]))
+#: Epoch seconds of the years 1 to 9999.
+EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
@@ -72,12 +64,14 @@ def epoch_seconds(c: Column | str) -> Column:
 
 
 def epoch_to_ntz(c: Column | str) -> Column:
-    """Epoch seconds (any text/number) -> ``timestamp_ntz``; null when not a number.
+    """Epoch seconds (any text/number) -> ``timestamp_ntz``; null when not a
+    number or beyond the years 1 to 9999 (milliseconds, say).
 
     ``try_cast`` keeps ANSI mode from failing on text such as ``'abc'`` (Q2).
     """
     c = F.col(c) if isinstance(c, str) else c
     secs = c.try_cast("bigint")
+    secs = F.when(secs.between(*EPOCH_RANGE), secs)
     return F.expr(EPOCH_NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
 
 
@@ -125,10 +119,12 @@ def split_rejects(
     time_col: str | None = None,
     corrupt_col: str | None = "_corrupt_record",
     reason: str = "reject_reason",
+    op_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """One ``reason`` column, then two filters over the same plan.
 
-    Order of reasons: malformed payload, null key, unparseable time.
+    Order of reasons: malformed payload, null key, unparseable time, unknown
+    operation (not I, U or D in any case; null is none of these and passes).
     """
     conds = []
     if corrupt_col and corrupt_col in df.columns:
@@ -136,6 +132,8 @@ def split_rejects(
     conds.append((F.col(key).isNull(), "null_key"))
     if time_col:
         conds.append((F.col(time_col).isNull(), "bad_time"))
+    if op_col:
+        conds.append((~F.upper(F.col(op_col)).isin("I", "U", "D"), "unknown_op"))
     expr = None
     for cond, label in conds:
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
@@ -192,6 +190,12 @@ def ensure_op(df: DataFrame, default: str = "I", name: str = "Op") -> DataFrame:
     return df.withColumn(name, F.lit(default))
 
 
+def as_view(df: DataFrame, name: str) -> DataFrame:
+    """Register a DataFrame as a SQL view of the session."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def sql_transform(df: DataFrame, query: str, token: str = "<SRC>") -> DataFrame:
     """SQL text over the batch; ``<SRC>`` stands for the batch.
 
@@ -207,4 +211,6 @@ def normalize_path(c: Column | str) -> Column:
     ``/a/b`` and ``s3://bkt/a`` vs ``s3a://bkt/a`` compare equal."""
     c = F.col(c) if isinstance(c, str) else c
     stripped = F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//)?", "")
-    return F.regexp_replace(F.try_url_decode(stripped), r"^/+", "/")
+    # a plus is itself in a path, and a percent sign without two hex digits too
+    literal = F.regexp_replace(F.regexp_replace(stripped, r"%(?![0-9A-Fa-f]{2})", "%25"), r"\+", "%2B")
+    return F.regexp_replace(F.try_url_decode(literal), r"^/+", "/")

@@ -55,14 +55,6 @@ def commit_cutoff_col(ts: Column | str, minutes: int, fmt: str = INSTANT_FMT) ->
     return F.date_format(ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)), fmt)
 
 
-def instant_to_ntz(c: Column | str) -> Column:
-    """17-digit instant -> ``timestamp_ntz`` (14 digits parsed, millis added)."""
-    c = F.col(c) if isinstance(c, str) else c
-    base = F.to_timestamp_ntz(F.substring(c, 1, 14), F.lit("yyyyMMddHHmmss"))
-    millis = F.substring(c, 15, 3).try_cast("int")
-    return base + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.coalesce(millis, F.lit(0)) / F.lit(1000))
-
-
 def max_commit(df: DataFrame, col: str = COMMIT, alias: str = "max_commit") -> DataFrame:
     """Newest commit instant (one row; null when empty).
 

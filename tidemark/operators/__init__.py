@@ -17,4 +17,4 @@ from tidemark.operators.timeline import (  # noqa: F401
     expire,
     show_commits,
 )
-from tidemark.operators.table import ChangeTable  # noqa: F401
+from tidemark.operators.table import Bookmark, ChangeTable, derive, next_range  # noqa: F401

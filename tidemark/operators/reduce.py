@@ -45,8 +45,8 @@ def _desc(cols: list[str]) -> list[Column]:
     return [F.col(f"`{c}`").desc_nulls_last() for c in cols]
 
 
-def winner_order(df: DataFrame, spec: TableSpec, within_batch: bool = False) -> list[Column]:
-    """Total order of versions of one key, greatest first."""
+def winner_order(df: DataFrame, spec: TableSpec, within_batch: bool = False, least_first: bool = False) -> list[Column]:
+    """Total order of versions of one key, greatest first (or last)."""
     cols = df.columns
     seq = [FILE_SEQ] if FILE_SEQ in cols else []
     commit = [COMMIT] if (COMMIT in cols and not within_batch) else []
@@ -58,7 +58,7 @@ def winner_order(df: DataFrame, spec: TableSpec, within_batch: bool = False) ->
         keys = commit + seq + order + tb
     else:
         keys = order + commit + seq + tb
-    return _desc(keys)
+    return [F.col(f"`{c}`").asc_nulls_first() for c in keys] if least_first else _desc(keys)
 
 
 def latest_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
@@ -77,8 +77,8 @@ def to_log_rows(
 ) -> DataFrame:
     """Add the system columns to change rows: key, op, file sequence (and commit).
 
-    ``op_col`` names a column holding I/U/D (DMS ``Op``); rows without one are
-    upserts. Partition columns are cast to string (hive-style layout).
+    ``op_col`` names a column holding I/U/D in any case (it must exist); null
+    means ``op_default``, an unknown value gives a null operation. Partition columns are cast to string (hive-style layout).
     """
     key_parts: list[Column] = []
     for i, k in enumerate(spec.keys):
@@ -86,9 +86,14 @@ def to_log_rows(
             key_parts.append(F.lit("#"))
         key_parts.append(F.col(f"`{k}`").cast("string"))
     key = key_parts[0] if len(key_parts) == 1 else F.concat(*key_parts)
-    if op_col and op_col in df.columns:
-        op = F.upper(F.col(f"`{op_col}`"))
-        op = F.when(op.isin("I", "U", "D"), op).otherwise(F.lit(op_default))
+    if op_col:
+        found = [c for c in df.columns if c.lower() == op_col.lower()]
+        if not found:
+            raise ValueError(f"no operation column {op_col!r} in {df.columns}")
+        op_col = found[0]
+        op = F.upper(F.trim(F.col(f"`{op_col}`")))
+        # an unknown operation stays null: the writer counts it as a reject
+        op = F.when(op.isNull(), F.lit(op_default)).when(op.isin("I", "U", "D"), op)
     else:
         op = F.lit(op_default)
     seq = file_seq if isinstance(file_seq, Column) else F.lit(int(file_seq or 0))
@@ -98,7 +103,7 @@ def to_log_rows(
     if commit_time is not None:
         cols[COMMIT] = F.lit(normalize_instant(commit_time))
     out = df.withColumns(cols)
-    if op_col and op_col in out.columns and op_col not in (OP,):
+    if op_col and op_col != OP:
         out = out.drop(op_col)
     return out
 

@@ -2,67 +2,52 @@
 
 Layout under the table path::
 
-    log/_commit_time=<instant>/<partition>=<v>/part-*.parquet   change rows
-    _commits/part-*.json                                          commit rows
-    base/<instant>/...                                            compactions
-    _pins/, _bookmarks/<consumer>/                                small side tables
-
-A commit counts once its row is in ``_commits``; the row is written after
-the data, so a crash between the two leaves an invisible partition and a
-replay of the same (query, batch) finds its row and does nothing. All reads
-filter the log to committed instants, which prunes partitions at the scan.
-Single writer per table (stated limit).
+    log/_commit_time=<t>/<partition>=<v>/part-*.parquet   the rows of one commit
+    base/<t>/<partition>=<v>/part-*.parquet               compactions: one row per key
+    expired/<t>/_commit_time=<c>/...                      versions that expiry kept
+    _meta/commits/                                        commit rows, one small file each, folded now and then
+    _meta/schemas/<t>.json, _meta/bases/<t>.json          written once, named by commit rows
+    _meta/pins/<t>, _meta/bookmarks/<consumer>.json
+
+A commit counts once its row exists; the row is written after the data, so a
+crash between the two leaves an invisible folder, and a replay of the same
+(query, batch) finds its row and does nothing. Readers open only the folders
+of committed instants. One writer per table (stated limit).
 """
 
 from __future__ import annotations
 
 import json
-import time
-from urllib.parse import unquote
 from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.instants import format_instant, normalize_instant, now_instant, parse_instant
+from tidemark import files
+from tidemark.functions.instants import commit_cutoff, format_instant, normalize_instant, now_instant, parse_instant
 from tidemark.operators import reduce as R
 from tidemark.operators import timeline as TL
+from tidemark.schemas import merged, shaped
 from tidemark.session import AQE_WRITE_CONF, WRITE_CONF, scoped_conf
-from tidemark.spec import COMMIT, KEY, OP, TableSpec
-
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("commit_time", T.StringType()),
-        T.StructField("kind", T.StringType()),          # upsert | bootstrap | compaction | expire
-        T.StructField("query_id", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("num_rows", T.LongType()),
-        T.StructField("num_deletes", T.LongType()),
-        T.StructField("source", T.StringType()),        # bootstrap source / compaction base / expired dir
-        T.StructField("upto", T.StringType()),          # compaction / expire: last commit covered
-        T.StructField("schema_json", T.StringType()),
-        T.StructField("written_at", T.StringType()),
-    ]
-)
-
-PIN_SCHEMA = T.StructType([T.StructField("commit_time", T.StringType()), T.StructField("pinned", T.BooleanType()),
-                           T.StructField("written_at", T.StringType())])
-BOOKMARK_SCHEMA = T.StructType([T.StructField("consumer", T.StringType()), T.StructField("value", T.StringType()),
-                                T.StructField("written_at", T.StringType())])
-
-# Above this many committed instants, reads semi-join the commit list
-# instead of inlining it as a literal IN-list.
-MAX_INLINE_COMMITS = 5000
-# Commit rows are folded into one checkpoint file every this many commits.
-COMMITS_PER_CHECKPOINT = 100
+from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
 
+COMMIT_SCHEMA = (
+    "commit_time string, kind string, query_id string, batch_id long, num_rows long, num_inserts long, num_updates long, "
+    "num_deletes long, num_rejected long, source string, upto string, schema_id string, written_at string"
+)
+COMMIT_FIELDS = [c.split()[0] for c in COMMIT_SCHEMA.split(", ")]
+DATA_KINDS = ("upsert", "replace", "bootstrap")
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+#: Commit rows are folded into one file once so many single files have come since the last fold.
+FOLD_AFTER = 100
+#: Rows of commits that are no longer readable stay in listings up to this many.
+HISTORY = 1000
+#: Keys of the tail are broadcast against the base up to this many rows (the
+#: count is known from the commit rows); beyond it the join is hashed by shuffle.
+BROADCAST_KEYS = 200_000
 
 
 def _stamp() -> str:
@@ -70,7 +55,7 @@ def _stamp() -> str:
 
 
 class ChangeTable:
-    """A keyed table: upserts append commits to a log; reads reduce it."""
+    """Upserts append commits to a log; reads reduce it."""
 
     def __init__(self, spark: SparkSession, path: str, spec: TableSpec):
         self.spark = spark
@@ -82,103 +67,102 @@ class ChangeTable:
     def log_path(self) -> str:
         return f"{self.path}/log"
 
-    @property
-    def commits_path(self) -> str:
-        return f"{self.path}/_commits"
-
-    def _append_json(self, path: str, rows: list[dict], schema: T.StructType) -> None:
-        df = self.spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
-        df.coalesce(1).write.mode("append").json(path)
-
-    def _read_json(self, path: str, schema: T.StructType) -> DataFrame | None:
-        if not _fs_exists(self.spark, path):
-            return None
-        return self.spark.read.schema(schema).json(path)
-
-    # The commit log: rows of epoch e go to ``_commits/<e>``; a checkpoint of
-    # epoch e+1 folds every earlier row into ``_commits_ckpt/<e+1>`` (one file),
-    # so a reader lists one checkpoint and one small folder however long the
-    # table has lived.
-    @property
-    def ckpt_path(self) -> str:
-        return f"{self.path}/_commits_ckpt"
-
-    def _epoch(self) -> int:
-        if not _fs_exists(self.spark, self.ckpt_path):
-            return 0
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.ckpt_path)
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [str(st.getPath().getName()) for st in fs.listStatus(p) if st.isDirectory()]
-        done = [int(n) for n in names if n.isdigit() and _fs_exists(self.spark, f"{self.ckpt_path}/{n}/_SUCCESS")]
-        return max(done) if done else 0
-
-    def _commit_sources(self, epoch: int) -> list[DataFrame]:
-        out = []
-        if epoch:
-            out.append(self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.ckpt_path}/{epoch:06d}"))
-        cur = self._read_json(f"{self.commits_path}/{epoch:06d}", COMMIT_SCHEMA)
-        if cur is not None:
-            out.append(cur)
-        return out
-
-    def _write_commit_row(self, row: dict) -> None:
-        self._append_json(f"{self.commits_path}/{self._epoch():06d}", [row], COMMIT_SCHEMA)
+    def _meta(self, *parts: str) -> str:
+        return "/".join([self.path, "_meta", *parts])
 
-    def checkpoint_commits(self) -> int:
-        """Fold all commit rows into one checkpoint file; returns the new epoch."""
-        rows = self.commit_rows()
-        nxt = self._epoch() + 1
-        df = self.spark.createDataFrame([tuple(r.get(f.name) for f in COMMIT_SCHEMA.fields) for r in rows], COMMIT_SCHEMA)
-        df.coalesce(1).write.mode("errorifexists").json(f"{self.ckpt_path}/{nxt:06d}")
-        return nxt
+    def commit_dir(self, t: str) -> str:
+        return f"{self.log_path}/{COMMIT}={t}"
 
     def commit_rows(self) -> list[dict]:
-        """Committed instants, oldest first (one row per commit; metadata only)."""
-        srcs = self._commit_sources(self._epoch())
-        if not srcs:
+        """Commit rows, oldest first. Metadata only; ``expire`` bounds their number."""
+        names = files.names(self.spark, self._meta("commits"))
+        folds = [n for n in names if n.startswith("fold-")]
+        # rows that a fold holds may still be there as single files: same commit, same row
+        wanted = folds[-1:] + [n for n in names if not n.startswith("fold-")]
+        if not wanted:
             return []
-        df = srcs[0]
-        for d in srcs[1:]:
-            df = df.unionByName(d)
-        rows = [r.asDict() for r in df.collect()]
-        latest: dict[str, dict] = {}
-        for r in rows:
-            cur = latest.get(r["commit_time"])
-            if cur is None or (r["written_at"] or "") > (cur["written_at"] or ""):
-                latest[r["commit_time"]] = r
-        return [latest[k] for k in sorted(latest)]
+        rows = self.spark.read.schema(COMMIT_SCHEMA).json([self._meta("commits", n) for n in wanted]).collect()
+        return sorted({r["commit_time"]: r.asDict() for r in rows}.values(), key=lambda r: r["commit_time"])
+
+    def _add_row(self, **row) -> None:
+        row = {k: row.get(k) for k in COMMIT_FIELDS} | {"written_at": _stamp()}
+        files.write_text(self.spark, self._meta("commits", f"{row['commit_time']}.json"), json.dumps(row) + "\n")
+        names = files.names(self.spark, self._meta("commits"))
+        if sum(not n.startswith("fold-") for n in names) >= FOLD_AFTER:
+            self.fold(self.commit_rows())
+
+    def fold(self, rows: list[dict]) -> None:
+        """Keep ``rows`` as one file. Single files go only once it is there."""
+        before = files.names(self.spark, self._meta("commits"))
+        name = f"fold-{_stamp()}.json".replace(":", "")
+        files.write_text(self.spark, self._meta("commits", name), "".join(json.dumps(r) + "\n" for r in rows))
+        for n in before:
+            files.delete(self.spark, self._meta("commits", n))
 
     def commits(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [tuple(r.get(f.name) for f in COMMIT_SCHEMA.fields) for r in self.commit_rows()], COMMIT_SCHEMA)
+        return self._frame(self.commit_rows(), COMMIT_FIELDS)
+
+    def _frame(self, rows: list[dict], fields: list[str]) -> DataFrame:
+        schema = ", ".join(c for c in COMMIT_SCHEMA.split(", ") if c.split()[0] in fields)
+        fields = [c.split()[0] for c in schema.split(", ")]
+        return self.spark.createDataFrame([tuple(r[f] for f in fields) for r in rows], schema)
 
-    def commit_times(self, kinds=("upsert", "bootstrap")) -> list[str]:
-        return [r["commit_time"] for r in self.commit_rows() if r["kind"] in kinds]
+    def commit_times(self, rows: list[dict] | None = None) -> list[str]:
+        """Instants of data commits that can still be read, oldest first."""
+        rows = self.commit_rows() if rows is None else rows
+        gone = self._horizon(rows)
+        return [r["commit_time"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > gone]
+
+    def commit_list(self, since: str | None = None) -> DataFrame:
+        """R5 from the commit rows: data commits after ``since``, newest first."""
+        since = normalize_instant(since) if since else ""
+        rows = [r for r in reversed(self.commit_rows()) if r["kind"] in DATA_KINDS and r["commit_time"] > since]
+        return self._frame(rows, ["commit_time"])
 
-    def last_commit(self) -> str | None:
-        ts = self.commit_times(("upsert", "bootstrap", "compaction", "expire"))
-        return ts[-1] if ts else None
+    def max_commit(self) -> DataFrame:
+        """P18 from the commit rows (one row; null for an empty table)."""
+        return self.spark.createDataFrame([((self.commit_times() or [None])[-1],)], "max_commit string")
+
+    def show_commits(self, n: int = 10) -> DataFrame:
+        """R8 from the commit rows: what each commit wrote, newest first."""
+        rows = [r for r in reversed(self.commit_rows()) if r["kind"] in DATA_KINDS][:n]
+        return self._frame(rows, ["commit_time", "num_rows", "num_inserts", "num_updates", "num_deletes"])
 
     def schema(self, rows: list[dict] | None = None) -> T.StructType | None:
         for r in reversed(self.commit_rows() if rows is None else rows):
-            if r.get("schema_json"):
-                return T.StructType.fromJson(json.loads(r["schema_json"]))
+            if r["schema_id"]:
+                return T.StructType.fromJson(json.loads(files.read_text(self.spark, self._meta("schemas", f"{r['schema_id']}.json"))))
         return None
 
-    def _next_instant(self, wanted: str | None = None, rows: list[dict] | None = None) -> str:
+    def _schema_id(self, t: str, rows: list[dict], schema: T.StructType) -> str:
+        """The id of the stored schema; a new one is stored only when it changed."""
+        last = next((r["schema_id"] for r in reversed(rows) if r["schema_id"]), None)
+        if last and self.schema(rows) == schema:
+            return last
+        files.write_text(self.spark, self._meta("schemas", f"{t}.json"), json.dumps(schema.jsonValue()))
+        return t
+
+    def _next_instant(self, wanted: str | None, rows: list[dict]) -> str:
         """A fresh instant strictly after the last commit."""
         t = normalize_instant(wanted) if wanted else now_instant()
-        rows = self.commit_rows() if rows is None else rows
-        last = rows[-1]["commit_time"] if rows else None
-        if last is not None and t <= last:
+        last = rows[-1]["commit_time"] if rows else ""
+        if t <= last:
             if wanted:
                 raise ValueError(f"commit {t} is not after the last commit {last}")
             t = format_instant(parse_instant(last) + timedelta(milliseconds=1))
         return t
 
-    def commit_dir(self, t: str) -> str:
-        return f"{self.log_path}/{COMMIT}={t}"
+    @staticmethod
+    def _horizon(rows: list[dict]) -> str:
+        """The last commit whose versions expiry has thinned out."""
+        return max((r["upto"] for r in rows if r["kind"] == "expire"), default="")
+
+    def _check_readable(self, t: str, rows: list[dict]) -> None:
+        """The state at ``t`` is that of the newest commit up to it, which must be retained or pinned."""
+        seen = [r["commit_time"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= t]
+        gone = self._horizon(rows)
+        if gone and (not seen or seen[-1] <= gone) and not (seen and seen[-1] in self.pins()):
+            raise ValueError(f"the table as of {t} has expired: commits up to {gone} are neither retained nor pinned")
 
     # ------------------------------------------------------------------ writes
     def upsert(
@@ -190,346 +174,350 @@ class ChangeTable:
         query_id: str | None = None,
         batch_id: int | None = None,
         prepared: bool = False,
+        replace: bool = False,
     ) -> str:
         """Precombine the batch and append it as one commit.
 
         Idempotent per (query_id, batch_id): a replayed micro-batch whose
-        commit row exists is skipped; one that crashed before its commit row
-        is simply written again under a fresh instant.
+        commit row exists is skipped; one that crashed before its row is
+        written again under a fresh instant. Rows with a null key or an
+        unknown operation are not written but counted (``num_rejected``). The
+        batch may lack columns, add some, or widen types. An empty batch is a
+        commit without rows. ``replace`` (W9): the batch becomes the table.
         """
-        existing = self.commit_rows()
+        rows = self.commit_rows()
         if query_id is not None and batch_id is not None:
-            for r in existing:
+            for r in rows:
                 if r["query_id"] == query_id and r["batch_id"] == batch_id:
                     return r["commit_time"]
-        t = self._next_instant(commit_time, existing)
-        rows = df if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)
-        rows = rows.where(F.col(KEY).isNotNull())
-        rows = R.precombine(rows, self.spec).withColumn(COMMIT, F.lit(t))
-        # row counts come from the write itself (observed metrics, no second job)
-        obs = Observation(f"commit-{t}")
-        self._write_log(rows.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(OP) == "D").alias("d")))
-        stats = obs.get
-        self._write_commit_row(
-            dict(commit_time=t, kind="upsert", query_id=query_id, batch_id=batch_id, num_rows=stats.get("n"),
-                 num_deletes=stats.get("d"), schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())
-        )
-        if (len(existing) + 1) % COMMITS_PER_CHECKPOINT == 0:
-            self.checkpoint_commits()
+        t = self._next_instant(commit_time, rows)
+        batch = (df if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)).withColumn(COMMIT, F.lit(t))
+        schema = merged(self.schema(rows), batch.schema)
+        batch = shaped(batch, schema)
+        bad = F.col(KEY).isNull() | F.col(OP).isNull()
+        seen = Observation()
+        good = R.precombine(batch.observe(seen, F.count_if(bad).alias("rejected")).where(~bad), self.spec)
+        self._write_log(good)
+        try:
+            rejected = seen.get["rejected"]
+        except (AssertionError, KeyError, Py4JJavaError):  # an empty plan is pruned together with its metrics
+            rejected = batch.where(bad).count()
+        counts = self._counts(t, rows, schema, replace)
+        self._add_row(commit_time=t, kind="replace" if replace else "upsert", query_id=query_id, batch_id=batch_id,
+                      num_rejected=rejected, schema_id=self._schema_id(t, rows, schema), **counts)
         return t
 
-    def _write_log(self, rows: DataFrame) -> None:
-        parts = [COMMIT, *self.spec.partitions]
-        # REBALANCE lets AQE split a hot partition value over several tasks
-        # and merge small ones, so each directory gets right-sized files.
-        hinted = rows.hint("rebalance", *self.spec.partitions) if self.spec.partitions else rows.hint("rebalance")
-        # The write relies on AQE: without it REBALANCE degrades to a plain hash
-        # repartition and a hot partition value (the current hour of a trade
-        # stream) lands in one task. Spark 4.1 plans foreachBatch writes
-        # adaptively; the scoped setting keeps that true for sessions (or
-        # older stream session clones) that have AQE off.
-        with scoped_conf(rows.sparkSession, {**WRITE_CONF, **AQE_WRITE_CONF}):
-            (
-                hinted.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .option("maxRecordsPerFile", self.spec.target_rows_per_file)
-                .partitionBy(*parts)
-                .parquet(self.log_path)
-            )
+    def _write_log(self, good: DataFrame) -> None:
+        self._write(good, self.log_path, [COMMIT, *self.spec.partitions], "overwrite")
+
+    def _write(self, df: DataFrame, path: str, by: list[str], mode: str) -> None:
+        """REBALANCE lets AQE split a hot partition value over several tasks and
+        merge small ones. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16)."""
+        cols = list(self.spec.partitions)
+        width = [self.spec.write_tasks] if self.spec.write_tasks else []
+        conf = {**WRITE_CONF, **AQE_WRITE_CONF}
+        if self.spec.target_file_bytes:
+            conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(self.spec.target_file_bytes)
+        with scoped_conf(df.sparkSession, conf):
+            w = df.hint("rebalance", *width, *cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            w = w.option("maxRecordsPerFile", self.spec.target_rows_per_file)
+            (w.partitionBy(*by) if by else w).parquet(path)
+
+    def _counts(self, t: str, rows: list[dict], schema: T.StructType, replace: bool) -> dict:
+        """What the commit's folder holds. A row is an update if an earlier commit has its key:
+        the earlier keys are streamed past those of the commit, key columns only."""
+        if not files.exists(self.spark, self.commit_dir(t)):
+            return dict(num_rows=0, num_inserts=0, num_updates=0, num_deletes=0)
+        new = self._read_commits([t], schema)
+        n, d = new.agg(F.count("*"), F.count_if(F.col(OP) == "D")).first()
+        updates = 0
+        if self.spec.count_inserts and not replace and any(r["kind"] in DATA_KINDS for r in rows):
+            keys = list(self.spec.key_columns)
+            old = self.read_log(rows=rows).select(*keys)
+            updates = old.join(new.where(F.col(OP) != "D").select(*keys), on=keys, how="left_semi").distinct().count()
+        if not self.spec.count_inserts:
+            return dict(num_rows=n, num_deletes=d)
+        return dict(num_rows=n, num_inserts=n - d - updates, num_updates=updates, num_deletes=d)
 
     def bootstrap(self, source_path: str, commit_time: str | None = None, fmt: str = "parquet") -> str:
-        """Adopt existing files as the first commit without rewriting them.
-
-        Only a commit row is written; reads add ``_commit_time``, the key and
-        ``_op='I'`` on the fly over the source files.
-        """
-        t = self._next_instant(commit_time)
-        src = self.spark.read.format(fmt).load(source_path)
-        rows = R.to_log_rows(src, self.spec, op_default="I", commit_time=t)
-        self._write_commit_row(
-            dict(commit_time=t, kind="bootstrap", source=source_path, num_rows=None, num_deletes=0,
-                 schema_json=json.dumps(rows.schema.jsonValue()), written_at=_stamp())
-        )
+        """Adopt existing files as a commit without rewriting them. Reads
+        add the system columns on the fly; rows with a null key are not part
+        of the table and are counted, as in ``upsert``."""
+        rows = self.commit_rows()
+        t = self._next_instant(commit_time, rows)
+        src = R.to_log_rows(self.spark.read.format(fmt).load(source_path), self.spec, op_default="I", commit_time=t)
+        schema = merged(self.schema(rows), src.schema)
+        n, bad = src.agg(F.count(KEY), F.count_if(F.col(KEY).isNull())).first()
+        self._add_row(commit_time=t, kind="bootstrap", source=json.dumps({"path": source_path, "format": fmt}), num_rows=n, num_inserts=n,
+                      num_updates=0, num_deletes=0, num_rejected=bad, schema_id=self._schema_id(t, rows, schema))
         return t
 
     def compact(self, commit_time: str | None = None) -> str | None:
         """Materialise the current state as a base; later reads take the
         base plus newer commits.
 
-        Only partitions touched since the previous compaction are rewritten:
-        those the new commits write to and, with a global key scope, those
-        holding the old copy of a key that changed (a semi-join of the base
-        with the changed keys). Untouched partition folders of earlier bases
-        are carried over by reference in the compaction row, so the cost
-        follows the changes, not the table size. Tombstones stay in the base
-        in ``event_time`` mode (an older update must not revive a deleted
-        key). The log is left in place for as-of reads until expiry.
+        Only partitions that changed keys touch are rewritten: those they are
+        in now and, with a global key scope, those of their old copies. Other
+        partition folders are carried over by name. The tail is reduced once.
+        Tombstones stay in the base in ``event_time`` mode (an older update
+        must not revive a deleted key).
         """
         rows = self.commit_rows()
-        data = [r["commit_time"] for r in rows if r["kind"] in ("upsert", "bootstrap")]
+        data = self.commit_times(rows)
         if not data:
             return None
-        upto = data[-1]
-        prev = ([r for r in rows if r["kind"] == "compaction"] or [None])[-1]
-        if prev is not None and prev["upto"] >= upto:
-            return prev["commit_time"]
-        keep_tomb = self.spec.merge == "event_time"
-        parts = list(self.spec.partitions)
-        schema = self.schema(rows)
+        base = self._base(rows)
+        if base and base["upto"] >= data[-1]:
+            return base["commit_time"]
         t = self._next_instant(commit_time, rows)
-        out = f"{self.path}/base/{t}"
-        carried: list[str] = []
-        if prev is None or not parts:
-            state = R.snapshot(self.read_log(), self.spec, keep_tombstones=keep_tomb)
+        schema, parts = self.schema(rows), list(self.spec.partitions)
+        root, carried = f"{self.path}/base/{t}", []
+        keep = self.spec.merge == "event_time"
+        if base is None or not parts:
+            self._write(self._state(rows, keep), root, parts, "errorifexists")
         else:
-            prev_leaves = _base_leaves(prev)
-            new = self.read_log(since=prev["upto"], use_base=False)
-            touched_df = new.select(*parts)
-            if self.spec.key_scope == "global":
-                moved = self._read_leaves(prev_leaves, schema).join(
-                    new.select(KEY).distinct(), on=KEY, how="left_semi").select(*parts)
-                touched_df = touched_df.unionByName(moved)
-            # distinct partition values: bounded by the partition count, not the data
-            touched = {tuple(r) for r in touched_df.distinct().collect()}
-            hit = [d for d in prev_leaves if _leaf_values(d, len(parts)) in touched]
-            carried = [d for d in prev_leaves if _leaf_values(d, len(parts)) not in touched]
-            old = self._read_leaves(hit, schema) if hit else None
-            merged = new if old is None else old.unionByName(new, allowMissingColumns=True)
-            state = R.snapshot(merged, self.spec, keep_tombstones=keep_tomb)
-        w = state.hint("rebalance", *parts) if parts else state.hint("rebalance")
-        w = w.write.mode("errorifexists").option("maxRecordsPerFile", self.spec.target_rows_per_file)
-        if parts:
-            w = w.partitionBy(*parts)
-        with scoped_conf(self.spark, WRITE_CONF):
-            w.parquet(out)
-        leaves = carried + _list_leaves(self.spark, out, len(parts))
-        self._write_commit_row(
-            dict(commit_time=t, kind="compaction", source=json.dumps({"root": out, "leaves": leaves}), upto=upto,
-                 schema_json=json.dumps(schema.jsonValue()), written_at=_stamp())
-        )
+            leaves = self._leaves(base)
+            won = R.snapshot(self.read_log(since=base["upto"], rows=rows), self.spec, keep_tombstones=True).persist()
+            try:
+                touched = won.select(*parts)
+                if self.spec.key_scope == "global":
+                    moved = self._beside(self._read_leaves(leaves, schema), won, base, rows, "left_semi")
+                    touched = touched.unionByName(moved.select(*parts))
+                values = {tuple(r) for r in touched.distinct().collect()}  # partition values, not rows
+                carried = [d for d in leaves if _leaf_values(d, len(parts)) not in values]
+                hit = [d for d in leaves if _leaf_values(d, len(parts)) in values]
+                old = self._read_leaves(hit, schema)
+                self._write(self._merged(old, won, base, rows, keep), root, parts, "errorifexists")
+            finally:
+                won.unpersist()
+        leaves = carried + _list_leaves(self.spark, root, len(parts))
+        files.write_text(self.spark, self._meta("bases", f"{t}.json"), json.dumps({"root": root, "leaves": leaves}))
+        self._add_row(commit_time=t, kind="compaction", upto=data[-1])
         return t
 
+    # ------------------------------------------------------------------- reads
+    def _base(self, rows: list[dict]) -> dict | None:
+        """The newest compaction that no later ``replace`` made void."""
+        void = max((r["commit_time"] for r in rows if r["kind"] == "replace"), default="")
+        found = [r for r in rows if r["kind"] == "compaction" and r["upto"] >= void]
+        return found[-1] if found else None
+
+    def _manifest(self, base: dict) -> dict:
+        return json.loads(files.read_text(self.spark, self._meta("bases", f"{base['commit_time']}.json")))
+
+    def _leaves(self, base: dict) -> list[str]:
+        return self._manifest(base)["leaves"]
+
     def _read_leaves(self, leaves: list[str], schema: T.StructType) -> DataFrame:
-        """Read base partition folders; folders of one base share a basePath."""
+        """Base partition folders; those of one base share a basePath."""
         by_root: dict[str, list[str]] = {}
         depth = len(self.spec.partitions)
         for d in leaves:
-            root = d.rstrip("/").rsplit("/", depth)[0] if depth else d
-            by_root.setdefault(root, []).append(d)
-        out = None
+            by_root.setdefault(d.rstrip("/").rsplit("/", depth)[0] if depth else d, []).append(d)
+        out = self.spark.createDataFrame([], schema) if not by_root else None
         for root, dirs in sorted(by_root.items()):
-            df = self.spark.read.option("basePath", root).schema(schema).parquet(*dirs)
+            df = shaped(self.spark.read.option("basePath", root).schema(schema).parquet(*dirs), schema)
             out = df if out is None else out.unionByName(df)
-        if out is None:
-            return self.spark.createDataFrame([], schema)
         return out
 
-    # ------------------------------------------------------------------- reads
-    def read_log(self, upto: str | None = None, use_base: bool = True, since: str | None = None) -> DataFrame:
-        """Committed change rows (optionally only up to ``upto``).
+    def _read_commits(self, times: list[str], schema: T.StructType, root: str | None = None) -> DataFrame:
+        root = root or self.log_path
+        df = self.spark.read.option("basePath", root).schema(schema).parquet(*[f"{root}/{COMMIT}={t}" for t in times])
+        return shaped(df, schema)
 
-        Reads always pass the stored schema: partition values such as
-        ``month=2`` or the 17-digit instants stay strings (Q4).
+    def read_log(self, upto: str | None = None, since: str | None = None, rows: list[dict] | None = None, replaced: bool = False) -> DataFrame:
+        """Committed change rows of the instants in ``(since, upto]``.
+
+        Only folders of commits in the range are opened, always with the
+        stored schema, so partition values and instants stay text (Q4).
+        ``replaced``: also what a later ``replace`` commit made void.
         """
-        all_rows = self.commit_rows()
-        rows = list(all_rows)
-        schema = self.schema(all_rows)
+        rows = self.commit_rows() if rows is None else rows
+        schema = self.schema(rows)
         if schema is None:
             raise ValueError(f"table {self.path} has no commits")
-        upto = normalize_instant(upto) if upto else None
-        if upto:
-            rows = [r for r in rows if r["commit_time"] <= upto]
-        if since:
-            since = normalize_instant(since)
-            rows = [r for r in rows if r["commit_time"] > since and r["kind"] != "compaction"]
-        base_row = None
-        if use_base:
-            for r in rows:
-                if r["kind"] == "compaction":
-                    base_row = r
-        floor = base_row["upto"] if base_row else None
-        # the newest expiry replaces every commit up to its ``upto`` by the versions it kept
-        exp_row = None
-        for r in all_rows:
-            if r["kind"] == "expire":
-                exp_row = r
-        exp_upto = exp_row["upto"] if exp_row else None
+        lo = normalize_instant(since) if since else ""
+        hi = normalize_instant(upto) if upto else "9" * 17
+        if not replaced:
+            void = max((r["commit_time"] for r in rows if r["kind"] == "replace" and r["commit_time"] <= hi), default="")
+        inside = lambda t: lo < t <= hi and (replaced or t >= void)
+        gone = self._horizon(rows)
         parts: list[DataFrame] = []
-        if base_row:
-            parts.append(self._read_leaves(_base_leaves(base_row), schema))
-        if exp_row and (floor is None or exp_upto > floor):
-            kept = self.spark.read.option("basePath", exp_row["source"]).schema(schema).parquet(exp_row["source"])
-            if floor is not None:
-                kept = kept.where(F.col(COMMIT) > F.lit(floor))
-            if upto:
-                kept = kept.where(F.col(COMMIT) <= F.lit(upto))
-            if since:
-                kept = kept.where(F.col(COMMIT) > F.lit(since))
-            parts.append(kept)
-        upserts = [r["commit_time"] for r in rows if r["kind"] == "upsert" and (floor is None or r["commit_time"] > floor)
-                   and (exp_upto is None or r["commit_time"] > exp_upto)]
-        if upserts:
-            # list only the committed instant folders: uncommitted leftovers are
-            # never seen and a range read never lists commits outside the range
-            if len(upserts) <= MAX_INLINE_COMMITS:
-                log = (
-                    self.spark.read.option("basePath", self.log_path)
-                    .schema(schema)
-                    .parquet(*[self.commit_dir(c) for c in upserts])
-                )
-            else:
-                listed = self.spark.createDataFrame([(c,) for c in upserts], f"{COMMIT} string")
-                log = self.spark.read.schema(schema).parquet(self.log_path).join(listed, on=COMMIT, how="left_semi")
-            parts.append(log)
-        for r in rows:
-            if r["kind"] == "bootstrap" and (floor is None or r["commit_time"] > floor) and (
-                exp_upto is None or r["commit_time"] > exp_upto
-            ):
-                src = self.spark.read.parquet(r["source"])
-                parts.append(R.to_log_rows(src, self.spec, op_default="I", commit_time=r["commit_time"]))
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        out = parts[0]
+        kept = [r for r in rows if r["kind"] == "expire"][-1:]
+        if kept:
+            found = files.names(self.spark, kept[0]["source"], prefix=f"{COMMIT}=")
+            times = [t for t in (n.partition("=")[2] for n in found) if inside(t)]
+            if times:
+                parts.append(self._read_commits(times, schema, kept[0]["source"]))
+        live = [r for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > gone and inside(r["commit_time"])]
+        times = [r["commit_time"] for r in live if r["kind"] != "bootstrap" and r["num_rows"]]
+        if times:
+            parts.append(self._read_commits(times, schema))
+        for r in live:
+            if r["kind"] == "bootstrap":
+                src = json.loads(r["source"])
+                df = self.spark.read.format(src["format"]).load(src["path"])
+                df = R.to_log_rows(df, self.spec, op_default="I", commit_time=r["commit_time"])
+                parts.append(shaped(df.where(F.col(KEY).isNotNull()), schema))
+        out = self.spark.createDataFrame([], schema) if not parts else parts[0]
         for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields])
+            out = out.unionByName(p)
+        return out
+
+    def _beside(self, base: DataFrame, won: DataFrame, row: dict, rows: list[dict], how: str) -> DataFrame:
+        """Base rows with (``left_semi``) or without (``left_anti``) a key in the
+        tail. The base is streamed: the tail's keys are what is built, by
+        broadcast when the commit rows say they are few."""
+        keys = list(self.spec.key_columns)
+        tail = sum(r["num_rows"] or 0 for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > row["upto"])
+        side = won.select(*keys).hint("broadcast" if tail <= BROADCAST_KEYS else "shuffle_hash")
+        return base.join(side, on=keys, how=how)
+
+    def _merged(self, base: DataFrame, won: DataFrame, row: dict, rows: list[dict], keep_tombstones: bool) -> DataFrame:
+        """Base and reduced tail. The base is unique per key, so rows without a
+        newer version pass through as they are; in ``event_time`` mode those
+        with one are compared with it."""
+        newer = won
+        if self.spec.merge == "event_time":
+            newer = R.snapshot(won.unionByName(self._beside(base, won, row, rows, "left_semi")), self.spec, keep_tombstones=True)
+        out = self._beside(base, won, row, rows, "left_anti").unionByName(newer)
+        return out if keep_tombstones else R.visible(out, self.spec)
+
+    def _state(self, rows: list[dict], keep_tombstones: bool = False, upto: str | None = None) -> DataFrame:
+        if upto:
+            rows = [r for r in rows if r["commit_time"] <= upto or r["kind"] == "expire"]
+        base = self._base(rows)
+        if base is None:
+            return R.snapshot(self.read_log(rows=rows, upto=upto), self.spec, keep_tombstones)
+        old = self._read_leaves(self._leaves(base), self.schema(rows))
+        if not any(r["num_rows"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > base["upto"]):
+            return old if keep_tombstones else R.visible(old, self.spec)
+        won = R.snapshot(self.read_log(since=base["upto"], rows=rows, upto=upto), self.spec, keep_tombstones=True)
+        return self._merged(old, won, base, rows, keep_tombstones)
 
     def snapshot(self) -> DataFrame:
-        return R.snapshot(self.read_log(), self.spec)
+        """The current row of every key; a plain scan right after ``compact``."""
+        return self._state(self.commit_rows())
 
     def as_of(self, t: str) -> DataFrame:
-        return R.snapshot(self.read_log(upto=t), self.spec)
+        """R3; raises when the state at ``t`` has expired."""
+        rows, t = self.commit_rows(), normalize_instant(t)
+        self._check_readable(t, rows)
+        return shaped(self._state(rows, upto=t), self.schema(rows))
 
     def incremental(self, begin: str | None, end: str | None = None) -> DataFrame:
-        """R2; in ``arrival`` mode only the folders of commits in the range are listed."""
+        """R2; in ``arrival`` mode only the folders of commits in the range are
+        opened. Raises when the state at ``end`` has expired."""
+        rows = self.commit_rows()
+        if end:
+            self._check_readable(normalize_instant(end), rows)
         since = begin if self.spec.merge == "arrival" else None
-        return R.incremental(self.read_log(upto=end, use_base=False, since=since), self.spec, begin, end)
+        return R.incremental(self.read_log(upto=end, since=since, rows=rows), self.spec, begin, end)
 
     def changes_since_lag(self, now: str, minutes: float = 20) -> DataFrame:
-        """R4 with the begin taken from commit metadata (no data scan)."""
-        from tidemark.functions.instants import commit_cutoff
-
+        """R4 with the begin taken from the commit rows (no data scan)."""
         cutoff = commit_cutoff(now, minutes)
         older = [t for t in self.commit_times() if t < cutoff]
-        begin = older[-1] if older else normalize_instant(now)
-        return self.incremental(begin)
-
-    def show_commits(self, n: int = 10) -> DataFrame:
-        return TL.show_commits(self.read_log(use_base=False), self.spec, n)
+        return self.incremental(older[-1] if older else normalize_instant(now))
 
     # ------------------------------------------------------------ pins / expiry
     def pin(self, t: str) -> None:
-        """Create a savepoint."""
-        self._append_json(f"{self.path}/_pins", [dict(commit_time=normalize_instant(t), pinned=True, written_at=_stamp())], PIN_SCHEMA)
+        """Create a savepoint of the table as of ``t``, which must be readable."""
+        rows, t = self.commit_rows(), normalize_instant(t)
+        seen = [r["commit_time"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= t]
+        if not seen:
+            raise ValueError(f"no commit up to {t} to pin")
+        self._check_readable(t, rows)
+        files.write_text(self.spark, self._meta("pins", seen[-1]), "")
 
     def unpin(self, t: str) -> None:
         """Delete a savepoint."""
-        self._append_json(f"{self.path}/_pins", [dict(commit_time=normalize_instant(t), pinned=False, written_at=_stamp())], PIN_SCHEMA)
+        files.delete(self.spark, self._meta("pins", normalize_instant(t)))
 
     def pins(self) -> list[str]:
-        df = self._read_json(f"{self.path}/_pins", PIN_SCHEMA)
-        if df is None:
-            return []
-        state: dict[str, tuple[str, bool]] = {}
-        for r in df.collect():
-            cur = state.get(r["commit_time"])
-            if cur is None or r["written_at"] > cur[0]:
-                state[r["commit_time"]] = (r["written_at"], r["pinned"])
-        return sorted(t for t, (_, p) in state.items() if p)
-
-    def expired_log(self, retain: int = 3) -> DataFrame:
-        """The log as the cleaner would leave it (retain + pins)."""
-        keep = self.commit_times()[-retain:]
-        return TL.expire(self.read_log(use_base=False), self.spec, keep=keep, pins=self.pins())
+        return files.names(self.spark, self._meta("pins"))
 
     def expire(self, retain: int = 3, commit_time: str | None = None) -> str | None:
-        """R10 on disk: keep the versions some retained or pinned commit can
-        see; versions of commits older than the retained window are rewritten
-        into ``expired/<instant>`` and an ``expire`` row points readers there.
+        """Keep the versions that some retained or pinned commit can see.
 
-        Retained commits are read as before, so the rewrite touches only the
-        old part of the log. Old folders are left for an external vacuum.
+        Versions of older commits are rewritten into ``expired/<t>``; once the
+        commit row is there, folders that no commit row reaches are deleted:
+        the old log folders, earlier expiries and compactions but the newest.
         """
-        times = self.commit_times()
+        rows = self.commit_rows()
+        times = self.commit_times(rows)
         keep = times[-retain:]
         if len(keep) == len(times):
             return None
-        old_upto = [t for t in times if t < keep[0]][-1]
-        kept = self.expired_log(retain).where(F.col(COMMIT) <= F.lit(old_upto))
-        t = self._next_instant(commit_time)
+        upto = [t for t in times if t < keep[0]][-1]
+        old = TL.expire(self.read_log(rows=rows, replaced=True), self.spec, keep=keep, pins=self.pins()).where(F.col(COMMIT) <= upto)
+        t = self._next_instant(commit_time, rows)
         out = f"{self.path}/expired/{t}"
-        hinted = kept.hint("rebalance", *self.spec.partitions) if self.spec.partitions else kept.hint("rebalance")
-        with scoped_conf(self.spark, WRITE_CONF):
-            (hinted.write.mode("errorifexists").option("maxRecordsPerFile", self.spec.target_rows_per_file)
-             .partitionBy(COMMIT, *self.spec.partitions).parquet(out))
-        self._write_commit_row(dict(commit_time=t, kind="expire", source=out, upto=old_upto, written_at=_stamp()))
+        self._write(old, out, [COMMIT, *self.spec.partitions], "errorifexists")
+        self._add_row(commit_time=t, kind="expire", source=out, upto=upto)
+        # from here on nothing reads what goes now; a crash leaves folders that the next expiry deletes
+        rows = self.commit_rows()
+        base = self._base(rows)
+        stay = [r for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= upto][-HISTORY:]
+        stay += [r for r in rows if r["commit_time"] > upto and r["kind"] in DATA_KINDS]
+        stay += [r for r in rows if r["commit_time"] == t or base and r["commit_time"] == base["commit_time"]]
+        self.fold(sorted(stay, key=lambda r: r["commit_time"]))
+        used = {d.split("/base/")[-1].split("/")[0] for d in self._leaves(base)} if base else set()
+        for name in files.names(self.spark, f"{self.path}/expired"):
+            if name != t:
+                files.delete(self.spark, f"{self.path}/expired/{name}")
+        for name in files.names(self.spark, f"{self.path}/base"):
+            if name not in used and not (base and name == base["commit_time"]):
+                files.delete(self.spark, f"{self.path}/base/{name}")
+        for name in files.names(self.spark, self.log_path, prefix=f"{COMMIT}="):
+            if name.partition("=")[2] <= upto:
+                files.delete(self.spark, f"{self.log_path}/{name}")
         return t
 
     # --------------------------------------------------------------- catalog
     def register(self, name: str) -> None:
         """Expose the current state in the catalog without an extra copy.
 
-        The state is materialised by ``compact`` (skipped when the newest base
-        already covers the last commit) and the base folder is registered with
-        ``CREATE TABLE ... USING parquet PARTITIONED BY ... LOCATION`` +
-        ``MSCK REPAIR TABLE``. When the base keeps tombstones (event-time
-        merge with deletes applied) the table gets a ``_base`` suffix and
-        ``name`` becomes a view without them.
+        The state is compacted (nothing to do when the newest base is current)
+        and its folders become an external table of their own. ``name`` is a
+        view on that table, replaced in one statement, so readers see the old
+        or the new state and never a gap. Call it again after commits.
         """
+        t = self.compact()
+        if t is None:
+            raise ValueError(f"table {self.path} has no commits to register")
         rows = self.commit_rows()
-        base = [r for r in rows if r["kind"] == "compaction"]
-        data = [r["commit_time"] for r in rows if r["kind"] in ("upsert", "bootstrap")]
-        if not base or (data and base[-1]["upto"] < data[-1]):
-            self.compact()
-            base = [r for r in self.commit_rows() if r["kind"] == "compaction"]
-        b = base[-1]
-        schema = T.StructType.fromJson(json.loads(b["schema_json"]))
-        tombstones = self.spec.merge == "event_time" and self.spec.deletes == "apply"
-        table = f"{name}_base" if tombstones else name
-        root = _base_root(b)
-        extra = [d for d in _base_leaves(b) if not d.startswith(root + "/")]
-        register_parquet(self.spark, table, root, schema, self.spec.partitions, extra_leaves=extra)
-        if tombstones:
-            self.spark.sql(f"DROP VIEW IF EXISTS {name}")
-            self.spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {table} WHERE {OP} IS NULL OR {OP} <> 'D'")
-
-
-def _base_root(row: dict) -> str:
-    src = row["source"]
-    return json.loads(src)["root"] if src.startswith("{") else src
-
-
-def _base_leaves(row: dict) -> list[str]:
-    src = row["source"]
-    return json.loads(src)["leaves"] if src.startswith("{") else [src]
+        manifest = self._manifest(self._base(rows))
+        table = f"{name}_{t}"
+        root = manifest["root"]
+        extra = [d for d in manifest["leaves"] if not d.startswith(root + "/") and d != root]
+        if not self.spark.catalog.tableExists(table):
+            register_parquet(self.spark, table, root, self.schema(rows), self.spec.partitions, extra_leaves=extra)
+        live = f" WHERE {OP} IS NULL OR {OP} <> 'D'" if self.spec.deletes == "apply" else ""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}{live}")
+        before = [r[1] for r in self.spark.sql(f"SHOW TABLES LIKE '{name.split('.')[-1]}_*'").collect()]
+        stale = [n for n in before if n[len(name.split(".")[-1]) + 1 :].isdigit() and n != table.split(".")[-1]]
+        for n in stale:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name.rpartition('.')[0] + '.' if '.' in name else ''}{n}")
 
 
 def _leaf_values(path: str, depth: int) -> tuple:
     """Partition values from the last ``depth`` ``k=v`` folders of a path."""
-    if depth == 0:
-        return ()
-    segs = path.rstrip("/").split("/")[-depth:]
-    vals = []
-    for seg in segs:
-        v = unquote(seg.split("=", 1)[1])
-        vals.append(None if v == "__HIVE_DEFAULT_PARTITION__" else v)
-    return tuple(vals)
+    vals = [unquote(seg.split("=", 1)[1]) for seg in path.rstrip("/").split("/")[-depth:]] if depth else []
+    return tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in vals)
 
 
 def _list_leaves(spark: SparkSession, root: str, depth: int) -> list[str]:
     """Leaf partition folders of a freshly written base (file system listing)."""
     if depth == 0:
         return [root]
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(root + "/*" * depth)
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    out = []
-    for st in found:
-        name = str(st.getPath().getName())
-        if st.isDirectory() and not name.startswith(("_", ".")):
-            out.append(str(st.getPath().toString()))
-    return sorted(out)
+    jvm, _, fs = files.fs_of(spark, root)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root + "/*" * depth)) or []
+    return sorted(str(s.getPath().toString()) for s in found if s.isDirectory() and not str(s.getPath().getName()).startswith(("_", ".")))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def register_parquet(spark: SparkSession, name: str, location: str, schema: T.StructType, partitions,
@@ -537,45 +525,37 @@ def register_parquet(spark: SparkSession, name: str, location: str, schema: T.St
     """``CREATE TABLE (cols) USING parquet PARTITIONED BY ... LOCATION`` then
     ``MSCK REPAIR TABLE`` (CTAS into a non-empty location is refused).
 
-    Partition folders living outside ``location`` (carried over from an
-    earlier base) are added with ``ALTER TABLE ... ADD PARTITION ... LOCATION``.
+    Partition folders outside ``location`` (carried over from an earlier base)
+    are added with ``ALTER TABLE ... ADD PARTITION ... LOCATION``.
     """
     parts = list(partitions)
-    data_cols = [f for f in schema.fields if f.name not in parts]
-    part_cols = [f for f in schema.fields if f.name in parts]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data_cols + part_cols)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fields = [f for f in schema.fields if f.name not in parts] + [f for f in schema.fields if f.name in parts]
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     pclause = f" PARTITIONED BY ({', '.join('`' + p + '`' for p in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{pclause} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{pclause} LOCATION {_quoted(location)}")
     if parts:
         spark.sql(f"MSCK REPAIR TABLE {name}")
         specs = []
         for d in extra_leaves:
-            raw = [seg.split("=", 1)[1] for seg in d.rstrip("/").split("/")[-len(parts):]]
-            kv = ", ".join(f"`{p}` = '{unquote(v)}'" for p, v in zip(parts, raw))
-            specs.append(f"PARTITION ({kv}) LOCATION '{d}'")
+            kv = ", ".join(f"`{p}` = {'NULL' if v is None else _quoted(v)}" for p, v in zip(parts, _leaf_values(d, len(parts))))
+            specs.append(f"PARTITION ({kv}) LOCATION {_quoted(d)}")
         for i in range(0, len(specs), 500):
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
 
 
 class Bookmark:
-    """Last commit a consumer has read, kept beside the table as a tiny
-    JSON dataset (works on any Hadoop file system)."""
+    """The last commit a consumer has read, one small file beside the table."""
 
     def __init__(self, spark: SparkSession, table_path: str, consumer: str):
         self.spark = spark
-        self.path = f"{table_path.rstrip('/')}/_bookmarks/{consumer}"
-        self.consumer = consumer
+        self.path = f"{table_path.rstrip('/')}/_meta/bookmarks/{consumer}.json"
 
     def get(self) -> str | None:
-        if not _fs_exists(self.spark, self.path):
-            return None
-        rows = self.spark.read.schema(BOOKMARK_SCHEMA).json(self.path).orderBy(F.col("written_at").desc()).limit(1).collect()
-        return rows[0]["value"] if rows else None
+        text = files.read_text(self.spark, self.path)
+        return json.loads(text)["value"] if text else None
 
     def set(self, value: str) -> None:
-        df = self.spark.createDataFrame([(self.consumer, normalize_instant(value), _stamp())], BOOKMARK_SCHEMA)
-        df.coalesce(1).write.mode("append").json(self.path)
+        files.write_text(self.spark, self.path, json.dumps({"value": normalize_instant(value), "written_at": _stamp()}))
 
 
 def next_range(bookmark: str | None, commits: list[str], now: str, lag_minutes: float = 20) -> tuple[str, str, str | None]:
@@ -585,11 +565,32 @@ def next_range(bookmark: str | None, commits: list[str], now: str, lag_minutes:
     commit <= now; the next bookmark is the newest commit actually read and
     stays unchanged when nothing was read (never past a finished commit).
     """
-    from tidemark.functions.instants import commit_cutoff
-
     now = normalize_instant(now)
     begin = normalize_instant(bookmark) if bookmark else commit_cutoff(now, lag_minutes)
     done = [c for c in commits if c <= now]
     end = done[-1] if done else begin
     read = [c for c in done if c > begin]
     return begin, end, (read[-1] if read else bookmark)
+
+
+def derive(source: ChangeTable, target: ChangeTable, consumer: str, now: str, begin: str | None = None, end: str | None = None,
+           prepare=None, deletes: bool = False, lag_minutes: float = 20) -> str | None:
+    """Read what changed in ``source``, upsert it into ``target``, then
+    move the bookmark, in that order.
+
+    A failure before the bookmark repeats the range on the next run; the
+    target's commit is named by consumer and range, so one that was already
+    written is not written again. ``deletes`` passes removed keys on. Returns
+    the target's commit, None when nothing is new.
+    """
+    mark = Bookmark(source.spark, source.path, consumer)
+    lo, hi, nxt = next_range(begin or mark.get(), source.commit_times(), end or now, lag_minutes)
+    if nxt is None or nxt <= lo:
+        return None
+    spec = source.spec.with_(deletes="ignore") if deletes else source.spec
+    rows = ChangeTable(source.spark, source.path, spec).incremental(lo, hi)
+    payload = rows.drop(COMMIT, KEY, FILE_SEQ).withColumnRenamed(OP, "_source_op") if deletes else rows.drop(COMMIT, OP, KEY, FILE_SEQ)
+    payload = prepare(payload) if prepare else payload
+    t = target.upsert(payload, op_col="_source_op" if deletes else None, query_id=f"derive:{consumer}:{lo}:{hi}", batch_id=0)
+    mark.set(nxt)
+    return t

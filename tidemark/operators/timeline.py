@@ -70,8 +70,8 @@ def expire(log: DataFrame, spec: TableSpec, retain: int = 3, pins=(), keep: list
     ``[commit, next commit of the key)``, so one ``lead`` per key and a test
     against the (small, literal) list of kept instants decides it; per-key
     groups hold at most one version per commit, so they are bounded by the
-    number of commits. In ``event_time`` mode the winners are computed per
-    kept instant and unioned.
+    number of commits. In ``event_time`` mode a version also has to outrank
+    all earlier commits of its key; two more passes over the same partitioning.
     """
     kept = sorted({normalize_instant(t) for t in (keep if keep is not None else retained_commits(log, retain))}
                   | {normalize_instant(p) for p in pins})
@@ -93,10 +93,17 @@ def expire(log: DataFrame, spec: TableSpec, retain: int = 3, pins=(), keep: list
         arr = F.array(*[F.lit(t) for t in kept])
         seen = F.exists(arr, lambda t: (F.col(COMMIT) <= t) & (F.col("_next").isNull() | (t < F.col("_next"))))
         return heads.withColumn("_next", nxt).where(seen).drop("_prev", "_next")
-    from tidemark.operators.reduce import as_of
-
-    out = None
-    for t in kept:
-        won = as_of(log, spec, t, keep_tombstones=True)
-        out = won if out is None else out.unionByName(won)
-    return out.dropDuplicates([*spec.key_columns, COMMIT] + ([c for c in ("_file_seq",) if c in log.columns]))
+    # event time: along a key's commits the best version so far only changes when
+    # a version beats all earlier ones. One pass ranks versions by the order of
+    # the merge; a version that some earlier commit of the key outranks is never
+    # seen, and one that is stays until the next that outranks it.
+    by_commit = [F.col(COMMIT).asc(), *winner_order(log, spec, within_batch=True)]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*winner_order(log, spec, least_first=True)))
+    ranked = log.withColumn("_rank", rank)
+    w = Window.partitionBy(*keys).orderBy(*by_commit)
+    best = F.max("_rank").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    heads = ranked.withColumn("_best", best).where(F.col("_best").isNull() | (F.col("_rank") > F.col("_best")))
+    nxt = F.lead(COMMIT).over(w)
+    arr = F.array(*[F.lit(t) for t in kept])
+    seen = F.exists(arr, lambda t: (F.col(COMMIT) <= t) & (F.col("_next").isNull() | (t < F.col("_next"))))
+    return heads.withColumn("_next", nxt).where(seen).drop("_rank", "_best", "_next")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tidemark.functions import columns as C
 from tidemark.functions.instants import commit_cutoff_col, max_commit
@@ -106,7 +105,7 @@ def time_parts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "record_key_composite",
     f"""SELECT CAST(event_id AS VARCHAR) || '#' ||
-               CASE WHEN event_id % 97 = 0 THEN 'abc' ELSE CAST({Q.EPOCH} AS VARCHAR) END AS record_key,
+               {Q.TS_TEXT} AS record_key,
                CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(day(ts) AS VARCHAR) END AS day,
                CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS VARCHAR) END AS hour,
                CASE WHEN event_id % 97 = 0 THEN NULL
@@ -129,8 +128,7 @@ def record_key_composite(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT CASE WHEN event_id % 101 = 0 THEN 'malformed' WHEN event_id % 103 = 0 THEN 'null_key'
                     ELSE 'bad_time' END AS reject_reason,
                CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS tradeid,
-               CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'abc'
-                    ELSE CAST({Q.EPOCH} AS VARCHAR) END AS timestamp
+               CASE WHEN event_id % 101 = 0 THEN NULL ELSE {Q.TS_TEXT} END AS timestamp
         FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 97 = 0""",
 )
 def rejects(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +169,7 @@ TRADE_AVSC = """
 
 @query("json_inferred", "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events")
 def json_inferred(spark: SparkSession, sf: str) -> DataFrame:
-    """JSON text with a schema inferred from a bounded sample."""
+    """JSON text with a schema inferred from all rows."""
     df = S.from_json_lines(FX.load(spark, sf, "events"), "props")
     return df.select("event_id", F.col("j.k").alias("k"))
 
@@ -289,7 +287,7 @@ def precombine(spark: SparkSession, sf: str) -> DataFrame:
 DBZ_SQL = f"""
     SELECT {OD_SQL_OUT},
            CASE op WHEN 'D' THEN 'D' WHEN 'I' THEN 'I' ELSE 'U' END AS Op,
-           printf('mysql-bin.%06d', commit_group + 1) AS binlog_file,
+           printf('mysql-bin.%06d', commit_group + 999998) AS binlog_file,
            order_id * 8 + line_id AS binlog_pos
     FROM ({Q.ORDER_DETAIL}) d"""
 
@@ -311,18 +309,44 @@ def debezium_flatten(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT {OD_SQL_OUT}, binlog_file, binlog_pos FROM (
           SELECT * FROM ({DBZ_SQL}) d
           QUALIFY row_number() OVER (PARTITION BY order_id, line_id
-                                     ORDER BY binlog_file DESC NULLS LAST, binlog_pos DESC NULLS LAST,
+                                     ORDER BY CAST(regexp_extract(binlog_file, '[0-9]+$') AS BIGINT) DESC NULLS LAST, binlog_pos DESC NULLS LAST,
                                               {Q.OD_TIEBREAK}) = 1) w
         WHERE Op <> 'D'""",
 )
 def debezium_order(spark: SparkSession, sf: str) -> DataFrame:
-    """Binlog (file, pos) as the ordering; deletes applied."""
-    spec = TableSpec(keys=("order_id", "line_id"), order=("binlog_file", "binlog_pos"), deletes="apply",
+    """Binlog (file number, pos) as the ordering, over a rollover to
+    seven digits; deletes applied."""
+    spec = TableSpec(keys=("order_id", "line_id"), order=("binlog_seq", "binlog_pos"), deletes="apply",
                      tiebreak=CDC_SPEC.tiebreak)
     rows = R.to_log_rows(dbz_flat(spark, sf), spec, op_col="Op")
     return R.visible(R.precombine(rows, spec), spec).select(*OD_OUT, "binlog_file", "binlog_pos")
 
 
+# ------------------------------------------------------- rejects of envelopes
+BAD_ROWS_SQL = f"""
+    SELECT CASE WHEN order_id % 97 = 0 THEN 'malformed' WHEN order_id % 103 = 0 THEN 'null_key' ELSE 'unknown_op' END AS reject_reason,
+           CASE WHEN order_id % 97 = 0 OR order_id % 103 = 0 THEN NULL ELSE order_id END AS order_id,
+           CASE WHEN order_id % 97 = 0 THEN NULL ELSE line_id END AS line_id
+    FROM ({Q.ORDER_DETAIL}) d WHERE order_id % 97 = 0 OR order_id % 103 = 0 OR order_id % 101 = 0"""
+
+
+@query("rejects_debezium", BAD_ROWS_SQL)
+def rejects_debezium(spark: SparkSession, sf: str) -> DataFrame:
+    """Broken text, null keys and unknown operations with their reason."""
+    rows = C.lower_columns(S.flatten_debezium(FX.debezium_envelopes(spark, sf, bad=True), "value", FX.ORDER_DETAIL_SCHEMA, keep_corrupt=True))
+    keyed = C.with_record_key(rows, ["order_id", "line_id"])
+    return C.split_rejects(keyed, key="record_key", op_col="op")[1].select("reject_reason", "order_id", "line_id")
+
+
+@query("rejects_cdc", BAD_ROWS_SQL)
+def rejects_cdc(spark: SparkSession, sf: str) -> DataFrame:
+    """The same for ``data``/``metadata`` envelopes."""
+    rows = S.decode_envelope(FX.cdc_envelopes(spark, sf, bad=True), "data", FX.ORDER_DETAIL_SCHEMA, keep_corrupt=True)
+    rows = C.with_record_key(C.lower_columns(rows), ["order_id", "line_id"])
+    letter = F.when(F.col("operation").isNull(), F.lit(None)).otherwise(F.upper(F.substring("operation", 1, 1)))
+    return C.split_rejects(rows.withColumn("op", letter), key="record_key", op_col="op")[1].select("reject_reason", "order_id", "line_id")
+
+
 # ------------------------------------------------------------ change log
 def li_log(spark: SparkSession, sf: str, **kw):
     spec = FX.lineitem_spec(**kw)
@@ -450,17 +474,17 @@ def commit_nth_last(spark: SparkSession, sf: str) -> DataFrame:
     return TL.commit_nth_last(log, n=2)
 
 
-@query(
-    "show_commits",
-    f"""WITH log AS ({Q.LI_LOG}),
+SHOW_COMMITS_SQL = f"""WITH log AS ({Q.LI_LOG}),
         first AS (SELECT _record_key, min(_commit_time) AS f FROM log GROUP BY _record_key)
         SELECT _commit_time AS commit_time, count(*) AS num_rows,
                count(*) FILTER (WHERE _op <> 'D' AND _commit_time = f) AS num_inserts,
                count(*) FILTER (WHERE _op <> 'D' AND _commit_time <> f) AS num_updates,
                count(*) FILTER (WHERE _op = 'D') AS num_deletes
         FROM log JOIN first USING (_record_key)
-        GROUP BY _commit_time ORDER BY commit_time DESC LIMIT 10""",
-)
+        GROUP BY _commit_time ORDER BY commit_time DESC LIMIT 10"""
+
+
+@query("show_commits", SHOW_COMMITS_SQL)
 def show_commits(spark: SparkSession, sf: str) -> DataFrame:
     """Per-commit counts, newest first."""
     log, spec = li_log(spark, sf)
@@ -475,6 +499,18 @@ EXPIRE_SQL = f"""
                   WHERE nx._commit_time <= k.t AND (nx.nxt IS NULL OR k.t < nx.nxt))"""
 
 
+# In event time a version is seen from its commit on if it beats all earlier ones, until one beats it.
+EXPIRE_EVENT_SQL = f"""
+    WITH log AS ({Q.LI_LOG}),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY _record_key ORDER BY l_shipdate ASC NULLS FIRST, _commit_time ASC) AS rk FROM log),
+    heads AS (SELECT * FROM (SELECT *, max(rk) OVER (PARTITION BY _record_key ORDER BY _commit_time
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM ranked) b WHERE best IS NULL OR rk > best),
+    nx AS (SELECT *, lead(_commit_time) OVER (PARTITION BY _record_key ORDER BY _commit_time) AS nxt FROM heads)
+    SELECT {Q.LI_COLS} FROM nx
+    WHERE EXISTS (SELECT 1 FROM (VALUES ('{C0}'), ('{C3}')) k(t)
+                  WHERE nx._commit_time <= k.t AND (nx.nxt IS NULL OR k.t < nx.nxt))"""
+
+
 @query("expire_commits", EXPIRE_SQL.replace("{keep_a}", C0).replace("{keep_b}", C3))
 def expire_commits(spark: SparkSession, sf: str) -> DataFrame:
     """Cleaner keeping the newest commit (retain=1) and a pin on c0."""
@@ -492,28 +528,12 @@ def savepoint_as_of(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_merge", Q.li_snapshot())
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """W2 copy-on-write form: fold the commits with anti-join + union; the
-    state is checkpointed after each commit to cut lineage."""
-    from tidemark.session import checkpoint_root
-
-    checkpoint_root(spark)  # DataFrame.checkpoint needs the shared folder
+    """W2 copy-on-write form: the state after the first commit, and one
+    anti-join + union for all commits that are pending then."""
     log, spec = li_log(spark, sf)
-    # the log is read once per commit: keep it for the fold (recomputed from
-    # lineage if an executor is lost); every state is a reliable checkpoint,
-    # so the log can be released before the result is returned
-    log = log.persist(StorageLevel.MEMORY_AND_DISK)
-    state = None
-    try:
-        for t in (C0, C1, C2, C3):
-            changes = log.where(F.col(COMMIT) == t)
-            if state is None:
-                state = R.visible(R.precombine(changes, spec), spec)
-            else:
-                state = R.merge_into(state, changes, spec)
-            state = state.checkpoint(eager=True)
-    finally:
-        log.unpersist()
-    return state.select(*LI_OUT)
+    state = R.snapshot(log.where(F.col(COMMIT) == C0), spec)
+    pending = R.snapshot(log.where(F.col(COMMIT) > C0), spec, keep_tombstones=True)
+    return R.merge_into(state, pending, spec).select(*LI_OUT)
 
 
 @query(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import columns as C
-from tidemark.operators.table import Bookmark, ChangeTable, next_range
+from tidemark.operators.table import Bookmark, ChangeTable, derive, next_range
 from tidemark.plans import catalog_batch as B
 from tidemark.plans import fixtures as FX
 from tidemark.plans import oracle_sql as Q
@@ -99,7 +99,7 @@ def _stream_cdc_dir(spark: SparkSession, sf: str, name: str, deletes: str, repla
                              prepare=lambda b: prepare_change_rows(b, keep_op)))
         first = list_parquet(spark, watched)[:1]
         again = prepare_change_rows(S.read_change_files(spark, first, schema=CHANGE_FILE_SCHEMA), keep_op)
-        table.upsert(again, op_col="op", query_id=qname, batch_id=1)
+        table.upsert(again, op_col="op", query_id=W.query_id(spark, ckpt), batch_id=1)
     return table
 
 
@@ -156,12 +156,14 @@ def upsert_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query("notice_ingest", _cdc_oracle(deletes=False))
 def notice_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """A stream of ``{filePath}`` notices; each micro-batch reads all
-    named files at once and commits once, the later file winning (Q8)."""
+    named files at once and commits once, the later file winning (Q8). The
+    first groups' files are named once more before the last: the last naming counts."""
     root = scratch_dir(spark, "notice_ingest")
     groups = stage_change_files(spark, sf, root)
     landed = []
     for k, files in groups.items():
         landed += [(p, k * 100_000 + i) for i, p in enumerate(land(spark, files, f"{root}/files", f"cdc-{k}"))]
+    landed = [(p, -1 - n) for p, n in landed] + landed
     notices = spark.createDataFrame(landed, "filePath string, seq long")
     notices.select(F.to_json(F.struct("filePath", "seq")).alias("value")).coalesce(1).write.text(f"{root}/notices")
     table = ChangeTable(spark, f"{root}/table", cdc_spec("ignore"))
@@ -199,7 +201,7 @@ def feed_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RKC_SQL = f"""SELECT CAST(event_id AS VARCHAR) || '#' ||
-               CASE WHEN event_id % 97 = 0 THEN 'abc' ELSE CAST({Q.EPOCH} AS VARCHAR) END AS record_key,
+               {Q.TS_TEXT} AS record_key,
                CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(day(ts) AS VARCHAR) END AS day,
                CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(hour(ts) AS VARCHAR) END AS hour,
                CASE WHEN event_id % 97 = 0 THEN NULL
@@ -263,8 +265,7 @@ def late_events(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT CASE WHEN event_id % 101 = 0 THEN 'malformed' WHEN event_id % 103 = 0 THEN 'null_key'
                     ELSE 'bad_time' END AS reject_reason,
                CASE WHEN event_id % 101 = 0 OR event_id % 103 = 0 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS tradeid,
-               CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'abc'
-                    ELSE CAST({Q.EPOCH} AS VARCHAR) END AS timestamp
+               CASE WHEN event_id % 101 = 0 THEN NULL ELSE {Q.TS_TEXT} END AS timestamp
         FROM events WHERE event_id % 101 = 0 OR event_id % 103 = 0 OR event_id % 97 = 0""",
 )
 def rejects_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -290,7 +291,7 @@ def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
     input rows per micro-batch), one batch per landed arrival group."""
     root = scratch_dir(spark, "stream_progress")
     groups = stage_trade_payloads(spark, sf, root)
-    log = ProgressLog(spark)
+    log = ProgressLog(spark, f"{root}/progress")
     qname = f"progress-{uuid.uuid4().hex[:8]}"
     try:
         for k, files in groups.items():
@@ -345,29 +346,31 @@ def compact_equals_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """A full compaction after two commits, an incremental one after the
     third, then a fourth commit: the snapshot equals the one of the plain log."""
     root = scratch_dir(spark, "compact")
-    spec = FX.lineitem_spec()
-    table = ChangeTable(spark, f"{root}/table", spec)
-    changes = FX.lineitem_changes(spark, sf)
-    for k in range(4):
-        t = FX.commit_instant(k)
-        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
-        if k == 1:
-            table.compact(commit_time="20240102120000000")          # full
-        if k == 2:
-            table.compact(commit_time="20240103120000000")          # touched partitions only
+    table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec())
+    # full after the second commit, touched partitions only after the third
+    _commit_changes(spark, sf, table, lambda k: table.compact(f"2024010{k + 1}120000000") if k in (1, 2) else None)
     return table.snapshot().select(*B.LI_OUT)
 
 
-def _lineitem_table(spark: SparkSession, sf: str, name: str) -> ChangeTable:
-    root = scratch_dir(spark, name)
-    table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec())
-    changes = FX.lineitem_changes(spark, sf)
-    for k in range(4):
+def _commit_changes(spark: SparkSession, sf: str, table: ChangeTable, after=None) -> ChangeTable:
+    """The four commits of the change-log fixture. The changes are derived once,
+    into one folder per commit."""
+    staged = f"{table.path}-changes"
+    FX.lineitem_changes(spark, sf).hint("rebalance", COMMIT).write.partitionBy(COMMIT).parquet(staged)
+    schema = FX.lineitem_changes(spark, sf).drop(COMMIT).schema
+    for k in range(FX.COMMIT_GROUPS):
         t = FX.commit_instant(k)
-        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
+        table.upsert(spark.read.schema(schema).parquet(f"{staged}/{COMMIT}={t}"), commit_time=t, prepared=True)
+        if after:
+            after(k)
     return table
 
 
+def _lineitem_table(spark: SparkSession, sf: str, name: str, **kw) -> ChangeTable:
+    root = scratch_dir(spark, name)
+    return _commit_changes(spark, sf, ChangeTable(spark, f"{root}/table", FX.lineitem_spec(**kw)))
+
+
 @query(
     "bookmark_range",
     f"""SELECT 1 AS run, '{B.C1}' AS begin, '{B.C3}' AS end_commit, '{B.C3}' AS next_bookmark, _record_key, _commit_time
@@ -384,9 +387,11 @@ def bookmark_range(spark: SparkSession, sf: str) -> DataFrame:
     for run in (1, 2):
         begin, end, nxt = next_range(bm.get(), table.commit_times(), now)
         rows = table.incremental(begin, end)
-        outs.append(rows.select(F.lit(run).alias("run"), F.lit(begin).alias("begin"), F.lit(end).alias("end_commit"),
-                                F.lit(nxt).alias("next_bookmark"), KEY, COMMIT))
-        if nxt:
+        out = f"{table.path}-run-{run}"
+        rows.select(F.lit(run).alias("run"), F.lit(begin).alias("begin"), F.lit(end).alias("end_commit"),
+                    F.lit(nxt).alias("next_bookmark"), KEY, COMMIT).write.parquet(out)
+        outs.append(spark.read.parquet(out))
+        if nxt:  # only once the rows are written
             bm.set(nxt)
     return outs[0].unionByName(outs[1])
 
@@ -399,21 +404,29 @@ ARRIVAL_PATTERN = "2024020%d000000000"
     f"""SELECT CAST(event_id AS VARCHAR) AS record_key, event_type AS symbol,
                CAST(day(ts) AS VARCHAR) AS day, CAST(hour(ts) AS VARCHAR) AS hour,
                CAST(value AS VARCHAR) AS price, strftime(ts, '%Y-%m-%d %H:%M:%S') AS trade_datetime
-        FROM events WHERE {Q.GOOD_KEY} AND {Q.GOOD_TIME} AND event_id % 5 <> 0""",
+        FROM events WHERE {Q.GOOD_KEY} AND {Q.GOOD_TIME} AND event_id % 5 <> 0 AND event_id % 7 <> 0""",
 )
 def derived_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Incremental read of a source table -> upsert into a derived table
-    partitioned by ``symbol, day, hour``."""
+    """A table partitioned by ``symbol, day, hour`` follows another one:
+    two runs with a bookmark, deletes passed on, and a third with nothing new."""
     root = scratch_dir(spark, "derived")
-    src = ChangeTable(spark, f"{root}/source", TRADE_SPEC)
-    trades = B.normalised_trades(spark, sf).withColumn("arrival", F.col("tradeid").cast("long") % 5)
+    spec = TRADE_SPEC.with_(deletes="apply")
+    src = ChangeTable(spark, f"{root}/source", spec)
+    staged = f"{root}/trades"
+    trades = B.normalised_trades(spark, sf).withColumn("arrival", (F.col("tradeid").cast("long") % 5).cast("int"))
+    trades.hint("rebalance", "arrival").write.partitionBy("arrival").parquet(staged)
+    schema = trades.drop("arrival").schema
+    read = lambda k: spark.read.schema(schema).parquet(f"{staged}/arrival={k}")
+    target = ChangeTable(spark, f"{root}/target", spec.with_(partitions=("symbol", "day", "hour")))
     for k in range(5):
-        src.upsert(trades.where(F.col("arrival") == k).drop("arrival"), commit_time=ARRIVAL_PATTERN % (k + 1))
-    changes = src.incremental(ARRIVAL_PATTERN % 1, ARRIVAL_PATTERN % 5)
-    target_spec = TRADE_SPEC.with_(partitions=("symbol", "day", "hour"))
-    target = ChangeTable(spark, f"{root}/target", target_spec)
-    payload = changes.drop(COMMIT, OP, KEY, FILE_SEQ)
-    target.upsert(payload)
+        src.upsert(read(k), commit_time=ARRIVAL_PATTERN % (k + 1))
+        if k in (2, 4):
+            derive(src, target, "derived", now="20240209000000000", begin=None if k > 2 else ARRIVAL_PATTERN % 1, deletes=True)
+    gone = spark.read.schema(schema).parquet(staged).where("cast(tradeid as long) % 7 = 0").withColumn("op", F.lit("D"))
+    src.upsert(gone, commit_time=ARRIVAL_PATTERN % 6, op_col="op")
+    derive(src, target, "derived", now="20240209000000000", deletes=True)
+    if derive(src, target, "derived", now="20240209000000000", deletes=True) is not None:
+        raise AssertionError("nothing is new, yet a commit was written")
     return target.snapshot().select("record_key", "symbol", "day", "hour", "price", "trade_datetime")
 
 
@@ -427,8 +440,11 @@ def stage_replication(spark: SparkSession, sf: str, root: str) -> str:
     and timestamp-named change files (with ``Op``) in one folder."""
     orders = FX.load(spark, sf, "orders")
     d = f"{root}/replica"
-    FX.write_named_files(FX.trades_full(orders), d, f"{root}/stage-full", "LOAD%08d.parquet", 2)
-    FX.write_named_files(FX.trades_cdc(orders), d, f"{root}/stage-cdc", "20240102-%06d.parquet", 2)
+    FX.write_named_files(FX.trades_full(orders), d, f"{root}/stage-full", "LOAD%08d.parquet")
+    cdc = FX.trades_cdc(orders)
+    FX.write_named_files(cdc.where("Op = 'U'"), d, f"{root}/stage-upd", "20240102-%06d.parquet")
+    # not every replication task names its change files by a time
+    FX.write_named_files(cdc.where("Op = 'D'"), d, f"{root}/stage-del", "part-%06d.parquet")
     return d
 
 
@@ -526,7 +542,7 @@ def full_then_incremental(spark: SparkSession, sf: str) -> DataFrame:
     d = stage_replication(spark, sf, root)
     table = ChangeTable(spark, f"{root}/table", FX.trades_spec())
     table.upsert(C.ensure_op(S.full_load_files(spark, d, _full_schema(spark))), op_col="Op")
-    stream = S.stream_change_dir(spark, d, _cdc_schema(spark), glob="2*.parquet")
+    stream = S.stream_cdc_files(spark, d, _cdc_schema(spark))
     _run(W.upsert_stream(stream, table, f"{root}/checkpoint", f"f2i-{uuid.uuid4().hex[:8]}", trigger=ONCE,
                          op_col="Op"))
     return table.snapshot().select(*F6_COLS)
@@ -548,20 +564,150 @@ def bootstrap_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "overwrite_batch",
-    f"""SELECT tradeid, dms_received_ts, price FROM ({Q.TRADES_FULL}) f
+    f"""SELECT tradeid, dms_received_ts, price FROM ({Q.TRADES_FULL}) f WHERE k % 2 = 0
         UNION ALL
         SELECT CAST(o_orderkey AS VARCHAR), strftime(o_orderdate + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S'),
                o_totalprice + 1.0
-        FROM orders WHERE o_orderkey % 3 = 0""",
+        FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0""",
 )
 def overwrite_batch(spark: SparkSession, sf: str) -> DataFrame:
-    """Overwrite twice (the second wins), then append."""
+    """A keyed table is overwritten by a second batch, then a third is upserted."""
     root = scratch_dir(spark, "overwrite_batch")
     orders = FX.load(spark, sf, "orders")
-    full = FX.trades_full(orders).select("tradeid", "dms_received_ts", "price")
-    upd = FX.trades_cdc(orders).where(F.col("Op") == "U").select("tradeid", "dms_received_ts", "price")
-    out = f"{root}/out"
-    full.write.mode("overwrite").parquet(out)
-    upd.write.mode("overwrite").parquet(out)
-    full.write.mode("append").parquet(out)
-    return spark.read.parquet(out)
+    cols = ("tradeid", "dms_received_ts", "price", "symbol")
+    full = FX.trades_full(orders).select(*cols)
+    upd = FX.trades_cdc(orders).where(F.col("Op") == "U").select(*cols)
+    table = ChangeTable(spark, f"{root}/table", FX.trades_spec(tiebreak=("price",)))
+    table.upsert(full)
+    table.compact()
+    table.upsert(upd, replace=True)
+    table.upsert(full.where("cast(tradeid as long) % 2 = 0"))
+    return table.snapshot().select("tradeid", "dms_received_ts", "price")
+
+
+# ------------------------------------------------------- history on disk
+@query("as_of_table", Q.li_snapshot(where=f"_commit_time <= '{B.C1}'"))
+def as_of_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R3 on disk: only the folders of the first two commits are opened."""
+    return _lineitem_table(spark, sf, "as_of_table").as_of(B.C1).select(*B.LI_OUT)
+
+
+@query("incremental_table", f"SELECT * FROM ({Q.li_snapshot(where=f'_commit_time <= {chr(39)}{B.C2}{chr(39)}')}) s WHERE _commit_time > '{B.C1}'")
+def incremental_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R2 on disk: one commit of four."""
+    return _lineitem_table(spark, sf, "incremental_table").incremental(B.C1, B.C2).select(*B.LI_OUT)
+
+
+@query("changes_since_lag_table", f"SELECT * FROM ({Q.li_snapshot()}) s WHERE _commit_time > '{B.C2}'")
+def changes_since_lag_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R4 on disk: the begin comes from the commit rows."""
+    return _lineitem_table(spark, sf, "changes_since_lag_table").changes_since_lag("20240104001000000", 20).select(*B.LI_OUT)
+
+
+@query("show_commits_table", B.SHOW_COMMITS_SQL)
+def show_commits_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R8 on disk, from the commit rows; the same before and after expiry."""
+    table = _lineitem_table(spark, sf, "show_commits_table")
+    before = table.show_commits().collect()
+    table.expire(retain=1)
+    if table.show_commits().collect() != before:
+        raise AssertionError("expiry changed what commits are listed with")
+    return table.show_commits()
+
+
+@query("commit_list_table", f"SELECT commit_time FROM ({B.SHOW_COMMITS_SQL}) s WHERE commit_time > '{B.C0}'")
+def commit_list_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R5/P18 on disk, from the commit rows."""
+    table = _lineitem_table(spark, sf, "commit_list_table")
+    if table.max_commit().first()[0] != B.C3:
+        raise AssertionError("max_commit is not the newest commit")
+    return table.commit_list(since=B.C0)
+
+
+@query("savepoint_table", Q.li_snapshot(where=f"_commit_time <= '{B.C1}'"))
+def savepoint_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R9 on disk: a pinned commit survives expiry, one that was unpinned does not."""
+    table = _lineitem_table(spark, sf, "savepoint_table")
+    table.pin(B.C0)
+    table.pin(B.C1)
+    table.unpin(B.C0)
+    table.expire(retain=1)
+    try:
+        table.as_of(B.C0)
+    except ValueError:
+        return table.as_of(B.C1).select(*B.LI_OUT)
+    raise AssertionError("an expired commit was read")
+
+
+@query("expire_table", B.EXPIRE_SQL.replace("{keep_a}", B.C0).replace("{keep_b}", B.C3))
+def expire_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R10 on disk: the newest commit and a pin stay; old folders are deleted."""
+    table = _lineitem_table(spark, sf, "expire_table")
+    table.pin(B.C0)
+    table.expire(retain=1)
+    return table.read_log().select(*B.LI_OUT)
+
+
+@query("expire_event_time", B.EXPIRE_EVENT_SQL)
+def expire_event_time(spark: SparkSession, sf: str) -> DataFrame:
+    """R10 on disk where the highest ordering value wins."""
+    table = _lineitem_table(spark, sf, "expire_event_time", merge="event_time")
+    table.pin(B.C0)
+    table.expire(retain=1)
+    return table.read_log().select(*B.LI_OUT)
+
+
+@query("compact_event_time", Q.li_snapshot(order=f"l_shipdate DESC NULLS LAST, _commit_time DESC, {Q.LI_TIEBREAK}"))
+def compact_event_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Base and tail where the highest ordering value wins."""
+    root = scratch_dir(spark, "compact_event_time")
+    table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec(merge="event_time"))
+    _commit_changes(spark, sf, table, lambda k: table.compact(f"2024010{k + 1}120000000") if k in (1, 2) else None)
+    return table.snapshot().select(*B.LI_OUT)
+
+
+@query("snapshot_compacted", Q.li_snapshot())
+def snapshot_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Nothing newer than the base: the snapshot is a scan of it."""
+    table = _lineitem_table(spark, sf, "snapshot_compacted")
+    table.compact("20240104120000000")
+    return table.snapshot().select(*B.LI_OUT)
+
+
+# ------------------------------------------- empty batches and schema changes
+@query("upsert_empty_batch", f"SELECT {F6_SQL} FROM ({Q.TRADES_FINAL}) f")
+def upsert_empty_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of rejects only and an empty one between two good ones."""
+    root = scratch_dir(spark, "upsert_empty_batch")
+    orders = FX.load(spark, sf, "orders")
+    full, cdc = FX.trades_full(orders), FX.trades_cdc(orders)
+    table = ChangeTable(spark, f"{root}/table", FX.trades_spec())
+    table.upsert(full)
+    table.upsert(full.withColumn("tradeid", F.lit(None).cast("string")))
+    table.upsert(full.limit(0))
+    table.upsert(cdc, op_col="op")
+    rows = [r["num_rejected"] for r in table.commit_rows()]
+    if rows != [0, full.count(), 0, 0]:
+        raise AssertionError(f"rejects by commit: {rows}")
+    return table.snapshot().select(*F6_COLS)
+
+
+@query(
+    "upsert_schema_change",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS id,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_custkey + 10000000000 ELSE CAST(o_custkey % 1000 AS BIGINT) END AS n,
+              CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0 THEN NULL ELSE o_orderstatus END AS status,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS added
+       FROM orders""",
+)
+def upsert_schema_change(spark: SparkSession, sf: str) -> DataFrame:
+    """A column added, a column absent and an int that became a bigint."""
+    root = scratch_dir(spark, "upsert_schema_change")
+    o = FX.load(spark, sf, "orders").withColumn("id", F.col("o_orderkey").cast("string")).withColumn("v", F.lit(1))
+    table = ChangeTable(spark, f"{root}/table", TableSpec(keys=("id",), order=("v",)))
+    small = (F.col("o_custkey") % 1000).cast("int").alias("n")
+    table.upsert(o.select("id", "v", small, F.col("o_orderstatus").alias("status")))
+    table.upsert(o.where("o_orderkey % 3 = 0").select("id", "v", small))
+    table.upsert(o.where("o_orderkey % 2 = 0").select(
+        "id", "v", (F.col("o_custkey") + F.lit(10_000_000_000)).alias("n"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("added")))
+    return table.snapshot().select("id", "n", "status", "added")

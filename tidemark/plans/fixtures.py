@@ -6,7 +6,7 @@ table's. Bad rows are injected by fixed rules on ids; no row is dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,8 @@ ORDER_DETAIL_SCHEMA = T.StructType(
 BAD_TIME_MOD, MALFORMED_MOD, NULL_KEY_MOD = 97, 101, 103
 # Arrival batches of the late-data scenario.
 ARRIVAL_BATCHES = 5
+# Binlog file number of the first commit group: two groups before the rollover to seven digits, two after.
+BINLOG_FIRST = 999_998
 # Commit groups of the change-log fixture and their instants.
 COMMIT_GROUPS = 4
 COMMIT_PATTERN = "202401%02d000000000"
@@ -52,7 +54,7 @@ def commit_instant(k: int) -> str:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; a single-split scan is spread over the cores."""
+    """A driver table."""
     return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -66,7 +68,8 @@ def trade_json(events: DataFrame) -> DataFrame:
             F.col("event_type").alias("symbol"),
             F.col("value").alias("quantity"),                       # JSON number into a string field
             F.col("value").cast("string").alias("price"),
-            F.when(eid % BAD_TIME_MOD == 0, F.lit("abc")).otherwise(epoch_seconds("ts").cast("string")).alias("timestamp"),
+            F.when(eid % (2 * BAD_TIME_MOD) == 0, (epoch_seconds("ts") * 1000).cast("string"))
+            .when(eid % BAD_TIME_MOD == 0, F.lit("abc")).otherwise(epoch_seconds("ts").cast("string")).alias("timestamp"),
             F.col("props").alias("description"),
             F.col("user_id").cast("string").alias("traderName"),
             F.concat(F.col("event_type"), F.lit(" firm")).alias("traderFirm"),
@@ -113,34 +116,44 @@ def order_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cdc_envelopes(spark: SparkSession, sf_dir: str, payload_col: str = "data") -> DataFrame:
+def _spoilt(rows: DataFrame, bad: bool) -> tuple[DataFrame, Column, Column]:
+    """With ``bad``: null keys by rule, and what tells rows whose text breaks off or whose operation is unknown."""
+    k = F.col("ORDER_ID")
+    if not bad:
+        return rows, F.lit(False), F.lit(False)
+    rows = rows.withColumns({"_cut": k % BAD_TIME_MOD == 0, "_odd": k % MALFORMED_MOD == 0})
+    return rows.withColumn("ORDER_ID", F.when(k % NULL_KEY_MOD != 0, k)), F.col("_cut"), F.col("_odd")
+
+
+def cdc_envelopes(spark: SparkSession, sf_dir: str, payload_col: str = "data", bad: bool = False) -> DataFrame:
     """``{data:{...}, metadata:{...}}`` per lineitem row."""
-    rows = order_detail_rows(spark, sf_dir)
+    rows, cut, odd = _spoilt(order_detail_rows(spark, sf_dir), bad)
     data = F.struct(*[F.col(f.name) for f in ORDER_DETAIL_SCHEMA.fields])
     meta = F.create_map(
         F.lit("timestamp"), F.date_format(F.col("ORDER_DATE"), "yyyy-MM-dd'T'00:00:00.000000'Z'"),
         F.lit("record-type"), F.lit("data"),
-        F.lit("operation"), _op_word(F.col("l_returnflag")),
+        F.lit("operation"), F.when(odd, F.lit("truncate")).otherwise(_op_word(F.col("l_returnflag"))),
         F.lit("partition-key-type"), F.lit("schema-table"),
-        F.lit("schema-name"), F.lit("salesdb"),
-        F.lit("table-name"), F.lit("SALES_ORDER_DETAIL"),
+        F.lit("schema-name"), F.lit("shop"),
+        F.lit("table-name"), F.lit("order_lines"),
         F.lit("transaction-id"), (F.col("ORDER_ID") * 10 + F.col("LINE_ID")).cast("string"),
     )
     env = F.to_json(F.struct(data.alias("data"), meta.alias("metadata")))
+    env = F.when(cut, F.substring(env, 1, 10)).otherwise(env)
     return rows.select(env.cast("binary").alias(payload_col), "commit_group")
 
 
-def debezium_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def debezium_envelopes(spark: SparkSession, sf_dir: str, bad: bool = False) -> DataFrame:
     """S8 fixture: Debezium-style ``{before, after, op, source}`` per lineitem row.
 
     op by return flag (A -> c, N -> u, R -> d); binlog file by commit group,
     position from the order key and line number.
     """
-    rows = order_detail_rows(spark, sf_dir)
+    rows, cut, odd = _spoilt(order_detail_rows(spark, sf_dir), bad)
     row = F.struct(*[F.col(f.name) for f in ORDER_DETAIL_SCHEMA.fields])
-    op = F.when(F.col("l_returnflag") == "R", "d").when(F.col("l_returnflag") == "A", "c").otherwise("u")
+    op = F.when(odd, "m").when(F.col("l_returnflag") == "R", "d").when(F.col("l_returnflag") == "A", "c").otherwise("u")
     src = F.struct(
-        F.format_string("mysql-bin.%06d", F.col("commit_group") + 1).alias("file"),
+        F.format_string("mysql-bin.%06d", F.col("commit_group") + BINLOG_FIRST).alias("file"),
         (F.col("ORDER_ID") * 8 + F.col("LINE_ID")).alias("pos"),
         F.lit(0).cast("long").alias("ts_ms"),
     )
@@ -152,7 +165,7 @@ def debezium_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             src.alias("source"),
         )
     )
-    return rows.select(env.alias("value"))
+    return rows.select(F.when(cut, F.substring(env, 1, 10)).otherwise(env).alias("value"))
 
 
 # ------------------------------------------------------------- change log
@@ -247,15 +260,16 @@ def trades_spec(**kw) -> TableSpec:
 
 
 # ---------------------------------------------------------------- file helpers
-def write_named_files(df: DataFrame, directory: str, staging: str, name_fmt: str, files: int) -> list[str]:
-    """Write ``df`` as ``files`` Parquet files named by ``name_fmt % i`` (as a
-    replication task names them, e.g. ``LOAD%08d.parquet``).
+def write_named_files(df: DataFrame, directory: str, staging: str, name_fmt: str) -> list[str]:
+    """Write ``df`` as Parquet files named by ``name_fmt % i`` (as a
+    replication task names them, e.g. ``LOAD%08d.parquet``), by as many tasks
+    as the data has splits.
 
     Spark names its part files itself, so the files are written to a
     staging folder and renamed with the Hadoop file system API.
     """
     spark = df.sparkSession
-    df.repartition(files).write.mode("errorifexists").parquet(staging)
+    df.write.mode("errorifexists").parquet(staging)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src = jvm.org.apache.hadoop.fs.Path(staging)

@@ -2,6 +2,9 @@
 directly over the driver tables (plain SQL, not a copy of the Spark plan)."""
 
 EPOCH = "date_diff('second', TIMESTAMP '1970-01-01', ts)"
+# The feed's time text: not a number, or milliseconds, for a few events.
+TS_TEXT = (f"CASE WHEN event_id % 194 = 0 THEN CAST({EPOCH} * 1000 AS VARCHAR) WHEN event_id % 97 = 0 THEN 'abc' "
+           f"ELSE CAST({EPOCH} AS VARCHAR) END")
 GOOD_KEY = "event_id % 101 <> 0 AND event_id % 103 <> 0"
 GOOD_TIME = "event_id % 97 <> 0"
 
@@ -10,7 +13,7 @@ TRADE_COLS = f"""
     event_type AS symbol,
     CAST(value AS VARCHAR) AS quantity,
     CAST(value AS VARCHAR) AS price,
-    CASE WHEN event_id % 97 = 0 THEN 'abc' ELSE CAST({EPOCH} AS VARCHAR) END AS timestamp,
+    {TS_TEXT} AS timestamp,
     props AS description,
     CAST(user_id AS VARCHAR) AS tradername,
     event_type || ' firm' AS traderfirm"""

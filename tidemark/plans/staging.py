@@ -5,7 +5,6 @@ stream watches, one group at a time."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -25,9 +24,10 @@ def list_parquet(spark: SparkSession, directory: str) -> list[str]:
 
 
 def stage_groups(df: DataFrame, group_col: str, staging: str) -> dict[int, list[str]]:
-    """One Spark write; every group ends up in its own folder as one file
-    (all rows of a group go to one task), so file order = group order."""
-    df.repartition(F.col(group_col)).write.mode("errorifexists").partitionBy(group_col).parquet(staging)
+    """One Spark write; every group ends up in its own folder, in as many files
+    as its size needs (AQE splits and merges the rebalanced groups). Groups are
+    landed one after the other, so file order = group order."""
+    df.hint("rebalance", group_col).write.mode("errorifexists").partitionBy(group_col).parquet(staging)
     spark = df.sparkSession
     jvm, fs = _fs(spark, staging)
     out: dict[int, list[str]] = {}

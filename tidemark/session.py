@@ -41,21 +41,21 @@ def build_session(master: str = "local[8]", app: str = "tidemark", extra: dict |
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a bare local test) is a folder under the
-    system temp dir created and registered, so ``DataFrame.checkpoint`` and
-    scratch tables always land in the same place.
+    A local session without one (a bare test) gets a folder under the system's
+    temp dir; on a cluster that would be a different disk on every machine, so
+    there it is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return (sc.getCheckpointDir() or conf_dir).rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    sc.setCheckpointDir(local)
-    return (sc.getCheckpointDir() or local).rstrip("/")
+    if not d:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
+        if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+            d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        sc.setCheckpointDir(d)
+        d = sc.getCheckpointDir() or d
+    return d.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -80,7 +80,10 @@ AQE_WRITE_CONF = {
 
 @contextmanager
 def scoped_conf(spark: SparkSession, conf: dict):
-    """Set runtime SQL confs for the duration of one write, then restore them."""
+    """Set runtime SQL confs for the duration of one write, then restore them.
+
+    They are session-wide: one writer at a time per session (a stream's
+    ``foreachBatch`` has a session of its own)."""
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():

@@ -7,6 +7,8 @@ from tidemark.sources.feeds import (  # noqa: F401
     full_load_files,
     read_change_files,
     read_feed,
+    start_options,
+    stream_cdc_files,
     stream_change_dir,
 )
 from tidemark.sources.avro_schema import schema_from_avsc  # noqa: F401

@@ -10,6 +10,8 @@ once per predicate.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,16 @@ _START_VALUES = {
 }
 
 
+def start_options(fmt: str, starting: str | None) -> dict:
+    """S3: the source's own option for a start position; none for sources without one."""
+    if starting is None or fmt not in _START_OPTION:
+        return {}
+    known = _START_VALUES[fmt]
+    if starting.lower() not in known:
+        raise ValueError(f"start position {starting!r} of {fmt} must be one of {sorted(known)}")
+    return {_START_OPTION[fmt]: known[starting.lower()]}
+
+
 def read_feed(
     spark: SparkSession,
     fmt: str,
@@ -40,8 +52,7 @@ def read_feed(
     """
     r = spark.readStream.format(fmt)
     opts = dict(options or {})
-    if starting is not None and fmt in _START_OPTION:
-        opts[_START_OPTION[fmt]] = _START_VALUES[fmt][starting.lower()]
+    opts |= start_options(fmt, starting)
     if schema is not None:
         r = r.schema(schema)
     r = r.options(**opts)
@@ -81,6 +92,13 @@ def decode_feed(
     return out if keep_corrupt else out.drop(CORRUPT)
 
 
+def _envelope(df: DataFrame, payload_col: str, env: T.StructType):
+    """The parsed payload; a null one gives null fields, a broken one its text."""
+    full = T.StructType([*env.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    j = F.from_json(_payload(df, payload_col), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return F.coalesce(j, F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields]))
+
+
 def decode_envelope(
     df: DataFrame,
     payload_col: str,
@@ -89,10 +107,13 @@ def decode_envelope(
     meta_field: str = "metadata",
     op_key: str = "operation",
     keep_metadata: bool = False,
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """``{data:{...}, metadata:{...}}`` -> ``data.*`` plus the operation.
 
-    ``metadata`` is a ``map<string,string>`` (numbers inside it come back as text).
+    ``metadata`` is a ``map<string,string>`` (numbers inside it come back as
+    text). With ``keep_corrupt`` unparseable text is kept in
+    ``_corrupt_record``, so that rejects can say why (Q1).
     """
     env = T.StructType(
         [
@@ -100,13 +121,13 @@ def decode_envelope(
             T.StructField(meta_field, T.MapType(T.StringType(), T.StringType()), True),
         ]
     )
-    j = F.from_json(_payload(df, payload_col), env)
-    j = F.coalesce(j, F.struct(F.lit(None).cast(row_schema).alias(data_field),
-                               F.lit(None).cast(env[meta_field].dataType).alias(meta_field)))
+    j = _envelope(df, payload_col, env)
     cols = [F.col(f"{data_field}.{f.name}").alias(f.name) for f in row_schema.fields]
     cols.append(F.col(meta_field).getItem(op_key).alias(op_key))
     if keep_metadata:
         cols.append(F.col(meta_field))
+    if keep_corrupt:
+        cols.append(F.col(CORRUPT))
     return df.select(F.inline(F.array(j))).select(*cols)
 
 
@@ -120,11 +141,15 @@ def flatten_debezium(
     row_schema: T.StructType,
     source_fields: T.StructType | None = None,
     op_name: str = "Op",
+    keep_corrupt: bool = False,
 ) -> DataFrame:
     """``{before, after, op, source}`` -> one flat row per change.
 
     The row is the whole ``before`` struct for deletes and the whole ``after``
     struct otherwise (a per-field coalesce would refill nulls of ``after``).
+    An op without a counterpart keeps its own text, which the writer counts as
+    a reject. ``binlog_seq`` is the number in the binlog's file name: names
+    roll over from 999999 to 1000000, so they do not order as text (W6).
     """
     source_fields = source_fields or T.StructType(
         [
@@ -141,33 +166,31 @@ def flatten_debezium(
             T.StructField("source", source_fields, True),
         ]
     )
-    j = F.from_json(_payload(df, payload_col), env)
-    j = F.coalesce(j, F.lit(None).cast(env))
-    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    j = _envelope(df, payload_col, env)
     op = F.col("op")
+    row = F.when(op == "d", F.col("before")).otherwise(F.col("after"))
     mapped = None
     for k, v in DEBEZIUM_OPS.items():
         mapped = F.when(op == k, F.lit(v)) if mapped is None else mapped.when(op == k, F.lit(v))
+    file = F.col("_source.file")
     return (
         df.select(F.inline(F.array(j)))
-        .select(row.alias("r"), mapped.alias(op_name), F.col("source").alias("_source"))
-        .select("r.*", op_name, F.col("_source.file").alias("binlog_file"), F.col("_source.pos").alias("binlog_pos"))
+        .select(row.alias("r"), mapped.otherwise(op).alias(op_name), F.col("source").alias("_source"), CORRUPT)
+        .select("r.*", op_name, file.alias("binlog_file"), F.regexp_extract(file, r"(\d+)$", 1).try_cast("bigint").alias("binlog_seq"),
+                F.col("_source.pos").alias("binlog_pos"), *([CORRUPT] if keep_corrupt else []))
     )
 
 
-def from_json_lines(df: DataFrame, col: str, sampling_ratio: float = 1.0, alias: str = "j") -> DataFrame:
+def from_json_lines(df: DataFrame, col: str, alias: str = "j") -> DataFrame:
     """JSON text -> struct with an inferred schema.
 
-    Inference is Spark's own JSON schema inference, run distributed over a
-    ``sample(sampling_ratio)`` of the column (per-partition inference merged
-    by a tree aggregate); only the resulting schema reaches the driver.
-    Decoding of all rows is a ``from_json`` on the executors.
+    The schema is Spark's own inference over every row, on the executors'
+    JVMs, so no field is missed; only the schema reaches the driver.
     """
     spark = df.sparkSession
-    texts = df.select(F.col(col).cast("string").alias("t")).where(F.col("t").isNotNull())
-    if sampling_ratio < 1.0:
-        texts = texts.sample(fraction=sampling_ratio, seed=17)
-    schema = spark.read.json(texts.rdd.map(lambda r: r[0])).schema
+    texts = df.select(F.col(col).cast("string").alias("value")).where("value is not null")
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    schema = T.StructType.fromJson(json.loads(spark._jsparkSession.read().json(strings).schema().json()))
     schema = T.StructType([f for f in schema.fields if f.name != CORRUPT])
     return df.withColumn(alias, F.from_json(F.col(col).cast("string"), schema))
 
@@ -222,3 +245,9 @@ def stream_change_dir(
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(directory)
+
+
+def stream_cdc_files(spark: SparkSession, directory: str, schema: T.StructType | str, prefix: str = "LOAD", **options) -> DataFrame:
+    """S6 as a stream: every file of the folder but the full-load ones, whatever their names."""
+    files = stream_change_dir(spark, directory, schema, **options)
+    return files.filter(~F.col("_metadata.file_name").startswith(prefix))

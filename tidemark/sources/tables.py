@@ -1,24 +1,9 @@
-"""Table reads with a parallelism floor."""
+"""Table reads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over the cluster when it has fewer splits than
-    cores (one file with one row group is one task).
-
-    Decoding and normalising are row-wise CPU work; a scan that is already
-    split wider than the default parallelism is left untouched, so at scale
-    this is a no-op and costs no shuffle.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= want:
-        return df
-    return df.repartition(want)
-
-
-def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    return spread(spark.read.parquet(path), min_partitions)
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # System columns of the change log.
 COMMIT = "_commit_time"   # 17-digit UTC instant yyyyMMddHHmmssSSS, a partition column
@@ -28,6 +28,9 @@ class TableSpec:
                 ``event_time``: the highest ordering value wins across commits
     deletes     ``ignore``: a delete is upserted like any row; ``apply``: it removes the key
     tiebreak    columns that settle equal orderings; None means every other payload column
+    target_rows_per_file, target_file_bytes   sizes of written files (W16); None: the session's advisory size
+    write_tasks     width of the write shuffle before AQE; None: the session's
+    count_inserts   tell inserts from updates at commit time (reads the keys of the table)
     """
 
     keys: tuple[str, ...]
@@ -38,7 +41,9 @@ class TableSpec:
     deletes: str = "ignore"
     tiebreak: tuple[str, ...] | None = None
     target_rows_per_file: int = 1_000_000
-    extra: dict = field(default_factory=dict, compare=False)
+    target_file_bytes: int | None = None
+    write_tasks: int | None = None
+    count_inserts: bool = True
 
     def __post_init__(self):
         for name in ("keys", "order", "partitions"):

@@ -3,23 +3,29 @@
 Streams never keep state of their own: late events simply land in the
 partition of their event time (C8), and each micro-batch becomes one commit
 through ``foreachBatch``. Exactly-once comes from the checkpoint plus the
-table's idempotent (query, batch) commits.
+table's idempotent (query, batch) commits. The query's identity is the one
+Spark keeps in the checkpoint, so a reused name with a fresh checkpoint is a
+new query and a renamed query with its old checkpoint is the same one.
 """
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tidemark import files
 from tidemark.functions.columns import normalize_path, split_rejects
 from tidemark.operators.table import ChangeTable
 from tidemark.sources.feeds import read_change_files
 
-# Map path -> file sequence is broadcast only up to this many files per batch.
-MAX_BROADCAST_PATHS = 100_000
+
+def query_id(spark, checkpoint: str) -> str:
+    """The id that Spark wrote into the checkpoint before the first batch."""
+    return json.loads(files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
 
 
 def _apply_trigger(w, trigger):
@@ -38,11 +44,12 @@ def upsert_stream(
     op_col: str | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ):
-    """Micro-batch upserts; one commit per batch, named by (query, batch)."""
+    """Micro-batch upserts; one commit per batch, named by the checkpoint's
+    query id and the batch. A batch without good rows is a commit without rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = prepare(batch) if prepare else batch
-        table.upsert(b, op_col=op_col, query_id=query_name, batch_id=batch_id)
+        table.upsert(b, op_col=op_col, query_id=query_id(table.spark, checkpoint), batch_id=batch_id)
 
     w = df.writeStream.queryName(query_name).foreachBatch(write).option("checkpointLocation", checkpoint)
     return _apply_trigger(w, trigger).start()
@@ -75,7 +82,7 @@ def upsert_with_rejects(
                 .parquet(rejects_path)
             )
             g = prepare(good) if prepare else good
-            table.upsert(g, query_id=query_name, batch_id=batch_id)
+            table.upsert(g, query_id=query_id(table.spark, checkpoint), batch_id=batch_id)
         finally:
             batch.unpersist()
 
@@ -92,10 +99,8 @@ def append_stream(
     query_name: str | None = None,
 ):
     """Append-only partitioned Parquet sink, no dedup; the file sink's
-    own log makes it exactly-once. Rows are grouped by partition value before
-    the sink so each task writes few folders (no small-file explosion)."""
-    if partitions:
-        df = df.repartition(*[F.col(p) for p in partitions])
+    own log makes it exactly-once. There is no shuffle: every input task writes
+    what it read, so the current hour of a feed is written by all of them."""
     w = (
         df.writeStream.format("parquet")
         .option("path", path)
@@ -122,21 +127,16 @@ def notice_batch(
     multi-path scan and tagged by a join on the normalised path.
     """
     spark = batch.sparkSession
-    order = [F.col(seq_col)] if seq_col else []
-    rows = batch.select(path_col, *([seq_col] if seq_col else [])).orderBy(*order).collect() if order else \
-        batch.select(path_col).collect()
-    paths: list[str] = []
-    for r in rows:
-        if r[0] is not None and r[0] not in paths:
-            paths.append(r[0])
-    if not paths:
+    seq = F.col(seq_col) if seq_col else F.monotonically_increasing_id()
+    # a file that is named again counts at its last position
+    named = batch.where(F.col(path_col).isNotNull()).select(F.col(path_col).alias("_p"), seq.alias("_seq"))
+    rows = named.groupBy("_p").agg(F.max("_seq").alias("_seq")).orderBy("_seq", "_p").collect()
+    if not rows:
         return None
-    data = read_change_files(spark, paths, schema=schema).withColumn("_src", normalize_path(F.col("_metadata.file_path")))
-    seq = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "_p string, _file_seq int").select(
+    data = read_change_files(spark, [r["_p"] for r in rows], schema=schema).withColumn("_src", normalize_path(F.col("_metadata.file_path")))
+    seq = spark.createDataFrame([(r["_p"], i) for i, r in enumerate(rows)], "_p string, _file_seq int").select(
         normalize_path(F.col("_p")).alias("_src"), "_file_seq"
-    )
-    if len(paths) <= MAX_BROADCAST_PATHS:
-        seq = F.broadcast(seq)
+    ).groupBy("_src").agg(F.max("_file_seq").alias("_file_seq"))
     # a file whose path does not match its notice must fail the batch, not vanish
     checked = F.when(
         F.col("_file_seq").isNull(), F.raise_error(F.concat(F.lit("no notice matches file "), F.col("_src")))
@@ -167,7 +167,7 @@ def ingest_notices(
         if rows is None:
             return
         prepared = prepare(rows)
-        table.upsert(prepared, file_seq=F.col("_file_seq"), query_id=query_name, batch_id=batch_id)
+        table.upsert(prepared, file_seq=F.col("_file_seq"), query_id=query_id(table.spark, checkpoint), batch_id=batch_id)
 
     w = notices.writeStream.queryName(query_name).foreachBatch(write).option("checkpointLocation", checkpoint)
     return _apply_trigger(w, trigger).start()
