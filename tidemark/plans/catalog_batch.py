@@ -62,8 +62,7 @@ def entry_latest_per_trader(spark: SparkSession, sf: str) -> DataFrame:
           CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_type END AS symbol,
           CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS quantity,
           CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS price,
-          CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'abc'
-               ELSE CAST({Q.EPOCH} AS VARCHAR) END AS timestamp,
+          CASE WHEN event_id % 101 = 0 THEN NULL ELSE {Q.TS_TEXT} END AS timestamp,
           CASE WHEN event_id % 101 = 0 THEN NULL ELSE props END AS description,
           CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS traderName,
           CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_type || ' firm' END AS traderFirm
@@ -151,7 +150,7 @@ def json_schema_file(spark: SparkSession, sf: str) -> DataFrame:
     return C.require(df, "tradeId").select("tradeId", "symbol", "quantity", "price", "traderName")
 
 
-# Fixed value: Avro schema text of the trade record used by S7.
+# Avro schema text of a trade record, for S7.
 TRADE_AVSC = """
 {"type": "record", "name": "TradeData", "namespace": "trades",
  "fields": [
