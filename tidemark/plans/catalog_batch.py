@@ -498,6 +498,7 @@ EXPIRE_SQL = f"""
                   WHERE nx._commit_time <= k.t AND (nx.nxt IS NULL OR k.t < nx.nxt))"""
 
 
+# The retained commit stays as it is; older ones keep what it or the pin can see.
 # In event time a version is seen from its commit on if it beats all earlier ones, until one beats it.
 EXPIRE_EVENT_SQL = f"""
     WITH log AS ({Q.LI_LOG}),
@@ -506,8 +507,8 @@ EXPIRE_EVENT_SQL = f"""
                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM ranked) b WHERE best IS NULL OR rk > best),
     nx AS (SELECT *, lead(_commit_time) OVER (PARTITION BY _record_key ORDER BY _commit_time) AS nxt FROM heads)
     SELECT {Q.LI_COLS} FROM nx
-    WHERE EXISTS (SELECT 1 FROM (VALUES ('{C0}'), ('{C3}')) k(t)
-                  WHERE nx._commit_time <= k.t AND (nx.nxt IS NULL OR k.t < nx.nxt))"""
+    WHERE _commit_time < '{C3}' AND (nxt IS NULL OR '{C3}' < nxt OR (_commit_time <= '{C0}' AND '{C0}' < nxt))
+    UNION ALL SELECT {Q.LI_COLS} FROM log WHERE _commit_time = '{C3}'"""
 
 
 @query("expire_commits", EXPIRE_SQL.replace("{keep_a}", C0).replace("{keep_b}", C3))
