@@ -81,6 +81,13 @@ def test_pages():
     assert H.main_text(deep) == "deep"
 
 
+def test_quotes_in_tags():
+    page = "<p><a href=/it's-here>link</a> First paragraph.</p><p>They don't stop here.</p><p>End.</p>"
+    assert H.main_text(page) == "link First paragraph.\n\nThey don't stop here.\n\nEnd."
+    assert H.main_text('<p class="a"">One.</p><p title="a > b" id=\'x>y\'>Two.</p><p data-x=a="b>Three.</p>') == "One.\n\nTwo.\n\nThree."
+    assert H.main_text('<p title="a hidden gem">One.</p><p class="never closed>Two.</p>') == "One.\n\nTwo."
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (2, "u", "<article><p>Hi 😀</article>", "x"), (2, "u", "<article><p>Hi 😀</article>", "x")], "page_id long, url string, html string, text string")
     got = sorted(map(tuple, H.digest(pages).collect()), key=str)
