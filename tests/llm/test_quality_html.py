@@ -88,6 +88,17 @@ def test_quotes_in_tags():
     assert H.main_text('<p title="a hidden gem">One.</p><p class="never closed>Two.</p>') == "One.\n\nTwo."
 
 
+def test_marks_spare_text():
+    long = "This passage of the text is long enough to be told from a notice by its density, since it holds many words and no links."
+    for wrap in ("<article>%s</article>", "<main><div>%s</div></main>", "<div class='content'>%s</div>"):
+        for mark in ("id=discussion", "id=related-work", "id='legal-background'", "class='search-algorithms'"):
+            body = f"<h1>Title</h1><p>{long}</p><section {mark}><h2 {mark}>Part</h2><p>{long}</p></section><div class=ad>{long}</div><p>{long}</p>"
+            assert H.main_text(PAGE % (wrap % body)) == f"Title\n\n{long}\n\nPart\n\n{long}\n\n{long}", (wrap, mark)
+    links = "<a href=/x>Another page to read</a> " * 9
+    page = f"<div class='content sidebar-right'><h2>Title</h2><p>{long}</p><p>{long}</p><div id=related-links>{links}</div></div>"
+    assert H.main_text(page) == f"Title\n\n{long}\n\n{long}"
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (2, "u", "<article><p>Hi 😀</article>", "x"), (2, "u", "<article><p>Hi 😀</article>", "x")], "page_id long, url string, html string, text string")
     got = sorted(map(tuple, H.digest(pages).collect()), key=str)

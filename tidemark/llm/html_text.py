@@ -2,7 +2,9 @@
 
 A page is parsed into a DOM. Elements that are no article text by their tag or
 by the words of their class and id (menus, sidebars, adverts, notices, forms,
-comments, scripts) are left out. For every other node the composite density is
+comments, scripts) are left out; where such a word is only part of a class, or
+may name a section of a text, the element is kept if it is text-dense, and a
+heading is always kept. For every other node the composite density is
 its characters per tag, adjusted for links:
 
     density = C/T * log(C/LC * T/LT) / log(C/nLC * LC + bLC/bC * C + e)
@@ -52,6 +54,13 @@ MARKS = frozenset(
     " subscription signup login search share sharing social related recommended widget pagination pager comment comments commentlist reply"
     " replies respond disqus discussion alert copyright legal disclaimer toolbar skip tags".split()
 )
+#: Marks that may as well name a section of a text.
+TITLES = frozenset(
+    "adv advertising navigation menu notice notices alert search sharing share social related recommended discussion"
+    " copyright legal disclaimer tags login signup subscription subscribe promotion banner skip modal overlay widget toolbar".split()
+)
+#: A marked element is text-dense from so many characters, so many of them a tag, and up to this share in links.
+DENSE_CHARS, DENSE_TAG, DENSE_LINKS = 80, 20, 0.3
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 WHOLE = frozenset("article main".split())
 #: What an open element is closed by.
@@ -64,21 +73,26 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "heading")
+    __slots__ = ("tag", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best", "heading", "maybe")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, maybe: bool = False):
+        self.tag, self.parent, self.drop, self.maybe = tag, parent, drop, maybe
         self.items: list[Node | str] = []
 
 
-def _marked(attributes: str, marks: frozenset) -> bool:
+def _marked(attributes: str, marks: frozenset, inside: bool, heading: bool) -> tuple[bool, bool]:
+    """Whether an element is no article text, and whether it may be none (then
+    its density decides). An id inside an article names a section of it."""
+    maybe = False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
+            return True, False
         if name in ("class", "id") and (words := {w.lower() for w in WORDS.findall(value)}) & marks and not words & {"no", "without", "with", "has"}:
-            return True
-    return False
+            if (name == "class" or not inside) and not heading and {t.lower() for t in value.split()} & (marks if marks is SIDE else marks - TITLES):
+                return True, False
+            maybe = True
+    return False, maybe
 
 
 def parse(page: str) -> Node:
@@ -124,8 +138,8 @@ def parse(page: str) -> Node:
                 stack.pop()
         if tag in CLOSES:
             close(CLOSES[tag], BARRIER[tag])
-        drop = tag in DROPPED or _marked(m[3], SIDE if tag in WHOLE else MARKS)
-        node = Node(tag, stack[-1], drop)
+        drop, maybe = _marked(m[3], SIDE if tag in WHOLE else MARKS, any(n.tag in WHOLE for n in stack), tag in HEADINGS)
+        node = Node(tag, stack[-1], drop or tag in DROPPED, maybe and tag not in HEADINGS)
         stack[-1].items.append(node)
         if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
             continue
@@ -149,11 +163,28 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
+def _count(node: Node) -> None:
+    """Characters and tags of a node, those in links too, from its children's."""
+    kids = [x for x in node.items if isinstance(x, Node) and not x.drop]
+    node.chars = sum(len("".join(x.split())) for x in node.items if isinstance(x, str)) + sum(k.chars for k in kids)
+    node.tags = len(kids) + sum(k.tags for k in kids)
+    link = node.tag == "a"
+    node.link_chars = node.chars if link else sum(k.link_chars for k in kids)
+    node.link_tags = node.tags + 1 if link else sum(k.link_tags for k in kids)
+
+
+def _dense(node: Node) -> bool:
+    return node.chars >= max(DENSE_CHARS, DENSE_TAG * node.tags) and node.link_chars <= DENSE_LINKS * node.chars
+
+
 def _prune(root: Node) -> list[Node]:
     order = _order(root)
     for node in order:
         node.heading = node.tag == "h1" or node.tag in WHOLE
     for node in reversed(order):
+        _count(node)
+        if node.maybe and not _dense(node):
+            node.drop = True
         # marks do not take away what holds an article, nor does a form around the page
         if node.drop and node.heading and node.tag not in WHOLE and (node.tag == "form" or node.tag not in DROPPED):
             node.drop = False
@@ -175,12 +206,7 @@ def _within(node: Node | None) -> Node | None:
 
 def _densities(order: list[Node]) -> None:
     for node in reversed(order):
-        kids = [x for x in node.items if isinstance(x, Node)]
-        node.chars = sum(len("".join(x.split())) for x in node.items if isinstance(x, str)) + sum(k.chars for k in kids)
-        node.tags = len(kids) + sum(k.tags for k in kids)
-        link = node.tag == "a"
-        node.link_chars = node.chars if link else sum(k.link_chars for k in kids)
-        node.link_tags = node.tags + 1 if link else sum(k.link_tags for k in kids)
+        _count(node)
     body = order[0]
     share = body.link_chars / body.chars if body.chars else 0
     for node in reversed(order):
