@@ -63,6 +63,25 @@ def test_descent_improves_the_graph(spark):
     assert recall(4) > max(0.8, recall(0) + 0.1)
 
 
+def test_a_narrow_beam_is_widened(spark):
+    x = np.random.default_rng(2).normal(size=(2000, 48)).astype(np.float32)
+    index = A.build(frame(spark, [(k, v.tolist()) for k, v in enumerate(x)]), k=5, rounds=3)
+    asked = index.nodes.filter("node % 20 = 0").selectExpr("node query", "node", "embedding")
+    got = defaultdict(set)
+    for r in A.nearest_nodes(index, asked, beam=11).filter("query <> node").collect():
+        got[r["query"]].add(r.node)
+    true = np.argsort(((x[::20, None] - x[None]) ** 2).sum(2), axis=1)[:, 1:11]
+    assert np.mean([len(got[20 * k] & set(t.tolist())) for k, t in enumerate(true)]) > 9
+
+
+def test_the_descent_goes_on_until_it_is_still(spark, monkeypatch):
+    monkeypatch.setattr(A, "PART", 2)
+    x = np.random.default_rng(3).normal(size=(1500, 16)).astype(np.float32)
+    links = {r.node: set(r.near) for r in A.build(frame(spark, [(k, v.tolist()) for k, v in enumerate(x)])).links.collect()}
+    true = np.argsort(((x[:, None] - x[None]) ** 2).sum(2), axis=1)[:, 1:11]
+    assert np.mean([len(set(t) & links[k]) for k, t in enumerate(true)]) > 8
+
+
 @pytest.mark.parametrize("rows", [[], [(0, [1.0, 2.0])], [(0, None)], [(0, [1.0, 2.0]), (1, [1.0, 2.0]), (100, [2.0, 2.0])]])
 def test_small_tables(spark, rows):
     got, want = answers(A.search(frame(spark, rows))), brute(rows, 100)

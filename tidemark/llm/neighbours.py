@@ -11,7 +11,9 @@ vectors travel as 8-bit codes while the graph is built.
 A query starts from its nearest pivots, and from its own node if the index has
 its vector. Each hop joins the nodes of its beam that were not yet expanded
 with their neighbours, measures those in double precision on the original
-vectors, and keeps the best ``BEAM``, until nothing in the beam is new.
+vectors, and keeps the best ones (the beam), until nothing in the beam is new.
+The beam starts at ``BEAM`` and is doubled until the recall of ``PROBED``
+queries, measured against all vectors, reaches ``AIM``.
 
 Defined results: rows with a null id, and vectors that are null, empty, zero or
 hold null or non-finite components, take no part, nor do vectors whose length
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,15 +37,17 @@ from tidemark.llm.common import stored
 K = 20
 #: Neighbours, and reverse neighbours, of each of new and old that a node brings together in a round.
 PART = 8
-ROUNDS = 6
 #: The start: so many times, nodes are dealt into random buckets of about this size.
 DEALS = 5
 BUCKET = 256
 #: A round proposes so many of the nearest in a group to each member.
 PROPOSED = 4
-#: Rounds end early when fewer than this share of all neighbours changed.
+#: Rounds end when fewer than this share of all neighbours changed.
 STILL = 0.002
+#: The narrowest beam; it is doubled while the probed queries miss the recall aimed at.
 BEAM = 320
+PROBED = 256
+AIM = 0.93
 REACHED = 10
 #: Nodes that searches start from; queries are taken in blocks of this size, whose vectors are broadcast.
 PIVOTS = 1024
@@ -246,7 +251,7 @@ def _improved(graph: DataFrame, proposals: DataFrame, k: int) -> DataFrame:
     return graph.join(some, "node", "left").select("node", "code", "near", "apart", "fresh", "proposed").mapInArrow(_merge(k), GRAPH)
 
 
-def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, rounds: int = ROUNDS) -> Index:
+def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, rounds: int | None = None) -> Index:
     rows = _valid(vectors, id_col, vector_col)
     top = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     width = top["n"] if top else 0
@@ -271,7 +276,7 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     first = dealt.select("members").mapInArrow(_bucket(-(-k // DEALS) + 2), "node long, near array<long>, apart array<float>")
     empty = codes.select("node", "code", F.array().cast("array<long>").alias("near"), F.array().cast("array<float>").alias("apart"), F.array().cast("array<boolean>").alias("fresh"))
     graph = stored(_improved(empty, first, k), "graph")
-    for turn in range(rounds):
+    for turn in count() if rounds is None else range(rounds):
         member = graph.select("node", "near", "fresh").mapInArrow(_members(turn, PART), "node long, member long, fresh boolean, back boolean")
         draw = Window.partitionBy("node", "fresh", "back").orderBy(F.xxhash64("member", F.lit(turn)), "member")
         member = member.withColumn("rank", F.row_number().over(draw)).filter(F.col("rank") <= PART)
@@ -296,12 +301,13 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
 
 def _blocks(queries: DataFrame) -> Iterator[list]:
-    block = []
-    for r in queries.toLocalIterator():
+    """The queries in the order of a hash; the first block holds those that are probed."""
+    block, full = [], PROBED
+    for r in queries.orderBy(F.xxhash64("query"), "query").toLocalIterator():
         block.append(r)
-        if len(block) >= QUERY_BLOCK:
+        if len(block) >= full:
             yield block
-            block = []
+            block, full = [], QUERY_BLOCK
     if block:
         yield block
 
@@ -326,7 +332,63 @@ def _measure(sent, width: int):
     return run
 
 
-def nearest_nodes(index: Index, queries: DataFrame, beam: int = BEAM, found: int = REACHED) -> DataFrame:
+def _reach(index: Index, block: list, sent, found: int) -> DataFrame:
+    """(q, reach, others): by brute force over all nodes, the distance of the
+    ``found``-th nearest other node of each query, and how many that are."""
+
+    width, ids = index.width, [r["node"] for r in block]
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        own = np.array([-1 if i is None else i for i in ids])
+        known = np.array([i is not None for i in ids])
+        for batch in batches:
+            for k in range(0, len(batch), 1 << 12):
+                part = batch.slice(k, 1 << 12)
+                d = _distances(sent.value, _matrix(part.column(1), width))
+                d[known[:, None] & (own[:, None] == part.column(0).to_numpy())] = np.inf
+                top = min(found, d.shape[1])
+                near = np.partition(d, top - 1, axis=1)[:, :top]
+                at, col = np.nonzero(near < np.inf)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(near[at, col])], names=["q", "reach"])
+
+    near = index.nodes.select("node", "embedding").mapInArrow(run, "q int, reach double")
+    place = F.row_number().over(Window.partitionBy("q").orderBy("reach"))
+    return stored(near.withColumn("place", place).filter(F.col("place") <= found).groupBy("q").agg(F.max("reach").alias("reach"), F.count("*").alias("others")), "reach")
+
+
+def _recall(kept: DataFrame, reach: DataFrame, block: list) -> float:
+    """The share of the nearest other nodes that a search has kept."""
+    own = kept.sparkSession.createDataFrame([(j, r["node"]) for j, r in enumerate(block)], "q int, own long")
+    near = F.coalesce(F.col("node") != F.col("own"), F.lit(True)) & (F.col("apart") <= F.col("reach") + 1e-6 * F.col("reach"))
+    hits = kept.join(reach, "q").join(own, "q").filter(near).groupBy("q").agg(F.count("*").alias("hits"))
+    share = reach.join(hits, "q", "left").agg(F.sum(F.least(F.coalesce("hits", F.lit(0)), "others")), F.sum("others")).first()
+    return share[0] / share[1] if share[1] else 1.0
+
+
+def _walk(index: Index, start: list, sent, beam: int) -> DataFrame:
+    """(q, node, apart, done): the beam of each query when nothing in it is new."""
+    spark = index.nodes.sparkSession
+    fresh = spark.createDataFrame(start, "q int, node long").distinct()
+    now = None
+    while True:
+        near = fresh.groupBy("node").agg(F.collect_set("q").alias("queries"))
+        some = index.nodes.join(near, "node").select("node", "embedding", "queries").mapInArrow(_measure(sent, index.width), "q int, node long, apart double")
+        some = some.withColumn("done", F.lit(False))
+        if now is not None:
+            some = some.union(now.withColumn("done", F.lit(True))).groupBy("q", "node").agg(F.min("apart").alias("apart"), F.max("done").alias("done"))
+        rank = F.row_number().over(Window.partitionBy("q").orderBy("apart", "node"))
+        kept = stored(some.withColumn("rank", rank).filter(F.col("rank") <= beam).drop("rank"), "beam")
+        now = kept.drop("done")
+        todo = kept.filter("not done")
+        if todo.isEmpty():
+            return kept
+        fresh = todo.select("q", "node").join(index.links, "node").select("q", F.explode("near").alias("node")).distinct()
+
+
+def nearest_nodes(index: Index, queries: DataFrame, beam: int = BEAM, found: int = REACHED, aim: float = AIM) -> DataFrame:
     """(query, node, apart): for each row of queries(query, embedding) its
     ``found`` + 1 nearest nodes, its own included, and those tied with the last."""
     import numpy as np
@@ -337,26 +399,19 @@ def nearest_nodes(index: Index, queries: DataFrame, beam: int = BEAM, found: int
         return out
     pivots = index.nodes.select("node", "embedding").orderBy(F.xxhash64("node", F.lit(7))).limit(PIVOTS).collect()
     at = np.array([p["embedding"] for p in pivots], float)
-    for block in _blocks(queries):
+    nodes = index.nodes.count()
+    beam = max(beam, found + 1)
+    for number, block in enumerate(_blocks(queries)):
         x = np.array([r["embedding"] for r in block], float)
         sent = spark.sparkContext.broadcast(x)
         start = [(j, pivots[p]["node"]) for j, d in enumerate(_distances(x, at)) for p in np.argsort(d)[:STARTS].tolist()]
         start += [(j, r["node"]) for j, r in enumerate(block) if r["node"] is not None]
-        fresh = spark.createDataFrame(start, "q int, node long").distinct()
-        now = None
-        while True:
-            near = fresh.groupBy("node").agg(F.collect_set("q").alias("queries"))
-            some = index.nodes.join(near, "node").select("node", "embedding", "queries").mapInArrow(_measure(sent, index.width), "q int, node long, apart double")
-            some = some.withColumn("done", F.lit(False))
-            if now is not None:
-                some = some.union(now.withColumn("done", F.lit(True))).groupBy("q", "node").agg(F.min("apart").alias("apart"), F.max("done").alias("done"))
-            rank = F.row_number().over(Window.partitionBy("q").orderBy("apart", "node"))
-            kept = stored(some.withColumn("rank", rank).filter(F.col("rank") <= beam).drop("rank"), "beam")
-            now = kept.drop("done")
-            todo = kept.filter("not done")
-            if todo.isEmpty():
-                break
-            fresh = todo.select("q", "node").join(index.links, "node").select("q", F.explode("near").alias("node")).distinct()
+        kept = _walk(index, start, sent, beam)
+        if not number:
+            reach = _reach(index, block, sent, found)
+            while beam < nodes and _recall(kept, reach, block) < aim:
+                beam *= 2
+                kept = _walk(index, start, sent, beam)
         place = F.rank().over(Window.partitionBy("q").orderBy("apart"))
         names = spark.createDataFrame([(j, r["query"]) for j, r in enumerate(block)], "q int, query long")
         best = kept.withColumn("place", place).filter(F.col("place") <= found + 1).join(names, "q").select("query", "node", "apart")
