@@ -288,7 +288,7 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         aged = graph.mapInArrow(_aged(turn, PART), GRAPH)
         graph = stored(_improved(aged, found, k), "graph")
         changed = graph.agg(F.sum(F.size(F.filter("fresh", lambda f: f)))).first()[0] or 0
-        if changed < STILL * k * n:
+        if changed <= STILL * k * n:
             break
     edge = graph.select("node", F.explode("near").alias("other"))
     edges = graph.select("node", F.explode(F.arrays_zip("near", "apart")).alias("e")).select("node", F.col("e.near").alias("other"), F.col("e.apart").alias("apart"))
