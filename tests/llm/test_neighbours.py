@@ -86,3 +86,8 @@ def test_the_descent_goes_on_until_it_is_still(spark, monkeypatch):
 def test_small_tables(spark, rows):
     got, want = answers(A.search(frame(spark, rows))), brute(rows, 100)
     assert {q: w for q, w in want.items() if w} == got
+
+
+def test_more_copies_than_the_default(spark):
+    rows = [(k, [1.0, 2.0]) for k in range(30)] + [(50, [2.0, 2.0])]
+    assert answers(A.search(frame(spark, rows), every=100, found=20)) == brute(rows, 100, 20)

@@ -251,14 +251,14 @@ def _improved(graph: DataFrame, proposals: DataFrame, k: int) -> DataFrame:
     return graph.join(some, "node", "left").select("node", "code", "near", "apart", "fresh", "proposed").mapInArrow(_merge(k), GRAPH)
 
 
-def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, rounds: int | None = None) -> Index:
+def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, rounds: int | None = None, found: int = REACHED) -> Index:
     rows = _valid(vectors, id_col, vector_col)
     top = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     width = top["n"] if top else 0
     rows = rows.filter(F.size("embedding") == width).distinct()
     # the smallest ids of each vector; cut before the shuffle, so no vector's ids gather in a task
     rank = F.row_number().over(Window.partitionBy("embedding").orderBy("id"))
-    few = rows.withColumn("rank", rank).filter(F.col("rank") <= REACHED + 1)
+    few = rows.withColumn("rank", rank).filter(F.col("rank") <= found + 1)
     nodes = few.groupBy("embedding").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     nodes = stored(nodes.select(F.element_at("ids", 1).alias("node"), "ids", "embedding").repartition("node"), "nodes")
     n = nodes.count()
@@ -422,7 +422,7 @@ def nearest_nodes(index: Index, queries: DataFrame, beam: int = BEAM, found: int
 def search(vectors: DataFrame, every: int = 100, found: int = REACHED, beam: int = BEAM, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``found`` nearest of each row whose
     id is divisible by ``every`` among all other rows."""
-    index = build(vectors, id_col, vector_col)
+    index = build(vectors, id_col, vector_col, found=found)
     asked = _valid(vectors, id_col, vector_col).filter((F.pmod("id", F.lit(every)) == 0) & (F.size("embedding") == index.width)).distinct()
     asked = stored(asked.join(index.nodes.select("node", "embedding"), "embedding").select("id", "node"), "asked")
     # equal queries are searched once
