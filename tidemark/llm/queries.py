@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, mixing, neighbours, quality, secrets, sharding, simhash, token_counts, url_filter
+from tidemark.llm import decontaminate, html_text, mixing, neighbours, quality, secrets, sharding, simhash, suffix_dedup, token_counts, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,8 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, t
        CAST(size * least(3, floor(rate) + CAST(draw < rate - floor(rate) AS INTEGER)) AS BIGINT) AS taken
 FROM d JOIN rate ON d.source IS NOT DISTINCT FROM rate.source
 """
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
