@@ -48,11 +48,11 @@ HOT = 1024
 #: Bytes that the quicksort looks at before the tries take over.
 SHALLOW = 16
 #: A block is closed once it has so many bytes; a bucket gets the runs of about so many bytes of text.
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 16 << 20
-SEGMENT = 1 << 18
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 8 << 20
+SEGMENT = 1 << 16
 #: Suffixes sorted at a time; the suffixes of one anchor stay together.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 18
 
 
 # ---------------------------------------------------------------- runs of windows
