@@ -107,7 +107,8 @@ def runs(buf, ends, length: int, gram: int):
         other = np.concatenate([[True], (owner[1:] != owner[:-1]) | ~ok[:-1]])
         first = np.flatnonzero(ok & other)
         last = np.flatnonzero(ok & np.concatenate([other[1:] | ~ok[1:], [True]]))
-        out.append((first + s, last + s, grams[owner[first].astype(np.int64)]))
+        # an anchor's hash is a smallest one: mixed once more, so that keys are spread evenly
+        out.append((first + s, last + s, mixed(grams[owner[first].astype(np.int64)])))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
