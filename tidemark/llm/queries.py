@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, html_text, mixing, neighbours, quality, secrets, sharding, simhash, suffix_dedup, token_counts, url_filter
+from tidemark.llm import collocations, decontaminate, html_text, mixing, neighbours, quality, secrets, sharding, simhash, spelling, suffix_dedup, token_counts, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,6 +148,47 @@ FROM d JOIN rate ON d.source IS NOT DISTINCT FROM rate.source
 """
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = rf"""
+WITH p AS (
+  SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {UPPER}, {LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+g AS MATERIALIZED (
+  SELECT lang, k, w[i:i + k - 1] AS g, count(*)::HUGEINT AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+c AS (SELECT * FROM g WHERE k > 1 AND f >= {collocations.LEAST}),
+cuts AS (
+  SELECT c.lang, c.g, c.k, c.f, l.f AS l, r.f AS r, 2000000 * c.f // (l.f + r.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.g ORDER BY 2000000 * c.f // (l.f + r.f), cut) AS nth
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN g l ON l.lang = c.lang AND l.g = c.g[1:cut] JOIN g r ON r.lang = c.lang AND r.g = c.g[cut + 1:c.k]),
+covered AS (
+  SELECT DISTINCT s.lang, s.g
+  FROM (SELECT lang, f, k, g[i:i + m - 1] AS g FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM c, (VALUES (2), (3)) t(m) WHERE m < k)) longer
+  JOIN c s ON s.lang = longer.lang AND s.g = longer.g
+  WHERE 100 * longer.f >= {collocations.COVER} * s.f),
+n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(array_to_string(g, ' '))) AS rank,
+         array_to_string(g, ' ') AS phrase, f AS a, l, r, score
+  FROM cuts ANTI JOIN covered USING (lang, g) WHERE nth = 1)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= {collocations.TOP}
+"""
+
+
 @query
 def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
