@@ -2,14 +2,15 @@
 
 1. Texts are cut into pieces and words. A block holds the words of one language
    as numbers of its own dictionary, with 0 between pieces.
-2. Only words found LEAST times or more can be part of a phrase, and only pairs of
-   neighbours found as often. Both are counted over all blocks (``packed.tally``:
-   words by hash first, then those left by their text, so that the result is exact),
-   and a piece is cut at every other word and between every other pair.
-   That changes no count of a phrase that can be reported, nor of its parts.
+2. Only words found LEAST times or more can be part of a phrase, and only pairs
+   and threes of neighbours found as often. Words are counted, and
+   numbered, in the bucket of their hash; pairs and threes by ``packed.tally``. A
+   piece is cut at every other word, between every other pair and at every other
+   three. That changes no count of a phrase that can be reported, nor of its parts.
+   A hash that two threes share only leaves a cut out.
 3. Every word left starts one longest gram, filled up with zeros where its piece
-   ends. A full gram is an edge between the nodes of its first and last LONGEST - 1
-   words; a filled-up one is a piece end. Edges are counted once.
+   ends. A full gram of four words is an edge between the nodes of its first and
+   last three; a filled-up one is a piece end. Edges are counted once.
 4. Unary paths are compacted: where a node has one edge in, one edge out, the
    same flow on both and no piece begins or ends, the two edges become one. Heads
    of paths are found by pointer doubling.
@@ -35,17 +36,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.common import stored
-from tidemark.llm.packed import bits_for, mixed, pack, rows, tally, unpack, unpacked_levels
+from tidemark.llm.packed import bits_for, bucket_cuts, mixed, pack, rows, tally, unpack, unpacked_levels
 
 LEAST = 30
 #: A phrase goes if a longer one with it has so many hundredths of its count.
 COVER = 80
 TOP = 2000
 #: Words of all open blocks of a task, and words that a bucket of counts gets.
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 5 << 20
 BUCKET_TOKENS = 1 << 21
-#: Word ids are dealt in so many groups.
-ID_GROUPS = 4096
 HALF = 31
 MASK = (1 << HALF) - 1
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -65,7 +64,6 @@ def _blocks(block_tokens: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import xxhash
         import zstandard
         from pyspark import TaskContext
 
@@ -74,16 +72,16 @@ def _blocks(block_tokens: int):
 
         def closed():
             for lang, (known, seqs) in open_blocks.items():
-                seq = np.concatenate(seqs)
                 words = list(known)[1:]
-                key = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-                times = np.bincount(seq, minlength=len(words) + 1)[1:]
-                keys, place = np.unique(key, return_inverse=True)
-                sums = np.bincount(place, weights=times, minlength=len(keys)).astype(np.uint32)
-                row = (number[0], lang, int(times.sum()), zstandard.compress(b".".join(words)), pack(seq), pack(keys), pack(sums))
+                order = np.argsort(_hashes(words), kind="stable")  # so that a bucket's words lie together
+                place = np.zeros(len(known), np.int32)
+                place[order + 1] = np.arange(1, len(known))
+                seq = place[np.concatenate(seqs)]
+                times = np.bincount(seq, minlength=len(known))[1:]
+                row = (number[0], lang, int(times.sum()), zstandard.compress(b".".join([words[k] for k in order.tolist()])), pack(times.astype(np.uint32)), pack(seq))
                 number[0] += 1
-                types = (pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 4)
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["block", "lang", "tokens", "words", "seq", "keys", "times"])
+                types = (pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 3)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=["block", "lang", "tokens", "words", "counts", "seq"])
             open_blocks.clear()
 
         held = 0
@@ -104,27 +102,64 @@ def _blocks(block_tokens: int):
     return run
 
 
-def _words(row: dict) -> list[bytes]:
+def _hashes(words: list[bytes]):
+    import numpy as np
+    import xxhash
+
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+
+
+def _split(data: bytes) -> list[bytes]:
     import zstandard
 
-    return zstandard.decompress(row["words"]).split(b".") if row["tokens"] else []
+    return zstandard.decompress(data).split(b".")
 
 
-def _often(batches: Iterator) -> Iterator:
-    """The words of a block whose hash is found often enough, with their own counts."""
-    import numpy as np
-    import pyarrow as pa
-    import xxhash
+def _deal_words(bits: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import zstandard
 
-    for row in rows(batches):
-        words = _words(row)
-        key = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
-        pick = np.flatnonzero(unpacked_levels(row["levels"])[np.searchsorted(unpack(row["keys"], np.uint64), key)])
-        times = np.bincount(unpack(row["seq"], np.int32), minlength=len(words) + 1)[pick + 1]
-        n = len(pick)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([row["block"]] * n, pa.int64()), pa.array([row["lang"]] * n, pa.string()), pa.array(pick + 1, pa.int32()),
-             pa.array([words[p].decode() for p in pick.tolist()], pa.string()), pa.array(times, pa.int64())], names=["block", "lang", "place", "word", "times"])
+        for row in rows(batches):
+            if not row["tokens"]:
+                continue
+            words, counts = _split(row["words"]), unpack(row["counts"], "uint32")
+            cuts = bucket_cuts(_hashes(words), bits).tolist()
+            parts = [(k, row["block"], row["lang"], zstandard.compress(b".".join(words[a:b])), pack(counts[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+            types = (pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*parts), types)], names=["bucket", "block", "lang", "words", "counts"])
+
+    return run
+
+
+def _number_words(least: int, bits: int):
+    """Ids for the words of a bucket that are found often enough, 0 for the others, block by block;
+    the first row also has the vocabulary."""
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        known: dict[bytes, int] = {}
+        places = []
+        for lang, words in zip(table["lang"].to_pylist(), table["words"]):
+            own = lang.encode() + b"."  # a word has no full stop, so this can be told apart
+            places.append(np.array([known.setdefault(own + w, len(known)) for w in _split(words.as_py())], np.int64))
+        counts = np.concatenate([unpack(x.as_py(), np.uint32) for x in table["counts"]])
+        total = np.bincount(np.concatenate(places), weights=counts)  # exact up to 2^53
+        bucket, names = table["bucket"][0].as_py(), list(known)
+        often = sorted(np.flatnonzero(total >= least).tolist(), key=names.__getitem__)
+        ids = np.zeros(len(names), np.int64)
+        ids[often] = (np.arange(len(often)) << bits) + bucket + 1
+        if ids.max() > MASK:
+            raise ValueError(f"more than {MASK} words are found {least} times")
+        lang, _, word = zip(*(names[k].rpartition(b".") for k in often)) if often else ((), (), ())
+        vocabulary = [[{"lang": g.decode(), "word": w.decode(), "id": int(ids[k])} for g, w, k in zip(lang, word, often)], *[None] * (len(places) - 1)]
+        kind = pa.list_(pa.struct([("lang", pa.string()), ("word", pa.string()), ("id", pa.int64())]))
+        return pa.table({"block": table["block"], "bucket": table["bucket"], "ids": pa.array([pack(ids[p].astype(np.uint32)) for p in places], pa.binary()),
+                         "vocabulary": pa.array(vocabulary, kind)})
+
+    return run
 
 
 def _numbered(batches: Iterator) -> Iterator:
@@ -133,10 +168,8 @@ def _numbered(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     for row in rows(batches):
-        seq = unpack(row["seq"], np.int32)
-        ids = np.zeros(int(seq.max()) + 1, np.uint32)
-        ids[row["places"]] = row["ids"]
-        seq = ids[seq]
+        ids = np.concatenate([np.zeros(1, np.uint32), *(unpack(x["ids"], np.uint32) for x in row["ids"])])
+        seq = ids[unpack(row["seq"], np.int32)]
         keys, times = np.unique(_pairs(seq), return_counts=True)
         yield pa.RecordBatch.from_arrays(
             [pa.array([x], t) for x, t in zip((row["block"], pack(seq), pack(keys), pack(times.astype(np.uint32))), (pa.int64(), *[pa.binary()] * 3))],
@@ -153,29 +186,88 @@ def _pairs(seq):
     return mixed((a[both] << np.uint64(HALF)) | b[both])
 
 
-def _edges(batches: Iterator) -> Iterator:
-    """The longest grams of a block, cut between rare pairs, with their counts."""
+def _threes(seq):
+    """Where three neighbours begin in a row of ids, and their hashes, in order."""
+    import numpy as np
+
+    x = seq.astype(np.uint64)
+    at = np.flatnonzero((x[:-2] > 0) & (x[1:-1] > 0) & (x[2:] > 0))
+    return at, mixed(mixed((x[at] << np.uint64(HALF)) | x[at + 1]) + x[at + 2])
+
+
+def _segments(batches: Iterator) -> Iterator:
+    """A block's words, cut between rare pairs: those that are alone with their counts, the others in
+    order with zeros between, and their threes."""
     import numpy as np
     import pyarrow as pa
 
     for row in rows(batches):
-        seq = unpack(row["seq"], np.uint32).astype(np.int64)
-        tied = np.zeros(len(seq), bool)  # to the next word
-        tied[:-1] = (seq[:-1] > 0) & (seq[1:] > 0)
-        if tied.any():
-            tied[tied] = unpacked_levels(row["levels"])[np.searchsorted(unpack(row["keys"], np.uint64), _pairs(seq))] > 0
-        gram, going = [seq], np.ones(len(seq), bool)
-        for k in range(1, 4):
-            going = going & np.concatenate([tied[k - 1 :], np.zeros(k - 1, bool)])
-            gram.append(np.where(going, np.concatenate([seq[k:], np.zeros(k, np.int64)]), 0))
-        a, b = ((x << HALF | y)[seq > 0] for x, y in (gram[:2], gram[2:]))
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
-        n = np.diff(np.append(first, len(a)))
-        for k in range(0, len(first), 1 << 16):
-            part = first[k : k + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(a[part]), pa.array(b[part]), pa.array(n[k : k + len(part)], pa.int64())], names=["a", "b", "n"])
+        seq = unpack(row["seq"], np.uint32)
+        tied = np.zeros(len(seq) + 1, bool)  # a word to the one before it
+        tied[1:-1] = (seq[:-1] > 0) & (seq[1:] > 0)
+        _, place = np.unique(_pairs(seq), return_inverse=True)
+        tied[tied] = unpacked_levels(row["levels"])[place] > 0
+        alone = (seq > 0) & ~tied[:-1] & ~tied[1:]
+        words, times = np.unique(seq[alone], return_counts=True)
+        kept = np.flatnonzero((seq > 0) & ~alone)
+        width = 2 - tied[kept + 1]
+        out = np.zeros(int(width.sum()), np.uint32)
+        out[np.cumsum(width) - width] = seq[kept]
+        keys, counts = np.unique(_threes(out)[1], return_counts=True)
+        values = (row["block"], pack(words), pack(times.astype(np.uint32)), pack(out), pack(keys), pack(counts.astype(np.uint32)))
+        yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(values, (pa.int64(), *[pa.binary()] * 5))],
+                                         names=["block", "alone", "alone_times", "seq", "keys", "times"])
+
+
+def _summed(a, b, n):
+    """The different grams (a, b), in order, with their counts in all."""
+    import numpy as np
+
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.empty(0, np.int64)
+    return a[first], b[first], np.diff(np.append(0, np.cumsum(n[order]))[np.append(first, len(a))])
+
+
+def _edges(bits: int):
+    """The longest grams of a block, cut at rare threes, with their counts, packed for the buckets they are dealt to."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for row in rows(batches):
+            seq = unpack(row["seq"], np.uint32).astype(np.int64)
+            at, key = _threes(seq)
+            _, place = np.unique(key, return_inverse=True)
+            three = np.zeros(len(seq) + 1, bool)  # a frequent one begins
+            three[at[unpacked_levels(row["levels"])[place] > 0 if len(at) else slice(0)]] = True
+            after = lambda k: np.concatenate([seq[k:], np.zeros(k, np.int64)])[: len(seq)]
+            second = after(1)
+            third = np.where((second > 0) & three[:-1], after(2), 0)
+            fourth = np.where((third > 0) & three[1:], after(3), 0)
+            a, b = ((x << HALF | y)[seq > 0] for x, y in ((seq, second), (third, fourth)))
+            alone, times = unpack(row["alone"], np.uint32).astype(np.int64) << HALF, unpack(row["alone_times"], np.uint32)
+            a, b, n = _summed(np.append(a, alone), np.append(b, np.zeros(len(alone), np.int64)), np.append(np.ones(len(a), np.int64), times))
+            bucket = (mixed(mixed(a) + b.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(a), np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+            parts = [(k, *(pack(x) for x in (np.diff(a[own], prepend=0), b[own], n[own].astype(np.uint32))))
+                     for k in np.flatnonzero(np.diff(cuts)).tolist() for own in [order[cuts[k] : cuts[k + 1]]]]
+            types = (pa.int32(), *[pa.binary()] * 3)
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*parts), types)], names=["bucket", "a", "b", "n"])
+
+    return run
+
+
+def _sum_edges(table):
+    import numpy as np
+    import pyarrow as pa
+
+    a = np.concatenate([np.cumsum(unpack(x.as_py(), np.int64)) for x in table["a"]])
+    b, n = (np.concatenate([unpack(x.as_py(), kind).astype(np.int64) for x in table[c]]) for c, kind in (("b", np.int64), ("n", np.uint32)))
+    return pa.table(dict(zip("abn", _summed(a, b, n))))
 
 
 # ---------------------------------------------------------------- the graph; a gram of four words is two longs, (w1, w2) and (w3, w4)
@@ -245,26 +337,24 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lea
     if least < 2:
         raise ValueError("least must be 2 or more: what is found once is no collocation")
     source = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    blocks = stored(source.mapInArrow(_blocks(block_tokens), "block long, lang string, tokens long, words binary, seq binary, keys binary, times binary"), "blocks", group_rows=8)
+    blocks = stored(source.mapInArrow(_blocks(block_tokens), "block long, lang string, tokens long, words binary, counts binary, seq binary"), "blocks", group_rows=8)
     sizes = blocks.groupBy("lang").agg(F.sum("tokens").alias("n"))
     bits = bits_for(blocks.agg(F.sum("tokens")).first()[0] or 0, bucket_tokens)
     # words
-    levels = tally(blocks.select("block", "keys", "times"), (least,), bits)
-    named = stored(blocks.join(levels, "block").mapInArrow(_often, "block long, lang string, place int, word string, times long"), "words")
-    words = named.groupBy("lang", "word").agg(F.sum("times").alias("times")).filter(F.col("times") >= least)
-    group = F.pmod(F.xxhash64("lang", "word"), F.lit(ID_GROUPS))
-    place = F.row_number().over(Window.partitionBy("g").orderBy("lang", "word"))
-    vocabulary = stored(words.select("lang", "word", group.alias("g")).select("lang", "word", ((place - 1) * ID_GROUPS + F.col("g") + 1).alias("id")), "vocabulary")
-    if (vocabulary.agg(F.max("id")).first()[0] or 0) > MASK:
-        raise ValueError(f"more than {MASK} words are found {least} times")
-    ids = named.join(vocabulary, ["lang", "word"]).groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "id"))).alias("c"))
+    dealt = blocks.drop("seq").mapInArrow(_deal_words(bits), "bucket int, block long, lang string, words binary, counts binary")
+    schema = "block long, bucket int, ids binary, vocabulary array<struct<lang:string,word:string,id:long>>"
+    words = stored(dealt.groupBy("bucket").applyInArrow(_number_words(least, bits), schema), "words")
+    vocabulary = stored(words.select(F.inline("vocabulary")), "vocabulary")
+    ids = words.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids"))).alias("ids"))
     # pairs
-    ids = ids.select("block", F.col("c.place").alias("places"), F.col("c.id").alias("ids"))
     numbered = stored(blocks.select("block", "seq").join(ids, "block").mapInArrow(_numbered, "block long, seq binary, keys binary, times binary"), "numbered", group_rows=8)
-    levels = stored(tally(numbered.select("block", "keys", "times"), (least,), bits), "levels")
+    levels = tally(numbered.select("block", "keys", "times"), (least,), bits)
+    schema = "block long, alone binary, alone_times binary, seq binary, keys binary, times binary"
+    segments = stored(numbered.select("block", "seq").join(levels, "block", "left").mapInArrow(_segments, schema), "segments", group_rows=8)
     # the graph
-    grams = numbered.drop("times").join(levels, "block", "left").mapInArrow(_edges, "a long, b long, n long")
-    edges = stored(grams.groupBy("a", "b").agg(F.sum("n").alias("n")), "edges")
+    levels = tally(segments.select("block", "keys", "times"), (least,), bits)
+    grams = segments.drop("keys", "times").join(levels, "block", "left").mapInArrow(_edges(bits), "bucket int, a binary, b binary, n binary")
+    edges = stored(grams.groupBy("bucket").applyInArrow(_sum_edges, "a long, b long, n long"), "edges")
     lines = stored(paths(edges), "paths")
     four, three, two, one = (df.filter(F.col("f") >= least) for df in flow_counts(edges, lines))
     one = one.join(vocabulary.select(_pair(F.col("id")).alias("a"), "lang"), "a")
