@@ -7,7 +7,7 @@
    numbered, in the bucket of their hash; pairs and threes by ``packed.tally``. A
    piece is cut at every other word, between every other pair and at every other
    three. That changes no count of a phrase that can be reported, nor of its parts.
-   A hash that two threes share only leaves a cut out.
+   A key that two pairs or two threes share only leaves a cut out.
 3. Every word left starts one longest gram, filled up with zeros where its piece
    ends. A full gram of four words is an edge between the nodes of its first and
    last three; a filled-up one is a piece end. Edges are counted once.
@@ -46,6 +46,8 @@ TOP = 2000
 BLOCK_TOKENS = 5 << 20
 BUCKET_TOKENS = 1 << 21
 HALF = 31
+#: Bits of the keys by which pairs and threes are counted.
+KEY_BITS = 48
 MASK = (1 << HALF) - 1
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 
@@ -148,7 +150,7 @@ def _number_words(least: int, bits: int):
         counts = np.concatenate([unpack(x.as_py(), np.uint32) for x in table["counts"]])
         total = np.bincount(np.concatenate(places), weights=counts)  # exact up to 2^53
         bucket, names = table["bucket"][0].as_py(), list(known)
-        often = sorted(np.flatnonzero(total >= least).tolist(), key=names.__getitem__)
+        often = sorted(np.flatnonzero(total >= least).tolist(), key=lambda k: (-total[k], names[k]))  # small ids pack well
         ids = np.zeros(len(names), np.int64)
         ids[often] = (np.arange(len(often)) << bits) + bucket + 1
         if ids.max() > MASK:
@@ -180,19 +182,21 @@ def _pairs(seq):
     """Keys of the pairs of neighbours in a row of ids, in order."""
     import numpy as np
 
+    low = np.uint64((1 << 64 - KEY_BITS) - 1)
     seq = seq.astype(np.uint64)
     a, b = seq[:-1], seq[1:]
     both = (a > 0) & (b > 0)
-    return mixed((a[both] << np.uint64(HALF)) | b[both])
+    return mixed((a[both] << np.uint64(HALF)) | b[both]) & ~low
 
 
 def _threes(seq):
     """Where three neighbours begin in a row of ids, and their hashes, in order."""
     import numpy as np
 
+    low = np.uint64((1 << 64 - KEY_BITS) - 1)
     x = seq.astype(np.uint64)
     at = np.flatnonzero((x[:-2] > 0) & (x[1:-1] > 0) & (x[2:] > 0))
-    return at, mixed(mixed((x[at] << np.uint64(HALF)) | x[at + 1]) + x[at + 2])
+    return at, mixed(mixed((x[at] << np.uint64(HALF)) | x[at + 1]) + x[at + 2]) & ~low
 
 
 def _segments(batches: Iterator) -> Iterator:
