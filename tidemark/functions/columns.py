@@ -36,19 +36,26 @@ def require(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def with_record_key(df: DataFrame, cols, name: str = "record_key", sep: str = "#") -> DataFrame:
-    """Record key from one column, or several joined by ``#``.
+    """Record key from one column, or several joined by ``sep``."""
+    return df.withColumn(name, joined_key([cols] if isinstance(cols, str) else list(cols), sep))
 
-    ``concat`` (not ``concat_ws``): any null part makes the key null (Q20).
+
+def joined_key(cols, sep: str = "#") -> Column:
+    """One column as text, or several joined by ``sep``.
+
+    ``concat`` (not ``concat_ws``): any null part makes the key null (Q20). In
+    a composite key the separator and the backslash are escaped inside parts, so
+    that different parts never give one key; other parts are as they are.
     """
-    cols = [cols] if isinstance(cols, str) else list(cols)
-    if len(cols) == 1:
-        return df.withColumn(name, F.col(cols[0]).cast("string"))
-    parts: list[Column] = []
-    for i, c in enumerate(cols):
-        if i:
-            parts.append(F.lit(sep))
-        parts.append(F.col(c).cast("string"))
-    return df.withColumn(name, F.concat(*parts))
+    texts = [F.col(f"`{c}`").cast("string") for c in cols]
+    if len(texts) == 1:
+        return texts[0]
+    out = []
+    for t in texts:
+        for sign in dict.fromkeys("\\" + sep):
+            t = F.replace(t, F.lit(sign), F.lit("\\" + sign))
+        out += [F.lit(sep), t]
+    return F.concat(*out[1:])
 
 
 def epoch_seconds(c: Column | str) -> Column:

@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tidemark.functions.instants import normalize_instant
-from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
+from tidemark.functions.columns import joined_key
+from tidemark.spec import BUCKET, COMMIT, FILE_SEQ, KEY, OP, TableSpec
 
 _UNORDERABLE = (T.MapType,)
 
@@ -80,12 +81,7 @@ def to_log_rows(
     ``op_col`` names a column holding I/U/D in any case (it must exist); null
     means ``op_default``, an unknown value gives a null operation. Partition columns are cast to string (hive-style layout).
     """
-    key_parts: list[Column] = []
-    for i, k in enumerate(spec.keys):
-        if i:
-            key_parts.append(F.lit("#"))
-        key_parts.append(F.col(f"`{k}`").cast("string"))
-    key = key_parts[0] if len(key_parts) == 1 else F.concat(*key_parts)
+    key = joined_key(spec.keys)
     if op_col:
         found = [c for c in df.columns if c.lower() == op_col.lower()]
         if not found:
@@ -100,6 +96,8 @@ def to_log_rows(
     cols = {KEY: key, OP: op, FILE_SEQ: seq.cast("int")}
     for p in spec.partitions:
         cols[p] = F.col(f"`{p}`").cast("string")
+    if spec.buckets:
+        cols[BUCKET] = F.pmod(F.xxhash64(key), F.lit(spec.buckets)).cast("string")
     if commit_time is not None:
         cols[COMMIT] = F.lit(normalize_instant(commit_time))
     out = df.withColumns(cols)

@@ -2,12 +2,12 @@
 
 Layout under the table path::
 
-    log/_commit_time=<t>/<partition>=<v>/part-*.parquet   the rows of one commit
-    base/<t>/<partition>=<v>/part-*.parquet               compactions: one row per key
+    log/_commit_time=<t>/[_bucket=<b>/]<partition>=<v>/part-*.parquet   the rows of one commit
+    base/<t>/[_bucket=<b>/]<partition>=<v>/part-*.parquet               compactions: one row per key
     expired/<t>/_commit_time=<c>/...                      versions that expiry kept
     _meta/commits/                                        commit rows, one small file each, folded now and then
     _meta/schemas/<t>.json, _meta/bases/<t>.json          written once, named by commit rows
-    _meta/pins/<t>, _meta/bookmarks/<consumer>.json
+    _meta/pins/<t>, _meta/catalog/<name>, _meta/bookmarks/<consumer>.json
 
 A commit counts once its row exists; the row is written after the data, so a
 crash between the two leaves an invisible folder, and a replay of the same
@@ -32,7 +32,7 @@ from tidemark.operators import reduce as R
 from tidemark.operators import timeline as TL
 from tidemark.schemas import merged, shaped
 from tidemark.session import AQE_WRITE_CONF, WRITE_CONF, scoped_conf
-from tidemark.spec import COMMIT, FILE_SEQ, KEY, OP, TableSpec
+from tidemark.spec import BUCKET, COMMIT, FILE_SEQ, KEY, OP, SYSTEM_COLUMNS, TableSpec
 
 COMMIT_SCHEMA = (
     "commit_time string, kind string, query_id string, batch_id long, num_rows long, num_inserts long, num_updates long, "
@@ -43,11 +43,8 @@ DATA_KINDS = ("upsert", "replace", "bootstrap")
 
 #: Commit rows are folded into one file once so many single files have come since the last fold.
 FOLD_AFTER = 100
-#: Rows of commits that are no longer readable stay in listings up to this many.
-HISTORY = 1000
-#: Keys of the tail are broadcast against the base up to this many rows (the
-#: count is known from the commit rows); beyond it the join is hashed by shuffle.
-BROADCAST_KEYS = 200_000
+#: Table properties by which this library knows the tables it made in the catalog.
+MADE_FOR = "tidemark.table"
 
 
 def _stamp() -> str:
@@ -205,15 +202,16 @@ class ChangeTable:
         counts = self._counts(t, rows, schema, replace)
         self._add_row(commit_time=t, kind="replace" if replace else "upsert", query_id=query_id, batch_id=batch_id,
                       num_rejected=rejected, schema_id=self._schema_id(t, rows, schema), **counts)
+        self.sync_catalog()
         return t
 
     def _write_log(self, good: DataFrame) -> None:
-        self._write(good, self.log_path, [COMMIT, *self.spec.partitions], "overwrite")
+        self._write(good, self.log_path, [COMMIT, *self.spec.layout], "overwrite")
 
     def _write(self, df: DataFrame, path: str, by: list[str], mode: str) -> None:
         """REBALANCE lets AQE split a hot partition value over several tasks and
         merge small ones. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16)."""
-        cols = list(self.spec.partitions)
+        cols = list(self.spec.layout)
         width = [self.spec.write_tasks] if self.spec.write_tasks else []
         conf = {**WRITE_CONF, **AQE_WRITE_CONF}
         if self.spec.target_file_bytes:
@@ -224,21 +222,35 @@ class ChangeTable:
             (w.partitionBy(*by) if by else w).parquet(path)
 
     def _counts(self, t: str, rows: list[dict], schema: T.StructType, replace: bool) -> dict:
-        """What the commit's folder holds. A row is an update if an earlier commit has its key:
-        the earlier keys are streamed past those of the commit, key columns only."""
+        """What the commit's folder holds. A row is an update if an earlier commit has its key."""
         if not files.exists(self.spark, self.commit_dir(t)):
             return dict(num_rows=0, num_inserts=0, num_updates=0, num_deletes=0)
         new = self._read_commits([t], schema)
         n, d = new.agg(F.count("*"), F.count_if(F.col(OP) == "D")).first()
+        if not self.spec.count_inserts:
+            return dict(num_rows=n, num_deletes=d)
         updates = 0
-        if self.spec.count_inserts and not replace and any(r["kind"] in DATA_KINDS for r in rows):
+        if n > d and not replace and any(r["kind"] in DATA_KINDS for r in rows):
             keys = list(self.spec.key_columns)
-            old = self.read_log(rows=rows).select(*keys)
+            old = self.known_keys(rows, schema, self._buckets_of(t))
             updates = old.join(new.where(F.col(OP) != "D").select(*keys), on=keys, how="left_semi").distinct().count()
-        if not self.spec.count_inserts:
-            return dict(num_rows=n, num_deletes=d)
         return dict(num_rows=n, num_inserts=n - d - updates, num_updates=updates, num_deletes=d)
 
+    def _buckets_of(self, *commits: str) -> list[str] | None:
+        """The buckets that commits have rows in, by their folders."""
+        if not self.spec.buckets:
+            return None
+        return sorted({n.partition("=")[2] for t in commits for n in files.names(self.spark, self.commit_dir(t), prefix=f"{BUCKET}=")})
+
+    def known_keys(self, rows: list[dict], schema: T.StructType, buckets: list[str] | None = None) -> DataFrame:
+        """Every key that earlier commits have, once or more: those of the base, which has one row for
+        each, and of newer commits; no older history is read. ``buckets``: of these only."""
+        keys, base = list(self.spec.key_columns), self._base(rows)
+        out = self.read_log(since=base["upto"] if base else None, rows=rows, buckets=buckets).select(*keys)
+        if base:
+            out = self._read_leaves(self._leaves(base, buckets), schema).select(*keys).unionByName(out)
+        return out
+
     def bootstrap(self, source_path: str, commit_time: str | None = None, fmt: str = "parquet") -> str:
         """Adopt existing files as a commit without rewriting them. Reads
         add the system columns on the fly; rows with a null key are not part
@@ -250,6 +262,7 @@ class ChangeTable:
         n, bad = src.agg(F.count(KEY), F.count_if(F.col(KEY).isNull())).first()
         self._add_row(commit_time=t, kind="bootstrap", source=json.dumps({"path": source_path, "format": fmt}), num_rows=n, num_inserts=n,
                       num_updates=0, num_deletes=0, num_rejected=bad, schema_id=self._schema_id(t, rows, schema))
+        self.sync_catalog()
         return t
 
     def compact(self, commit_time: str | None = None) -> str | None:
@@ -259,8 +272,9 @@ class ChangeTable:
         Only partitions that changed keys touch are rewritten: those they are
         in now and, with a global key scope, those of their old copies. Other
         partition folders are carried over by name. The tail is reduced once.
-        Tombstones stay in the base in ``event_time`` mode (an older update
-        must not revive a deleted key).
+        Tombstones stay in the base: in ``event_time`` mode an older update must
+        not revive a deleted key, and commit counts tell a new key from one
+        that was deleted.
         """
         rows = self.commit_rows()
         data = self.commit_times(rows)
@@ -270,24 +284,26 @@ class ChangeTable:
         if base and base["upto"] >= data[-1]:
             return base["commit_time"]
         t = self._next_instant(commit_time, rows)
-        schema, parts = self.schema(rows), list(self.spec.partitions)
+        schema, parts = self.schema(rows), list(self.spec.layout)
         root, carried = f"{self.path}/base/{t}", []
-        keep = self.spec.merge == "event_time"
         if base is None or not parts:
-            self._write(self._state(rows, keep), root, parts, "errorifexists")
+            self._write(self._state(rows, keep_tombstones=True), root, parts, "errorifexists")
         else:
-            leaves = self._leaves(base)
+            all_leaves = self._leaves(base)
+            # other buckets have none of the tail's keys
+            leaves = self._leaves(base, self._buckets_of(*[c for c in data if c > base["upto"]]))
+            carried = sorted(set(all_leaves) - set(leaves))
             won = R.snapshot(self.read_log(since=base["upto"], rows=rows), self.spec, keep_tombstones=True).persist()
             try:
                 touched = won.select(*parts)
                 if self.spec.key_scope == "global":
-                    moved = self._beside(self._read_leaves(leaves, schema), won, base, rows, "left_semi")
+                    moved = self._beside(self._read_leaves(leaves, schema), won, "left_semi")
                     touched = touched.unionByName(moved.select(*parts))
                 values = {tuple(r) for r in touched.distinct().collect()}  # partition values, not rows
-                carried = [d for d in leaves if _leaf_values(d, len(parts)) not in values]
+                carried += [d for d in leaves if _leaf_values(d, len(parts)) not in values]
                 hit = [d for d in leaves if _leaf_values(d, len(parts)) in values]
                 old = self._read_leaves(hit, schema)
-                self._write(self._merged(old, won, base, rows, keep), root, parts, "errorifexists")
+                self._write(self._merged(old, won, keep_tombstones=True), root, parts, "errorifexists")
             finally:
                 won.unpersist()
         leaves = carried + _list_leaves(self.spark, root, len(parts))
@@ -305,13 +321,14 @@ class ChangeTable:
     def _manifest(self, base: dict) -> dict:
         return json.loads(files.read_text(self.spark, self._meta("bases", f"{base['commit_time']}.json")))
 
-    def _leaves(self, base: dict) -> list[str]:
-        return self._manifest(base)["leaves"]
+    def _leaves(self, base: dict, buckets: list[str] | None = None) -> list[str]:
+        leaves = self._manifest(base)["leaves"]
+        return leaves if buckets is None else [d for d in leaves if _leaf_values(d, len(self.spec.layout))[0] in buckets]
 
     def _read_leaves(self, leaves: list[str], schema: T.StructType) -> DataFrame:
         """Base partition folders; those of one base share a basePath."""
         by_root: dict[str, list[str]] = {}
-        depth = len(self.spec.partitions)
+        depth = len(self.spec.layout)
         for d in leaves:
             by_root.setdefault(d.rstrip("/").rsplit("/", depth)[0] if depth else d, []).append(d)
         out = self.spark.createDataFrame([], schema) if not by_root else None
@@ -325,12 +342,13 @@ class ChangeTable:
         df = self.spark.read.option("basePath", root).schema(schema).parquet(*[f"{root}/{COMMIT}={t}" for t in times])
         return shaped(df, schema)
 
-    def read_log(self, upto: str | None = None, since: str | None = None, rows: list[dict] | None = None, replaced: bool = False) -> DataFrame:
+    def read_log(self, upto: str | None = None, since: str | None = None, rows: list[dict] | None = None, replaced: bool = False,
+                 buckets: list[str] | None = None) -> DataFrame:
         """Committed change rows of the instants in ``(since, upto]``.
 
         Only folders of commits in the range are opened, always with the
         stored schema, so partition values and instants stay text (Q4).
-        ``replaced``: also what a later ``replace`` commit made void.
+        ``replaced``: also what a later ``replace`` commit made void. ``buckets``: of these only.
         """
         rows = self.commit_rows() if rows is None else rows
         schema = self.schema(rows)
@@ -362,25 +380,23 @@ class ChangeTable:
         out = self.spark.createDataFrame([], schema) if not parts else parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)
-        return out
+        return out if buckets is None else out.where(F.col(BUCKET).isin(buckets))
 
-    def _beside(self, base: DataFrame, won: DataFrame, row: dict, rows: list[dict], how: str) -> DataFrame:
-        """Base rows with (``left_semi``) or without (``left_anti``) a key in the
-        tail. The base is streamed: the tail's keys are what is built, by
-        broadcast when the commit rows say they are few."""
+    def _beside(self, base: DataFrame, won: DataFrame, how: str) -> DataFrame:
+        """Base rows with (``left_semi``) or without (``left_anti``) a key in the tail. Both sides have a
+        key once, so none is hot. Spark knows the size of the tail's files: it broadcasts its keys
+        if they are few, and else sorts and merges, which spills."""
         keys = list(self.spec.key_columns)
-        tail = sum(r["num_rows"] or 0 for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > row["upto"])
-        side = won.select(*keys).hint("broadcast" if tail <= BROADCAST_KEYS else "shuffle_hash")
-        return base.join(side, on=keys, how=how)
+        return base.join(won.select(*keys), on=keys, how=how)
 
-    def _merged(self, base: DataFrame, won: DataFrame, row: dict, rows: list[dict], keep_tombstones: bool) -> DataFrame:
+    def _merged(self, base: DataFrame, won: DataFrame, keep_tombstones: bool) -> DataFrame:
         """Base and reduced tail. The base is unique per key, so rows without a
         newer version pass through as they are; in ``event_time`` mode those
         with one are compared with it."""
         newer = won
         if self.spec.merge == "event_time":
-            newer = R.snapshot(won.unionByName(self._beside(base, won, row, rows, "left_semi")), self.spec, keep_tombstones=True)
-        out = self._beside(base, won, row, rows, "left_anti").unionByName(newer)
+            newer = R.snapshot(won.unionByName(self._beside(base, won, "left_semi")), self.spec, keep_tombstones=True)
+        out = self._beside(base, won, "left_anti").unionByName(newer)
         return out if keep_tombstones else R.visible(out, self.spec)
 
     def _state(self, rows: list[dict], keep_tombstones: bool = False, upto: str | None = None) -> DataFrame:
@@ -393,7 +409,7 @@ class ChangeTable:
         if not any(r["num_rows"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > base["upto"]):
             return old if keep_tombstones else R.visible(old, self.spec)
         won = R.snapshot(self.read_log(since=base["upto"], rows=rows, upto=upto), self.spec, keep_tombstones=True)
-        return self._merged(old, won, base, rows, keep_tombstones)
+        return self._merged(old, won, keep_tombstones)
 
     def snapshot(self) -> DataFrame:
         """The current row of every key; a plain scan right after ``compact``."""
@@ -406,13 +422,33 @@ class ChangeTable:
         return shaped(self._state(rows, upto=t), self.schema(rows))
 
     def incremental(self, begin: str | None, end: str | None = None) -> DataFrame:
-        """R2; in ``arrival`` mode only the folders of commits in the range are
-        opened. Raises when the state at ``end`` has expired."""
+        """R2; raises when the state at ``end`` has expired.
+
+        In ``arrival`` mode only the folders of commits in the range are opened.
+        In ``event_time`` mode an older commit may hold a higher ordering value:
+        the range is reduced first, and only what is older and has one of its
+        keys is compared with it (the newest base up to ``begin`` and the commits after it).
+        """
         rows = self.commit_rows()
         if end:
             self._check_readable(normalize_instant(end), rows)
-        since = begin if self.spec.merge == "arrival" else None
-        return R.incremental(self.read_log(upto=end, since=since, rows=rows), self.spec, begin, end)
+        inside = self.read_log(upto=end, since=begin, rows=rows)
+        if self.spec.merge == "arrival" or begin is None:
+            return R.incremental(inside, self.spec, begin, end)
+        begin = normalize_instant(begin)
+        keys = list(self.spec.key_columns)
+        won = R.snapshot(inside, self.spec, keep_tombstones=True)
+        # what a replace inside the range made void is no rival
+        hi = normalize_instant(end) if end else "9" * 17
+        if any(r["kind"] == "replace" and begin < r["commit_time"] <= hi for r in rows):
+            return R.visible(won, self.spec)
+        before = [r for r in rows if r["commit_time"] <= begin or r["kind"] == "expire"]
+        base = self._base(before)
+        older = self.read_log(upto=begin, since=base["upto"] if base else None, rows=before)
+        if base:
+            older = self._read_leaves(self._leaves(base), self.schema(rows)).unionByName(shaped(older, self.schema(rows)))
+        older = shaped(older, self.schema(rows)).join(inside.select(*keys).distinct(), on=keys, how="left_semi")
+        return R.visible(R.snapshot(won.unionByName(older), self.spec, keep_tombstones=True).where(F.col(COMMIT) > begin), self.spec)
 
     def changes_since_lag(self, now: str, minutes: float = 20) -> DataFrame:
         """R4 with the begin taken from the commit rows (no data scan)."""
@@ -453,12 +489,12 @@ class ChangeTable:
         old = TL.expire(self.read_log(rows=rows, replaced=True), self.spec, keep=keep, pins=self.pins()).where(F.col(COMMIT) <= upto)
         t = self._next_instant(commit_time, rows)
         out = f"{self.path}/expired/{t}"
-        self._write(old, out, [COMMIT, *self.spec.partitions], "errorifexists")
+        self._write(old, out, [COMMIT, *self.spec.layout], "errorifexists")
         self._add_row(commit_time=t, kind="expire", source=out, upto=upto)
         # from here on nothing reads what goes now; a crash leaves folders that the next expiry deletes
         rows = self.commit_rows()
         base = self._base(rows)
-        stay = [r for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= upto][-HISTORY:]
+        stay = self._needed(rows, upto)
         stay += [r for r in rows if r["commit_time"] > upto and r["kind"] in DATA_KINDS]
         stay += [r for r in rows if r["commit_time"] == t or base and r["commit_time"] == base["commit_time"]]
         self.fold(sorted(stay, key=lambda r: r["commit_time"]))
@@ -474,31 +510,72 @@ class ChangeTable:
                 files.delete(self.spark, f"{self.log_path}/{name}")
         return t
 
+    def _needed(self, rows: list[dict], upto: str) -> list[dict]:
+        """Commit rows up to ``upto`` that must outlive expiry: those that are pinned and the ones next
+        to them (where their state ends), the replace rows that such states and the retained ones
+        begin with, and the last of every query (it may come again). Of the others ``spec.history`` stay, for listings."""
+        old = [r for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= upto]
+        times = [r["commit_time"] for r in old]
+        pins = [p for p in self.pins() if p <= upto]
+        keep = set(times[-self.spec.history :] if self.spec.history else [])
+        keep |= {t for p in pins for t in [p, *[t for t in times if t > p][:1]]}
+        replaces = [r["commit_time"] for r in old if r["kind"] == "replace"]
+        keep |= {r for p in [*pins, upto] for r in [r for r in replaces if r <= p][-1:]}
+        keep |= set({r["query_id"]: r["commit_time"] for r in old if r["query_id"] is not None}.values())
+        # the state as of a time after the last one listed must not be taken for the one before it
+        keep |= set(times[-1:])
+        return [r for r in old if r["commit_time"] in keep]
+
     # --------------------------------------------------------------- catalog
     def register(self, name: str) -> None:
-        """Expose the current state in the catalog without an extra copy.
+        """Expose the current state in the catalog, from now on after every commit.
 
-        The state is compacted (nothing to do when the newest base is current)
-        and its folders become an external table of their own. ``name`` is a
-        view on that table, replaced in one statement, so readers see the old
-        or the new state and never a gap. Call it again after commits.
+        The state is compacted (nothing to do when the newest base is current;
+        else the touched partitions only) and its folders become an external table of
+        their own. ``name`` is a view on that table, replaced in one statement,
+        so readers see the old or the new state and never a gap. The tables
+        carry a property with the table's path and the view; only such are dropped again.
         """
-        t = self.compact()
-        if t is None:
+        if not self.commit_times():
             raise ValueError(f"table {self.path} has no commits to register")
+        db = name.rpartition(".")[0] or self.spark.catalog.currentDatabase()
+        full = f"{db}.{name.rpartition('.')[2]}"
+        files.write_text(self.spark, self._meta("catalog", full), "")
+        self._sync(full)
+
+    def unregister(self, name: str) -> None:
+        """Commits no longer keep ``name`` up to date; the view stays as it is."""
+        db = name.rpartition(".")[0] or self.spark.catalog.currentDatabase()
+        files.delete(self.spark, self._meta("catalog", f"{db}.{name.rpartition('.')[2]}"))
+
+    def sync_catalog(self) -> None:
+        """Every registered name shows the newest commit."""
+        for name in files.names(self.spark, self._meta("catalog")):
+            self._sync(name)
+
+    def _sync(self, name: str) -> None:
+        self.compact()
         rows = self.commit_rows()
-        manifest = self._manifest(self._base(rows))
-        table = f"{name}_{t}"
-        root = manifest["root"]
-        extra = [d for d in manifest["leaves"] if not d.startswith(root + "/") and d != root]
+        base = self._base(rows)
+        manifest = self._manifest(base)
+        table = f"{name}_{base['commit_time']}"
+        root, made = manifest["root"], f"{self.path} {name}"
         if not self.spark.catalog.tableExists(table):
-            register_parquet(self.spark, table, root, self.schema(rows), self.spec.partitions, extra_leaves=extra)
+            extra = [d for d in manifest["leaves"] if not d.startswith(root + "/") and d != root]
+            register_parquet(self.spark, table, root, self.schema(rows), self.spec.layout, extra_leaves=extra, made_for=made)
         live = f" WHERE {OP} IS NULL OR {OP} <> 'D'" if self.spec.deletes == "apply" else ""
         self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}{live}")
-        before = [r[1] for r in self.spark.sql(f"SHOW TABLES LIKE '{name.split('.')[-1]}_*'").collect()]
-        stale = [n for n in before if n[len(name.split(".")[-1]) + 1 :].isdigit() and n != table.split(".")[-1]]
-        for n in stale:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name.rpartition('.')[0] + '.' if '.' in name else ''}{n}")
+        db, _, plain = name.rpartition(".")
+        for row in self.spark.sql(f"SHOW TABLES IN {db} LIKE '{plain}_*'").collect():
+            other = f"{db}.{row['tableName']}"
+            if other != table and not row["isTemporary"] and _made_for(self.spark, other) == made:
+                self.spark.sql(f"DROP TABLE IF EXISTS {other}")
+
+
+def _made_for(spark: SparkSession, table: str) -> str | None:
+    """The property that tells a table of this library from any other."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return found.get(MADE_FOR)
 
 
 def _leaf_values(path: str, depth: int) -> tuple:
@@ -521,7 +598,7 @@ def _quoted(text: str) -> str:
 
 
 def register_parquet(spark: SparkSession, name: str, location: str, schema: T.StructType, partitions,
-                     extra_leaves: list[str] = ()) -> None:
+                     extra_leaves: list[str] = (), made_for: str = "") -> None:
     """``CREATE TABLE (cols) USING parquet PARTITIONED BY ... LOCATION`` then
     ``MSCK REPAIR TABLE`` (CTAS into a non-empty location is refused).
 
@@ -532,7 +609,7 @@ def register_parquet(spark: SparkSession, name: str, location: str, schema: T.St
     fields = [f for f in schema.fields if f.name not in parts] + [f for f in schema.fields if f.name in parts]
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     pclause = f" PARTITIONED BY ({', '.join('`' + p + '`' for p in parts)})" if parts else ""
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{pclause} LOCATION {_quoted(location)}")
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{pclause} LOCATION {_quoted(location)} TBLPROPERTIES ('{MADE_FOR}' = {_quoted(made_for)})")
     if parts:
         spark.sql(f"MSCK REPAIR TABLE {name}")
         specs = []
@@ -589,7 +666,7 @@ def derive(source: ChangeTable, target: ChangeTable, consumer: str, now: str, be
         return None
     spec = source.spec.with_(deletes="ignore") if deletes else source.spec
     rows = ChangeTable(source.spark, source.path, spec).incremental(lo, hi)
-    payload = rows.drop(COMMIT, KEY, FILE_SEQ).withColumnRenamed(OP, "_source_op") if deletes else rows.drop(COMMIT, OP, KEY, FILE_SEQ)
+    payload = rows.drop(COMMIT, KEY, FILE_SEQ, BUCKET).withColumnRenamed(OP, "_source_op") if deletes else rows.drop(*SYSTEM_COLUMNS)
     payload = prepare(payload) if prepare else payload
     t = target.upsert(payload, op_col="_source_op" if deletes else None, query_id=f"derive:{consumer}:{lo}:{hi}", batch_id=0)
     mark.set(nxt)

@@ -9,7 +9,8 @@ COMMIT = "_commit_time"   # 17-digit UTC instant yyyyMMddHHmmssSSS, a partition
 OP = "_op"                # I / U / D
 KEY = "_record_key"       # record key text
 FILE_SEQ = "_file_seq"    # position of the source file inside one commit (Q8)
-SYSTEM_COLUMNS = (COMMIT, OP, KEY, FILE_SEQ)
+BUCKET = "_bucket"        # hash bucket of the record key, a partition column (tables with ``buckets``)
+SYSTEM_COLUMNS = (COMMIT, OP, KEY, FILE_SEQ, BUCKET)
 
 KEY_SCOPES = ("global", "partition")
 MERGE_MODES = ("arrival", "event_time")
@@ -20,7 +21,8 @@ DELETE_MODES = ("ignore", "apply")
 class TableSpec:
     """How rows of one table are identified, ordered and laid out.
 
-    keys        columns joined with ``#`` into ``_record_key`` (null if any is null)
+    keys        columns joined with ``#`` into ``_record_key`` (null if any is null; ``#`` and the
+                backslash inside a part of a composite key are escaped, so different keys stay different)
     order       ordering ("precombine") columns, compared left to right
     partitions  partition columns (strings, hive style)
     key_scope   ``global``: a key is unique over the table; ``partition``: per partition
@@ -31,6 +33,9 @@ class TableSpec:
     target_rows_per_file, target_file_bytes   sizes of written files (W16); None: the session's advisory size
     write_tasks     width of the write shuffle before AQE; None: the session's
     count_inserts   tell inserts from updates at commit time (reads the keys of the table)
+    buckets         folders by hash of the key, inside each commit and base: an upsert reads, and a
+                    compaction rewrites, only the buckets that its keys are in; 0: none
+    history         expired commits that commit lists still show
     """
 
     keys: tuple[str, ...]
@@ -44,6 +49,8 @@ class TableSpec:
     target_file_bytes: int | None = None
     write_tasks: int | None = None
     count_inserts: bool = True
+    buckets: int = 0
+    history: int = 1000
 
     def __post_init__(self):
         for name in ("keys", "order", "partitions"):
@@ -66,6 +73,11 @@ class TableSpec:
     def with_(self, **kw) -> "TableSpec":
         return replace(self, **kw)
 
+    @property
+    def layout(self) -> tuple[str, ...]:
+        """Folder columns below a commit or a base."""
+        return ((BUCKET,) if self.buckets else ()) + self.partitions
+
     @property
     def key_columns(self) -> tuple[str, ...]:
         """Columns a record is unique over."""
