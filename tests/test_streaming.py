@@ -139,3 +139,52 @@ def test_start_positions():
     assert S.start_options("parquet", "latest") == S.start_options("kafka", None) == {}
     with pytest.raises(ValueError, match="start position"):
         S.start_options("kafka", "yesterday")
+
+
+def test_log_stream_offsets(spark, tmp_table):                                      # S1, S3, C3
+    from tidemark.operators.table import ChangeTable
+    from tidemark.sources.log_stream import stream_log
+    from tidemark.spec import TableSpec
+
+    t = ChangeTable(spark, f"{tmp_table}/t", TableSpec(keys=("id",), order=("ts",), partitions=("p",)))
+    commit = lambda rows, schema="id int, ts timestamp, p string, n decimal(10,2), v string": t.upsert(
+        spark.createDataFrame(rows, "id int, ts string, p string, n string, v string").selectExpr("id", "cast(ts as timestamp) ts", "p", "cast(n as decimal(10,2)) n", "v"))
+    c1 = commit([(1, "2024-01-01 00:00:00.5", "a b", "1.5", "x"), (2, "2024-01-02", None, None, None)])
+    c2 = commit([(3, "2024-01-03", "c", "2", "y")])
+
+    def run(name, start):
+        q = stream_log(spark, t.path, start).writeStream.format("parquet").option("path", f"{tmp_table}/{name}").option(
+            "checkpointLocation", f"{tmp_table}/cp-{name}").trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert q.exception() is None
+        return sorted(r.id for r in spark.read.schema("id int").parquet(f"{tmp_table}/{name}").collect())
+
+    assert run("early", "earliest") == [1, 2, 3] and run("given", c1) == [3]
+    commit([(4, "2024-01-04", "c", "2", "z")])
+    assert run("early", "earliest") == [1, 2, 3, 4] and run("given", c1) == [3, 4]     # resumed: nothing twice
+    assert run("early", "latest") == [1, 2, 3, 4]                                       # the checkpoint decides
+    assert run("late", c2) == [4]
+    got = {r.id: (r.p, str(r.n), r.ts.isoformat(), r.v, r._commit_time) for r in spark.read.parquet(f"{tmp_table}/early").collect()}
+    assert got[1] == ("a b", "1.50", "2024-01-01T00:00:00.500000", "x", c1) and got[2][0] is None
+    commit([(5, "2024-01-05", "c", "2", "z")])
+    commit([(6, "2024-01-05", "c", "2", "z")])
+    t.expire(retain=1)
+    with pytest.raises(Exception, match="expired"):
+        run("given", c1)
+
+
+def test_files_of_several_schemas(spark, tmp_table):                                # S4
+    from tidemark.sources.feeds import read_change_files, schema_groups
+
+    parts = [spark.range(2).selectExpr("cast(id as int) a", "'x' as B"), spark.range(2, 4).selectExpr("id as a", "1.5D as c"), spark.range(4, 6).selectExpr("cast(id as int) a")]
+    paths = []
+    for k, df in enumerate(parts):
+        df.coalesce(1).write.parquet(f"{tmp_table}/{k}")
+        paths.append(f"{tmp_table}/{k}")
+    got = read_change_files(spark, paths)
+    assert dict(got.dtypes) == {"a": "bigint", "B": "string", "c": "double"}
+    assert sorted((r.a, r.B, r.c) for r in got.collect()) == [(0, "x", None), (1, "x", None), (2, None, 1.5), (3, None, 1.5), (4, None, None), (5, None, None)]
+    assert len(schema_groups(spark, [paths[0], paths[2]])) == 1
+    spark.range(1).selectExpr("'text' as a").write.parquet(f"{tmp_table}/bad")
+    with pytest.raises(ValueError, match="does not fit"):
+        read_change_files(spark, [*paths, f"{tmp_table}/bad"])

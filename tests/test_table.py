@@ -315,3 +315,150 @@ def test_file_size_and_write_width(spark, tmp_table):
     large = ChangeTable(spark, f"{tmp_table}/b", SPEC.with_(target_file_bytes=1 << 30, write_tasks=3))
     large.upsert(rows)
     assert files_of(small) > 3 >= files_of(large)
+
+
+# ------------------------------------------------ what must outlive expiry
+def test_pins_and_replaced_states_survive_trimming(spark, tmp_table):              # R9, R10, W9
+    t = ChangeTable(spark, tmp_table, SPEC.with_(history=0))
+    cs = [t.upsert(batch(spark, [(i, k, f"{k}", "x", "U") for i in range(3)] + [(10 + k, 1, "own", "x", "I")])) for k in range(3)]
+    t.pin(cs[1])
+    state = rows_of(t.as_of(cs[1]))
+    c4 = t.upsert(batch(spark, [(1, 9, "fresh", "x", "I")]), replace=True)
+    cs += [t.upsert(batch(spark, [(k, 9, "later", "x", "I")])) for k in (50, 51, 52)]
+    now = rows_of(t.snapshot())
+    assert now == [(1, "fresh"), (50, "later"), (51, "later"), (52, "later")]
+    for k in range(2):
+        t.expire(retain=1)
+        assert rows_of(t.snapshot()) == now and rows_of(t.as_of(cs[1])) == state
+        for gone in (cs[0], cs[2], c4, cs[3]):
+            with pytest.raises(ValueError, match="expired"):
+                t.as_of(gone)
+        t.upsert(batch(spark, [(60 + k, 1, "z", "x", "I")]))
+        now = sorted({*now, (60 + k, "z")})
+    t.unpin(cs[1])
+    t.expire(retain=1)
+    assert rows_of(t.snapshot()) == now
+    with pytest.raises(ValueError, match="expired"):
+        t.as_of(cs[1])
+
+
+def test_a_replayed_batch_is_known_after_expiry(spark, tmp_table):                  # C3
+    t = ChangeTable(spark, tmp_table, SPEC.with_(history=0))
+    c = t.upsert(batch(spark, [(1, 1, "a", "x", "I")]), query_id="q", batch_id=4)
+    for k in range(3):
+        t.upsert(batch(spark, [(2, k, "b", "x", "I")]))
+    t.expire(retain=1)
+    assert t.upsert(batch(spark, [(1, 9, "again", "x", "I")]), query_id="q", batch_id=4) == c
+    assert snap(t) == [(1, "a"), (2, "b")]
+
+
+# ------------------------------------------------------------- catalog
+def test_only_own_tables_are_dropped(spark, tmp_table):                             # W14
+    spark.sql("CREATE TABLE trades_2023 (a int) USING parquet")
+    spark.sql("INSERT INTO trades_2023 VALUES (1)")
+    t = ChangeTable(spark, f"{tmp_table}/a", SPEC)
+    t.upsert(batch(spark, [(1, 1, "a", "x", "I")]))
+    t.register("trades")
+    other = ChangeTable(spark, f"{tmp_table}/b", SPEC)
+    other.upsert(batch(spark, [(7, 1, "o", "x", "I")]))
+    other.register("trades_20")
+    t.upsert(batch(spark, [(2, 1, "b", "y", "I")]))                                 # no call to register
+    assert sorted(r.id for r in spark.sql("select id from trades").collect()) == [1, 2]
+    assert [r.id for r in spark.sql("select id from trades_20").collect()] == [7]
+    assert [r.a for r in spark.sql("select a from trades_2023").collect()] == [1]
+    t.unregister("trades")
+    t.upsert(batch(spark, [(3, 1, "c", "y", "I")]))
+    assert spark.sql("select id from trades").count() == 2
+    spark.sql("DROP TABLE trades_2023")
+
+
+# ------------------------------------------------------------- keys
+def test_composite_keys_are_injective(spark, tmp_table):                            # P10
+    spec = TableSpec(keys=("a", "b"), order=("n",))
+    rows = [("x#y", "z"), ("x", "y#z"), ("x\\", "#z"), ("x", "\\#z"), ("x\\#", "z"), ("", "#"), ("#", ""), ("x", "z")]
+    t = ChangeTable(spark, tmp_table, spec)
+    t.upsert(spark.createDataFrame([(a, b, k) for k, (a, b) in enumerate(rows)], "a string, b string, n int"))
+    got = {(r.a, r.b): r._record_key for r in t.snapshot().collect()}
+    assert len(got) == len(set(got.values())) == len(rows) and got[("x", "z")] == "x#z"
+
+
+# ------------------------------------------------------------- buckets
+@pytest.mark.parametrize("merge", ["arrival", "event_time"])
+def test_buckets_give_the_same_table(spark, tmp_table, merge):                      # W2, W15
+    plain = ChangeTable(spark, f"{tmp_table}/a", SPEC.with_(merge=merge))
+    tables = [plain, ChangeTable(spark, f"{tmp_table}/b", SPEC.with_(merge=merge, buckets=5))]
+    batches = [[(i, 5, f"v{i}", f"p{i % 3}", "I") for i in range(20)], [(3, 7, "", "p0", "D"), (4, 6, "u", "p9", "U")],
+               [(3, 6, "back", "p0", "U"), (30, 1, "new", "p1", "U")], [(3, 9, "again", "p1", "U"), (0, 1, "old", "p0", "U")]]
+    for t in tables:
+        for k, rows in enumerate(batches):
+            t.upsert(batch(spark, rows), op_col="Op", commit_time=f"2024010{k + 1}000000000")
+            if k in (0, 2):
+                t.compact(f"2024010{k + 1}120000000")
+    a, b = tables
+    assert rows_of(a.snapshot()) == rows_of(b.snapshot()) == rows_of(R.snapshot(a.read_log(), a.spec))
+    assert a.show_commits().collect() == b.show_commits().collect()
+    assert [(r.num_inserts, r.num_updates, r.num_deletes) for r in a.show_commits().collect()] == [(0, 2, 0), (1, 1, 0), (0, 1, 1), (20, 0, 0)]
+    assert rows_of(a.incremental("20240102000000000", "20240103000000000")) == rows_of(b.incremental("20240102000000000", "20240103000000000"))
+    b.expire(retain=1)
+    assert rows_of(a.snapshot()) == rows_of(b.snapshot())
+
+
+def test_an_upsert_reads_only_its_buckets(spark, tmp_table):                        # W2, R8
+    t = ChangeTable(spark, tmp_table, SPEC.with_(buckets=16))
+    t.upsert(batch(spark, [(i, 1, "v", "x", "I") for i in range(400)]))
+    c2 = t.upsert(batch(spark, [(i, 2, "w", "x", "U") for i in range(0, 400, 3)]))
+    t.compact()
+    c3 = t.upsert(batch(spark, [(7, 3, "five", "x", "U"), (1000, 1, "new", "x", "I")]))
+    rows = [r for r in t.commit_rows() if r["commit_time"] < c3]
+    buckets = t._buckets_of(c3)
+    assert 1 <= len(buckets) <= 2
+    known = t.known_keys(rows, t.schema(), buckets)
+    paths = {p.split("/_bucket=")[1].split("/")[0] for p in known.inputFiles()}
+    assert paths == set(buckets) and not any("_commit_time=" in p for p in known.inputFiles())     # the base alone, no older log
+    assert [(r.num_inserts, r.num_updates) for r in t.show_commits(1).collect()] == [(1, 1)] and c2 < c3
+    old = t._base(t.commit_rows())
+    t.compact()
+    new = t._base(t.commit_rows())
+    rewritten = set(t._leaves(new)) - set(t._leaves(old))
+    assert {p.split("/_bucket=")[1].split("/")[0] for p in rewritten} == set(buckets)
+
+
+# ------------------------------------------------------------- joins of base and tail
+@pytest.mark.parametrize("merge", ["arrival", "event_time"])
+def test_a_large_tail_is_sorted_and_merged(spark, tmp_table, merge):                # R1, W15
+    from tidemark.session import scoped_conf
+
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge=merge, count_inserts=False))
+    t.upsert(spark.range(30_000).selectExpr("cast(id as int) id", "1 as ts", "'base' as v", "cast(id % 3 as string) as p", "'I' as Op"), op_col="Op")
+    t.compact()
+    # one key in a third of the rows, commit after commit
+    for k in range(2, 5):
+        t.upsert(spark.range(9_000).selectExpr("cast(if(id % 3 = 0, 1, id + 20000) as int) id", f"{k} as ts", f"'t{k}' as v", "'0' as p", "'U' as Op"), op_col="Op")
+    want = rows_of(R.snapshot(t.read_log(), t.spec))
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "1k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "1k"}):
+        s = t.snapshot()
+        got = rows_of(s)
+        plan = s._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" not in plan and "SortMergeJoin" in plan and "WindowGroupLimit" in plan
+        t.compact()
+    assert got == want == rows_of(t.snapshot())
+
+
+def test_event_time_increments_compare_only_touched_keys(spark, tmp_table):         # R2, W7
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge="event_time"))
+    t.upsert(batch(spark, [(i, 5, f"v{i}", "x", "I") for i in range(50)]), op_col="Op", commit_time="20240101000000000")
+    t.upsert(batch(spark, [(1, 9, "high", "x", "U"), (2, 9, "", "x", "D")]), op_col="Op", commit_time="20240102000000000")
+    t.upsert(batch(spark, [(1, 7, "low", "x", "U"), (2, 8, "low", "x", "U"), (3, 6, "up", "x", "U"), (4, 1, "old", "x", "U"), (90, 1, "new", "x", "I")]),
+             op_col="Op", commit_time="20240103000000000")
+    t.upsert(batch(spark, [(5, 6, "", "x", "D"), (6, 7, "six", "x", "U")]), op_col="Op", commit_time="20240104000000000")
+    for begin, end in ((None, None), ("20240101000000000", None), ("20240102000000000", "20240103000000000"), ("20240103000000000", None), ("20240102000000000", "20240102000000000")):
+        want = rows_of(R.incremental(t.read_log(), t.spec, begin, end))
+        assert rows_of(t.incremental(begin, end)) == want
+    assert rows_of(t.incremental("20240102000000000", "20240103000000000")) == [(3, "up"), (90, "new")]
+    plan = t.incremental("20240102000000000", "20240103000000000")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    t.compact("20240104120000000")
+    t.upsert(batch(spark, [(1, 8, "mid", "x", "U"), (7, 6, "seven", "x", "U")]), op_col="Op", commit_time="20240105000000000")
+    assert rows_of(t.incremental("20240104120000000")) == [(7, "seven")]
+    t.upsert(batch(spark, [(8, 1, "only", "x", "I")]), replace=True, commit_time="20240106000000000")
+    assert rows_of(t.incremental("20240105000000000")) == rows_of(t.snapshot()) == [(8, "only")]

@@ -96,14 +96,19 @@ def to_log_rows(
     cols = {KEY: key, OP: op, FILE_SEQ: seq.cast("int")}
     for p in spec.partitions:
         cols[p] = F.col(f"`{p}`").cast("string")
-    if spec.buckets:
-        cols[BUCKET] = F.pmod(F.xxhash64(key), F.lit(spec.buckets)).cast("string")
     if commit_time is not None:
         cols[COMMIT] = F.lit(normalize_instant(commit_time))
     out = df.withColumns(cols)
     if op_col and op_col != OP:
         out = out.drop(op_col)
-    return out
+    return with_bucket(out, spec)
+
+
+def with_bucket(log: DataFrame, spec: TableSpec) -> DataFrame:
+    """The bucket of every row's key, for tables that have buckets."""
+    if not spec.buckets:
+        return log
+    return log.withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(spec.buckets)).cast("string"))
 
 
 def precombine(df: DataFrame, spec: TableSpec) -> DataFrame:

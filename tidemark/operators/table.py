@@ -188,7 +188,8 @@ class ChangeTable:
                 if r["query_id"] == query_id and r["batch_id"] == batch_id:
                     return r["commit_time"]
         t = self._next_instant(commit_time, rows)
-        batch = (df if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)).withColumn(COMMIT, F.lit(t))
+        batch = R.with_bucket(df, self.spec) if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)
+        batch = batch.withColumn(COMMIT, F.lit(t))
         schema = merged(self.schema(rows), batch.schema)
         batch = shaped(batch, schema)
         bad = F.col(KEY).isNull() | F.col(OP).isNull()
@@ -554,7 +555,8 @@ class ChangeTable:
             self._sync(name)
 
     def _sync(self, name: str) -> None:
-        self.compact()
+        rows = self.commit_rows()
+        self.compact(format_instant(parse_instant(rows[-1]["commit_time"]) + timedelta(milliseconds=1)))
         rows = self.commit_rows()
         base = self._base(rows)
         manifest = self._manifest(base)

@@ -22,4 +22,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     # importing the modules registers their queries
-    from tidemark.plans import catalog_batch, catalog_files  # noqa: F401
+    from tidemark.plans import catalog_batch, catalog_files, catalog_tables  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +42,15 @@ def merged(old: T.StructType | None, new: T.StructType) -> T.StructType:
     return T.StructType(out + [T.StructField(g.name, g.dataType, True) for g in new.fields if g.name.lower() in by_name])
 
 
-def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """``df`` with exactly the schema's columns; missing ones are null."""
+def shaped_columns(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The schema's columns from those of ``df``; missing ones are null."""
     have = {c.lower(): c for c in df.columns}
-    return df.select([
+    return [
         (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields
-    ])
+    ]
+
+
+def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the schema's columns."""
+    return df.select(shaped_columns(df, schema))

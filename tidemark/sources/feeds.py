@@ -12,10 +12,14 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.schemas import merged, shaped_columns
+
 CORRUPT = "_corrupt_record"
 
 # Start positions a feed accepts, mapped to the option each source reads.
@@ -195,21 +199,49 @@ def from_json_lines(df: DataFrame, col: str, alias: str = "j") -> DataFrame:
     return df.withColumn(alias, F.from_json(F.col(col).cast("string"), schema))
 
 
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], T.StructType]]:
+    """Parquet files in groups that one schema fits, each with it.
+
+    Spark reads the footers of a group at once, in parallel, and merges them; a
+    group whose columns have different types is halved until it has one.
+    """
+    try:
+        return [(paths, spark.read.option("mergeSchema", "true").parquet(*paths).schema)]
+    except (PySparkException, Py4JJavaError) as e:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+    half = len(paths) // 2
+    return schema_groups(spark, paths[:half]) + schema_groups(spark, paths[half:])
+
+
 def read_change_files(
     spark: SparkSession,
     paths,
     schema: T.StructType | str | None = None,
     with_path: bool = False,
 ) -> DataFrame:
-    """One multi-path Parquet read of the files a notice names."""
+    """The Parquet files a notice names.
+
+    With a schema one read for all. Without one every file counts with its own: a column
+    that some files lack is null there, and types widen as between commits
+    (``schemas.merged``; a change that would lose values is refused).
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    r = spark.read
     if schema is not None:
-        r = r.schema(schema)
-    df = r.parquet(*paths)
-    if with_path:
-        df = df.withColumn("_source_file", F.col("_metadata.file_path"))
-    return df
+        groups, target = [(paths, schema)], None
+    else:
+        groups, target = schema_groups(spark, paths), None
+        for _, found in groups:
+            target = merged(target, found)
+    out = None
+    for names, found in groups:
+        df = spark.read.schema(found).parquet(*names)
+        columns = [F.col(f"`{c}`") for c in df.columns] if target is None else shaped_columns(df, target)
+        if with_path:
+            columns.append(F.col("_metadata.file_path").alias("_source_file"))
+        df = df.select(*columns)
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def full_load_files(spark: SparkSession, directory: str, schema=None, glob: str = "LOAD*.parquet") -> DataFrame:

@@ -124,7 +124,7 @@ def notice_batch(
 
     Only the paths of this batch reach the driver (bounded by the trigger's
     maxFilesPerTrigger / maxOffsetsPerTrigger); the files are read in one
-    multi-path scan and tagged by a join on the normalised path.
+    multi-path scan, or one for each schema where none is given, and tagged by a join on the normalised path.
     """
     spark = batch.sparkSession
     seq = F.col(seq_col) if seq_col else F.monotonically_increasing_id()
@@ -133,7 +133,8 @@ def notice_batch(
     rows = named.groupBy("_p").agg(F.max("_seq").alias("_seq")).orderBy("_seq", "_p").collect()
     if not rows:
         return None
-    data = read_change_files(spark, [r["_p"] for r in rows], schema=schema).withColumn("_src", normalize_path(F.col("_metadata.file_path")))
+    data = read_change_files(spark, [r["_p"] for r in rows], schema=schema, with_path=True)
+    data = data.withColumn("_src", normalize_path(F.col("_source_file"))).drop("_source_file")
     seq = spark.createDataFrame([(r["_p"], i) for i, r in enumerate(rows)], "_p string, _file_seq int").select(
         normalize_path(F.col("_p")).alias("_src"), "_file_seq"
     ).groupBy("_src").agg(F.max("_file_seq").alias("_file_seq"))
