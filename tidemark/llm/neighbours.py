@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy search on it.
 
-Equal vectors are one node (its smallest ids stand for it), so a vector that a
-third of all rows share costs one node. The graph starts with the best of
+Equal vectors are one node with a number of its own (the rows with the smallest
+ids stand for it), so a vector that a third of all rows share costs one node. The graph starts with the best of
 random buckets and is then improved by rounds of NN-descent: every node brings
 together some of its neighbours and of the nodes that it is a neighbour of, the
 pairs among them (neighbours of neighbours) are measured, and each node keeps
@@ -17,7 +17,8 @@ queries, measured against all vectors, reaches ``AIM``.
 
 Defined results: rows with a null id, and vectors that are null, empty, zero or
 hold null or non-finite components, take no part, nor do vectors whose length
-is not the most frequent one; rows equal in id and vector count once; ties go
+is not the most frequent one; a row is a candidate for every other row, also for
+one with its id or vector, and repeated rows are queries of their own; ties go
 to the smaller id; a query without candidates has no rows.
 """
 
@@ -49,6 +50,8 @@ BEAM = 320
 PROBED = 256
 AIM = 0.93
 REACHED = 10
+#: Nodes are numbered in so many groups.
+GROUPS = 4096
 #: Nodes that searches start from; queries are taken in blocks of this size, whose vectors are broadcast.
 PIVOTS = 1024
 STARTS = 8
@@ -59,7 +62,7 @@ GRAPH = "node long, code binary, near array<long>, apart array<float>, fresh arr
 
 @dataclass(frozen=True)
 class Index:
-    nodes: DataFrame  # node (smallest id), ids (the smallest), embedding
+    nodes: DataFrame  # node, ids (the smallest, each with the number of its rows), embedding
     links: DataFrame  # node, near: array of nodes, both directions
     width: int
 
@@ -255,12 +258,15 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     rows = _valid(vectors, id_col, vector_col)
     top = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     width = top["n"] if top else 0
-    rows = rows.filter(F.size("embedding") == width).distinct()
+    each = rows.filter(F.size("embedding") == width).groupBy("id", "embedding").agg(F.count("*").alias("times"))
     # the smallest ids of each vector; cut before the shuffle, so no vector's ids gather in a task
     rank = F.row_number().over(Window.partitionBy("embedding").orderBy("id"))
-    few = rows.withColumn("rank", rank).filter(F.col("rank") <= found + 1)
-    nodes = few.groupBy("embedding").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    nodes = stored(nodes.select(F.element_at("ids", 1).alias("node"), "ids", "embedding").repartition("node"), "nodes")
+    few = each.withColumn("rank", rank).filter(F.col("rank") <= found + 1)
+    nodes = few.groupBy("embedding").agg(F.array_sort(F.collect_list(F.struct("id", "times"))).alias("ids"))
+    group = F.pmod(F.xxhash64("embedding"), F.lit(GROUPS))
+    place = F.row_number().over(Window.partitionBy("group").orderBy(F.xxhash64("embedding"), "embedding"))
+    nodes = nodes.withColumn("group", group).select((place.cast("long") * GROUPS + F.col("group")).alias("node"), "ids", "embedding")
+    nodes = stored(nodes.repartition("node"), "nodes")
     n = nodes.count()
 
     def code(batches: Iterator) -> Iterator:
@@ -423,12 +429,18 @@ def search(vectors: DataFrame, every: int = 100, found: int = REACHED, beam: int
     """(query_id, rank, vec_id, score): the ``found`` nearest of each row whose
     id is divisible by ``every`` among all other rows."""
     index = build(vectors, id_col, vector_col, found=found)
-    asked = _valid(vectors, id_col, vector_col).filter((F.pmod("id", F.lit(every)) == 0) & (F.size("embedding") == index.width)).distinct()
-    asked = stored(asked.join(index.nodes.select("node", "embedding"), "embedding").select("id", "node"), "asked")
+    asked = _valid(vectors, id_col, vector_col).filter((F.pmod("id", F.lit(every)) == 0) & (F.size("embedding") == index.width))
+    asked = asked.groupBy("id", "embedding").agg(F.count("*").cast("int").alias("asked"))
+    asked = stored(asked.join(index.nodes.select("node", "embedding"), "embedding").select("id", "node", "asked"), "asked")
     # equal queries are searched once
     nodes = asked.select("node").distinct().join(index.nodes.select("node", "embedding"), "node").select(F.col("node").alias("query"), "node", "embedding")
-    near = nearest_nodes(index, nodes, beam, found).join(index.nodes.select("node", "ids"), "node").select("query", F.explode("ids").alias("vec_id"), "apart")
+    near = nearest_nodes(index, nodes, beam, found).join(index.nodes.select("node", "ids"), "node").select("query", (F.col("query") == F.col("node")).alias("own"), "apart", F.inline("ids"))
+    near = near.withColumnRenamed("id", "vec_id")
     best = near.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("apart", "vec_id"))).filter(F.col("place") <= found + 1)
-    rows = asked.join(best.withColumnRenamed("query", "node"), "node").filter("vec_id <> id")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("apart", "vec_id"))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= found).select(F.col("id").alias("query_id"), "rank", "vec_id", F.col("apart").alias("score"))
+    rows = asked.join(best.withColumnRenamed("query", "node"), "node")
+    # a row is no candidate of its own; others with its id are
+    copies = F.least(F.col("times") - (F.col("own") & (F.col("vec_id") == F.col("id"))).cast("long"), F.lit(found)).cast("int")
+    rows = rows.withColumn("copies", copies).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    rank = F.row_number().over(Window.partitionBy("id", "node").orderBy("apart", "vec_id", "copy"))
+    rows = rows.withColumn("rank", rank).filter(F.col("rank") <= found).withColumn("of", F.explode(F.sequence(F.lit(1), F.col("asked"))))
+    return rows.select(F.col("id").alias("query_id"), "rank", "vec_id", F.col("apart").alias("score"))
