@@ -162,3 +162,22 @@ def test_unknown_operation_is_a_reject(spark):
     df = spark.createDataFrame([("1", "i"), ("2", "Z"), ("3", None)], "k string, op string")
     good, bad = C.split_rejects(df, key="k", op_col="op")
     assert [r.reject_reason for r in bad.collect()] == ["unknown_op"] and good.count() == 2
+
+
+# ------------------------------------------------------------- transformer chains
+def test_chain_checks_schemas_before_rows(spark):                                   # T1, T2
+    from tidemark.functions import chain as T
+
+    source = spark.createDataFrame([], "id bigint, v string").schema
+    target = spark.createDataFrame([], "id bigint, w string, Op string").schema
+    stages = (T.sql("SELECT id, upper(v) AS w FROM <SRC>"), T.ensure_op("U"), T.conform(target))
+    chain = T.Chain(*stages, source=source, target=target)
+    rows = spark.createDataFrame([(1, "a")], "id int, v string")                     # an int fits a bigint
+    assert [tuple(r) for r in chain(rows).collect()] == [(1, "A", "U")] and chain.check(spark, rows.schema) == chain(rows).schema
+    for schema, message in (("id int", "column v must be string, is missing"), ("id string, v string", "column id must be bigint, is string")):
+        with pytest.raises(ValueError, match=message):
+            chain.check(spark, spark.createDataFrame([], schema).schema)
+    with pytest.raises(ValueError, match="stage 'sql'"):
+        T.Chain(T.sql("SELECT nothing FROM <SRC>"))(rows)
+    with pytest.raises(ValueError, match="does not fit the target: .*Op string"):
+        T.Chain(T.sql("SELECT id, v AS w FROM <SRC>"), target=target)(rows)

@@ -462,3 +462,26 @@ def test_event_time_increments_compare_only_touched_keys(spark, tmp_table):
     assert rows_of(t.incremental("20240104120000000")) == [(7, "seven")]
     t.upsert(batch(spark, [(8, 1, "only", "x", "I")]), replace=True, commit_time="20240106000000000")
     assert rows_of(t.incremental("20240105000000000")) == rows_of(t.snapshot()) == [(8, "only")]
+
+
+# ------------------------------------------------------------- clustered output
+def test_a_point_read_of_a_clustered_base_needs_one_file(spark, tmp_table):         # W16
+    t = ChangeTable(spark, tmp_table, SPEC.with_(clustered=True, target_rows_per_file=500, write_tasks=4))
+    t.upsert(spark.range(6000).selectExpr("cast(id as int) id", "1 as ts", "uuid() as v", "if(id % 3 = 0, 'cold', 'hot') as p"))
+    t.compact()
+    files = t.snapshot().groupBy("p", F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"), F.min("_record_key").alias("a"), F.max("_record_key").alias("b")).collect()
+    assert max(r.n for r in files) <= 500 and len(files) >= 12
+    for p, key in (("hot", "4000"), ("cold", "3")):
+        assert sum(r.p == p and r.a <= key <= r.b for r in files) == 1
+    point = t.snapshot().where("_record_key = '4000' and p = 'hot'")
+    assert "EqualTo(_record_key,4000)" in spark._jvm.PythonSQLUtils.explainString(point._jdf.queryExecution(), "formatted")
+    assert [r.id for r in point.collect()] == [4000]
+
+
+def test_commit_positions_come_from_commit_rows(spark, tmp_table):                  # R5
+    t = ChangeTable(spark, tmp_table, SPEC)
+    for k in (1, 2, 3):
+        t.upsert(batch(spark, [(k, 1, "a", "x", "I")]), commit_time=f"2024010{k}000000000")
+    assert t.commit_min_recent("20240101000000000").first()[0] == "20240102000000000"
+    assert t.commit_min_recent("20250101000000000").first()[0] is None
+    assert t.commit_nth_last(3).first()[0] == "20240101000000000" and t.commit_nth_last(4).count() == 0

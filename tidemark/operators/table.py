@@ -116,6 +116,17 @@ class ChangeTable:
         rows = [r for r in reversed(self.commit_rows()) if r["kind"] in DATA_KINDS and r["commit_time"] > since]
         return self._frame(rows, ["commit_time"])
 
+    def commit_min_recent(self, since: str) -> DataFrame:
+        """R5 from the commit rows: the oldest data commit after ``since`` (one row, null if none)."""
+        since = normalize_instant(since)
+        times = [r["commit_time"] for r in self.commit_rows() if r["kind"] in DATA_KINDS and r["commit_time"] > since]
+        return self.spark.createDataFrame([(times[0] if times else None,)], "commit_time string")
+
+    def commit_nth_last(self, n: int = 2) -> DataFrame:
+        """R5 from the commit rows: the n-th data commit from the end (no row if there are fewer)."""
+        rows = [r for r in reversed(self.commit_rows()) if r["kind"] in DATA_KINDS]
+        return self._frame(rows[n - 1 : n], ["commit_time"])
+
     def max_commit(self) -> DataFrame:
         """P18 from the commit rows (one row; null for an empty table)."""
         return self.spark.createDataFrame([((self.commit_times() or [None])[-1],)], "max_commit string")
@@ -211,14 +222,19 @@ class ChangeTable:
 
     def _write(self, df: DataFrame, path: str, by: list[str], mode: str) -> None:
         """REBALANCE lets AQE split a hot partition value over several tasks and
-        merge small ones. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16)."""
+        merge small ones; a clustered table is dealt by ranges of (folder, key) instead,
+        which parts a hot value as well. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16)."""
         cols = list(self.spec.layout)
         width = [self.spec.write_tasks] if self.spec.write_tasks else []
         conf = {**WRITE_CONF, **AQE_WRITE_CONF}
         if self.spec.target_file_bytes:
             conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(self.spec.target_file_bytes)
         with scoped_conf(df.sparkSession, conf):
-            w = df.hint("rebalance", *width, *cols).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            if self.spec.clustered:
+                df = df.repartitionByRange(*width, *cols, KEY).sortWithinPartitions(*cols, KEY)
+            else:
+                df = df.hint("rebalance", *width, *cols)
+            w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
             w = w.option("maxRecordsPerFile", self.spec.target_rows_per_file)
             (w.partitionBy(*by) if by else w).parquet(path)
 

@@ -6,7 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tidemark.functions import chain as T
 from tidemark.functions import columns as C
 from tidemark.operators.table import ChangeTable
 from tidemark.plans import catalog_batch as B
@@ -16,6 +18,7 @@ from tidemark.plans import oracle_sql as Q
 from tidemark.plans.registry import query
 from tidemark.plans.staging import list_parquet
 from tidemark.session import scratch_dir
+from tidemark.sources import feeds as S
 from tidemark.sources.log_stream import stream_log
 from tidemark.spec import COMMIT, KEY, TableSpec
 from tidemark.streaming import sinks as W
@@ -186,3 +189,56 @@ def notice_schemas(spark: SparkSession, sf: str) -> DataFrame:
     stream = spark.readStream.schema("filePath string, seq long").json(f"{root}/notices")
     CF._run(W.ingest_notices(stream, table, f"{root}/checkpoint", f"schemas-{uuid.uuid4().hex[:8]}", prepare=lambda b: b, seq_col="seq", trigger=CF.ONCE))
     return table.snapshot().select("id", "n", "status", "price")
+
+
+# ---------------------------------------------------------------- transformers
+@query(
+    "transformer_chain",
+    f"""SELECT tradeid, symbol, CAST(price * quantity AS DOUBLE) AS notional, updated_by FROM ({Q.TRADES_FINAL}) f""",
+)
+def transformer_chain(spark: SparkSession, sf: str) -> DataFrame:
+    """The full load and the change stream through one declared chain: SQL text,
+    an ``Op`` column, the target's schema. Input and output are checked before the stream starts."""
+    root = scratch_dir(spark, "transformer_chain")
+    d = CF.stage_replication(spark, sf, root)
+    full_schema, cdc_schema = CF._full_schema(spark), CF._cdc_schema(spark)
+    target = spark.createDataFrame([], "tradeid string, symbol string, notional double, updated_by string, dms_received_ts string, Op string").schema
+    columns = "tradeid, symbol, price * quantity AS notional, updated_by, dms_received_ts"
+    full = T.Chain(T.sql(f"SELECT {columns} FROM <SRC>"), T.ensure_op(), T.conform(target), source=full_schema, target=target)
+    cdc = T.Chain(T.sql(f"SELECT {columns}, Op FROM <SRC>"), T.ensure_op(), T.conform(target), source=cdc_schema, target=target)
+    table = ChangeTable(spark, f"{root}/table", FX.trades_spec())
+    table.upsert(full(S.full_load_files(spark, d, full_schema)), op_col="Op")
+    stream = S.stream_cdc_files(spark, d, cdc_schema)
+    CF._run(W.upsert_stream(stream, table, f"{root}/checkpoint", f"chain-{uuid.uuid4().hex[:8]}", trigger=CF.ONCE, op_col="Op", prepare=cdc))
+    return table.snapshot().select("tradeid", "symbol", "notional", "updated_by")
+
+
+# ---------------------------------------------------------------- sizes
+@query(
+    "output_sizing",
+    f"""SELECT year, count(*) AS n, TRUE AS within_cap, TRUE AS apart
+        FROM ({Q.li_snapshot(deletes=False)}) s GROUP BY year""",
+)
+def output_sizing(spark: SparkSession, sf: str) -> DataFrame:
+    """A clustered base: no file above the cap of rows, and the files of a partition value hold
+    ranges of the record key that do not overlap, so a read of one key needs one file."""
+    root = scratch_dir(spark, "output_sizing")
+    cap = 2000
+    table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec(clustered=True, target_rows_per_file=cap, deletes="ignore"))
+    CF._commit_changes(spark, sf, table)
+    table.compact()
+    each = table.snapshot().groupBy("year", F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("n"), F.min(KEY).alias("low"), F.max(KEY).alias("high"))
+    before = F.lag("high").over(Window.partitionBy("year").orderBy("low", "high"))
+    each = each.withColumn("apart", F.coalesce(F.col("low") > before, F.lit(True)))
+    return each.groupBy("year").agg(F.sum("n").alias("n"), F.every(F.col("n") <= cap).alias("within_cap"), F.every("apart").alias("apart"))
+
+
+# ---------------------------------------------------------------- commit positions
+@query("commit_positions_table", f"SELECT 'oldest after the first' AS position, '{B.C1}' AS commit_time UNION ALL SELECT 'second from the end', '{B.C2}'")
+def commit_positions_table(spark: SparkSession, sf: str) -> DataFrame:
+    """R5 on disk, from the commit rows: the oldest after an instant and the n-th from the end; expiry changes neither."""
+    table = CF._lineitem_table(spark, sf, "commit_positions_table")
+    table.expire(retain=1)
+    named = lambda name, df: df.select(F.lit(name).alias("position"), "commit_time")
+    return named("oldest after the first", table.commit_min_recent(B.C0)).unionByName(named("second from the end", table.commit_nth_last(2)))

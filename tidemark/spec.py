@@ -32,6 +32,8 @@ class TableSpec:
     tiebreak    columns that settle equal orderings; None means every other payload column
     target_rows_per_file, target_file_bytes   sizes of written files (W16); None: the session's advisory size
     write_tasks     width of the write shuffle before AQE; None: the session's
+    clustered       files of a partition value hold ranges of the record key, sorted, so that a
+                    read of few keys skips files and row groups by their statistics
     count_inserts   tell inserts from updates at commit time (reads the keys of the table)
     buckets         folders by hash of the key, inside each commit and base: an upsert reads, and a
                     compaction rewrites, only the buckets that its keys are in; 0: none
@@ -48,6 +50,7 @@ class TableSpec:
     target_rows_per_file: int = 1_000_000
     target_file_bytes: int | None = None
     write_tasks: int | None = None
+    clustered: bool = False
     count_inserts: bool = True
     buckets: int = 0
     history: int = 1000

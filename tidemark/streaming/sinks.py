@@ -19,6 +19,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidemark import files
 from tidemark.functions.columns import normalize_path, split_rejects
+from tidemark.functions.chain import Chain
 from tidemark.operators.table import ChangeTable
 from tidemark.sources.feeds import read_change_files
 
@@ -45,7 +46,10 @@ def upsert_stream(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ):
     """Micro-batch upserts; one commit per batch, named by the checkpoint's
-    query id and the batch. A batch without good rows is a commit without rows."""
+    query id and the batch. A batch without good rows is a commit without rows.
+    A ``Chain`` as ``prepare`` is checked against the stream's schema before it starts."""
+    if isinstance(prepare, Chain):
+        prepare.check(table.spark, df.schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = prepare(batch) if prepare else batch
