@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,5 +180,5 @@ def test_chain_checks_schemas_before_rows(spark):
             chain.check(spark, spark.createDataFrame([], schema).schema)
     with pytest.raises(ValueError, match="stage 'sql'"):
         T.Chain(T.sql("SELECT nothing FROM <SRC>"))(rows)
-    with pytest.raises(ValueError, match="does not fit the target: .*Op string"):
+    with pytest.raises(ValueError, match="does not fit the target: .*op string"):
         T.Chain(T.sql("SELECT id, v AS w FROM <SRC>"), target=target)(rows)
