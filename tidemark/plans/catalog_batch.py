@@ -152,7 +152,7 @@ def json_schema_file(spark: SparkSession, sf: str) -> DataFrame:
 
 # Avro schema text of a trade record, for S7.
 TRADE_AVSC = """
-{"type": "record", "name": "TradeData", "namespace": "trades",
+{"type": "record", "name": "TradeEvent", "namespace": "trades",
  "fields": [
    {"name": "tradeId", "type": ["null", "string"], "default": null},
    {"name": "symbol", "type": ["null", "string"], "default": null},
