@@ -1,6 +1,7 @@
 """The on-disk change table."""
 
 import json
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -342,6 +343,49 @@ def test_pins_and_replaced_states_survive_trimming(spark, tmp_table):
         t.as_of(cs[1])
 
 
+@pytest.mark.parametrize("merge", ["arrival", "event_time"])
+def test_expiry_reads_only_new_commits(spark, tmp_table, monkeypatch, merge):      # R10, R9
+    from tidemark import files
+    from tidemark.operators import timeline as TL
+
+    read, expire = [], TL.expire
+
+    def noting(log, *args, **named):
+        read.append({tuple(f.partition("?")[0].split("/")[-4:-2]) for f in map(unquote, log.inputFiles())})
+        return expire(log, *args, **named)
+
+    monkeypatch.setattr(TL, "expire", noting)
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge=merge, history=0))
+    first = t.upsert(batch(spark, [(i, 10, "first", "x", "I") for i in range(40)]))
+    c1 = t.upsert(batch(spark, [(1, 20, "one", "y", "U"), (2, 5, "late", "x", "U"), (3, 20, "", "x", "D")]), op_col="Op")
+    t.expire(retain=1)
+    held = files.names(spark, f"{tmp_table}/expired")
+    t.pin(c1)
+    pinned = rows_of(t.as_of(c1))
+    new = t.upsert(batch(spark, [(1, 30, "two", "x", "U"), (50, 1, "new", "x", "I")]))
+    last = t.upsert(batch(spark, [(4, 30, "three", "x", "U")]))
+    now, since = rows_of(t.snapshot()), rows_of(t.incremental(c1))
+    t.expire(retain=1)
+    assert len(held) == 1 and files.names(spark, f"{tmp_table}/expired")[0] == held[0] and len(files.names(spark, f"{tmp_table}/expired")) == 2
+    assert read[1] == {("log", f"_commit_time={c}") for c in (c1, new, last)}
+    assert rows_of(t.snapshot()) == now and rows_of(t.incremental(c1)) == since and rows_of(t.as_of(c1)) == pinned
+    for gone in (first, new):
+        with pytest.raises(ValueError, match="expired"):
+            t.as_of(gone)
+    # a pin that is gone frees what was kept for it, and small segments are joined
+    t.unpin(c1)
+    t.upsert(batch(spark, [(i, 40, "all", "x", "U") for i in range(40)]))
+    t.expire(retain=1)
+    assert len(files.names(spark, f"{tmp_table}/expired")) == 2 and len({folder for folder, _ in read[2]}) == 2
+    t.upsert(batch(spark, [(60, 1, "end", "x", "I")]))
+    t.expire(retain=1)
+    assert len(files.names(spark, f"{tmp_table}/expired")) == 1
+    assert rows_of(t.snapshot()) == sorted([*((i, "all") for i in range(40)), (50, "new"), (60, "end")])
+    assert t.read_log().count() == 42                               # joined: one row for each key
+    with pytest.raises(ValueError, match="expired"):
+        t.as_of(c1)
+
+
 def test_a_replayed_batch_is_known_after_expiry(spark, tmp_table):                  # C3
     t = ChangeTable(spark, tmp_table, SPEC.with_(history=0))
     c = t.upsert(batch(spark, [(1, 1, "a", "x", "I")]), query_id="q", batch_id=4)

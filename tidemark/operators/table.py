@@ -4,7 +4,7 @@ Layout under the table path::
 
     log/_commit_time=<t>/[_bucket=<b>/]<partition>=<v>/part-*.parquet   the rows of one commit
     base/<t>/[_bucket=<b>/]<partition>=<v>/part-*.parquet               compactions: one row per key
-    expired/<t>/_commit_time=<c>/...                      versions that expiry kept
+    expired/<t>/_commit_time=<c>/...                      versions that expiry kept, in segments
     _meta/commits/                                        commit rows, one small file each, folded now and then
     _meta/schemas/<t>.json, _meta/bases/<t>.json          written once, named by commit rows
     _meta/pins/<t>, _meta/catalog/<name>, _meta/bookmarks/<consumer>.json
@@ -165,6 +165,17 @@ class ChangeTable:
         """The last commit whose versions expiry has thinned out."""
         return max((r["upto"] for r in rows if r["kind"] == "expire"), default="")
 
+    @staticmethod
+    def _segments(rows: list[dict]) -> list[dict]:
+        """Folders of versions that expiry kept, oldest first: each holds what is left of the commits
+        after the one before it up to its ``upto``."""
+        last = [r for r in rows if r["kind"] == "expire"][-1:]
+        if not last:
+            return []
+        source = last[0]["source"]
+        # a single path: written before there were several, joined with the next
+        return json.loads(source) if source.startswith("[") else [{"path": source, "upto": last[0]["upto"], "rows": 0, "pins": []}]
+
     def _check_readable(self, t: str, rows: list[dict]) -> None:
         """The state at ``t`` is that of the newest commit up to it, which must be retained or pinned."""
         seen = [r["commit_time"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= t]
@@ -378,12 +389,11 @@ class ChangeTable:
         inside = lambda t: lo < t <= hi and (replaced or t >= void)
         gone = self._horizon(rows)
         parts: list[DataFrame] = []
-        kept = [r for r in rows if r["kind"] == "expire"][-1:]
-        if kept:
-            found = files.names(self.spark, kept[0]["source"], prefix=f"{COMMIT}=")
+        for kept in self._segments(rows):
+            found = files.names(self.spark, kept["path"], prefix=f"{COMMIT}=") if kept["upto"] > lo else []
             times = [t for t in (n.partition("=")[2] for n in found) if inside(t)]
             if times:
-                parts.append(self._read_commits(times, schema, kept[0]["source"]))
+                parts.append(self._read_commits(times, schema, kept["path"]))
         live = [r for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > gone and inside(r["commit_time"])]
         times = [r["commit_time"] for r in live if r["kind"] != "bootstrap" and r["num_rows"]]
         if times:
@@ -493,9 +503,17 @@ class ChangeTable:
     def expire(self, retain: int = 3, commit_time: str | None = None) -> str | None:
         """Keep the versions that some retained or pinned commit can see.
 
-        Versions of older commits are rewritten into ``expired/<t>``; once the
-        commit row is there, folders that no commit row reaches are deleted:
-        the old log folders, earlier expiries and compactions but the newest.
+        Versions of the commits that expire now are written into ``expired/<t>``, a
+        segment after those of earlier expiries. Only these commits and the
+        first retained one are read: a version that is superseded later than
+        that was seen by it. Earlier segments stay as they are; their rows that
+        newer ones supersede win no state that can be read. The last
+        segments are joined with the new one if they hold no more rows than it
+        (so a row is rewritten a logarithmic number of times, and superseded ones
+        never outnumber the others), or if a pin they were kept for is gone.
+
+        Once the commit row is there, folders that no commit row reaches are
+        deleted: the old log folders, joined segments and compactions but the newest.
         """
         rows = self.commit_rows()
         times = self.commit_times(rows)
@@ -503,11 +521,21 @@ class ChangeTable:
         if len(keep) == len(times):
             return None
         upto = [t for t in times if t < keep[0]][-1]
-        old = TL.expire(self.read_log(rows=rows, replaced=True), self.spec, keep=keep, pins=self.pins()).where(F.col(COMMIT) <= upto)
+        pins = [p for p in self.pins() if p <= upto]
+        size = sum(r["num_rows"] for r in rows if r["commit_time"] in times and r["commit_time"] <= upto)
+        segments = self._segments(rows)
+        freed = next((k for k, s in enumerate(segments) if not set(s["pins"]) <= set(pins)), len(segments))
+        while segments and (segments[-1]["rows"] <= size or len(segments) > freed):
+            size += segments.pop()["rows"]
+        recent = self.read_log(since=segments[-1]["upto"] if segments else None, upto=keep[0], rows=rows, replaced=True)
         t = self._next_instant(commit_time, rows)
         out = f"{self.path}/expired/{t}"
-        self._write(old, out, [COMMIT, *self.spec.layout], "errorifexists")
-        self._add_row(commit_time=t, kind="expire", source=out, upto=upto)
+        self._write(TL.expire(recent, self.spec, keep=keep[:1], pins=pins).where(F.col(COMMIT) <= upto), out, [COMMIT, *self.spec.layout], "errorifexists")
+        found = [n.partition("=")[2] for n in files.names(self.spark, out, prefix=f"{COMMIT}=")]
+        if found:
+            kept = self._read_commits(found, self.schema(rows), out).count()
+            segments = [*segments, {"path": out, "upto": upto, "rows": kept, "pins": pins}]
+        self._add_row(commit_time=t, kind="expire", source=json.dumps(segments), upto=upto)
         # from here on nothing reads what goes now; a crash leaves folders that the next expiry deletes
         rows = self.commit_rows()
         base = self._base(rows)
@@ -516,8 +544,9 @@ class ChangeTable:
         stay += [r for r in rows if r["commit_time"] == t or base and r["commit_time"] == base["commit_time"]]
         self.fold(sorted(stay, key=lambda r: r["commit_time"]))
         used = {d.split("/base/")[-1].split("/")[0] for d in self._leaves(base)} if base else set()
+        reached = {s["path"] for s in segments}
         for name in files.names(self.spark, f"{self.path}/expired"):
-            if name != t:
+            if f"{self.path}/expired/{name}" not in reached:
                 files.delete(self.spark, f"{self.path}/expired/{name}")
         for name in files.names(self.spark, f"{self.path}/base"):
             if name not in used and not (base and name == base["commit_time"]):

@@ -57,6 +57,26 @@ def replace_then_expire(spark: SparkSession, sf: str) -> DataFrame:
     return table.snapshot().select(*B.LI_OUT)
 
 
+@query(
+    "expire_segments",
+    f"SELECT 'pinned' AS state, * FROM ({Q.li_snapshot(where=f'_commit_time <= {chr(39)}{B.C1}{chr(39)}')}) a"
+    f" UNION ALL SELECT 'now', * FROM ({Q.li_snapshot()}) b",
+)
+def expire_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Expiry after every commit; each adds a segment or joins the last ones, and no readable state changes."""
+    root = scratch_dir(spark, "expire_segments")
+    table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec(history=0))
+
+    def retain(k: int) -> None:
+        if k == 1:
+            table.pin(B.C1)
+        table.expire(retain=1, commit_time=f"2024010{k + 1}120000000")
+
+    CF._commit_changes(spark, sf, table, retain)
+    named = lambda name, df: df.select(F.lit(name).alias("state"), *B.LI_OUT)
+    return named("pinned", table.as_of(B.C1)).unionByName(named("now", table.snapshot()))
+
+
 # ----------------------------------------------------------------------- keys
 PARTS = """CASE WHEN event_id % 2 = 0 THEN user_id::VARCHAR || '#' || event_type ELSE user_id::VARCHAR END AS a,
            CASE WHEN event_id % 2 = 0 THEN 'x' ELSE event_type || '#x' END AS b"""
