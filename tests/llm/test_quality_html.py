@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -99,6 +100,64 @@ def test_marks_spare_text():
     assert H.main_text(page) == f"Title\n\n{long}\n\n{long}"
 
 
+def _walk(node, link=False):
+    """(characters, tags, those in links) by looking at every text and tag anew."""
+    c = t = lc = lt = 0
+    for x in node.items:
+        if isinstance(x, str):
+            c += len("".join(x.split()))
+            lc += len("".join(x.split())) if link or node.tag == "a" else 0
+        else:
+            a = _walk(x, link or node.tag == "a")
+            c, t, lc, lt = c + a[0], t + 1 + a[1], lc + a[2], lt + a[3] + (x.tag == "a" or link or node.tag == "a")
+    return c, t, lc, lt
+
+
+def test_densities_equal_the_formula():
+    page = PAGE % ("<div><h1>Title</h1><p>A text with <a href=/x>one <i>link</i></a> and <b>more</b> words.</p><ul><li><a href=/a>Menu</a><li><a href=/b>Menu two</a></ul>"
+                   "<section><p>Other words, which are many.</p><p>x</p></section></div>")
+    order = H._prune(H.parse(page))
+    H._densities(order)
+    bc, _, blc, _ = _walk(order[0])
+    for node in order:
+        c, t, lc, lt = _walk(node)
+        if node.tag == "a":
+            lt += 1
+        kids = [x for x in node.items if not isinstance(x, str)]
+        if any(n.tag == "a" for n in H._path(node)[1:]):
+            continue                                          # inside a link: judged with the link
+        want = 0.0
+        if c:
+            t1, lc1, lt1, rest = max(t, 1), max(lc, 1), max(lt, 1), max(c - lc, 1)
+            want = c / t1 * math.log(max(c / lc1 * t1 / lt1, 1)) / math.log(c / rest * lc + blc / bc * c + math.e)
+        assert abs(node.density - want) < 1e-9, node.tag
+        assert node.sum == (sum(k.density for k in kids) or node.density)
+        under = [node]
+        for n in under:
+            under += [x for x in n.items if not isinstance(x, str)]
+        assert node.best.sum == max(n.sum for n in under)
+
+
+def test_density_decides():
+    long = "This passage of the text is long enough to be told from a notice by its density, since it holds many words and no links."
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Topic {k}</a></li>" for k in range(9)) + "</ul>"
+    body = f"<h1>Title</h1><p>{long}</p><p>Short.</p><p><b>{long}</b> and <i>{long}</i></p><p>End.</p>"
+    want = f"Title\n\n{long}\n\nShort.\n\n{long} and {long}\n\nEnd."
+    # no element names the article, no class or id marks what is not
+    for wrap in ("<div>%s</div>", "<section><div>%s</div></section>", "<div><div>%s</div></div>", "<table><tr><td>%s</td></tr></table>"):
+        assert H.main_text(f"<body><div>{menu}</div>{wrap % body}<div>{menu}</div></body>") == want, wrap
+    # an unmarked menu beside the core inside the article is left out, one short link is not
+    assert H.main_text(f"<body><article><div>{menu}</div><div>{body}</div><p><a href=/>Source</a></p></article></body>") == want + "\n\nSource"
+    # a teaser's article does not decide: the core lies outside of it
+    assert H.main_text(f"<body><div>{body}</div><article><a href=/x>Another page</a></article></body>").startswith(want)
+    # of two articles the denser one
+    assert H.main_text(f"<body><article><h2>A</h2><p>{long[:30]}</p></article><article>{body}{body}</article></body>") == want + "\n\n" + want
+    # a page with a very long text keeps all of it
+    many = "".join(f"<p>{k} {long}</p>" for k in range(20_000))
+    text = H.main_text(f"<body><div>{menu}</div><div>{many}</div></body>")
+    assert text.count(long) == 20_000 and len(text) == sum(len(f"{k} {long}") for k in range(20_000)) + 2 * 19_999
+
+
 def test_extract(spark):
     pages = spark.createDataFrame([(1, None, None, "x"), (2, "u", "<article><p>Hi 😀</article>", "x"), (2, "u", "<article><p>Hi 😀</article>", "x")], "page_id long, url string, html string, text string")
     got = sorted(map(tuple, H.digest(pages).collect()), key=str)

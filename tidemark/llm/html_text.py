@@ -10,12 +10,16 @@ its characters per tag, adjusted for links:
     density = C/T * log(C/LC * T/LT) / log(C/nLC * LC + bLC/bC * C + e)
 
 with C characters, T tags, LC and LT those inside links, nLC = C - LC, and b
-for the body. The node whose children's densities sum highest is the core. The
-least density on the path from the core to the body is the threshold: every
-node that reaches it gives the subtree with the highest sum below it. If the
-core lies in an ``article`` or ``main`` element, that whole element is the
-text, so short paragraphs and headings are kept; else headings that lead to
-the core are added.
+for the body. The node whose children's densities sum highest is the core (an
+inline one stands for its block). The least density on the path from the core
+to the body is the threshold: every node that reaches it gives the subtree
+with the highest sum below it. Headings that lead to the core, and short
+paragraphs among or like chosen ones are added.
+
+``article`` and ``main`` elements are features. The core is sought in one that
+has over half the page's unlinked characters. Where one holds the core, what
+is outside is left out, and beside the path from the core to it only blocks
+below the threshold that are menus (several links and hardly other text) are.
 
 Defined results: a null or empty page, or one without text, gives an empty
 text; unclosed elements end with their parents; a cut-off page ends all of
@@ -63,6 +67,9 @@ TITLES = frozenset(
 DENSE_CHARS, DENSE_TAG, DENSE_LINKS = 80, 20, 0.3
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 WHOLE = frozenset("article main".split())
+PARAGRAPHS = frozenset("p pre blockquote ul ol dl table".split())
+#: A menu has so many links or more, and over this share of its characters in them.
+MENU_LINKS, MENU_SHARE = 3, 0.8
 #: What an open element is closed by.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BARRIER = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -228,16 +235,36 @@ def _path(node: Node) -> list[Node]:
     return out
 
 
+def _menu(node: Node) -> bool:
+    """Several links and hardly any text beside them."""
+    return node.link_tags >= MENU_LINKS and node.link_chars > MENU_SHARE * node.chars
+
+
+def _home(body: Node) -> Node:
+    """The outermost ``article`` or ``main`` with over half the page's unlinked characters, else the body."""
+    todo = [body]
+    while todo:
+        node = todo.pop()
+        kids = [x for x in node.items if isinstance(x, Node) and 2 * (x.chars - x.link_chars) > body.chars - body.link_chars]
+        if node.tag in WHOLE:
+            return node
+        todo += kids
+    return body
+
+
 def _content(order: list[Node]) -> list[Node]:
     """The subtrees that make up the text, in page order, none inside another."""
-    core = order[0].best
-    if whole := _within(core):
-        outer = whole
-        while up := _within(outer.parent):
-            outer = up
-        return [outer]
+    core = _home(order[0]).best
+    while core.parent and core.tag not in BLOCK:
+        core = core.parent
     path = _path(core)
     threshold = min(n.density for n in path)
+    bounds = [k for k, n in enumerate(path) if n.tag in WHOLE]
+    if bounds:
+        inner = path[: bounds[-1] + 1]
+        for below, above in zip(inner, inner[1:]):
+            above.items = [x for x in above.items if isinstance(x, str) or x is below or x.density >= threshold or not _menu(x)]
+        return [inner[-1]]
     chosen = {id(core)}
     for node in order:
         if node.density >= threshold and node.density > 0:
@@ -248,6 +275,12 @@ def _content(order: list[Node]) -> list[Node]:
                 break
             if isinstance(x, Node) and x.tag in HEADINGS:
                 chosen.add(id(x))
+    # short paragraphs and headings among chosen ones
+    for node in order:
+        kids = [x for x in node.items if isinstance(x, Node)]
+        at = [k for k, x in enumerate(kids) if id(x) in chosen]
+        alike = {kids[k].tag for k in at} & PARAGRAPHS
+        chosen |= {id(x) for k, x in enumerate(kids) if at and (at[0] < k < at[-1] or x.tag in alike) and not _menu(x)}
     out: list[Node] = []
     inside: set[int] = set()
     for node in order:
