@@ -1,6 +1,5 @@
 """The pipeline against a plain single-process version of each stage."""
 
-import hashlib
 import importlib.util
 import random
 import zlib
@@ -11,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as P
-from tidemark.llm import decontaminate, mixing, quality
+from tidemark.llm import decontaminate, quality
 
 
 def load(name):
@@ -57,16 +56,10 @@ def brute_quality(rows, labels):
 
 
 def brute_mix(rows):
-    size = {r: len((r[1] or "").split(" ")) if r[1] else 0 for r in rows}
-    of = defaultdict(int)
-    for r in rows:
-        of[r[3]] += size[r]
-    target, out = mixed.brute_targets(of), Counter()
-    for r in rows:
-        rate = target[r[3]] / of[r[3]] if of[r[3]] else 0
-        key = f"{mixing.SEED}:{'' if r[0] is None else r[0]}:{hashlib.md5((r[1] or '').encode()).hexdigest()}"
-        draw = int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / (1 << 52)
-        out[r] += int(rate) + (draw < rate - int(rate))
+    copies = mixed.brute_copies([(r[0], r[1], r[3]) for r in rows], lambda t: len(t.split(" ")) if t else 0)
+    out = Counter()
+    for r, n in zip(rows, copies):
+        out[r] += n
     return out
 
 

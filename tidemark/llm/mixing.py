@@ -8,6 +8,13 @@ exactly from the sources sorted by cap / weight. A document is emitted
 floor(rate) times, rate = target / words of its source, plus one more time
 with probability rate - floor(rate), drawn from a hash of its id and text.
 
+Of one draw the words taken spread widely about the target where a source has
+few documents of very unequal sizes. So the hash seeds ``TRIES`` draws of a
+document, the words that each would take are summed for every source in one
+pass over narrow rows, and a source uses the draw that comes nearest to its
+target (ties: the first). A source of under ``FEW`` documents uses the first,
+since there the nearest would be one rounding for all such sources.
+
 Defined results: a null or empty text has size 0 and changes nothing; null is
 a source of its own; a source without words has target 0 and its documents are
 not taken; rows equal in id and text share one draw; empty tables give none.
@@ -27,7 +34,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_RATE = 3
 SEED = 17
-#: Rates are broadcast up to so many sources (under 20 MB at 200 bytes a source); beyond it they are joined by a shuffle.
+#: Draws that a document has, and their number of values (a power of two that doubles hold).
+TRIES, DRAWS = 64, 1 << 52
+FEW = 16
+SALT = 32
+#: Rates are broadcast up to so many sources (under 20 MB at 200 bytes a source); beyond it they are joined by a salted shuffle.
 BROADCAST_SOURCES = 100_000
 
 
@@ -56,18 +67,48 @@ def rates(sized: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_RATE)
     return per.select("source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"))
 
 
+def _drawn(docs: DataFrame, seed: int, *columns) -> DataFrame:
+    """``columns`` with source, size and the two halves of a document's hash that its draws come from."""
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))
+    half = lambda at: F.conv(F.substring("hash", at, 13), 16, 10).cast("long")
+    rows = docs.select(*columns, "source", size().alias("size"), F.md5(key).alias("hash"))
+    return rows.withColumns({"a": half(1), "b": half(14)}).drop("hash")
+
+
+def _wins(number):
+    """Whether draw ``number`` of a document falls below the fraction of its source's rate."""
+    draw = ((F.col("a") + number * F.col("b")) % DRAWS).cast("double") / float(DRAWS)
+    return draw < F.col("rate") - F.floor("rate")
+
+
+def _beside(rows: DataFrame, rate: DataFrame) -> DataFrame:
+    """``rows`` with what ``rate`` says of their source. Few sources are broadcast; many are joined by a
+    shuffle in which every source has SALT keys, so a source with a third of the rows is in SALT tasks."""
+    rate = rate.withColumnRenamed("source", "of")
+    same = F.col("source").eqNullSafe(F.col("of"))
+    if rate.count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(rate), same)
+    rate = rate.withColumn("grain", F.explode(F.array(*map(F.lit, range(SALT)))))
+    return rows.withColumn("salt", (F.col("a") % SALT).cast("int")).join(rate, same & (F.col("salt") == F.col("grain")))
+
+
+def plan(docs: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_RATE, seed: int = SEED) -> DataFrame:
+    """``rates`` with the number of the draw that each source uses."""
+    drawn = stored(_drawn(docs, seed), "draws")
+    rate = stored(rates(drawn, weights, max_rate), "rates")
+    words = [F.sum(F.when(_wins(F.lit(k)), F.col("size")).otherwise(0)).alias(f"words_{k}") for k in range(TRIES)]
+    tried = _beside(drawn, rate).groupBy("source", "source_size", "target", "rate").agg(F.count("*").alias("n"), *words)
+    missed = lambda k: F.abs((F.floor("rate") * F.col("source_size") + F.col(f"words_{k}")).cast("double") - F.col("target"))
+    best = F.array_min(F.array(*[F.struct(missed(k).alias("missed"), F.lit(k).alias("number")) for k in range(TRIES)]))
+    number = F.when(F.col("n") < FEW, F.lit(0)).otherwise(best["number"])
+    return stored(tried.select("source", "source_size", "target", "rate", number.alias("number")), "plan")
+
+
 def repetitions(docs: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_RATE, seed: int = SEED) -> DataFrame:
     """``docs`` as ``row``, with size, source_size, target and copies: how
     often the mix takes the document."""
-    table = stored(rates(docs.select("source", size().alias("size")), weights, max_rate), "rates")
-    small = table.count() <= BROADCAST_SOURCES
-    rate = table.withColumnRenamed("source", "of")
-    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))
-    draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    rows = docs.select(whole(docs), "source", size().alias("size"), draw.alias("draw"))
-    joined = rows.join(F.broadcast(rate) if small else rate, F.col("source").eqNullSafe(F.col("of")))
-    full = F.floor("rate")
-    copies = F.least(F.lit(max_rate), full + (F.col("draw") < F.col("rate") - full).cast("long"))
+    joined = _beside(_drawn(docs, seed, whole(docs)), plan(docs, weights, max_rate, seed))
+    copies = F.least(F.lit(max_rate), F.floor("rate") + _wins(F.col("number")).cast("long"))
     return joined.select("row", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 

@@ -130,8 +130,8 @@ ORACLES["op10_mixing"] = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-
 ]+')), 0) AS size,
-         CAST('0x' || md5(concat_ws(':', '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, ''))))[1:13] AS BIGINT)
-           / 4503599627370496.0::DOUBLE AS draw
+         md5(concat_ws(':', '{mixing.SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')))) AS h,
+         CAST('0x' || h[1:13] AS BIGINT) AS a, CAST('0x' || h[14:26] AS BIGINT) AS b
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS HUGEINT) AS n, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS r FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(r - 1) % 3 + 1]::HUGEINT AS w, 3 * n AS cap FROM s),
@@ -141,10 +141,17 @@ o AS (
   FROM w WINDOW q AS (ORDER BY cap * (10 // w), r)),
 level AS (SELECT num, den FROM o WHERE num * w <= cap * den ORDER BY pos LIMIT 1),
 t AS (SELECT source, n, least(CAST(cap AS DOUBLE), CAST(level.num * w AS DOUBLE) / CAST(level.den AS DOUBLE)) AS target FROM o, level),
-rate AS (SELECT *, CASE WHEN n > 0 THEN target / n ELSE 0 END AS rate FROM t)
+rate AS (SELECT *, CASE WHEN n > 0 THEN target / n ELSE 0 END AS rate FROM t),
+j AS (SELECT d.*, n, target, rate, rate - floor(rate) AS part FROM d JOIN rate ON d.source IS NOT DISTINCT FROM rate.source),
+tries AS (
+  SELECT source, k, count(*) AS docs,
+         abs(CAST(any_value(floor(rate)) * any_value(n) + sum(CASE WHEN ((a + k * b) % {mixing.DRAWS}) / {mixing.DRAWS}.0::DOUBLE < part THEN size ELSE 0 END) AS DOUBLE)
+             - any_value(target)) AS missed
+  FROM j, range({mixing.TRIES}) r(k) GROUP BY source, k),
+best AS (SELECT source, CASE WHEN docs < {mixing.FEW} THEN 0 ELSE k END AS k FROM tries QUALIFY row_number() OVER (PARTITION BY source ORDER BY missed, k) = 1)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, target,
-       CAST(size * least(3, floor(rate) + CAST(draw < rate - floor(rate) AS INTEGER)) AS BIGINT) AS taken
-FROM d JOIN rate ON d.source IS NOT DISTINCT FROM rate.source
+       CAST(size * least(3, floor(rate) + CAST(((a + k * b) % {mixing.DRAWS}) / {mixing.DRAWS}.0::DOUBLE < part AS INTEGER)) AS BIGINT) AS taken
+FROM j JOIN best ON j.source IS NOT DISTINCT FROM best.source
 """
 
 
