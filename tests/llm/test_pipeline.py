@@ -2,6 +2,7 @@
 
 import importlib.util
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -56,7 +57,7 @@ def brute_quality(rows, labels):
 
 
 def brute_mix(rows):
-    copies = mixed.brute_copies([(r[0], r[1], r[3]) for r in rows], lambda t: len(t.split(" ")) if t else 0)
+    copies = mixed.brute_copies([(r[0], r[1], r[3]) for r in rows], lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or "")))
     out = Counter()
     for r, n in zip(rows, copies):
         out[r] += n
