@@ -115,6 +115,28 @@ def test_mixing_draws(spark, monkeypatch):
     assert all(abs(off[s][0] - off[s][1]) < 0.02 * off[s][1] for s in off if s not in ("few", None, "s1")), off
 
 
+def test_levels_over_ranges_of_sources(spark):
+    """Targets of many sources, with ties of size and of cap over weight, by sums of ranges that are joined."""
+    rng = random.Random(6)
+    sizes = {f"é{k:03d}" if k % 3 else f"s{k}": rng.choice([0, 1, 5, 5, 10, 2000, 30_000]) for k in range(300)} | {None: 5}
+    sized = spark.createDataFrame([(s, n) for s, n in sizes.items()] + [("s0", 7), ("s0", 0)], "source string, size long")
+    sizes["s0"] += 7
+    want = brute_targets(sizes)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = mixing._ranked(sized, [F.col("size"), F.col("source").asc_nulls_last()], "test", ("size",)).collect()
+        got = mixing.rates(sized).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = sorted(ranked, key=lambda r: r["at"])
+    assert [r["at"] for r in rows] == list(range(len(sizes) + 2))
+    assert [(r.size, r.source is None, r.source or "") for r in rows] == sorted((r.size, r.source is None, r.source or "") for r in rows)
+    assert all(b.below_size == a.below_size + a.size for a, b in zip(rows, rows[1:])) and rows[0].below_size == 0
+    assert {r.source: r.source_size for r in got} == sizes
+    assert all(abs(r.target - want[r.source]) <= 1e-9 * (1 + want[r.source]) for r in got)
+    assert mixing.rates(sized.limit(0)).count() == 0
+
+
 def test_mixing(spark):
     rng = random.Random(1)
     rows = [(None, None, None), (None, "a b", None), (0, "", "empty"), (1, None, "empty")]

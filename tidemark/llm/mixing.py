@@ -46,23 +46,35 @@ def size():
     return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _ranked(rows: DataFrame, order: list, name: str, sums: tuple = ()) -> DataFrame:
+    """``rows`` with ``at``, their place in ``order`` from 0, and for each column c of ``sums`` below_c, its
+    sum over the rows before. Rows are dealt into ranges of the order; what the ranges before hold is a
+    table with one row a range, so no task sees more than a range."""
+    dealt = stored(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    held = dealt.groupBy("part").agg(F.count("*").alias("at"), *[F.sum(c).alias(c) for c in sums])
+    held = held.select("part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"from_{c}") for c in ("at", *sums)])
+    inside = Window.partitionBy("part").orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    below = [(F.col(f"from_{c}") + F.coalesce(F.sum(c).over(before), F.lit(0))).alias(f"below_{c}") for c in sums]
+    return dealt.join(F.broadcast(held), "part").select(*rows.columns, (F.col("from_at") + F.row_number().over(inside) - 1).alias("at"), *below)
+
+
 def rates(sized: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
     """(source, source_size, target, rate) from rows of (source, size)."""
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # windows over one row per source, not over documents
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(order) - 1) % len(weights)
-    per = per.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), turn + 1).cast("long"))
+    by_source = F.col("source").asc_nulls_last()
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("at") % len(weights) + 1).cast("int")).cast("long")
     big = "decimal(38,0)"
-    per = per.withColumn("cap", F.col("source_size") * max_rate)
-    rank = Window.orderBy((F.col("cap") * (F.lit(lcm(*weights)) / F.col("weight")).cast("long")).cast(big), F.col("source").asc_nulls_last())
-    left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(rank.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per = per.withColumns({"num": left, "den": F.sum("weight").over(rank.rowsBetween(0, Window.unboundedFollowing)), "at": F.row_number().over(rank)})
+    per = _ranked(per, [by_source], "turns").withColumns({"weight": weight, "cap": F.col("source_size") * max_rate}).drop("at")
+    by_level = (F.col("cap") * (F.lit(lcm(*weights)) / F.col("weight")).cast("long")).cast(big)
+    per = stored(_ranked(per, [by_level, by_source], "levels", ("cap", "weight")), "ranked")
+    size, weight = per.agg(F.sum("source_size"), F.sum("weight")).first()
+    num, den = F.lit(size).cast("long") - F.col("below_cap"), F.lit(weight).cast("long") - F.col("below_weight")
     # the first source in this order that the level does not lift over its cap sets the level
-    fits = F.col("num").cast(big) * F.col("weight") <= F.col("cap").cast(big) * F.col("den")
-    level = F.min(F.when(fits, F.struct("at", "num", "den"))).over(Window.partitionBy())
-    per = per.withColumn("level", level)
-    share = (F.col("level.num") * F.col("weight")).cast("double") / F.col("level.den").cast("double")
+    fits = num.cast(big) * F.col("weight") <= F.col("cap").cast(big) * den
+    level = per.filter(fits).agg(F.min(F.struct("at", num.alias("num"), den.alias("den"))).alias("level")).select("level.*").first()
+    share = (F.lit(level["num"]).cast("long") * F.col("weight")).cast("double") / F.lit(level["den"]).cast("double")
     per = per.withColumn("target", F.least(F.col("cap").cast("double"), share))
     return per.select("source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"))
 

@@ -224,6 +224,6 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     keyed = docs.select(whole(docs), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_key"))
     single, more = keep.filter("times = 1"), keep.filter("times > 1")
     one = keyed.join(single, same(keyed, single), "left_semi").select("row.*")
-    # repeated rows may differ in other columns; one of them stays
-    many = keyed.join(more, same(keyed, more), "left_semi").groupBy("doc_id", "text_key").agg(F.first("row").alias("row")).select("row.*")
+    # repeated rows may differ in other columns; the one with the least digest stays, in every run
+    many = keyed.join(more, same(keyed, more), "left_semi").groupBy("doc_id", "text_key").agg(F.min_by("row", F.md5(F.to_json("row"))).alias("row")).select("row.*")
     return one.unionByName(many)
