@@ -179,3 +179,32 @@ def test_urls(spark):
         assert (r.host, r.path, r.rule, r.verdict) == list(urls.values())[r.page_id], list(urls)[r.page_id]
     assert url_filter.filter_urls(pages).columns == ["row", "url_host", "url_path", "url_rule", "n_strict", "n_soft", "url_verdict"]
     assert url_filter.digest(pages.limit(0)).count() == 0
+
+
+def test_escapes_many_terms_and_sql(spark, tmp_path):
+    import duckdb
+    import pandas as pd
+
+    from tidemark.llm.queries import ORACLES
+
+    urls = {
+        "http://b.io/p%6Frn": "block", "http://b.io/%70%6f%72%6E%2Fx": "block", "http://b.io/%2570orn": "allow", "http://b.io/porn%C3%A9": "block",
+        "http://b.io/porn%6": "block", "http://b.io/xporn%61": "allow", "http://b.io/%%70orn%": "block", "http://b.io/sportwetten/ruleta": "block",
+        "http://b.io/paris-sportifs/a?q=Nues": "block", "http://b.io/paris/sportifs": "allow", "http://x.org/%66r": "allow", "http://x.org/%66r/porn": "block", "http://x.net/%66r": "block", "http://b.io/nude/nude%20nude": "allow",
+        "http://b.io/" + "a/" * 1_000_000 + "casino/%70oker": "block", "http://b.io/" + "%41" * 500_000: "allow", "%": "allow",
+    }
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("terms", F.lit(1)).withColumn("host", F.lit("h"))
+    got = {r.page_id: r for r in url_filter.digest(pages).collect()}
+    for k, (u, want) in enumerate(urls.items()):
+        assert got[k].verdict == want, u[:60]
+    with duckdb.connect() as con:
+        con.register("pages", pd.DataFrame({"page_id": range(len(urls)), "url": list(urls)}))
+        rows = con.sql(ORACLES["op7_url_filter"])
+        assert sorted(map(str, rows.fetchall())) == sorted(str(tuple(r[c] for c in rows.columns)) for r in got.values())
+    (tmp_path / "a.txt").write_text("# terms\n!Forbidden\nsoft one\n\nother\n")
+    (tmp_path / "b.txt").write_text("! twice\ntwice\nother\n")
+    strict, soft = url_filter.read_terms(spark, str(tmp_path))
+    assert (strict, soft) == (("forbidden", "twice"), ("other", "soft one"))
+    own = spark.createDataFrame([(u,) for u in ("http://a/FORBIDDEN", "http://a/soft%20one", "http://a/soft%20one/other", "http://a/porn")], "url string")
+    assert [r.url_verdict for r in url_filter.filter_urls(own, strict=strict, soft=soft).collect()] == ["block", "allow", "block", "allow"]
+    assert [r.url_verdict for r in url_filter.filter_urls(own, strict=(), soft=()).collect()] == ["allow"] * 4

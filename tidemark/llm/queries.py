@@ -93,7 +93,8 @@ _FITS = lambda rule: (
 _RULES = sorted(url_filter.RULES, key=lambda r: -len(r[0]))
 ORACLES["op7_url_filter"] = rf"""
 WITH r AS (
-  SELECT page_id, translate(coalesce(url, ''), {UPPER}, {LOWER}) AS u,
+  SELECT page_id, translate(array_to_string(list_transform(regexp_extract_all(coalesce(url, ''), '%[2-7][0-9A-Fa-f]|[^%]+|%'),
+           lambda p: CASE WHEN regexp_full_match(p, '%[2-7][0-9A-Fa-f]') THEN chr(TRY_CAST('0x' || p[2:3] AS INTEGER)) ELSE p END), ''), {UPPER}, {LOWER}) AS u,
          CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest
   FROM pages),
 h AS (
