@@ -47,17 +47,18 @@ def size():
 
 
 def _ranked(rows: DataFrame, order: list, name: str, sums: tuple = ()) -> DataFrame:
-    """``rows`` with ``at``, their place in ``order`` from 0, and for each column c of ``sums`` below_c, its
-    sum over the rows before. Rows are dealt into ranges of the order; what the ranges before hold is a
+    """``rows`` with ``at``, their place in ``order`` from 0, and for each column c of ``sums`` below_c and
+    all_c, its sum over the rows before and over all. Rows are dealt into ranges of the order; what the ranges before hold is a
     table with one row a range, so no task sees more than a range."""
     dealt = stored(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), name)
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     held = dealt.groupBy("part").agg(F.count("*").alias("at"), *[F.sum(c).alias(c) for c in sums])
-    held = held.select("part", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"from_{c}") for c in ("at", *sums)])
+    starts = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"from_{c}") for c in ("at", *sums)]
+    held = held.select("part", *starts, *[F.sum(c).over(Window.partitionBy()).alias(f"all_{c}") for c in sums])
     inside = Window.partitionBy("part").orderBy(*order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     below = [(F.col(f"from_{c}") + F.coalesce(F.sum(c).over(before), F.lit(0))).alias(f"below_{c}") for c in sums]
-    return dealt.join(F.broadcast(held), "part").select(*rows.columns, (F.col("from_at") + F.row_number().over(inside) - 1).alias("at"), *below)
+    return dealt.join(F.broadcast(held), "part").select(*rows.columns, (F.col("from_at") + F.row_number().over(inside) - 1).alias("at"), *below, *[f"all_{c}" for c in sums])
 
 
 def rates(sized: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_RATE) -> DataFrame:
@@ -68,9 +69,8 @@ def rates(sized: DataFrame, weights: tuple = WEIGHTS, max_rate: int = MAX_RATE)
     big = "decimal(38,0)"
     per = _ranked(per, [by_source], "turns").withColumns({"weight": weight, "cap": F.col("source_size") * max_rate}).drop("at")
     by_level = (F.col("cap") * (F.lit(lcm(*weights)) / F.col("weight")).cast("long")).cast(big)
-    per = stored(_ranked(per, [by_level, by_source], "levels", ("cap", "weight")), "ranked")
-    size, weight = per.agg(F.sum("source_size"), F.sum("weight")).first()
-    num, den = F.lit(size).cast("long") - F.col("below_cap"), F.lit(weight).cast("long") - F.col("below_weight")
+    per = _ranked(per, [by_level, by_source], "levels", ("cap", "weight", "source_size"))
+    num, den = F.col("all_source_size") - F.col("below_cap"), F.col("all_weight") - F.col("below_weight")
     # the first source in this order that the level does not lift over its cap sets the level
     fits = num.cast(big) * F.col("weight") <= F.col("cap").cast(big) * den
     level = per.filter(fits).agg(F.min(F.struct("at", num.alias("num"), den.alias("den"))).alias("level")).select("level.*").first()
