@@ -529,3 +529,75 @@ def test_commit_positions_come_from_commit_rows(spark, tmp_table):
     assert t.commit_min_recent("20240101000000000").first()[0] == "20240102000000000"
     assert t.commit_min_recent("20250101000000000").first()[0] is None
     assert t.commit_nth_last(3).first()[0] == "20240101000000000" and t.commit_nth_last(4).count() == 0
+
+
+# ------------------------------------------------------------- shuffles of large tables
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+@pytest.fixture()
+def hints(monkeypatch):
+    """The names of the hints that writes have given."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    given, hint = [], DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda self, name, *a: given.append(name) or hint(self, name, *a))
+    return given
+
+
+def test_a_large_event_time_tail_is_one_pass(spark, tmp_table, monkeypatch):        # W15, W7
+    from tidemark.operators import table as module
+    from tidemark.session import scoped_conf
+
+    monkeypatch.setattr(module, "LARGE_ROWS", 5)
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge="event_time"))
+    t.upsert(batch(spark, [(i, 5, f"v{i}", f"p{i % 3}", "I") for i in range(30)]), op_col="Op")
+    t.compact()
+    t.upsert(batch(spark, [(i, 4 + i % 3, f"w{i}", f"p{i % 2}", "D" if i % 5 == 0 else "U") for i in range(12)] + [(90, 1, "n", "p9", "I")]), op_col="Op")
+    want = rows_of(R.snapshot(t.read_log(), t.spec))
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert exchanges(t.snapshot()) == 1 and rows_of(t.snapshot()) == want
+        t.compact()
+    assert rows_of(t.snapshot()) == want
+
+
+@pytest.mark.parametrize("merge", ["arrival", "event_time"])
+def test_one_commit_is_its_own_reduction(spark, tmp_table, merge):                  # R1
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge=merge))
+    t.upsert(batch(spark, [(i % 4, i, f"v{i}", "x", "U") for i in range(9)] + [(7, 1, "", "x", "D")]), op_col="Op")
+    assert exchanges(t.snapshot()) == 0 and rows_of(t.snapshot()) == rows_of(R.snapshot(t.read_log(), t.spec))
+    t.upsert(batch(spark, [(1, 2, "low", "y", "U"), (2, 99, "", "x", "D"), (7, 0, "late", "x", "U")]), op_col="Op")
+    assert rows_of(t.snapshot()) == rows_of(R.snapshot(t.read_log(), t.spec))
+    t.expire(retain=1)
+    t.upsert(batch(spark, [(1, 50, "top", "x", "U")]), op_col="Op")
+    assert rows_of(t.snapshot()) == rows_of(R.snapshot(t.read_log(), t.spec))
+
+
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_a_large_commit_of_few_folders_is_shuffled_once(spark, tmp_table, monkeypatch, hints, buckets):  # W2, W16
+    from tidemark.operators import table as module
+
+    monkeypatch.setattr(module, "LARGE_ROWS", 5)
+    t = ChangeTable(spark, tmp_table, SPEC.with_(history=0, buckets=buckets))
+    rows = lambda k: batch(spark, [(i, k, f"{k}", f"p{(i + k) % 3}", "U") for i in range(20 + k)])
+    for k in range(3):
+        t.upsert(rows(k))
+        assert hints == ["rebalance"]                                  # the first commit knows no folders
+    t.compact()
+    assert hints == ["rebalance"] and rows_of(t.snapshot()) == sorted((i, "2") for i in range(22))
+    assert [(r.num_rows, r.num_inserts) for r in t.show_commits().collect()] == [(22, 1), (21, 1), (20, 20)]
+    monkeypatch.setattr(module, "FEW_FOLDERS", 2)
+    t.upsert(rows(3))
+    assert hints == ["rebalance"] * 2
+
+
+def test_a_null_partition_value_is_a_key_as_well(spark, tmp_table):                 # W4
+    t = ChangeTable(spark, tmp_table, SPEC.with_(key_scope="partition"))
+    t.upsert(batch(spark, [(1, 1, "old", None, "I"), (1, 1, "x", "x", "I")]))
+    t.compact()
+    t.upsert(batch(spark, [(1, 2, "new", None, "U")]))
+    assert rows_of(t.snapshot()) == [(1, "new"), (1, "x")]
+    t.upsert(batch(spark, [(1, 3, "newest", None, "U")]))
+    assert rows_of(t.snapshot()) == [(1, "newest"), (1, "x")]

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta, timezone
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -43,6 +45,10 @@ DATA_KINDS = ("upsert", "replace", "bootstrap")
 
 #: Commit rows are folded into one file once so many single files have come since the last fold.
 FOLD_AFTER = 100
+#: From so many rows on, a commit or a tail counts as large: its keys are too many to broadcast.
+LARGE_ROWS = 500_000
+#: Up to so many folders, the tasks of a large commit that hold its rows by key write them themselves.
+FEW_FOLDERS = 32
 #: Table properties by which this library knows the tables it made in the catalog.
 MADE_FOR = "tidemark.table"
 
@@ -211,13 +217,13 @@ class ChangeTable:
                     return r["commit_time"]
         t = self._next_instant(commit_time, rows)
         batch = R.with_bucket(df, self.spec) if prepared else R.to_log_rows(df, self.spec, op_col=op_col, file_seq=file_seq)
-        batch = batch.withColumn(COMMIT, F.lit(t))
-        schema = merged(self.schema(rows), batch.schema)
-        batch = shaped(batch, schema)
+        schema = merged(self.schema(rows), batch.withColumn(COMMIT, F.lit(t)).schema)
+        # the instant is the same in every row: it is added after the shuffles
+        batch = shaped(batch, T.StructType([f for f in schema.fields if f.name != COMMIT]))
         bad = F.col(KEY).isNull() | F.col(OP).isNull()
         seen = Observation()
         good = R.precombine(batch.observe(seen, F.count_if(bad).alias("rejected")).where(~bad), self.spec)
-        self._write_log(good)
+        self._write_log(good, t, rows)
         try:
             rejected = seen.get["rejected"]
         except (AssertionError, KeyError, Py4JJavaError):  # an empty plan is pruned together with its metrics
@@ -228,13 +234,22 @@ class ChangeTable:
         self.sync_catalog()
         return t
 
-    def _write_log(self, good: DataFrame) -> None:
-        self._write(good, self.log_path, [COMMIT, *self.spec.layout], "overwrite")
+    def _write_log(self, good: DataFrame, t: str | None = None, rows: list[dict] = ()) -> None:
+        self._write(good, self.log_path, [COMMIT, *self.spec.layout], "overwrite", commit=t, dealt=self._few_folders(rows))
 
-    def _write(self, df: DataFrame, path: str, by: list[str], mode: str) -> None:
+    def _few_folders(self, rows: list[dict], commits: int = 1) -> bool:
+        """Whether large commits go to few folders, by those of the newest one (a listing, no data)."""
+        last = [r for r in rows if r["kind"] in DATA_KINDS and r["kind"] != "bootstrap" and r["num_rows"]][-1:]
+        if not last or last[0]["num_rows"] < LARGE_ROWS or self.spec.target_file_bytes or self.spec.write_tasks:
+            return False
+        return 0 < commits * len(_list_leaves(self.spark, self.commit_dir(last[0]["commit_time"]), len(self.spec.layout))) <= FEW_FOLDERS
+
+    def _write(self, df: DataFrame, path: str, by: list[str], mode: str, commit: str | None = None, dealt: bool = False) -> None:
         """REBALANCE lets AQE split a hot partition value over several tasks and
         merge small ones; a clustered table is dealt by ranges of (folder, key) instead,
-        which parts a hot value as well. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16)."""
+        which parts a hot value as well. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16).
+        ``dealt``: the reduction's shuffle by key has dealt the rows evenly, and there are few folders, so
+        each of its tasks writes its part of every folder and the rows are not shuffled again."""
         cols = list(self.spec.layout)
         width = [self.spec.write_tasks] if self.spec.write_tasks else []
         conf = {**WRITE_CONF, **AQE_WRITE_CONF}
@@ -243,8 +258,10 @@ class ChangeTable:
         with scoped_conf(df.sparkSession, conf):
             if self.spec.clustered:
                 df = df.repartitionByRange(*width, *cols, KEY).sortWithinPartitions(*cols, KEY)
-            else:
+            elif not dealt:
                 df = df.hint("rebalance", *width, *cols)
+            if commit:
+                df = df.withColumn(COMMIT, F.lit(commit))
             w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
             w = w.option("maxRecordsPerFile", self.spec.target_rows_per_file)
             (w.partitionBy(*by) if by else w).parquet(path)
@@ -315,25 +332,30 @@ class ChangeTable:
         schema, parts = self.schema(rows), list(self.spec.layout)
         root, carried = f"{self.path}/base/{t}", []
         if base is None or not parts:
-            self._write(self._state(rows, keep_tombstones=True), root, parts, "errorifexists")
+            self._write(self._state(rows, keep_tombstones=True), root, parts, "errorifexists", dealt=self._few_folders(rows))
         else:
             all_leaves = self._leaves(base)
             # other buckets have none of the tail's keys
             leaves = self._leaves(base, self._buckets_of(*[c for c in data if c > base["upto"]]))
             carried = sorted(set(all_leaves) - set(leaves))
-            won = R.snapshot(self.read_log(since=base["upto"], rows=rows), self.spec, keep_tombstones=True).persist()
+            at_once = self._at_once(rows, base["upto"])
+            won = self.read_log(since=base["upto"], rows=rows) if at_once else self._won(rows, since=base["upto"])
+            held = not at_once and len(self._with_rows(rows, base["upto"])) > 1  # else a plain read
+            won = won.persist() if held else won
             try:
-                touched = won.select(*parts)
-                if self.spec.key_scope == "global":
-                    moved = self._beside(self._read_leaves(leaves, schema), won, "left_semi")
-                    touched = touched.unionByName(moved.select(*parts))
-                values = {tuple(r) for r in touched.distinct().collect()}  # partition values, not rows
+                values = {tuple(r) for r in won.select(*parts).distinct().collect()}  # partition values, not rows
+                others = [d for d in leaves if _leaf_values(d, len(parts)) not in values]
+                if others and self.spec.key_scope == "global":
+                    moved = self._beside(self._read_leaves(others, schema), won, "left_semi")
+                    values |= {tuple(r) for r in moved.select(*parts).distinct().collect()}
                 carried += [d for d in leaves if _leaf_values(d, len(parts)) not in values]
                 hit = [d for d in leaves if _leaf_values(d, len(parts)) in values]
                 old = self._read_leaves(hit, schema)
-                self._write(self._merged(old, won, keep_tombstones=True), root, parts, "errorifexists")
+                new = R.snapshot(old.unionByName(won), self.spec, keep_tombstones=True) if at_once else self._merged(old, won, keep_tombstones=True)
+                self._write(new, root, parts, "errorifexists", dealt=self._few_folders(rows))
             finally:
-                won.unpersist()
+                if held:
+                    won.unpersist()
         leaves = carried + _list_leaves(self.spark, root, len(parts))
         files.write_text(self.spark, self._meta("bases", f"{t}.json"), json.dumps({"root": root, "leaves": leaves}))
         self._add_row(commit_time=t, kind="compaction", upto=data[-1])
@@ -409,12 +431,46 @@ class ChangeTable:
             out = out.unionByName(p)
         return out if buckets is None else out.where(F.col(BUCKET).isin(buckets))
 
+    def _with_rows(self, rows: list[dict], since: str = "", upto: str | None = None) -> list[dict]:
+        """Data commits with rows in ``(since, upto]`` that no later ``replace`` up to there made void, oldest first."""
+        live = [r for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] <= (upto or "9" * 17)]
+        void = max((r["commit_time"] for r in live if r["kind"] == "replace"), default="")
+        return [r for r in live if r["num_rows"] and r["commit_time"] > since and r["commit_time"] >= void]
+
+    def _won(self, rows: list[dict], since: str = "", upto: str | None = None) -> DataFrame:
+        """The newest row of every key among the commits in ``(since, upto]``, tombstones too.
+
+        A written commit has every key once. So a single one is its own reduction, and where
+        the newest commit wins, its rows win as they are and only its keys meet the older ones.
+        """
+        log = self.read_log(since=since or None, upto=upto, rows=rows)
+        live = self._with_rows(rows, since, upto)
+        newest = live[-1] if live else None
+        if newest is None or newest["kind"] == "bootstrap" or newest["commit_time"] <= self._horizon(rows):
+            return R.snapshot(log, self.spec, keep_tombstones=True)
+        new, old = log.where(F.col(COMMIT) == newest["commit_time"]), log.where(F.col(COMMIT) < newest["commit_time"])
+        if len(live) == 1 and not (self._horizon(rows) > since):
+            return log
+        if self.spec.merge != "arrival":
+            return R.snapshot(log, self.spec, keep_tombstones=True)
+        return R.snapshot(self._beside(old, new, "left_anti"), self.spec, keep_tombstones=True).unionByName(new)
+
+    def _at_once(self, rows: list[dict], since: str, upto: str | None = None) -> bool:
+        """Whether base and tail are reduced by one pass over both: in ``event_time`` mode the base rows
+        beside a large tail and those without a key in it would be two shuffles of the base and one more of the tail."""
+        return self.spec.merge == "event_time" and sum(r["num_rows"] for r in self._with_rows(rows, since, upto)) >= LARGE_ROWS
+
     def _beside(self, base: DataFrame, won: DataFrame, how: str) -> DataFrame:
         """Base rows with (``left_semi``) or without (``left_anti``) a key in the tail. Both sides have a
         key once, so none is hot. Spark knows the size of the tail's files: it broadcasts its keys
         if they are few, and else sorts and merges, which spills."""
         keys = list(self.spec.key_columns)
-        return base.join(won.select(*keys), on=keys, how=how)
+        if keys == [KEY]:
+            return base.join(won.select(KEY), on=KEY, how=how)
+        # a partition value may be null
+        other = won.select(*[F.col(f"`{k}`").alias(f"_beside_{i}") for i, k in enumerate(keys)])
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_beside_{i}")) for i, k in enumerate(keys)]
+        return base.join(other, on=reduce(and_, same), how=how)
 
     def _merged(self, base: DataFrame, won: DataFrame, keep_tombstones: bool) -> DataFrame:
         """Base and reduced tail. The base is unique per key, so rows without a
@@ -431,12 +487,14 @@ class ChangeTable:
             rows = [r for r in rows if r["commit_time"] <= upto or r["kind"] == "expire"]
         base = self._base(rows)
         if base is None:
-            return R.snapshot(self.read_log(rows=rows, upto=upto), self.spec, keep_tombstones)
+            won = self._won(rows, upto=upto)
+            return won if keep_tombstones else R.visible(won, self.spec)
         old = self._read_leaves(self._leaves(base), self.schema(rows))
         if not any(r["num_rows"] for r in rows if r["kind"] in DATA_KINDS and r["commit_time"] > base["upto"]):
             return old if keep_tombstones else R.visible(old, self.spec)
-        won = R.snapshot(self.read_log(since=base["upto"], rows=rows, upto=upto), self.spec, keep_tombstones=True)
-        return self._merged(old, won, keep_tombstones)
+        if self._at_once(rows, base["upto"], upto):
+            return R.snapshot(old.unionByName(self.read_log(since=base["upto"], rows=rows, upto=upto)), self.spec, keep_tombstones)
+        return self._merged(old, self._won(rows, base["upto"], upto), keep_tombstones)
 
     def snapshot(self) -> DataFrame:
         """The current row of every key; a plain scan right after ``compact``."""

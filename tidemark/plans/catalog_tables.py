@@ -49,10 +49,9 @@ def replace_then_expire(spark: SparkSession, sf: str) -> DataFrame:
     """What a replace made void stays so after its commit has expired."""
     root = scratch_dir(spark, "replace_then_expire")
     table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec(history=0))
-    changes = FX.lineitem_changes(spark, sf)
     for k in range(FX.COMMIT_GROUPS):
         t = FX.commit_instant(k)
-        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True, replace=k == 1)
+        table.upsert(FX.lineitem_changes(spark, sf, group=k).drop(COMMIT), commit_time=t, prepared=True, replace=k == 1)
     table.expire(retain=1)
     return table.snapshot().select(*B.LI_OUT)
 
@@ -141,11 +140,10 @@ def catalog_follows_commits(spark: SparkSession, sf: str) -> DataFrame:
     """A name registered once shows what later commits wrote."""
     root = scratch_dir(spark, "catalog_follows_commits")
     table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec())
-    changes = FX.lineitem_changes(spark, sf)
     name = f"lineitem_{uuid.uuid4().hex[:8]}"
     for k in range(3):
         t = FX.commit_instant(k)
-        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
+        table.upsert(FX.lineitem_changes(spark, sf, group=k).drop(COMMIT), commit_time=t, prepared=True)
         if k == 0:
             table.register(name)
     return spark.sql(f"SELECT {', '.join(B.LI_OUT)} FROM {name}")
@@ -164,12 +162,11 @@ def feed_offsets(spark: SparkSession, sf: str) -> DataFrame:
     query is stopped after two commits and resumed after the third."""
     root = scratch_dir(spark, "feed_offsets")
     table = ChangeTable(spark, f"{root}/table", FX.lineitem_spec())
-    changes = FX.lineitem_changes(spark, sf)
     starts = {"earliest": "earliest", "given": B.C0, "latest": "latest"}
 
     def commit(k: int) -> None:
         t = FX.commit_instant(k)
-        table.upsert(changes.where(F.col(COMMIT) == t).drop(COMMIT), commit_time=t, prepared=True)
+        table.upsert(FX.lineitem_changes(spark, sf, group=k).drop(COMMIT), commit_time=t, prepared=True)
 
     def run() -> None:
         for name, start in starts.items():
