@@ -188,3 +188,11 @@ def test_files_of_several_schemas(spark, tmp_table):
     spark.range(1).selectExpr("'text' as a").write.parquet(f"{tmp_table}/bad")
     with pytest.raises(ValueError, match="does not fit"):
         read_change_files(spark, [*paths, f"{tmp_table}/bad"])
+
+
+def test_groups_are_staged_without_a_shuffle(spark, tmp_table):
+    """Each task writes what it has of a group: the files of a group are those of the tasks, not of a shuffle."""
+    rows = spark.range(0, 4000, 1, 4).selectExpr("id", "cast(id % 2 as int) as g")
+    groups = stage_groups(rows, "g", f"{tmp_table}/staging")
+    assert {k: len(v) for k, v in groups.items()} == {0: 4, 1: 4}
+    assert sorted(r.id for r in spark.read.parquet(*groups[1]).collect()) == list(range(1, 4000, 2))
