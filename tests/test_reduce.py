@@ -146,3 +146,16 @@ def test_event_time_batch_order_does_not_matter(spark):
     fwd = log_df(spark, rows)
     rev = log_df(spark, [(C[2 - C.index(c)], op, p, i, ts, v) for (c, op, p, i, ts, v) in rows])
     assert rows_of(R.snapshot(fwd, spec), "_record_key", "v") == rows_of(R.snapshot(rev, spec), "_record_key", "v")
+
+
+def test_reductions_of_the_log_shuffle_once(spark):
+    """Versions inside a commit are ordered as the writer orders them: no pass per commit comes first."""
+    from tidemark.plans import catalog_batch as B
+    from tidemark.plans import fixtures as FX
+
+    for name, kw in (("snapshot_read", {}), ("merge_event_time", {"merge": "event_time"}), ("key_scope_partition", {"key_scope": "partition", "deletes": "ignore"})):
+        got = getattr(B, name)(spark, "/root/testdata/sf0.001")
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        spec = FX.lineitem_spec(**kw)
+        want = R.snapshot(FX.lineitem_log(spark, "/root/testdata/sf0.001", spec), spec).select(*B.LI_OUT)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
