@@ -617,3 +617,19 @@ def test_a_null_partition_value_is_a_key_as_well(spark, tmp_table):
     assert rows_of(t.snapshot()) == [(1, "new"), (1, "x")]
     t.upsert(batch(spark, [(1, 3, "newest", None, "U")]))
     assert rows_of(t.snapshot()) == [(1, "newest"), (1, "x")]
+
+
+def test_a_large_event_time_range_is_one_pass(spark, tmp_table, monkeypatch):       # R2, W7
+    from tidemark.operators import table as module
+    from tidemark.session import scoped_conf
+
+    t = ChangeTable(spark, tmp_table, SPEC.with_(merge="event_time"))
+    c0 = t.upsert(batch(spark, [(i, 5, f"v{i}", f"p{i % 3}", "I") for i in range(30)]), op_col="Op", commit_time="20240101000000000")
+    t.compact("20240101120000000")
+    t.upsert(batch(spark, [(i, 4 + i % 3, f"w{i}", f"p{i % 2}", "D" if i % 5 == 0 else "U") for i in range(12)]), op_col="Op", commit_time="20240102000000000")
+    t.upsert(batch(spark, [(i, 6, f"x{i}", "p1", "U") for i in range(6, 16)] + [(90, 1, "n", "p9", "I")]), op_col="Op", commit_time="20240103000000000")
+    want = rows_of(R.incremental(t.read_log(), t.spec, c0))
+    with scoped_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert rows_of(t.incremental("20240101120000000")) == want
+        monkeypatch.setattr(module, "LARGE_ROWS", 5)
+        assert exchanges(t.incremental("20240101120000000")) == 1 and rows_of(t.incremental("20240101120000000")) == want

@@ -511,8 +511,8 @@ class ChangeTable:
 
         In ``arrival`` mode only the folders of commits in the range are opened.
         In ``event_time`` mode an older commit may hold a higher ordering value:
-        the range is reduced first, and only what is older and has one of its
-        keys is compared with it (the newest base up to ``begin`` and the commits after it).
+        the range is reduced together with what is older (the newest base up to ``begin``
+        and the commits after it); of that only rows with a key of the range, unless it is large.
         """
         rows = self.commit_rows()
         if end:
@@ -521,19 +521,19 @@ class ChangeTable:
         if self.spec.merge == "arrival" or begin is None:
             return R.incremental(inside, self.spec, begin, end)
         begin = normalize_instant(begin)
-        keys = list(self.spec.key_columns)
-        won = R.snapshot(inside, self.spec, keep_tombstones=True)
         # what a replace inside the range made void is no rival
         hi = normalize_instant(end) if end else "9" * 17
         if any(r["kind"] == "replace" and begin < r["commit_time"] <= hi for r in rows):
-            return R.visible(won, self.spec)
+            return R.snapshot(inside, self.spec)
         before = [r for r in rows if r["commit_time"] <= begin or r["kind"] == "expire"]
         base = self._base(before)
         older = self.read_log(upto=begin, since=base["upto"] if base else None, rows=before)
         if base:
             older = self._read_leaves(self._leaves(base), self.schema(rows)).unionByName(shaped(older, self.schema(rows)))
-        older = shaped(older, self.schema(rows)).join(inside.select(*keys).distinct(), on=keys, how="left_semi")
-        return R.visible(R.snapshot(won.unionByName(older), self.spec, keep_tombstones=True).where(F.col(COMMIT) > begin), self.spec)
+        older = shaped(older, self.schema(rows))
+        if not self._at_once(rows, begin, hi):
+            older = self._beside(older, inside, "left_semi")
+        return R.visible(R.snapshot(inside.unionByName(older), self.spec, keep_tombstones=True).where(F.col(COMMIT) > begin), self.spec)
 
     def changes_since_lag(self, now: str, minutes: float = 20) -> DataFrame:
         """R4 with the begin taken from the commit rows (no data scan)."""
