@@ -633,3 +633,40 @@ def test_a_large_event_time_range_is_one_pass(spark, tmp_table, monkeypatch):
         assert rows_of(t.incremental("20240101120000000")) == want
         monkeypatch.setattr(module, "LARGE_ROWS", 5)
         assert exchanges(t.incremental("20240101120000000")) == 1 and rows_of(t.incremental("20240101120000000")) == want
+
+
+def test_a_large_clustered_base_is_shuffled_once(spark, tmp_table, monkeypatch):    # W15, W16
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tidemark.operators import table as module
+
+    dealt, by_range, write = [], DataFrame.repartitionByRange, ChangeTable._write
+    written = []
+    monkeypatch.setattr(module, "LARGE_ROWS", 5)
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda self, *by: dealt.append(by) or by_range(self, *by))
+    monkeypatch.setattr(ChangeTable, "_write", lambda self, df, *a, **b: written.append(exchanges(df)) or write(self, df, *a, **b))
+    t = ChangeTable(spark, tmp_table, SPEC.with_(clustered=True, target_rows_per_file=50))
+    rows = lambda k: spark.range(k, 700 + 9 * k).selectExpr("cast(id as int) id", f"{k} as ts", f"'{k}' as v", "concat('p', id % 3) as p", f"if(id % 7 = {k}, 'D', 'U') as Op")
+    for k in range(3):
+        t.upsert(rows(k), op_col="Op")
+    want = rows_of(R.snapshot(t.read_log(), t.spec))
+    assert t._few_folders(t.commit_rows())
+    dealt.clear()
+    t.compact()
+    assert dealt == [("_record_key",)] and written[-1] == 0 and rows_of(t.snapshot()) == want
+    files = t.snapshot().groupBy("p", F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"), F.min("_record_key").alias("a"), F.max("_record_key").alias("b")).collect()
+    assert max(r.n for r in files) <= 50
+    for p in ("p0", "p1", "p2"):
+        ranges = sorted((r.a, r.b) for r in files if r.p == p)
+        assert len(ranges) > 3 and all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
+
+
+def test_files_are_written_with_the_codec(spark, tmp_table):                        # W16
+    import pyarrow.parquet as pq
+
+    for codec in ("zstd", "snappy"):
+        t = ChangeTable(spark, f"{tmp_table}/{codec}", SPEC.with_(codec=codec) if codec != "zstd" else SPEC)
+        t.upsert(batch(spark, [(1, 1, "a", "x", "I")]))
+        t.compact()
+        for df in (t.read_log(), t.snapshot()):
+            assert pq.ParquetFile(df.inputFiles()[0].removeprefix("file://")).metadata.row_group(0).column(0).compression == codec.upper()

@@ -244,12 +244,14 @@ class ChangeTable:
             return False
         return 0 < commits * len(_list_leaves(self.spark, self.commit_dir(last[0]["commit_time"]), len(self.spec.layout))) <= FEW_FOLDERS
 
-    def _write(self, df: DataFrame, path: str, by: list[str], mode: str, commit: str | None = None, dealt: bool = False) -> None:
+    def _write(self, df: DataFrame, path: str, by: list[str], mode: str, commit: str | None = None, dealt: bool = False,
+               ranged: bool = False) -> None:
         """REBALANCE lets AQE split a hot partition value over several tasks and
         merge small ones; a clustered table is dealt by ranges of (folder, key) instead,
         which parts a hot value as well. ``target_file_bytes`` sizes them, ``maxRecordsPerFile`` caps rows (W16).
         ``dealt``: the reduction's shuffle by key has dealt the rows evenly, and there are few folders, so
-        each of its tasks writes its part of every folder and the rows are not shuffled again."""
+        each of its tasks writes its part of every folder and the rows are not shuffled again.
+        ``ranged``: of a clustered table, they lie by ranges of the key already."""
         cols = list(self.spec.layout)
         width = [self.spec.write_tasks] if self.spec.write_tasks else []
         conf = {**WRITE_CONF, **AQE_WRITE_CONF}
@@ -257,13 +259,13 @@ class ChangeTable:
             conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(self.spec.target_file_bytes)
         with scoped_conf(df.sparkSession, conf):
             if self.spec.clustered:
-                df = df.repartitionByRange(*width, *cols, KEY).sortWithinPartitions(*cols, KEY)
+                df = (df if ranged else df.repartitionByRange(*width, *cols, KEY)).sortWithinPartitions(*cols, KEY)
             elif not dealt:
                 df = df.hint("rebalance", *width, *cols)
             if commit:
                 df = df.withColumn(COMMIT, F.lit(commit))
             w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-            w = w.option("maxRecordsPerFile", self.spec.target_rows_per_file)
+            w = w.option("maxRecordsPerFile", self.spec.target_rows_per_file).option("compression", self.spec.codec)
             (w.partitionBy(*by) if by else w).parquet(path)
 
     def _counts(self, t: str, rows: list[dict], schema: T.StructType, replace: bool) -> dict:
@@ -331,7 +333,9 @@ class ChangeTable:
         t = self._next_instant(commit_time, rows)
         schema, parts = self.schema(rows), list(self.spec.layout)
         root, carried = f"{self.path}/base/{t}", []
-        if base is None or not parts:
+        if base is None and self._ranged(rows):
+            self._write(self._state_by_ranges(rows), root, parts, "errorifexists", ranged=True)
+        elif base is None or not parts:
             self._write(self._state(rows, keep_tombstones=True), root, parts, "errorifexists", dealt=self._few_folders(rows))
         else:
             all_leaves = self._leaves(base)
@@ -455,6 +459,16 @@ class ChangeTable:
             return R.snapshot(log, self.spec, keep_tombstones=True)
         return R.snapshot(self._beside(old, new, "left_anti"), self.spec, keep_tombstones=True).unionByName(new)
 
+    def _ranged(self, rows: list[dict]) -> bool:
+        """Whether a clustered table's first base is reduced where ranges of the key lie: it is large and goes to
+        few folders, and commits, which have a key once each, hold all of it, so that no key is hot."""
+        return self.spec.clustered and self._few_folders(rows) and all(r["kind"] != "bootstrap" for r in self._with_rows(rows))
+
+    def _state_by_ranges(self, rows: list[dict]) -> DataFrame:
+        """The current state with tombstones, dealt by ranges of the key in one shuffle: the reduction by
+        key needs no other, and every folder's files hold ranges of the key as well."""
+        return R.snapshot(self.read_log(rows=rows).repartitionByRange(KEY), self.spec, keep_tombstones=True)
+
     def _at_once(self, rows: list[dict], since: str, upto: str | None = None) -> bool:
         """Whether base and tail are reduced by one pass over both: in ``event_time`` mode the base rows
         beside a large tail and those without a key in it would be two shuffles of the base and one more of the tail."""

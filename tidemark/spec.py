@@ -38,6 +38,7 @@ class TableSpec:
     buckets         folders by hash of the key, inside each commit and base: an upsert reads, and a
                     compaction rewrites, only the buckets that its keys are in; 0: none
     history         expired commits that commit lists still show
+    codec           compression of written files
     """
 
     keys: tuple[str, ...]
@@ -54,6 +55,7 @@ class TableSpec:
     count_inserts: bool = True
     buckets: int = 0
     history: int = 1000
+    codec: str = "zstd"
 
     def __post_init__(self):
         for name in ("keys", "order", "partitions"):
