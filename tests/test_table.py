@@ -670,3 +670,54 @@ def test_files_are_written_with_the_codec(spark, tmp_table):
         t.compact()
         for df in (t.read_log(), t.snapshot()):
             assert pq.ParquetFile(df.inputFiles()[0].removeprefix("file://")).metadata.row_group(0).column(0).compression == codec.upper()
+
+
+@pytest.mark.parametrize("spec", [SPEC, SPEC.with_(buckets=2), SPEC.with_(key_scope="partition")], ids=["plain", "buckets", "partition"])
+def test_rows_without_a_key_in_a_large_tail_are_not_shuffled(spark, tmp_table, monkeypatch, spec):  # W2, W15, R1
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tidemark.operators import table as module
+
+    met, join = [], DataFrame.join
+
+    def joined(self, other, on=None, how=None):
+        if how in ("left_anti", "left_semi"):
+            met.append(self.count())
+        return join(self, other, on=on, how=how)
+
+    rows = lambda lo, hi, k: spark.range(lo, hi).selectExpr("cast(id as int) id", f"{k} as ts", f"'{k}-' || id as v",
+                                                             f"if(id % 11 = 0, null, concat('p', (id + {k}) % 3)) as p", f"if(id % 7 = {k}, 'D', 'U') as Op")
+    monkeypatch.setattr(module, "LARGE_ROWS", 5)
+    t = ChangeTable(spark, tmp_table, spec)
+    t.upsert(rows(0, 3000, 0), op_col="Op")
+    monkeypatch.setattr(DataFrame, "join", joined)
+    t.upsert(rows(2900, 3050, 1), op_col="Op")                          # counts
+    t.compact()                                                       # two commits
+    t.upsert(rows(2950, 3100, 2), op_col="Op")
+    t.upsert(rows(100, 140, 3), op_col="Op")
+    want = rows_of(R.snapshot(t.read_log(), t.spec))
+    assert rows_of(t.snapshot()) == want                              # a base and a tail of two
+    t.compact()
+    assert rows_of(t.snapshot()) == want and met and max(met) < 1000
+    known, told = set(), []
+    for c in t.commit_times():
+        own = {tuple(r) + (r["_op"],) for r in t.read_log(upto=c).where(F.col("_commit_time") == c).select(*spec.key_columns, "_op").collect()}
+        if spec.key_scope == "global":
+            told.append((len(own), sum(r[-1] != "D" and r[:1] not in known for r in own)))
+        known |= {r[: len(spec.key_columns)] for r in own}
+    if told:
+        assert [(r["num_rows"], r["num_inserts"]) for r in t.commit_rows() if r["kind"] == "upsert"] == told
+
+
+def test_marks_hold_every_key_and_few_others(spark):                                # W15
+    keys = spark.range(20_000).selectExpr("cast(id as string) as _record_key", "if(id % 5 = 0, null, id % 3) as p")
+    other = spark.range(20_000, 40_000).selectExpr("cast(id as string) as _record_key", "id % 3 as p")
+    for cols in (["_record_key"], ["p", "_record_key"]):
+        bits = R.mark_bits(20_000)
+        marks = R.key_marks(keys, cols, bits)
+        may, clear = R.marked(keys.unionByName(other), marks, cols, bits)
+        assert may.columns == ["_record_key", "p"] and clear.where("_record_key < 20000").count() == 0
+        n = clear.count()
+        assert n > 15_000 and may.count() == 40_000 - n
+    assert R.marked(other, R.key_marks(keys.limit(0), cols, bits), cols, bits)[1].count() == 20_000
+    assert R.mark_bits(1 << 27) == 1 << 28 and R.mark_bits((1 << 27) + 1) == 0

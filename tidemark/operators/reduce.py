@@ -111,6 +111,38 @@ def with_bucket(log: DataFrame, spec: TableSpec) -> DataFrame:
     return log.withColumn(BUCKET, F.pmod(F.xxhash64(KEY), F.lit(spec.buckets)).cast("string"))
 
 
+#: Bits of a page of Spark's ``bitmap_construct_agg``, and of the parts that a page is cut into.
+PAGE, PART = 32_768, 2_048
+#: Bits for each key of ``key_marks``, as far as all keep within ``MARK_BITS`` (32 MB); under two bits a key they tell too little.
+BITS_PER_KEY, MARK_BITS = 8, 1 << 28
+
+
+def mark_bits(n: int) -> int:
+    """The size of the marks of ``n`` keys; 0: there are too many."""
+    return 0 if 2 * n > MARK_BITS else min(-(-BITS_PER_KEY * max(n, 1) // PAGE) * PAGE, MARK_BITS)
+
+
+def _spot(keys: list[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(bits))
+
+
+def key_marks(rows: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """A bit for the hash of every key, in parts that are small enough to be looked up row by row."""
+    pages = rows.select(_spot(keys, bits).alias("_spot")).groupBy(F.expr(f"_spot div {PAGE}").alias("_page"))
+    pages = pages.agg(F.bitmap_construct_agg(F.expr(f"_spot % {PAGE}")).alias("_marks"))
+    parts = pages.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(PAGE // PART - 1))))
+    return parts.selectExpr(f"_page * {PAGE // PART} + _i AS _part", f"substring(_marks, _i * {PART // 8} + 1, {PART // 8}) AS _marks")
+
+
+def marked(rows: DataFrame, marks: DataFrame, keys: list[str], bits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among the marked ones, rows whose key is not); neither is shuffled."""
+    both = rows.withColumn("_spot", _spot(keys, bits))
+    both = both.join(F.broadcast(marks), F.expr(f"_spot div {PART}") == F.col("_part"), "left")
+    byte = F.conv(F.hex(F.expr(f"substring(_marks, CAST(_spot % {PART} div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    may = F.coalesce(F.getbit(byte, (F.col("_spot") % 8).cast("int")) == 1, F.lit(False))
+    return tuple(both.where(c).select(*[F.col(f"`{n}`") for n in rows.columns]) for c in (may, ~may))
+
+
 def precombine(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Highest ``(file_seq, order, tiebreak)`` per key inside one batch.
 

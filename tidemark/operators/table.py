@@ -279,8 +279,11 @@ class ChangeTable:
         updates = 0
         if n > d and not replace and any(r["kind"] in DATA_KINDS for r in rows):
             keys = list(self.spec.key_columns)
-            old = self.known_keys(rows, schema, self._buckets_of(t))
-            updates = old.join(new.where(F.col(OP) != "D").select(*keys), on=keys, how="left_semi").distinct().count()
+            old, new = self.known_keys(rows, schema, self._buckets_of(t)), new.where(F.col(OP) != "D").select(*keys)
+            bits = self._mark_bits(n - d)
+            if bits:
+                old = R.marked(old, R.key_marks(new, keys, bits), keys, bits)[0]
+            updates = old.join(new, on=keys, how="left_semi").distinct().count()
         return dict(num_rows=n, num_inserts=n - d - updates, num_updates=updates, num_deletes=d)
 
     def _buckets_of(self, *commits: str) -> list[str] | None:
@@ -350,12 +353,12 @@ class ChangeTable:
                 values = {tuple(r) for r in won.select(*parts).distinct().collect()}  # partition values, not rows
                 others = [d for d in leaves if _leaf_values(d, len(parts)) not in values]
                 if others and self.spec.key_scope == "global":
-                    moved = self._beside(self._read_leaves(others, schema), won, "left_semi")
+                    moved = self._beside(self._read_leaves(others, schema), won, "left_semi", self._tail_keys(rows, base["upto"]))
                     values |= {tuple(r) for r in moved.select(*parts).distinct().collect()}
                 carried += [d for d in leaves if _leaf_values(d, len(parts)) not in values]
                 hit = [d for d in leaves if _leaf_values(d, len(parts)) in values]
                 old = self._read_leaves(hit, schema)
-                new = R.snapshot(old.unionByName(won), self.spec, keep_tombstones=True) if at_once else self._merged(old, won, keep_tombstones=True)
+                new = R.snapshot(old.unionByName(won), self.spec, keep_tombstones=True) if at_once else self._merged(old, won, self._tail_keys(rows, base["upto"]), keep_tombstones=True)
                 self._write(new, root, parts, "errorifexists", dealt=self._few_folders(rows))
             finally:
                 if held:
@@ -457,6 +460,8 @@ class ChangeTable:
             return log
         if self.spec.merge != "arrival":
             return R.snapshot(log, self.spec, keep_tombstones=True)
+        if len(live) == 2 and live[0]["kind"] != "bootstrap" and not (self._horizon(rows) > since):
+            return self._beside(old, new, "left_anti", (new, newest["num_rows"])).unionByName(new)
         return R.snapshot(self._beside(old, new, "left_anti"), self.spec, keep_tombstones=True).unionByName(new)
 
     def _ranged(self, rows: list[dict]) -> bool:
@@ -474,11 +479,27 @@ class ChangeTable:
         beside a large tail and those without a key in it would be two shuffles of the base and one more of the tail."""
         return self.spec.merge == "event_time" and sum(r["num_rows"] for r in self._with_rows(rows, since, upto)) >= LARGE_ROWS
 
-    def _beside(self, base: DataFrame, won: DataFrame, how: str) -> DataFrame:
+    def _mark_bits(self, n: int) -> int:
+        """The size of the marks of ``n`` keys; 0: so few that Spark broadcasts them, or too many."""
+        return R.mark_bits(n) if n >= LARGE_ROWS else 0
+
+    def _tail_keys(self, rows: list[dict], since: str, upto: str | None = None) -> tuple[DataFrame, int]:
+        """The rows of the commits in ``(since, upto]`` and their number (0 with a bootstrap: it may have a key any number of times)."""
+        live = self._with_rows(rows, since, upto)
+        n = 0 if any(r["kind"] == "bootstrap" for r in live) else sum(r["num_rows"] for r in live)
+        return self.read_log(since=since, upto=upto, rows=rows), n
+
+    def _beside(self, base: DataFrame, won: DataFrame, how: str, tail: tuple[DataFrame, int] | None = None) -> DataFrame:
         """Base rows with (``left_semi``) or without (``left_anti``) a key in the tail. Both sides have a
         key once, so none is hot. Spark knows the size of the tail's files: it broadcasts its keys
-        if they are few, and else sorts and merges, which spills."""
+        if they are few, and else sorts and merges, which spills. ``tail``: rows with the same keys, once
+        a commit, and their number. If they are many, only base rows that marks of them don't rule out are sorted and merged."""
         keys = list(self.spec.key_columns)
+        bits = self._mark_bits(tail[1]) if tail else 0
+        if bits:
+            base, clear = R.marked(base, R.key_marks(tail[0], keys, bits), keys, bits)
+            met = self._beside(base, tail[0], how)
+            return met if how == "left_semi" else met.unionByName(clear)
         if keys == [KEY]:
             return base.join(won.select(KEY), on=KEY, how=how)
         # a partition value may be null
@@ -486,14 +507,14 @@ class ChangeTable:
         same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_beside_{i}")) for i, k in enumerate(keys)]
         return base.join(other, on=reduce(and_, same), how=how)
 
-    def _merged(self, base: DataFrame, won: DataFrame, keep_tombstones: bool) -> DataFrame:
+    def _merged(self, base: DataFrame, won: DataFrame, tail: tuple[DataFrame, int], keep_tombstones: bool) -> DataFrame:
         """Base and reduced tail. The base is unique per key, so rows without a
         newer version pass through as they are; in ``event_time`` mode those
         with one are compared with it."""
         newer = won
         if self.spec.merge == "event_time":
-            newer = R.snapshot(won.unionByName(self._beside(base, won, "left_semi")), self.spec, keep_tombstones=True)
-        out = self._beside(base, won, "left_anti").unionByName(newer)
+            newer = R.snapshot(won.unionByName(self._beside(base, won, "left_semi", tail)), self.spec, keep_tombstones=True)
+        out = self._beside(base, won, "left_anti", tail).unionByName(newer)
         return out if keep_tombstones else R.visible(out, self.spec)
 
     def _state(self, rows: list[dict], keep_tombstones: bool = False, upto: str | None = None) -> DataFrame:
@@ -508,7 +529,7 @@ class ChangeTable:
             return old if keep_tombstones else R.visible(old, self.spec)
         if self._at_once(rows, base["upto"], upto):
             return R.snapshot(old.unionByName(self.read_log(since=base["upto"], rows=rows, upto=upto)), self.spec, keep_tombstones)
-        return self._merged(old, self._won(rows, base["upto"], upto), keep_tombstones)
+        return self._merged(old, self._won(rows, base["upto"], upto), self._tail_keys(rows, base["upto"], upto), keep_tombstones)
 
     def snapshot(self) -> DataFrame:
         """The current row of every key; a plain scan right after ``compact``."""
