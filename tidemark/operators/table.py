@@ -483,10 +483,13 @@ class ChangeTable:
         """The size of the marks of ``n`` keys; 0: so few that Spark broadcasts them, or too many."""
         return R.mark_bits(n) if n >= LARGE_ROWS else 0
 
-    def _tail_keys(self, rows: list[dict], since: str, upto: str | None = None) -> tuple[DataFrame, int]:
-        """The rows of the commits in ``(since, upto]`` and their number (0 with a bootstrap: it may have a key any number of times)."""
+    def _tail_keys(self, rows: list[dict], since: str, upto: str | None = None) -> tuple[DataFrame, int] | None:
+        """The rows of the commits in ``(since, upto]`` and their number, if keys of so many are worth marking. A bootstrap
+        may have a key any number of times."""
         live = self._with_rows(rows, since, upto)
-        n = 0 if any(r["kind"] == "bootstrap" for r in live) else sum(r["num_rows"] for r in live)
+        n = sum(r["num_rows"] for r in live)
+        if not self._mark_bits(n) or any(r["kind"] == "bootstrap" for r in live):
+            return None
         return self.read_log(since=since, upto=upto, rows=rows), n
 
     def _beside(self, base: DataFrame, won: DataFrame, how: str, tail: tuple[DataFrame, int] | None = None) -> DataFrame:
@@ -507,7 +510,7 @@ class ChangeTable:
         same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_beside_{i}")) for i, k in enumerate(keys)]
         return base.join(other, on=reduce(and_, same), how=how)
 
-    def _merged(self, base: DataFrame, won: DataFrame, tail: tuple[DataFrame, int], keep_tombstones: bool) -> DataFrame:
+    def _merged(self, base: DataFrame, won: DataFrame, tail: tuple[DataFrame, int] | None, keep_tombstones: bool) -> DataFrame:
         """Base and reduced tail. The base is unique per key, so rows without a
         newer version pass through as they are; in ``event_time`` mode those
         with one are compared with it."""
