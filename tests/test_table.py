@@ -709,6 +709,52 @@ def test_rows_without_a_key_in_a_large_tail_are_not_shuffled(spark, tmp_table, m
         assert [(r["num_rows"], r["num_inserts"]) for r in t.commit_rows() if r["kind"] == "upsert"] == told
 
 
+@pytest.mark.parametrize("spec", [SPEC, SPEC.with_(buckets=2), SPEC.with_(key_scope="partition")], ids=["plain", "buckets", "partition"])
+def test_of_several_large_commits_only_superseded_rows_are_shuffled(spark, tmp_table, monkeypatch, spec):  # R1, W15
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tidemark.operators import table as module
+
+    met, join, whole, snapshot = [], DataFrame.join, [], R.snapshot
+
+    def joined(self, other, on=None, how=None):
+        if how in ("left_anti", "left_semi"):
+            met.append(self.count())
+        return join(self, other, on=on, how=how)
+
+    rows = lambda lo, hi, k: spark.range(lo, hi).selectExpr("cast(id as int) id", f"{9 - k} as ts", f"'{k}-' || id as v",
+                                                             f"if(id % 11 = 0, null, concat('p', (id + {k}) % 3)) as p", f"if(id % 7 = {k}, 'D', 'U') as Op")
+    t = ChangeTable(spark, tmp_table, spec.with_(count_inserts=False))
+    cs = [t.upsert(rows(lo, lo + 1000, k), op_col="Op") for k, lo in enumerate((0, 900, 1800, 950))]
+    want = [rows_of(R.snapshot(t.read_log(upto=c), t.spec)) for c in cs]
+    with monkeypatch.context() as m:
+        m.setattr(module, "LARGE_ROWS", 5)
+        m.setattr(DataFrame, "join", joined)
+        m.setattr(R, "snapshot", lambda *a, **kw: whole.append(a) or snapshot(*a, **kw))
+        assert rows_of(t.snapshot()) == want[3] and rows_of(t.as_of(cs[2])) == want[2]
+        t.compact()
+        assert not whole and met and max(met) < 2000          # of 3,000 older rows, a newer commit has the keys of 1,200
+        assert rows_of(t.snapshot()) == want[3]
+        for k, lo in enumerate((2700, 2000, 500, 2710)):
+            t.upsert(rows(lo, lo + 400, k), op_col="Op")
+        now = rows_of(snapshot(t.read_log(), t.spec))
+        assert rows_of(t.snapshot()) == now                  # a base and a tail of four
+        t.compact()
+        assert rows_of(t.snapshot()) == now and not whole
+    t.expire(retain=1)
+    monkeypatch.setattr(module, "LARGE_ROWS", 5)
+    assert rows_of(t.snapshot()) == now
+
+
+def test_superseded_versions_are_all_but_the_newest_of_a_key(spark):               # R1
+    log = spark.range(60).selectExpr("cast(id % 20 as string) as _record_key", "if(id % 5 = 0, null, id % 2) as p",
+                                     "concat('2024010', cast(id / 20 as int) + 1, '000000000') as _commit_time")
+    for spec in (SPEC, SPEC.with_(key_scope="partition")):
+        keys = [*spec.key_columns, "_commit_time"]
+        newest = log.groupBy(*spec.key_columns).agg(F.max("_commit_time").alias("_commit_time")).select(*keys)
+        assert sorted(map(str, R.superseded(log, spec).collect())) == sorted(map(str, log.select(*keys).exceptAll(newest).collect()))
+
+
 def test_marks_hold_every_key_and_few_others(spark):                                # W15
     keys = spark.range(20_000).selectExpr("cast(id as string) as _record_key", "if(id % 5 = 0, null, id % 3) as p")
     other = spark.range(20_000, 40_000).selectExpr("cast(id as string) as _record_key", "id % 3 as p")

@@ -166,6 +166,15 @@ def snapshot(log: DataFrame, spec: TableSpec, keep_tombstones: bool = False) ->
     return won if keep_tombstones else visible(won, spec)
 
 
+def superseded(log: DataFrame, spec: TableSpec) -> DataFrame:
+    """Key and instant of every version that a newer commit of an ``arrival`` table supersedes. Commits must
+    have a key once, so no order but theirs counts and nothing else is shuffled. Joins on the key drop null
+    ones; they are dropped here, so that marks and a join of the same versions share one shuffle."""
+    keys = [F.col(f"`{k}`") for k in spec.key_columns]
+    newer = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(COMMIT).desc()))
+    return log.where(F.col(KEY).isNotNull()).select(*keys, COMMIT).withColumn("_rn", newer).where(F.col("_rn") > 1).drop("_rn")
+
+
 def as_of(log: DataFrame, spec: TableSpec, t: str, keep_tombstones: bool = False) -> DataFrame:
     """The table as it was right after commit ``t`` (partition-pruned)."""
     return snapshot(log.where(F.col(COMMIT) <= F.lit(normalize_instant(t))), spec, keep_tombstones)

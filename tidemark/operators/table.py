@@ -449,6 +449,7 @@ class ChangeTable:
 
         A written commit has every key once. So a single one is its own reduction, and where
         the newest commit wins, its rows win as they are and only its keys meet the older ones.
+        Several large ones are reduced by their keys and instants; of whole rows only those that may be superseded are shuffled.
         """
         log = self.read_log(since=since or None, upto=upto, rows=rows)
         live = self._with_rows(rows, since, upto)
@@ -462,6 +463,11 @@ class ChangeTable:
             return R.snapshot(log, self.spec, keep_tombstones=True)
         if len(live) == 2 and live[0]["kind"] != "bootstrap" and not (self._horizon(rows) > since):
             return self._beside(old, new, "left_anti", (new, newest["num_rows"])).unionByName(new)
+        # marks of a quarter of the older rows: if more of them are superseded, marks spare less, but there is less to spare
+        n = sum(r["num_rows"] for r in live[:-1]) // 4
+        if self._mark_bits(n) and all(r["kind"] != "bootstrap" for r in live) and not (self._horizon(rows) > since):
+            lost = R.superseded(log, self.spec)
+            return self._beside(old, lost, "left_anti", (lost, n), by=[*self.spec.key_columns, COMMIT]).unionByName(new)
         return R.snapshot(self._beside(old, new, "left_anti"), self.spec, keep_tombstones=True).unionByName(new)
 
     def _ranged(self, rows: list[dict]) -> bool:
@@ -492,19 +498,21 @@ class ChangeTable:
             return None
         return self.read_log(since=since, upto=upto, rows=rows), n
 
-    def _beside(self, base: DataFrame, won: DataFrame, how: str, tail: tuple[DataFrame, int] | None = None) -> DataFrame:
+    def _beside(self, base: DataFrame, won: DataFrame, how: str, tail: tuple[DataFrame, int] | None = None,
+                by: list[str] | None = None) -> DataFrame:
         """Base rows with (``left_semi``) or without (``left_anti``) a key in the tail. Both sides have a
         key once, so none is hot. Spark knows the size of the tail's files: it broadcasts its keys
         if they are few, and else sorts and merges, which spills. ``tail``: rows with the same keys, once
-        a commit, and their number. If they are many, only base rows that marks of them don't rule out are sorted and merged."""
-        keys = list(self.spec.key_columns)
+        a commit, and their number. If they are many, only base rows that marks of them don't rule out are sorted and merged.
+        ``by``: columns that both sides have once, if not the key's."""
+        keys = by or list(self.spec.key_columns)
         bits = self._mark_bits(tail[1]) if tail else 0
         if bits:
             base, clear = R.marked(base, R.key_marks(tail[0], keys, bits), keys, bits)
-            met = self._beside(base, tail[0], how)
+            met = self._beside(base, tail[0], how, by=by)
             return met if how == "left_semi" else met.unionByName(clear)
-        if keys == [KEY]:
-            return base.join(won.select(KEY), on=KEY, how=how)
+        if set(keys) <= {KEY, COMMIT}:
+            return base.join(won.select(*keys), on=keys, how=how)
         # a partition value may be null
         other = won.select(*[F.col(f"`{k}`").alias(f"_beside_{i}") for i, k in enumerate(keys)])
         same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_beside_{i}")) for i, k in enumerate(keys)]
