@@ -119,3 +119,39 @@ def test_repeated_ids_with_different_vectors(spark):
 def test_more_copies_than_the_default(spark):
     rows = [(k, [1.0, 2.0]) for k in range(30)] + [(50, [2.0, 2.0])]
     same(A.search(frame(spark, rows), every=100, found=20), brute(rows, 100, 20))
+
+
+def test_the_start_is_near(spark):
+    rng = np.random.default_rng(5)
+    x = (4 * rng.normal(size=(40, 24))[np.arange(4000) % 40] + rng.normal(size=(4000, 24))).astype(np.float32)
+    links = links_of(A.build(frame(spark, [(k, v.tolist()) for k, v in enumerate(x)]), rounds=0))
+    for k in range(0, 4000, 400):
+        true = np.argsort(((x - x[k]) ** 2).sum(1))[1:11]
+        links[k] = len(set(true.tolist()) & links[k])
+    assert sum(links[k] for k in range(0, 4000, 400)) > 50  # random buckets found 33 of 100
+
+
+@pytest.mark.parametrize("few", [0, 1 << 16])
+def test_many_blocks(spark, monkeypatch, few):
+    monkeypatch.setattr(A, "BLOCK", 64)
+    monkeypatch.setattr(A, "FEW", few)
+    x = np.random.default_rng(6).normal(size=(400, 6)).astype(np.float32).tolist()
+    rows = [*enumerate(x), (500, x[3]), (520, x[3]), (7, x[9])]
+    same(A.search(frame(spark, rows), every=20, beam=400), brute(rows, 20))
+    assert A.build(frame(spark, rows), rounds=1).packed.count() == 6
+
+
+def test_no_neighbour_beyond_the_bound_is_sent_back(monkeypatch):
+    """One query and ten nodes on a line, by products and one by one."""
+    x, q = np.arange(10.0)[:, None] + 1, np.array([[0.0], [1.0]])
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    told = list(A._mailed(A.TOLD, np.arange(10), 1, np.ones(10, "<i4")))
+    for both in ([], list(A._mailed(A.TOLD, np.arange(10), 1, np.zeros(10, "<i4")))):
+        got = {A.STATE: [[np.arange(10).tobytes(), x.tobytes()]], A.TOLD: [p for _, _, p in told + both]}
+        ((home, _, (to, node, apart)),) = A._measure(Sent(q), Sent(np.array([0.5, 3.0])), "<f8", 1, 1)(0, got)
+        assert home == 0 and set(np.frombuffer(to, "<u4")) == {1}
+        assert sorted(zip(np.frombuffer(apart).tolist(), np.frombuffer(node, np.int64).tolist())) == [(0.0, 0), (1.0, 1), (2.0, 2), (3.0, 3)]
